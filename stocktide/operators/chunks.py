@@ -75,19 +75,7 @@ def carry_forward(
     """Add ``out``: the latest non-null ``value`` at or before the row in key order."""
     base = with_chunk(df, order[0], chunk_s)
     in_chunk = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    by_chunk = Window.partitionBy(*keys).orderBy(CHUNK)
-    known = F.when(F.col(value).isNotNull(), F.struct(*order))
-    levels = (
-        base.groupBy(*keys, CHUNK)
-        .agg(F.max_by(value, known).alias("_level"))
-        .select(
-            *keys,
-            CHUNK,
-            F.last("_level", ignorenulls=True)
-            .over(by_chunk.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("_entry"),
-        )
-    )
+    levels = last_level_before(df, keys, order, value, chunk_s, "_entry")
     running = F.last(value, ignorenulls=True).over(
         in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -98,6 +86,20 @@ def carry_forward(
     )
 
 
+def last_level_before(
+    df: DataFrame, keys: list[str], order: list[str], value: str, chunk_s: int, out: str
+) -> DataFrame:
+    """One row per key and chunk: the latest non-null ``value`` of the key's earlier chunks."""
+    known = F.when(F.col(value).isNotNull(), F.struct(*order))
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        with_chunk(df, order[0], chunk_s)
+        .groupBy(*keys, CHUNK)
+        .agg(F.max_by(value, known).alias("_level"))
+        .select(*keys, CHUNK, F.last("_level", ignorenulls=True).over(earlier).alias(out))
+    )
+
+
 def standardise(
     df: DataFrame, keys: list[str], ts: str, columns: dict[str, str], chunk_s: int
 ) -> DataFrame:

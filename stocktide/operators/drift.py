@@ -175,11 +175,7 @@ def ks_statistic(values: DataFrame, spec: DriftSpec = DriftSpec(), ranges: DataF
         (F.col("side") == "reference").cast("int").alias("reference"),
         (F.col("side") == "current").cast("int").alias("current"),
     )
-    # Collapse to distinct values before the ranges come in, so the join sees each value once.
-    distinct = counts.groupBy("feature", "value").agg(
-        F.sum("reference").alias("reference"), F.sum("current").alias("current")
-    )
-    bucketed = _with_ranges(distinct, ranges, spec).withColumn("_place", _order_bucket())
+    bucketed = _with_ranges(counts, ranges, spec).withColumn("_place", _order_bucket())
     totals = running_totals(
         bucketed.withColumn("_key", F.struct("_place", "value")),
         ["feature"],

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stocktide.operators.joins import salted_join
 from stocktide.schemas import KEYS
 
 MATCH_WINDOW_S = 120
@@ -64,8 +65,7 @@ def near_in_time(
     t = _micros(left_ts)
     hit = F.col("_same") | (t - F.col("_before") <= width) | (F.col("_after") - t <= width)
     return (
-        left.withColumn("_b", bucket(left_ts))
-        .join(near, [*keys, "_b"], "left")
+        salted_join(left.withColumn("_b", bucket(left_ts)), near, [*keys, "_b"], [left_ts], salts=8)
         .withColumn(out, F.coalesce(hit, F.lit(False)))
         .select(*left.columns, out)
     )
@@ -80,12 +80,17 @@ def detector_metrics(
     is matched predictions over labels and may exceed 1; ``label_recall`` is the share of labels matched.
     """
     keys = ["anomaly_type", *KEYS]
+    # Equal rows are counted first; matching then sees each (type, store, product, time) once.
     typed = predictions.withColumnRenamed("alert_type", "anomaly_type")
-    hits = near_in_time(typed, labels, keys, "triggered_at", "injected_at", match_window_s, "hit").agg(
-        F.count_if("hit").alias("_tp"), F.count("*").alias("n_predictions")
+    typed = typed.groupBy(*keys, "triggered_at").agg(F.count("*").alias("_n"))
+    truth = labels.groupBy(*keys, "injected_at").agg(F.count("*").alias("_n"))
+    hit_rows = F.coalesce(F.sum(F.when(F.col("hit"), F.col("_n"))), F.lit(0))
+    all_rows = F.coalesce(F.sum("_n"), F.lit(0))
+    hits = near_in_time(typed, truth, keys, "triggered_at", "injected_at", match_window_s, "hit").agg(
+        hit_rows.alias("_tp"), all_rows.alias("n_predictions")
     )
-    found = near_in_time(labels, typed, keys, "injected_at", "triggered_at", match_window_s, "hit").agg(
-        F.count_if("hit").alias("_found"), F.count("*").alias("n_labels")
+    found = near_in_time(truth, typed, keys, "injected_at", "triggered_at", match_window_s, "hit").agg(
+        hit_rows.alias("_found"), all_rows.alias("n_labels")
     )
     precision = F.coalesce(F.try_divide("_tp", "n_predictions"), F.lit(0.0))
     recall = F.coalesce(F.try_divide("_tp", "n_labels"), F.lit(0.0))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stocktide import schemas
 from stocktide.functions import expr
 from stocktide.operators.chunks import neighbours, standardise
+from stocktide.operators.joins import lookup_join
 from stocktide.schemas import KEYS
 
 DEFAULT_CHUNK_S = 7 * 86400
@@ -96,26 +97,30 @@ def online_forecast_features(df: DataFrame, chunk_s: int = DEFAULT_CHUNK_S) -> D
 def label_codes(df: DataFrame, column: str, code: str) -> DataFrame:
     """Dense codes 0.. of the distinct values in sorted order; one row per distinct value.
 
-    Distinct values are ranked inside first-character groups and offset by the group sizes before them.
+    Ids are numbered level by level of their leading characters: within ids that share four characters, those
+    that share eight are counted and offset, and so on. No task orders all ids.
     """
+    levels = (4, 8, 12)
     ids = df.select(F.col(column).cast("string").alias(column)).distinct()
-    grouped = ids.withColumn("_head", F.substring(column, 1, 4))
-    sizes = grouped.groupBy("_head").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_head", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("_head").orderBy(column)) - 1
-    return (
-        grouped.withColumn("_rank", inside)
-        .join(offsets, "_head")
-        .select(column, (F.col("_rank") + F.col("_offset")).cast("int").alias(code))
-    )
+    out = ids.withColumns({f"_p{n}": F.substring(column, 1, n) for n in levels} | {"_offset": F.lit(0).cast("long")})
+    shared: list[str] = []
+    for n in levels:
+        head = f"_p{n}"
+        sizes = out.groupBy(*shared, head).agg(F.count("*").alias("_n"))
+        before = Window.partitionBy(*shared).orderBy(head).rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.select(*shared, head, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        out = (
+            out.join(starts, [*shared, head]).withColumn("_offset", F.col("_offset") + F.col("_start")).drop("_start")
+        )
+        shared = [*shared, head]
+    inside = F.row_number().over(Window.partitionBy(*shared).orderBy(column)) - 1
+    return out.select(column, (F.col("_offset") + inside).cast("int").alias(code))
 
 
 def label_encode(df: DataFrame) -> DataFrame:
     """Add ``store_enc`` and ``sku_enc``."""
-    return df.join(label_codes(df, "store_id", "store_enc"), "store_id").join(
-        label_codes(df, "sku_id", "sku_enc"), "sku_id"
-    )
+    coded = lookup_join(df, label_codes(df, "store_id", "store_enc"), ["store_id"], schemas.FEATURE_KEY)
+    return lookup_join(coded, label_codes(df, "sku_id", "sku_enc"), ["sku_id"], schemas.FEATURE_KEY)
 
 
 def forecast_matrix(df: DataFrame) -> DataFrame:
@@ -156,13 +161,18 @@ def holdout_split(df: DataFrame, holdout: float = 0.2, ts: str = "window_start")
         .join(days, "_day")
         .select(F.col(ts), (F.col("_d0") + F.col("_s0")).alias("_before"), "_n")
     )
-    # The one stamp that starts before the cut and ends after it, if any, and the rows it owes to training.
-    cut = stamps.filter((F.col("_before") < total) & (F.col("_before") + F.col("_n") > total))
-    cut_stamp = cut.agg(F.max(ts)).scalar()
-    owed = total - cut.agg(F.max("_before")).scalar()
-    # First stamp that lies wholly in the holdout when no stamp straddles the cut.
-    first_after = stamps.filter(F.col("_before") >= total).agg(F.min(ts)).scalar()
-    border = F.coalesce(cut_stamp, first_after)
+    # The one stamp that starts before the cut and ends after it, if any, and the rows it owes to training;
+    # else the first stamp that lies wholly in the holdout.
+    straddles = (F.col("_before") < total) & (F.col("_before") + F.col("_n") > total)
+    border_row = stamps.agg(
+        F.struct(
+            F.max(F.when(straddles, F.col(ts))).alias("cut"),
+            (total - F.max(F.when(straddles, F.col("_before")))).alias("owed"),
+            F.min(F.when(F.col("_before") >= total, F.col(ts))).alias("after"),
+        )
+    ).scalar()
+    cut_stamp, owed = border_row["cut"], border_row["owed"]
+    border = F.coalesce(cut_stamp, border_row["after"])
 
     tied = F.coalesce(F.col(ts) == cut_stamp, F.lit(False))
     clear = df.filter(~tied).withColumn("is_train", F.coalesce(F.col(ts) < border, F.lit(True)))

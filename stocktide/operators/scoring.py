@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stocktide.config import ScoringSpec
 from stocktide.operators.chunks import latest_wins
+from stocktide.operators.joins import lookup_join
 from stocktide.schemas import ALERT_KEY, KEYS
 
 _ALERT_COLUMNS = [
@@ -18,7 +19,7 @@ def with_reorder_point(features: DataFrame, dim_sku: DataFrame, spec: ScoringSpe
     """Add the product's reorder point, the default where the product is unknown."""
     points = dim_sku.select("sku_id", F.col("reorder_point").alias("_point"))
     return (
-        features.join(points, "sku_id", "left")
+        lookup_join(features, points, ["sku_id"], KEYS)
         .withColumn("reorder_point", F.coalesce("_point", F.lit(spec.default_reorder_point)))
         .drop("_point")
     )

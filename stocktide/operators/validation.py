@@ -1,8 +1,7 @@
 """Parsing and validation of raw events, and the dead-letter envelope.
 
 Everything is built from JVM expressions over one scan: text is parsed once, each rule is a predicate and
-the first failing rule names the reason. The dimension look-ups are plain equi-joins on id lists, which Spark
-broadcasts only when their size is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
+the first failing rule names the reason. The dimension look-ups broadcast id lists of checked size.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktide import schemas
+from stocktide.operators.joins import lookup_join
 
 _KINDS = {
     "orders": (schemas.ORDER_EVENT, schemas.ORDER_REQUIRED, ["quantity", "unit_price"]),
@@ -54,18 +54,16 @@ def event_timestamp(text: Column) -> Column:
     return F.when(text.rlike(_ISO_SHAPE), F.try_to_timestamp(text))
 
 
-def with_known_ids(df: DataFrame, stores: DataFrame, skus: DataFrame) -> DataFrame:
+def with_known_ids(df: DataFrame, stores: DataFrame, skus: DataFrame, value: str = "value") -> DataFrame:
     """Flag whether the event's store and product exist in the dimensions."""
     store_ids = stores.select(F.col("store_id").alias("_store")).distinct().withColumn("store_known", F.lit(True))
     sku_ids = skus.select(F.col("sku_id").alias("_sku")).distinct().withColumn("sku_known", F.lit(True))
-    return (
-        df.join(store_ids, F.col("event.store_id") == F.col("_store"), "left")
-        .join(sku_ids, F.col("event.sku_id") == F.col("_sku"), "left")
-        .withColumns({
-            "store_known": F.coalesce("store_known", F.lit(False)),
-            "sku_known": F.coalesce("sku_known", F.lit(False)),
-        })
-        .drop("_store", "_sku")
+    keyed = df.withColumns({"_store": F.col("event.store_id"), "_sku": F.col("event.sku_id")})
+    known = lookup_join(lookup_join(keyed, store_ids, ["_store"], [value]), sku_ids, ["_sku"], [value])
+    return known.select(
+        *[F.col(c) for c in df.columns],
+        F.coalesce("store_known", F.lit(False)).alias("store_known"),
+        F.coalesce("sku_known", F.lit(False)).alias("sku_known"),
     )
 
 
@@ -139,7 +137,8 @@ def validate(
             ),
         ),
     ]
-    known = with_known_ids(parsed.withColumn("event_ts", event_timestamp(F.col("event.event_time"))), stores, skus)
+    stamped = parsed.withColumn("event_ts", event_timestamp(F.col("event.event_time")))
+    known = with_known_ids(stamped, stores, skus, value)
     return known.withColumn("reason", F.coalesce(*rules)).drop("store_known", "sku_known")
 
 

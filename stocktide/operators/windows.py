@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from stocktide.config import WindowSpec
 from stocktide.functions import expr
-from stocktide.operators.chunks import carry_forward
+from stocktide.operators.chunks import CHUNK, last_level_before
+from stocktide.operators.joins import salted_join
 from stocktide.schemas import KEYS
 
 _MIN_MINUTES = 1e-6
@@ -97,8 +98,7 @@ def feature_assembly(
 ) -> DataFrame:
     """One row per key and short window with orders: order, stock and long-rate measures side by side.
 
-    ``joined`` collapses both inputs into panes in one aggregation, then each pane feeds the
-    ``long_s / short_s`` windows that end with it or after it. A window without stock movement takes the
+    ``joined`` collapses both inputs into panes in one aggregation and assembles those. A window without stock movement takes the
     last known level of its key (``on_hand_source`` carried), or none. ``stub`` leaves stock at 0 and the
     long rate at 1, the constants of a pipeline whose join is not wired.
     """
@@ -112,30 +112,55 @@ def feature_assembly(
             "short_rate",
             F.lit(1.0).alias("long_rate"),
         )
-    panes = (
+    return assemble_panes(panes(orders, inventory, spec), spec)
+
+
+def panes(orders: DataFrame, inventory: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFrame:
+    """Both inputs collapsed to one row per key and short window, in one aggregation.
+
+    Large jobs store this table and assemble from it: the assembly reads it twice, the raw events once.
+    """
+    return (
         merged_events(orders, inventory)
         .groupBy(*KEYS, F.window("event_time", spec.short).alias("pane"))
         .agg(*pane_measures())
+        .select(*KEYS, F.col("pane.start").alias("window_start"), *_MEASURES, "on_hand_latest")
     )
-    own = F.col("_shift") == 0
-    measures = ["order_count", "total_units", "depletion_units", "restock_units"]
-    spread = (
-        panes.withColumn("_shift", F.explode(F.sequence(F.lit(0), F.lit(spec.panes - 1))))
-        .filter(own | (F.col("order_count") > 0))
-        .withColumn("window_start", F.col("pane.start") + F.make_interval(secs=F.col("_shift") * spec.short_s))
-        .groupBy(*KEYS, "window_start")
-        .agg(
-            F.sum("order_count").alias("long_count"),
-            *[F.sum(F.when(own, F.col(m)).otherwise(0)).alias(m) for m in measures],
-            F.max(F.when(own, F.col("on_hand_latest"))).alias("on_hand_latest"),
-            F.max(own).alias("_own"),
-        )
-        .filter("_own")
+
+
+_MEASURES = ["order_count", "total_units", "depletion_units", "restock_units"]
+
+
+def assemble_panes(pane_rows: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFrame:
+    """Panes to assembled windows (see ``feature_assembly``).
+
+    A key's panes are cut into time chunks; the few panes at the end of a chunk that later windows reach
+    back to are copied into the next one. Long counts and carried levels are then windows inside a chunk.
+    """
+    assert spec.chunk_s >= spec.long_s
+    reach = spec.long_s - spec.short_s
+    own = f"unix_seconds(window_start) div {spec.chunk_s}"
+    reached = f"(unix_seconds(window_start) + {reach}) div {spec.chunk_s}"
+    chunked = pane_rows.withColumns({
+        "_own": F.expr(own),
+        CHUNK: F.explode(F.expr(f"array_distinct(array({own}, {reached}))")),
+        "_pane": F.expr(f"unix_seconds(window_start) div {spec.short_s}"),
+    })
+    in_chunk = Window.partitionBy(*KEYS, CHUNK).orderBy("_pane")
+    entry = last_level_before(pane_rows, KEYS, ["window_start"], "on_hand_latest", spec.chunk_s, "_entry")
+    levelled = (
+        chunked.withColumns({
+            "long_count": F.sum("order_count").over(in_chunk.rangeBetween(-(spec.panes - 1), 0)),
+            "_seen": F.last("on_hand_latest", ignorenulls=True).over(
+                in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            ),
+        })
+        .filter((F.col("_own") == F.col(CHUNK)) & (F.col("order_count") > 0))
+        .join(entry, [*KEYS, CHUNK], "left")
+        .withColumn("on_hand", F.coalesce("_seen", "_entry"))
     )
-    levelled = carry_forward(spread, KEYS, ["window_start"], "on_hand_latest", spec.chunk_s, "on_hand")
     return (
-        levelled.filter(F.col("order_count") > 0)
-        .withColumns({
+        levelled.withColumns({
             "window_end": F.col("window_start") + F.expr(f"interval {spec.short}"),
             "on_hand_source": F.when(F.col("on_hand_latest").isNotNull(), "window")
             .when(F.col("on_hand").isNotNull(), "carried")
@@ -144,7 +169,7 @@ def feature_assembly(
             "long_rate": _rate(F.col("long_count"), spec.long_s, spec),
         })
         .select(
-            *KEYS, "window_start", "window_end", *measures, "on_hand", "on_hand_source", "short_rate", "long_rate"
+            *KEYS, "window_start", "window_end", *_MEASURES, "on_hand", "on_hand_source", "short_rate", "long_rate"
         )
     )
 
@@ -198,7 +223,7 @@ def late_data_split(orders: DataFrame, spec: WindowSpec, arrival: str) -> DataFr
     watermark = F.col("_seen") - F.expr(f"interval {spec.watermark_s} seconds")
     return (
         orders.withColumn("_batch", F.window(arrival, spec.short))
-        .join(seen, "_batch", "left")
+        .transform(lambda df: salted_join(df, seen, ["_batch"], ["event_time", *KEYS]))
         .withColumn("is_late", F.coalesce(window_end <= watermark, F.lit(False)))
         .drop("_batch", "_seen")
     )

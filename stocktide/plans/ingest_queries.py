@@ -170,7 +170,7 @@ def dead_letters(r: Retail) -> DataFrame:
 
 @query("order_event_count", "SELECT count(*) AS order_events FROM order_raw WHERE reason IS NULL")
 def order_event_count(r: Retail) -> DataFrame:
-    return pipeline.counted(r.orders).agg(F.count("*").alias("order_events"))
+    return pipeline.counted(r.live_orders()).agg(F.count("*").alias("order_events"))
 
 
 _LAG1_METRICS = """SELECT round(avg(abs(order_rate - order_rate_lag1)), 6) AS mae,
@@ -304,7 +304,7 @@ def split_valid(r: Retail) -> DataFrame:
       is_injected_anomaly FROM vorders""",
 )
 def project_orders(r: Retail) -> DataFrame:
-    return r.orders
+    return r.live_orders()
 
 
 @query(
@@ -313,7 +313,7 @@ def project_orders(r: Retail) -> DataFrame:
       on_hand_after FROM vinv""",
 )
 def project_inventory(r: Retail) -> DataFrame:
-    return r.inventory
+    return r.live_inventory()
 
 
 @query(

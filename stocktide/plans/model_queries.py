@@ -84,7 +84,8 @@ _Z = ["order_rate_zscore", "depletion_vel_zscore"]
       round(order_rate_zscore, 6) AS order_rate_zscore, round(depletion_vel_zscore, 6) AS depletion_vel_zscore FROM zscores""",
 )
 def anomaly_features(r: Retail) -> DataFrame:
-    return rounded(r.zscores().select(*FEATURE_KEY, *schemas.ANOMALY_COLUMNS), *_Z)
+    built = features.anomaly_features(r.features, retail.SPEC.chunk_s)
+    return rounded(built.select(*FEATURE_KEY, *schemas.ANOMALY_COLUMNS), *_Z)
 
 
 @query(
@@ -142,7 +143,7 @@ def union_features(r: Retail) -> DataFrame:
 
 
 def _train_rows(r: Retail) -> DataFrame:
-    return features.holdout_split(r.zscores()).filter("is_train").drop("is_train")
+    return r.stored("detector_training", features.holdout_split(r.zscores).filter("is_train").drop("is_train"))
 
 
 def _forest(r: Retail) -> iforest.Forest:
@@ -159,7 +160,7 @@ def iforest_fit(r: Retail) -> DataFrame:
 
 @query("iforest_score")
 def iforest_score(r: Retail) -> DataFrame:
-    return _forest(r).predict(r.zscores()).select(*FEATURE_KEY, "anomaly_score", "prediction")
+    return _forest(r).predict(r.zscores).select(*FEATURE_KEY, "anomaly_score", "prediction")
 
 
 @query("alerts_ml")
@@ -196,7 +197,7 @@ def detector_metrics(r: Retail) -> DataFrame:
 @query("detector_metrics_ml")
 def detector_metrics_ml(r: Retail) -> DataFrame:
     """The forest's alerts on the holdout rows against the labels."""
-    holdout = features.holdout_split(r.zscores()).filter(~F.col("is_train"))
+    holdout = features.holdout_split(r.zscores).filter(~F.col("is_train"))
     alerts = scoring.offline_alerts(_forest(r).predict(holdout))
     return evaluate.detector_metrics(alerts, r.labels(), evaluate.MATCH_WINDOW_S * retail.SCALE)
 

@@ -62,18 +62,27 @@ class Retail:
             validation.parse_events(raw, kind), kind, self.dim_store, self.dim_sku, self.clock
         )
 
-    @property
-    def orders(self) -> DataFrame:
+    def live_orders(self) -> DataFrame:
+        """Valid orders straight from the messages."""
         return validation.project_orders(validation.valid_events(self.validated("orders")))
 
-    @property
-    def inventory(self) -> DataFrame:
+    def live_inventory(self) -> DataFrame:
         return validation.project_inventory(validation.valid_events(self.validated("inventory")))
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self.stored("valid_orders", self.live_orders())
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        return self.stored("valid_inventory", self.live_inventory())
+
+    @cached_property
+    def panes(self) -> DataFrame:
+        return self.stored("panes", windows.panes(self.orders, self.inventory, retail.SPEC))
+
     def assembled(self) -> DataFrame:
-        return self.stored(
-            "assembled_windows", windows.feature_assembly(self.orders, self.inventory, retail.SPEC)
-        )
+        return windows.assemble_panes(self.panes, retail.SPEC)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -101,13 +110,14 @@ class Retail:
     def forecast(self) -> DataFrame:
         return features.forecast_features(self.features, retail.SPEC.chunk_s)
 
+    @cached_property
     def zscores(self) -> DataFrame:
-        return features.anomaly_features(self.features, retail.SPEC.chunk_s)
+        return self.stored("anomaly_features", features.anomaly_features(self.features, retail.SPEC.chunk_s))
 
     def flagged(self) -> DataFrame:
         """Rows far from their key's mean, flagged like a model would."""
         far = (F.abs("order_rate_zscore") >= 1.5) | (F.abs("depletion_vel_zscore") >= 2)
-        return self.zscores().withColumn("prediction", F.when(far, -1).otherwise(1))
+        return self.zscores.withColumn("prediction", F.when(far, -1).otherwise(1))
 
     def labels(self) -> DataFrame:
         return retail.anomaly_labels(self.spark, self.sf_dir).withColumn(

@@ -75,7 +75,8 @@ def feature_assembly_stub(r: Retail) -> DataFrame:
 
 @query("feature_rows", _FEATURE_SQL)
 def feature_rows(r: Retail) -> DataFrame:
-    rows = windows.feature_assembly(r.orders, r.inventory, retail.SPEC)
+    """From raw messages to feature rows in one job."""
+    rows = windows.feature_assembly(r.live_orders(), r.live_inventory(), retail.SPEC)
     return windows.feature_rows(rows, F.col("window_end")).drop("on_hand_source")
 
 

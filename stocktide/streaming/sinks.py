@@ -30,7 +30,7 @@ class UpsertTable:
         one_each = latest_wins(rows.select(*self.schema.names), self.keys, self.order)
         target = f"{self.path}/writer={writer}/batch={int(batch_id)}"
         if self.day_of:
-            dated = one_each.withColumn("day", F.to_date(self.day_of))
+            dated = one_each.withColumn("day", F.to_date(self.day_of)).hint("rebalance", F.col("day"))
             dated.write.mode("overwrite").partitionBy("day").parquet(target)
         else:
             one_each.write.mode("overwrite").parquet(target)
@@ -63,16 +63,17 @@ class EmptyExportError(ValueError):
 
 
 def export_features(features: DataFrame, path: str) -> None:
-    """Write features partitioned by day, one folder per day, rows hashed to tasks by day and store.
+    """Write features partitioned by day.
 
-    Raises when there are no rows.
+    Rows are rebalanced by day, so that a small day is one file and a large one is split over tasks. Raises when
+    there are no rows.
     """
     if features.isEmpty():
         raise EmptyExportError("the feature table is empty; run the stream first")
     day = F.to_date("window_start")
     (
         features.withColumn("day", day)
-        .repartition("day", "store_id")
+        .hint("rebalance", F.col("day"))
         .sortWithinPartitions("day", "store_id", "sku_id", "window_start")
         .write.mode("overwrite")
         .partitionBy("day")
