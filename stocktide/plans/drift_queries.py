@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stocktide.functions.expr import psi_band
 from stocktide.operators import drift, registry, retrain
-from stocktide.plans.catalog import query
+from stocktide.plans.catalog import query, rounded
 from stocktide.plans.retail_tables import Retail
 from stocktide.plans.window_queries import line_features
 from stocktide.schemas import FEATURE_KEY
@@ -105,42 +105,63 @@ def drift_metrics_long(r: Retail) -> DataFrame:
     return drift.metrics_long(r.drift_metrics(), r.drift_summary())
 
 
-_QUOTED = "'[' || list_aggregate(list_transform(string_split(drifted_features, ','), lambda x: '''' || x || ''''), 'string_agg', ', ') || ']'"
+_QUOTED = "'[''' || replace(names, ',', ''', ''') || ''']'"
+
+
+def _decisions(r: Retail) -> DataFrame:
+    state = registry.cooldown_state(retail.trigger_log(r.spark, r.sf_dir), r.cooldown_limits(), r.orders_clock())
+    return retrain.retrain_decision(retail.drift_runs(r.spark, r.sf_dir), state, retail.DRIFT)
 
 
 @query(
     "retrain_decision",
-    f"""SELECT any_drift AND NOT (det AND fc) AS should_trigger, drifted_features, max_psi, any_drift AND NOT det AS trigger_detector,
-      any_drift AND NOT fc AS trigger_forecaster,
-      CASE WHEN skipped THEN 'drift_job skipped: ' || skip_reason WHEN NOT any_drift THEN 'No drift detected (all PSI below threshold).'
+    f"""SELECT run_id, run_ts, trigger_detector OR trigger_forecaster AS should_trigger, trigger_detector, trigger_forecaster,
+      CASE WHEN go THEN names ELSE '' END AS drifted_features, CASE WHEN skipped THEN 0 ELSE round(max_psi, 9) END AS max_psi,
+      CASE WHEN skipped THEN 'drift_job skipped: insufficient_current_data'
+        WHEN NOT any_drift THEN 'No drift detected (all PSI below threshold).'
         WHEN det AND fc THEN 'Drift detected on ' || {_QUOTED} || ' (max PSI=' || printf('%.4f', max_psi) || ') but both jobs are in cooldown.'
         ELSE 'Drift detected on features ' || {_QUOTED} || ' (max PSI=' || printf('%.4f', max_psi)
           || ' > threshold=0.25). Triggering: [' || CASE WHEN NOT det AND NOT fc THEN '''detector'', ''forecaster'''
           WHEN det THEN '''forecaster''' ELSE '''detector''' END || '].' END AS reason
-    FROM (SELECT *, (SELECT coalesce(elapsed_min < cooldown_min, FALSE) FROM cooldowns WHERE job_name = 'detector_retrain') AS det,
-      (SELECT coalesce(elapsed_min < cooldown_min, FALSE) FROM cooldowns WHERE job_name = 'forecaster_retrain') AS fc FROM drift_summary)""",
+    FROM retrain""",
 )
 def retrain_decision(r: Retail) -> DataFrame:
-    state = registry.cooldown_state(retail.trigger_log(r.spark, r.sf_dir), r.cooldown_limits(), r.orders_clock())
-    return (
-        retrain.retrain_decision(r.drift_summary(), state, retail.DRIFT)
-        .drop("run_ts")
-        .withColumn("drifted_features", F.array_join("drifted_features", ","))
-    )
+    """A decision for every weekly drift run, with the cooldowns that hold now."""
+    decided = _decisions(r).withColumn("drifted_features", F.array_join("drifted_features", ","))
+    return rounded(decided, "max_psi", digits=9)
 
 
-@query("retrain_pending", "SELECT model_name, run_id FROM runs WHERE run_id NOT IN (SELECT run_id FROM reg_state WHERE stage = 'Archived')")
+@query(
+    "retrain_pending",
+    "SELECT run_id, run_ts FROM drift_runs WHERE NOT EXISTS (SELECT 1 FROM retrain t WHERE t.run_id = drift_runs.run_id AND t.skipped)",
+)
 def retrain_pending(r: Retail) -> DataFrame:
-    """Weekly runs that were not yet followed up; archived ones count as handled."""
-    handled = registry.registry_state(r.registry_events()).filter("stage = 'Archived'")
-    return retrain.pending_runs(r.runs().select("model_name", "run_id"), handled)
+    """Weekly drift runs still to decide on; skipped ones count as handled."""
+    runs = retail.drift_runs(r.spark, r.sf_dir)
+    return retrain.pending_runs(runs, runs.filter("skipped")).select("run_id", "run_ts")
 
 
-@query("retrain_requests")
+@query(
+    "retrain_requests",
+    """SELECT job_name || '_' || run_id AS run_key, job_name, names AS drifted_features, printf('%.4f', max_psi) AS max_psi
+    FROM (SELECT *, 'detector_retrain' AS job_name FROM retrain WHERE trigger_detector
+      UNION ALL SELECT *, 'forecaster_retrain' FROM retrain WHERE trigger_forecaster)""",
+)
 def retrain_requests(r: Retail) -> DataFrame:
-    state = registry.cooldown_state(retail.trigger_log(r.spark, r.sf_dir), r.cooldown_limits(), r.orders_clock())
-    runs = r.drift_summary().withColumn("run_id", F.date_format("run_ts", "yyyyMMddHHmmss"))
-    return retrain.run_requests(retrain.retrain_decision(runs, state, retail.DRIFT))
+    return retrain.run_requests(_decisions(r))
+
+
+@query(
+    "drift_decision",
+    """SELECT any_drift AS should_trigger, drifted_features, max_psi FROM drift_summary""",
+)
+def drift_decision(r: Retail) -> DataFrame:
+    """The decision on the feature table's own drift run, with no job in cooldown."""
+    idle = registry.cooldown_state(
+        retail.trigger_log(r.spark, r.sf_dir), r.cooldown_limits().withColumn("cooldown_min", F.lit(0)), r.orders_clock()
+    )
+    decision = retrain.retrain_decision(r.drift_summary(), idle, retail.DRIFT)
+    return decision.select("should_trigger", F.array_join("drifted_features", ",").alias("drifted_features"), "max_psi")
 
 
 def _line_drift_sql() -> str:

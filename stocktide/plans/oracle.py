@@ -230,6 +230,16 @@ CTES: dict[str, str] = {
         LEFT JOIN (SELECT CASE left(o_orderpriority, 1) WHEN '1' THEN 'detector_retrain' WHEN '2' THEN 'forecaster_retrain' END
           AS job_name, max(o_orderdate) AS last_triggered FROM orders WHERE left(o_orderpriority, 1) IN ('1', '2') GROUP BY 1)
         USING (job_name)""",
+    "drift_runs": """SELECT 'drift-' || strftime(run_ts, '%Y%m%d') AS run_id, run_ts, sum(n) % 11 = 0 AS skipped,
+        count(*) FILTER (psi > 0.25) > 0 AS any_drift, max(psi) AS max_psi,
+        coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (psi > 0.25), '') AS names
+        FROM (SELECT CAST(date_trunc('week', o_orderdate) AS TIMESTAMP) AS run_ts, o_orderpriority AS feature, count(*) AS n,
+          min(o_totalprice) / 200000 AS psi FROM orders GROUP BY ALL) GROUP BY run_ts""",
+    "retrain": """SELECT *, go AND NOT det AS trigger_detector, go AND NOT fc AS trigger_forecaster FROM
+        (SELECT *, NOT skipped AND any_drift AS go,
+          (SELECT coalesce(elapsed_min < cooldown_min, FALSE) FROM cooldowns WHERE job_name = 'detector_retrain') AS det,
+          (SELECT coalesce(elapsed_min < cooldown_min, FALSE) FROM cooldowns WHERE job_name = 'forecaster_retrain') AS fc
+        FROM drift_runs)""",
     "line_orders": """SELECT 'DS_' || lpad(CAST(n_regionkey AS VARCHAR), 3, '0') AS store_id, p_brand AS sku_id,
         l_shipdate AS event_time, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS event_id,
         CAST(l_quantity AS INTEGER) AS quantity, l_returnflag FROM lineitem JOIN supplier ON l_suppkey = s_suppkey

@@ -239,6 +239,33 @@ def trigger_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drift_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One drift run per week of orders: a priority whose smallest order of the week is large has drifted.
+
+    Runs whose order count is a multiple of eleven are skipped, like runs with too little data.
+    """
+    week = F.date_trunc("week", "o_orderdate").cast("timestamp")
+    per_label = (
+        table(spark, sf_dir, "orders")
+        .groupBy(week.alias("run_ts"), F.col("o_orderpriority").alias("feature"))
+        .agg(F.count("*").alias("n"), (F.min("o_totalprice") / 200000).alias("psi"))
+    )
+    drifted = F.when(F.col("psi") > 0.25, F.col("feature"))
+    return per_label.groupBy("run_ts").agg(
+        F.sum("n").alias("n_current"),
+        F.max("psi").alias("max_psi"),
+        F.array_sort(F.collect_list(drifted)).alias("drifted_features"),
+    ).select(
+        F.concat(F.lit("drift-"), F.date_format("run_ts", "yyyyMMdd")).alias("run_id"),
+        "run_ts",
+        (F.col("n_current") % 11 == 0).alias("skipped"),
+        F.when(F.col("n_current") % 11 == 0, "insufficient_current_data").alias("reason"),
+        (F.size("drifted_features") > 0).alias("any_drift"),
+        "drifted_features",
+        "max_psi",
+    )
+
+
 def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as order events at scale: region of the supplier sells brand of the part on the ship date."""
     lines = table(spark, sf_dir, "lineitem")
