@@ -1,8 +1,8 @@
 """Distribution drift between a current and a reference slice of the feature table.
 
-All monitored features go through one long frame (feature, side, value). Histograms collapse it to at most
-features × sides × bins rows with partial aggregation; only the Kolmogorov–Smirnov statistic needs
-distinct values, and it orders them bucket by bucket.
+All monitored features go through one long frame, collapsed to counts per distinct value with partial
+aggregation. Histograms and the Kolmogorov–Smirnov statistic are computed from those counts; the latter
+orders values bucket by bucket.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from stocktide.config import DriftSpec
 from stocktide.operators.chunks import running_totals
 from stocktide.operators.features import holdout_split
+from stocktide.storage import staged
 
 # Share given to an empty histogram bin, so that its logarithm exists. Nothing is renormalised.
 EMPTY_BIN_SHARE = 1e-4
@@ -73,30 +74,38 @@ def drift_sides(df: DataFrame, spec: DriftSpec = DriftSpec(), as_of: Column | No
     return timed.filter(enough).unionByName(fraction_split(df, spec).filter(~enough))
 
 
-def long_values(split: DataFrame, spec: DriftSpec = DriftSpec()) -> DataFrame:
-    """Long form (feature, side, value) without NULLs; monitored columns the frame lacks are skipped."""
+def value_counts(split: DataFrame, spec: DriftSpec = DriftSpec()) -> DataFrame:
+    """Rows per (feature, distinct value) on each side, without NULLs; columns the frame lacks are skipped.
+
+    Every statistic below is computed from this table, so the feature rows are read once per drift run.
+    """
     present = [f for f in spec.features if f in split.columns]
     return (
         split.select("side", *[F.col(c).cast("double").alias(c) for c in present])
         .unpivot("side", present, "feature", "value")
-        .filter(F.col("value").isNotNull())
+        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
+        .groupBy("feature", "value")
+        .agg(
+            F.count_if(F.col("side") == "reference").alias("reference"),
+            F.count_if(F.col("side") == "current").alias("current"),
+        )
     )
 
 
-def value_ranges(values: DataFrame) -> DataFrame:
+def value_ranges(counts: DataFrame) -> DataFrame:
     """Joint minimum and maximum and both sample sizes per feature: as many rows as there are features."""
-    return values.groupBy("feature").agg(
+    return counts.groupBy("feature").agg(
         F.min("value").alias("lo"),
         F.max("value").alias("hi"),
-        F.count_if(F.col("side") == "current").alias("n_current"),
-        F.count_if(F.col("side") == "reference").alias("n_reference"),
+        F.sum("current").alias("n_current"),
+        F.sum("reference").alias("n_reference"),
     )
 
 
-def _with_ranges(values: DataFrame, ranges: DataFrame, spec: DriftSpec) -> DataFrame:
+def _with_ranges(counts: DataFrame, ranges: DataFrame, spec: DriftSpec) -> DataFrame:
     # One row per monitored feature, a list fixed in the settings: broadcasting it cannot grow with the data.
     assert len(spec.features) <= 1000
-    return values.join(F.broadcast(ranges), "feature")
+    return counts.join(F.broadcast(ranges), "feature")
 
 
 def _edge(i: Column | int, bins: int) -> Column:
@@ -113,17 +122,14 @@ def equal_width_bin(bins: int) -> Column:
     return reduce(lambda a, b: a + b, at_or_above, F.lit(1))
 
 
-def histogram(values: DataFrame, spec: DriftSpec = DriftSpec(), ranges: DataFrame | None = None) -> DataFrame:
+def histogram(counts: DataFrame, spec: DriftSpec = DriftSpec(), ranges: DataFrame | None = None) -> DataFrame:
     """Counts per (feature, bin) and side, empty bins included. Constant features have no bins."""
-    ranges = value_ranges(values) if ranges is None else ranges
+    ranges = value_ranges(counts) if ranges is None else ranges
     ranges = ranges.filter(F.col("lo") < F.col("hi"))
     counted = (
-        _with_ranges(values, ranges, spec)
+        _with_ranges(counts, ranges, spec)
         .groupBy("feature", equal_width_bin(spec.bins).alias("bin"))
-        .agg(
-            F.count_if(F.col("side") == "reference").alias("reference"),
-            F.count_if(F.col("side") == "current").alias("current"),
-        )
+        .agg(F.sum("reference").alias("reference"), F.sum("current").alias("current"))
     )
     grid = ranges.select(
         "feature",
@@ -166,23 +172,13 @@ def _order_bucket() -> Column:
     return (linear + magnitude).cast("long")
 
 
-def ks_statistic(values: DataFrame, spec: DriftSpec = DriftSpec(), ranges: DataFrame | None = None) -> DataFrame:
+def ks_statistic(counts: DataFrame, spec: DriftSpec = DriftSpec(), ranges: DataFrame | None = None) -> DataFrame:
     """Largest gap between the two empirical distribution functions per feature, with the sample sizes."""
-    ranges = value_ranges(values) if ranges is None else ranges
-    counts = values.select(
-        "feature",
-        "value",
-        (F.col("side") == "reference").cast("int").alias("reference"),
-        (F.col("side") == "current").cast("int").alias("current"),
-    )
-    bucketed = _with_ranges(counts, ranges, spec).withColumn("_place", _order_bucket())
-    totals = running_totals(
-        bucketed.withColumn("_key", F.struct("_place", "value")),
-        ["feature"],
-        "_key",
-        F.col("_key._place"),
-        ["reference", "current"],
+    ranges = value_ranges(counts) if ranges is None else ranges
+    placed = _with_ranges(counts, ranges, spec).select(
+        "feature", F.struct(_order_bucket().alias("place"), "value").alias("_key"), "reference", "current"
     )
+    totals = running_totals(placed, ["feature"], "_key", F.col("_key.place"), ["reference", "current"])
     gap = F.abs(
         F.col("cum_reference") / F.col("all_reference") - F.col("cum_current") / F.col("all_current")
     )
@@ -238,11 +234,11 @@ def _exact_ks_pvalues(ks: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
 
 
 def ks_test(
-    values: DataFrame, spec: DriftSpec = DriftSpec(), method: str = "auto", ranges: DataFrame | None = None
+    counts: DataFrame, spec: DriftSpec = DriftSpec(), method: str = "auto", ranges: DataFrame | None = None
 ) -> DataFrame:
     """Statistic and p-value per feature. ``auto`` is exact for samples up to ``EXACT_LIMIT`` rows, one row
     per feature reaching Python; ``asymptotic`` always uses the series."""
-    stat = ks_statistic(values, spec, ranges)
+    stat = ks_statistic(counts, spec, ranges)
     pvalue = kolmogorov_pvalue(F.col("ks"), F.col("n_reference"), F.col("n_current"))
     if method == "auto":
         pvalue = F.coalesce(_exact_ks_pvalues("ks", "n_reference", "n_current"), pvalue)
@@ -256,17 +252,17 @@ def drift_metrics(split: DataFrame, spec: DriftSpec = DriftSpec(), ks_method: st
 
     Features with too few values on a side have no row; a constant feature has psi and js 0.
     """
-    values = long_values(split, spec)
-    ranges = value_ranges(values).filter(
+    counts = staged(value_counts(split, spec))
+    ranges = value_ranges(counts).filter(
         (F.col("n_current") >= spec.min_values) & (F.col("n_reference") >= spec.min_values)
     )
-    bins = histogram(values, spec, ranges)
+    bins = histogram(counts, spec, ranges)
     zero = F.lit(0.0)
     return (
         ranges.select("feature")
         .join(psi(bins), "feature", "left")
         .join(js_divergence(bins), "feature", "left")
-        .join(ks_test(values, spec, ks_method, ranges), "feature", "left")
+        .join(ks_test(counts, spec, ks_method, ranges), "feature", "left")
         .select(
             "feature",
             F.coalesce("psi", zero).alias("psi"),

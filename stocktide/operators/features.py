@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktide import schemas
@@ -10,6 +10,7 @@ from stocktide.functions import expr
 from stocktide.operators.chunks import neighbours, standardise
 from stocktide.operators.joins import lookup_join
 from stocktide.schemas import KEYS
+from stocktide.storage import staged
 
 DEFAULT_CHUNK_S = 7 * 86400
 
@@ -145,47 +146,42 @@ def holdout_split(df: DataFrame, holdout: float = 0.2, ts: str = "window_start")
     """Add ``is_train``: true for the oldest ``int(n · (1 − holdout))`` rows by ``ts``, ties by store and product.
 
     No global sort. Rows are counted per stamp; the running count tells which stamps lie wholly on one
-    side. Only the stamp that straddles the cut is ordered, store by store.
+    side. Only the stamp that straddles the cut is ordered, store by store. The counts are staged and the border
+    is one row, so it reaches the scan as a literal filter.
     """
-    day = F.to_date(ts)
-    per_stamp = df.groupBy(ts).agg(F.count("*").alias("_n")).withColumn("_day", day)
-    per_day = per_stamp.groupBy("_day").agg(F.sum("_n").alias("_dn"))
-    total = df.agg(F.floor(F.count("*") * F.lit(1 - holdout)).alias("n_train")).scalar()
 
     def preceding(*partition: str, order: str):
         return Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
-    days = per_day.select("_day", F.coalesce(F.sum("_dn").over(preceding(order="_day")), F.lit(0)).alias("_d0"))
-    stamps = (
-        per_stamp.withColumn("_s0", F.coalesce(F.sum("_n").over(preceding("_day", order=ts)), F.lit(0)))
-        .join(days, "_day")
-        .select(F.col(ts), (F.col("_d0") + F.col("_s0")).alias("_before"), "_n")
-    )
-    # The one stamp that starts before the cut and ends after it, if any, and the rows it owes to training;
-    # else the first stamp that lies wholly in the holdout.
-    straddles = (F.col("_before") < total) & (F.col("_before") + F.col("_n") > total)
-    border_row = stamps.agg(
-        F.struct(
-            F.max(F.when(straddles, F.col(ts))).alias("cut"),
-            (total - F.max(F.when(straddles, F.col("_before")))).alias("owed"),
-            F.min(F.when(F.col("_before") >= total, F.col(ts))).alias("after"),
-        )
-    ).scalar()
-    cut_stamp, owed = border_row["cut"], border_row["owed"]
-    border = F.coalesce(cut_stamp, border_row["after"])
-
-    tied = F.coalesce(F.col(ts) == cut_stamp, F.lit(False))
-    clear = df.filter(~tied).withColumn("is_train", F.coalesce(F.col(ts) < border, F.lit(True)))
-    ties = df.filter(tied)
-    per_store = ties.groupBy("store_id").agg(F.count("*").alias("_n"))
-    stores = per_store.select(
-        "store_id", F.coalesce(F.sum("_n").over(preceding(order="store_id")), F.lit(0)).alias("_before")
+    def before(n: str, *partition: str, order: str) -> Column:
+        return F.coalesce(F.sum(n).over(preceding(*partition, order=order)), F.lit(0))
+
+    per_stamp = staged(df.groupBy(ts).agg(F.count("*").alias("_n"))).withColumn("_day", F.to_date(ts))
+    # Days, not stamps, are what a single task orders.
+    days = per_stamp.groupBy("_day").agg(F.sum("_n").alias("_dn")).select("_day", before("_dn", order="_day").alias("_d0"))
+    stamps = per_stamp.withColumn("_s0", before("_n", "_day", order=ts)).join(days, "_day")
+    start, end = F.col("_d0") + F.col("_s0"), F.col("_d0") + F.col("_s0") + F.col("_n")
+    n_train = per_stamp.agg(F.floor(F.coalesce(F.sum("_n"), F.lit(0)) * F.lit(1 - holdout))).scalar()
+    straddles = (start < n_train) & (end > n_train)
+    border = stamps.agg(
+        F.max(F.when(straddles, F.col(ts))).alias("cut"),
+        F.max(F.when(straddles, n_train - start)).alias("owed"),
+        F.min(F.when(start >= n_train, F.col(ts))).alias("after"),
+    ).first()
+
+    if border["cut"] is None:
+        first_held = F.lit(border["after"])
+        return df.withColumn("is_train", F.coalesce(F.col(ts) < first_held, F.lit(True)))
+    cut = F.lit(border["cut"])
+    ties = df.filter(F.col(ts) == cut)
+    stores = ties.groupBy("store_id").agg(F.count("*").alias("_n")).select(
+        "store_id", before("_n", order="store_id").alias("_before")
     )
     rank = F.row_number().over(Window.partitionBy("store_id").orderBy("sku_id"))
     placed = (
         ties.withColumn("_rank", rank)
         .join(stores, "store_id")
-        .withColumn("is_train", F.col("_before") + F.col("_rank") <= owed)
+        .withColumn("is_train", F.col("_before") + F.col("_rank") <= border["owed"])
         .select(*df.columns, "is_train")
     )
-    return clear.unionByName(placed)
+    return df.filter(F.col(ts) != cut).withColumn("is_train", F.col(ts) < cut).unionByName(placed)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stocktide.functions.expr import seconds_between
 from stocktide.operators.chunks import neighbours, running_totals
+from stocktide.storage import staged
 
 
 def demand_profile(orders: DataFrame) -> DataFrame:
@@ -14,7 +15,7 @@ def demand_profile(orders: DataFrame) -> DataFrame:
 
     Orders collapse to one row per hour of history first; days and hours are counted from those.
     """
-    hours = orders.groupBy(F.date_trunc("hour", "event_time").alias("_h")).agg(F.count("*").alias("_n"))
+    hours = staged(orders.groupBy(F.date_trunc("hour", "event_time").alias("_h")).agg(F.count("*").alias("_n")))
     weekend = F.weekday("_h") >= 5
     tagged = hours.select(
         F.hour("_h").alias("hour_of_day"), weekend.alias("is_weekend"), F.to_date("_h").alias("_d"), "_n"
@@ -75,7 +76,7 @@ def popularity_slope(popularity: DataFrame) -> DataFrame:
 def basket_distribution(orders: DataFrame) -> DataFrame:
     """Share of orders per quantity."""
     counts = orders.groupBy("quantity").agg(F.count("*").alias("orders"))
-    total = orders.agg(F.count("*")).scalar()
+    total = F.sum("orders").over(Window.partitionBy())  # one row per distinct quantity
     return counts.withColumn("share", F.col("orders") / total)
 
 
@@ -84,7 +85,7 @@ def interarrival_stats(orders: DataFrame, chunk_s: int = 3600) -> DataFrame:
 
     The percentile is the smallest gap that at least 95 % of the gaps do not exceed, found from counts per distinct gap.
     """
-    gaps = (
+    gaps = staged(
         neighbours(orders.select("store_id", "event_time", "event_id"), ["store_id"], ["event_time", "event_id"],
                    "event_time", 1, chunk_s, "_prev")
         .filter(F.col("_prev1").isNotNull())

@@ -10,6 +10,7 @@ from stocktide.functions import expr
 from stocktide.operators.chunks import CHUNK, last_level_before
 from stocktide.operators.joins import salted_join
 from stocktide.schemas import KEYS
+from stocktide.storage import staged
 
 _MIN_MINUTES = 1e-6
 
@@ -98,7 +99,8 @@ def feature_assembly(
 ) -> DataFrame:
     """One row per key and short window with orders: order, stock and long-rate measures side by side.
 
-    ``joined`` collapses both inputs into panes in one aggregation and assembles those. A window without stock movement takes the
+    ``joined`` collapses both inputs into panes in one aggregation, stages them and assembles those, so the
+    events are read once. A window without stock movement takes the
     last known level of its key (``on_hand_source`` carried), or none. ``stub`` leaves stock at 0 and the
     long rate at 1, the constants of a pipeline whose join is not wired.
     """
@@ -112,14 +114,11 @@ def feature_assembly(
             "short_rate",
             F.lit(1.0).alias("long_rate"),
         )
-    return assemble_panes(panes(orders, inventory, spec), spec)
+    return assemble_panes(staged(panes(orders, inventory, spec)), spec)
 
 
 def panes(orders: DataFrame, inventory: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFrame:
-    """Both inputs collapsed to one row per key and short window, in one aggregation.
-
-    Large jobs store this table and assemble from it: the assembly reads it twice, the raw events once.
-    """
+    """Both inputs collapsed to one row per key and short window, in one aggregation."""
     return (
         merged_events(orders, inventory)
         .groupBy(*KEYS, F.window("event_time", spec.short).alias("pane"))

@@ -38,34 +38,34 @@ def drift_sides(r: Retail) -> DataFrame:
 
 @query("drift_histogram", "SELECT feature, bin, reference, current FROM drift_bins")
 def drift_histogram(r: Retail) -> DataFrame:
-    bins = drift.histogram(drift.long_values(r.split(), retail.DRIFT), retail.DRIFT)
+    bins = drift.histogram(drift.value_counts(r.split(), retail.DRIFT), retail.DRIFT)
     return bins.select("feature", "bin", "reference", "current")
 
 
 @query("drift_psi", "SELECT feature, psi FROM drift_psi")
 def drift_psi(r: Retail) -> DataFrame:
-    return drift.psi(drift.histogram(drift.long_values(r.split(), retail.DRIFT), retail.DRIFT))
+    return drift.psi(drift.histogram(drift.value_counts(r.split(), retail.DRIFT), retail.DRIFT))
 
 
 @query("drift_js", "SELECT feature, js_div FROM drift_js")
 def drift_js(r: Retail) -> DataFrame:
-    return drift.js_divergence(drift.histogram(drift.long_values(r.split(), retail.DRIFT), retail.DRIFT))
+    return drift.js_divergence(drift.histogram(drift.value_counts(r.split(), retail.DRIFT), retail.DRIFT))
 
 
 @query("drift_ks", "SELECT feature, round(ks, 6) AS ks_stat, n_reference, n_current FROM drift_ks")
 def drift_ks(r: Retail) -> DataFrame:
-    stat = drift.ks_statistic(drift.long_values(r.split(), retail.DRIFT), retail.DRIFT)
+    stat = drift.ks_statistic(drift.value_counts(r.split(), retail.DRIFT), retail.DRIFT)
     return stat.select("feature", F.round("ks", 6).alias("ks_stat"), "n_reference", "n_current")
 
 
 @query("drift_ks_pvalue", "SELECT feature, ks_stat, ks_pval FROM drift_kstest")
 def drift_ks_pvalue(r: Retail) -> DataFrame:
-    return drift.ks_test(drift.long_values(r.split(), retail.DRIFT), retail.DRIFT, "asymptotic")
+    return drift.ks_test(drift.value_counts(r.split(), retail.DRIFT), retail.DRIFT, "asymptotic")
 
 
 @query("drift_ks_exact")
 def drift_ks_exact(r: Retail) -> DataFrame:
-    return drift.ks_test(drift.long_values(r.split(), retail.DRIFT), retail.DRIFT, "auto")
+    return drift.ks_test(drift.value_counts(r.split(), retail.DRIFT), retail.DRIFT, "auto")
 
 
 @query("drift_metrics", "SELECT feature, psi, ks_stat, ks_pval, js_div, drifted FROM drift_metrics")
@@ -175,6 +175,6 @@ def _line_drift_sql() -> str:
 @query("line_drift_ranges", _line_drift_sql())
 def line_drift_ranges(r: Retail) -> DataFrame:
     """Half a year of weekly line features against the two years before."""
-    values = drift.long_values(drift.time_split(line_features(r), retail.LINE_DRIFT), retail.LINE_DRIFT)
+    values = drift.value_counts(drift.time_split(line_features(r), retail.LINE_DRIFT), retail.LINE_DRIFT)
     ranges = drift.value_ranges(values).filter(F.col("feature") == "order_rate")
     return ranges.select("n_current", "n_reference", "lo", "hi")

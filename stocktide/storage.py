@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """Write an intermediate result that a query reads more than once, and read it back.
+
+    The table lies below the session's shared folder, so a lost executor costs a re-read, not a recomputation,
+    and later readers scan only the columns they need.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/staged/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def written(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write once and read back; lineage is cut by the table, so lost executors re-read instead of recompute.
 
