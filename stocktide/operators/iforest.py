@@ -8,8 +8,6 @@ trees × (2 · max_samples − 1) rows, whatever the data size), which is what g
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -55,26 +53,32 @@ def grow_tree(values: np.ndarray, seed: int) -> list[tuple]:
     return nodes
 
 
-def path_lengths(x: np.ndarray, tree: pd.DataFrame) -> np.ndarray:
-    """Depth at which each row lands in one tree, plus the expected depth below its leaf."""
-    t = tree.sort_values("node")
-    feature, split = t["feature"].to_numpy(), t["split"].to_numpy()
-    left, right = t["left"].to_numpy(), t["right"].to_numpy()
-    reached = t["depth"].to_numpy() + average_path(t["size"].to_numpy())
-    at = np.zeros(len(x), dtype=np.int64)
-    rows = np.arange(len(x))
-    while True:
-        inner = feature[at] >= 0
-        if not inner.any():
-            return reached[at]
-        i, n = rows[inner], at[inner]
-        at[inner] = np.where(x[i, feature[n]] <= split[n], left[n], right[n])
-
+class NodeArrays:
+    """All trees as flat arrays. A leaf leads to itself, so every walk can take the same number of steps."""
+
+    def __init__(self, nodes: pd.DataFrame):
+        nodes = nodes.sort_values(["tree", "node"])
+        per_tree = nodes.groupby("tree").size().to_numpy()
+        self.roots = np.concatenate([[0], np.cumsum(per_tree)[:-1]])
+        base = np.repeat(self.roots, per_tree)
+        here = np.arange(len(nodes))
+        leaf = nodes["feature"].to_numpy() < 0
+        self.feature = np.where(leaf, 0, nodes["feature"].to_numpy())
+        self.split = nodes["split"].to_numpy(dtype=float)
+        self.left = np.where(leaf, here, base + nodes["left"].to_numpy())
+        self.right = np.where(leaf, here, base + nodes["right"].to_numpy())
+        self.reached = nodes["depth"].to_numpy() + average_path(nodes["size"].to_numpy())
+        self.steps = int(nodes["depth"].max())
+        self.sample_size = int(nodes.loc[nodes["node"] == 0, "size"].max())
 
-def anomaly_scores(x: np.ndarray, nodes: pd.DataFrame, sample_size: int) -> np.ndarray:
-    """Score in (0, 1]; close to 1 means isolated after few splits."""
-    trees = [path_lengths(x, t) for _, t in nodes.groupby("tree")]
-    return np.power(2.0, -reduce(np.add, trees) / len(trees) / max(float(average_path(sample_size)), 1e-9))
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        """Score in (0, 1] per row; close to 1 means isolated after few splits."""
+        at = np.tile(self.roots, (len(x), 1))
+        rows = np.arange(len(x))[:, None]
+        for _ in range(self.steps):
+            at = np.where(x[rows, self.feature[at]] <= self.split[at], self.left[at], self.right[at])
+        depth = self.reached[at].mean(axis=1)
+        return np.power(2.0, -depth / max(float(average_path(self.sample_size)), 1e-9))
 
 
 def _unit_hash(seed: Column | int, columns: list[str]) -> Column:
@@ -128,7 +132,6 @@ class Forest:
 
     def __init__(self, nodes: pd.DataFrame, cut: float, columns: list[str]):
         self.nodes, self.cut, self.columns = nodes, cut, columns
-        self.sample_size = int(nodes.loc[nodes["node"] == 0, "size"].max())
 
     @classmethod
     def fit(cls, features: DataFrame, spec: ForestSpec = ForestSpec(), columns: list[str] | None = None) -> Forest:
@@ -149,12 +152,11 @@ class Forest:
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add ``anomaly_score``."""
-        shared = df.sparkSession.sparkContext.broadcast((self.nodes, self.sample_size))
+        shared = df.sparkSession.sparkContext.broadcast(NodeArrays(self.nodes))
 
         @F.pandas_udf("double")
         def score_batch(features: pd.DataFrame) -> pd.Series:
-            nodes, sample_size = shared.value
-            return pd.Series(anomaly_scores(features.to_numpy(dtype=float), nodes, sample_size))
+            return pd.Series(shared.value.scores(features.to_numpy(dtype=float)))
 
         inputs = F.struct(*[F.col(c).cast("double").alias(c) for c in self.columns])
         return df.withColumn("anomaly_score", score_batch(inputs))

@@ -172,13 +172,14 @@ def batch_writer(
         writer = tables.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
         now = clock() if clock else None
         batch = batch.persist()
+        features = None
         try:
+            if batch.isEmpty():  # the batches that only move the watermark
+                return
             # A retried batch must see the levels that held before its first attempt.
             levels = tables.levels.read(without=(writer, batch_id))
-            rows = assemble_batch(batch, levels, spec)
-            features = windows.feature_rows(rows, now)
+            features = windows.feature_rows(assemble_batch(batch, levels, spec), now).persist()
             tables.features.upsert(features.drop("on_hand_source"), batch_id, writer)
-            seen = batch.filter(F.col("on_hand_latest").isNotNull())
             try:
                 alerts = score_batch(features, dim_sku, scoring_spec, slot, now)
                 tables.alerts.upsert(alerts, batch_id, writer)
@@ -190,8 +191,10 @@ def batch_writer(
                 tables.alerts.upsert(alerts, batch_id, writer)
             if send:
                 send(scoring.route_alerts(alerts))
-            tables.levels.upsert(seen, batch_id, writer)
+            tables.levels.upsert(batch.filter(F.col("on_hand_latest").isNotNull()), batch_id, writer)
         finally:
+            if features is not None:
+                features.unpersist()
             batch.unpersist()
 
     return write
