@@ -44,7 +44,8 @@ def grow_tree(values: np.ndarray, seed: int) -> list[tuple]:
             nodes.append((node, -1, 0.0, -1, -1, len(rows), depth))
             continue
         feature = int(rng.choice(usable))
-        split = float(rng.uniform(lo[feature], hi[feature]))
+        # Below the maximum, so that both sides keep rows even when the values are one rounding step apart.
+        split = min(float(rng.uniform(lo[feature], hi[feature])), float(np.nextafter(hi[feature], lo[feature])))
         goes_left = rows[:, feature] <= split
         left, right = next_id, next_id + 1
         next_id += 2

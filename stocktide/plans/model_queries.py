@@ -296,17 +296,15 @@ def promotion_gate(r: Retail) -> DataFrame:
     "registry_transitions",
     f"""SELECT a.model_name, (SELECT max(version) FROM reg_state s WHERE s.model_name = a.model_name) + 1 AS version, a.run_id,
         'Production' AS stage, (SELECT max(o_orderdate) + INTERVAL 90 MINUTE FROM orders) AS event_ts
-      FROM (SELECT model_name, arg_max(run_id, (value, run_id)) AS run_id FROM (SELECT *, {_REASON} AS reason FROM ({_GATE}))
+      FROM (SELECT model_name, max(run_id) AS run_id FROM (SELECT *, {_REASON} AS reason FROM ({_GATE}))
         WHERE reason IN ('no_incumbent', 'better') GROUP BY model_name) a
     UNION ALL SELECT model_name, version, run_id, 'Archived', (SELECT max(o_orderdate) + INTERVAL 90 MINUTE FROM orders)
       FROM reg_state WHERE stage = 'Production' AND model_name IN (SELECT model_name FROM
         (SELECT *, {_REASON} AS reason FROM ({_GATE})) WHERE reason IN ('no_incumbent', 'better'))""",
 )
 def registry_transitions(r: Retail) -> DataFrame:
-    """Events that promoting the best accepted run per model appends."""
-    accepted = _decisions(r).filter("promote").groupBy("model_name").agg(
-        F.max_by("run_id", F.struct("value", "run_id")).alias("run_id")
-    )
+    """Events that promoting the newest accepted run per model appends."""
+    accepted = _decisions(r).filter("promote").groupBy("model_name").agg(F.max("run_id").alias("run_id"))
     state = registry.registry_state(r.registry_events())
     return registry.transitions(state, accepted.withColumn("promote", F.lit(True)), r.orders_clock())
 

@@ -289,8 +289,8 @@ def line_feature_rows(r: Retail) -> DataFrame:
     "line_anomaly_features",
     """SELECT store_id, sku_id, window_start, round(order_rate_zscore, 6) AS order_rate_zscore,
       round(depletion_vel_zscore, 6) AS depletion_vel_zscore FROM (SELECT *,
-        (order_rate - avg(order_rate) OVER k) / nullif(stddev_samp(order_rate) OVER k, 0) AS order_rate_zscore,
-        (depletion_vel - avg(depletion_vel) OVER k) / nullif(stddev_samp(depletion_vel) OVER k, 0) AS depletion_vel_zscore
+        coalesce((order_rate - avg(order_rate) OVER k) / nullif(stddev_samp(order_rate) OVER k, 0), 0) AS order_rate_zscore,
+        coalesce((depletion_vel - avg(depletion_vel) OVER k) / nullif(stddev_samp(depletion_vel) OVER k, 0), 0) AS depletion_vel_zscore
       FROM line_features WINDOW k AS (PARTITION BY store_id, sku_id))""",
 )
 def line_anomaly_features(r: Retail) -> DataFrame:

@@ -295,3 +295,28 @@ def test_stream_ledger(spark, folder):
         level, sold = (level - 4, True) if level >= 4 else (9, False)
         want.append((level, sold))
     assert [(r.level_after, r.sold) for r in got] == want
+
+
+def test_trees_grow_on_nearly_equal_values():
+    step = np.nextafter(1.0, 2.0)
+    for seed in range(30):
+        nodes = iforest.grow_tree(np.array([[1.0], [step], [1.0], [step]]), seed)
+        leaves = [n for n in nodes if n[1] < 0]
+        assert sum(n[5] for n in leaves) == 4 and all(n[5] > 0 for n in leaves)
+
+
+def test_flat_walk_equals_the_tree(spark):
+    rng = np.random.default_rng(9)
+    nodes = iforest.fit_forest(spark.createDataFrame(feature_rows(80)), ForestSpec(trees=4, max_samples=32)).toPandas()
+    x = rng.normal(10, 2, (25, len(schemas.ANOMALY_COLUMNS)))
+    by_id = {(n.tree, n.node): n for n in nodes.itertuples()}
+    want = []
+    for row in x:
+        lengths = []
+        for tree in nodes["tree"].unique():
+            n = by_id[tree, 0]
+            while n.feature >= 0:
+                n = by_id[tree, n.left if row[n.feature] <= n.split else n.right]
+            lengths.append(n.depth + float(iforest.average_path(n.size)))
+        want.append(2 ** (-np.mean(lengths) / float(iforest.average_path(32))))
+    np.testing.assert_allclose(iforest.NodeArrays(nodes).scores(x), want)
