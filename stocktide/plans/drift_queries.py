@@ -12,6 +12,7 @@ from stocktide.plans.retail_tables import Retail
 from stocktide.plans.window_queries import line_features
 from stocktide.schemas import FEATURE_KEY
 from stocktide.sources import retail
+from stocktide.streaming import sinks
 
 
 @query("drift_split", "SELECT store_id, sku_id, window_start, side FROM drift_split")
@@ -73,6 +74,14 @@ def drift_metrics(r: Retail) -> DataFrame:
     return drift.drift_metrics(r.split(), retail.DRIFT, "asymptotic")
 
 
+@query("drift_report", "SELECT feature, psi, ks_stat, ks_pval, js_div, drifted FROM drift_metrics")
+def drift_report(r: Retail) -> DataFrame:
+    """The drift table through its report file."""
+    path = r.path("drift_report")
+    sinks.write_drift_report(r.drift_metrics(), path)
+    return sinks.read_drift_report(r.spark, path)
+
+
 @query(
     "drift_bands",
     """SELECT feature, psi, CASE WHEN psi < 0.10 THEN 'stable' WHEN psi <= 0.25 THEN 'moderate' ELSE 'significant' END AS band

@@ -7,16 +7,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset on a local master."""
+    app = spark.sparkContext.applicationId
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="stocktide-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return f"{path.rstrip('/')}/stocktide-{spark.sparkContext.applicationId}"
+        path = _local.setdefault(app, tempfile.mkdtemp(prefix="stocktide-"))
+    return f"{path.rstrip('/')}/stocktide-{app}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

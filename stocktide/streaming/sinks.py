@@ -81,6 +81,21 @@ def export_features(features: DataFrame, path: str) -> None:
     )
 
 
+DRIFT_REPORT = "feature STRING, psi DOUBLE, ks_stat DOUBLE, ks_pval DOUBLE, js_div DOUBLE, drifted DOUBLE"
+
+
+def write_drift_report(metrics: DataFrame, path: str) -> None:
+    """The drift table as one CSV file; it has one row per monitored feature."""
+    columns = ["feature", "psi", "ks_stat", "ks_pval", "js_div", "drifted"]
+    metrics.select(*columns).coalesce(1).sortWithinPartitions("feature").write.mode("overwrite").option(
+        "header", True
+    ).csv(path)
+
+
+def read_drift_report(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(DRIFT_REPORT).option("header", True).csv(path)
+
+
 def append_metrics(rows: DataFrame, path: str, run_id: str) -> None:
     """Append one run to the metric log; writing the same run twice keeps one copy."""
     rows.drop("run_id").write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")
