@@ -28,8 +28,12 @@ EXACT_LIMIT = 10_000
 
 
 def latest_window_end(df: DataFrame) -> Column:
-    """As-of time of a drift run: the newest window end in the data."""
-    return df.agg(F.max("window_end")).scalar()
+    """As-of time of a drift run: the newest window end in the data.
+
+    One value, fetched before the run is planned, so that the time filters reach the scan as literals and
+    skip files and row groups.
+    """
+    return F.lit(df.agg(F.max("window_end")).first()[0]).cast("timestamp")
 
 
 def time_split(df: DataFrame, spec: DriftSpec = DriftSpec(), as_of: Column | None = None) -> DataFrame:
@@ -61,17 +65,11 @@ def side_counts(split: DataFrame) -> DataFrame:
 
 
 def drift_sides(df: DataFrame, spec: DriftSpec = DriftSpec(), as_of: Column | None = None) -> DataFrame:
-    """Time split, or the row-share split where the time split leaves too few rows on a side.
-
-    Which one applies is decided inside the query by a scalar count; the branch not taken is empty.
-    """
+    """Time split, or the row-share split where the time split leaves too few rows on a side."""
     timed = time_split(df, spec, as_of)
-    enough = (
-        side_counts(timed)
-        .select((F.col("n_current") >= spec.min_current) & (F.col("n_reference") >= spec.min_reference))
-        .scalar()
-    )
-    return timed.filter(enough).unionByName(fraction_split(df, spec).filter(~enough))
+    found = side_counts(timed).first()
+    enough = found["n_current"] >= spec.min_current and found["n_reference"] >= spec.min_reference
+    return timed if enough else fraction_split(df, spec)
 
 
 def value_counts(split: DataFrame, spec: DriftSpec = DriftSpec()) -> DataFrame:
@@ -281,28 +279,28 @@ def drift_summary(
     as_of: Column | None = None,
 ) -> DataFrame:
     """One row per run: whether it was skipped and why, side sizes, and what drifted."""
-    as_of = split.agg(F.max("window_end")).scalar() if as_of is None else as_of
+    as_of = latest_window_end(split) if as_of is None else as_of
     reason = (
         F.when(F.col("n_reference") < spec.min_reference, "insufficient_reference_data")
         .when(F.col("n_current") < spec.min_current, "insufficient_current_data")
     )
     totals = metrics.agg(
-        F.coalesce(F.max("drifted") > 0, F.lit(False)).alias("_any"),
-        F.coalesce(F.sum("drifted").cast("long"), F.lit(0)).alias("_n"),
-        F.coalesce(F.max("psi"), F.lit(0.0)).alias("_psi"),
-        F.array_sort(F.collect_list(F.when(F.col("drifted") > 0, F.col("feature")))).alias("_names"),
-    )
+        F.struct(
+            F.coalesce(F.max("drifted") > 0, F.lit(False)).alias("any"),
+            F.coalesce(F.sum("drifted").cast("long"), F.lit(0)).alias("n"),
+            F.coalesce(F.max("psi"), F.lit(0.0)).alias("psi"),
+            F.array_sort(F.collect_list(F.when(F.col("drifted") > 0, F.col("feature")))).alias("names"),
+        )
+    ).scalar()
     run = ~F.col("skipped")
     return (
         side_counts(split)
         .withColumns({"reason": reason, "skipped": reason.isNotNull()})
         .withColumns({
-            "any_drift": run & totals.select("_any").scalar(),
-            "n_features_drifted": F.when(run, totals.select("_n").scalar()).otherwise(0).cast("long"),
-            "max_psi": F.when(run, totals.select("_psi").scalar()).otherwise(0.0),
-            "drifted_features": F.when(run, totals.select("_names").scalar()).otherwise(
-                F.array().cast("array<string>")
-            ),
+            "any_drift": run & totals["any"],
+            "n_features_drifted": F.when(run, totals["n"]).otherwise(0).cast("long"),
+            "max_psi": F.when(run, totals["psi"]).otherwise(0.0),
+            "drifted_features": F.when(run, totals["names"]).otherwise(F.array().cast("array<string>")),
             "run_ts": as_of,
         })
     )

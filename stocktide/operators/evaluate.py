@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stocktide.operators.joins import salted_join
 from stocktide.schemas import KEYS
+from stocktide.storage import staged
 
 MATCH_WINDOW_S = 120
 
@@ -82,8 +83,8 @@ def detector_metrics(
     keys = ["anomaly_type", *KEYS]
     # Equal rows are counted first; matching then sees each (type, store, product, time) once.
     typed = predictions.withColumnRenamed("alert_type", "anomaly_type")
-    typed = typed.groupBy(*keys, "triggered_at").agg(F.count("*").alias("_n"))
-    truth = labels.groupBy(*keys, "injected_at").agg(F.count("*").alias("_n"))
+    typed = staged(typed.groupBy(*keys, "triggered_at").agg(F.count("*").alias("_n")))
+    truth = staged(labels.groupBy(*keys, "injected_at").agg(F.count("*").alias("_n")))
     hit_rows = F.coalesce(F.sum(F.when(F.col("hit"), F.col("_n"))), F.lit(0))
     all_rows = F.coalesce(F.sum("_n"), F.lit(0))
     hits = near_in_time(typed, truth, keys, "triggered_at", "injected_at", match_window_s, "hit").agg(

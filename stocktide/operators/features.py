@@ -102,12 +102,16 @@ def label_codes(df: DataFrame, column: str, code: str) -> DataFrame:
     that share eight are counted and offset, and so on. No task orders all ids.
     """
     levels = (4, 8, 12)
-    ids = df.select(F.col(column).cast("string").alias(column)).distinct()
-    out = ids.withColumns({f"_p{n}": F.substring(column, 1, n) for n in levels} | {"_offset": F.lit(0).cast("long")})
+    ids = (
+        df.select(F.col(column).cast("string").alias(column))
+        .distinct()
+        .withColumns({f"_p{n}": F.substring(column, 1, n) for n in levels})
+    )
+    out = ids.withColumn("_offset", F.lit(0).cast("long"))
     shared: list[str] = []
     for n in levels:
         head = f"_p{n}"
-        sizes = out.groupBy(*shared, head).agg(F.count("*").alias("_n"))
+        sizes = ids.groupBy(*shared, head).agg(F.count("*").alias("_n"))
         before = Window.partitionBy(*shared).orderBy(head).rowsBetween(Window.unboundedPreceding, -1)
         starts = sizes.select(*shared, head, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
         out = (
@@ -119,9 +123,12 @@ def label_codes(df: DataFrame, column: str, code: str) -> DataFrame:
 
 
 def label_encode(df: DataFrame) -> DataFrame:
-    """Add ``store_enc`` and ``sku_enc``."""
-    coded = lookup_join(df, label_codes(df, "store_id", "store_enc"), ["store_id"], schemas.FEATURE_KEY)
-    return lookup_join(coded, label_codes(df, "sku_id", "sku_enc"), ["sku_id"], schemas.FEATURE_KEY)
+    """Add ``store_enc`` and ``sku_enc``. The rows are read once for the ids and once to be encoded."""
+    keys = staged(df.select(*KEYS).distinct())
+    coded = df
+    for column, code in (("store_id", "store_enc"), ("sku_id", "sku_enc")):
+        coded = lookup_join(coded, staged(label_codes(keys, column, code)), [column], schemas.FEATURE_KEY)
+    return coded
 
 
 def forecast_matrix(df: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def demand_profile(orders: DataFrame) -> DataFrame:
 
 def _ranked(orders: DataFrame, by: str = "sku_id") -> DataFrame:
     """Distinct ids with orders, dense position by count descending, then id; positions come bucket by bucket."""
-    counts = orders.groupBy(by).agg(F.count("*").alias("orders"))
+    counts = staged(orders.groupBy(by).agg(F.count("*").alias("orders")))
     place = counts.select(
         by, "orders", F.lit(1).alias("_one"), F.struct((-F.col("orders")).alias("n"), F.col(by).alias("id")).alias("_k")
     )

@@ -12,6 +12,7 @@ from stocktide import schemas
 from stocktide.functions import expr
 from stocktide.operators.chunks import neighbours
 from stocktide.schemas import KEYS
+from stocktide.storage import staged
 
 
 def _clock(as_of: Column | None) -> Column:
@@ -214,8 +215,10 @@ def threshold_rules(
     series = ["rule"]
     samples = metric_log.join(table, ["metric", "label"]).select(*series, "ts", "for_s", holds.alias("holds"))
     last = samples.groupBy(*series).agg(F.max("ts").alias("last_ts"))
-    turned = neighbours(samples, series, ["ts"], "holds", 1, chunk_s, "_was").filter(
-        F.coalesce(F.col("_was1"), F.lit(False)) != F.col("holds")
+    turned = staged(
+        neighbours(samples, series, ["ts"], "holds", 1, chunk_s, "_was").filter(
+            F.coalesce(F.col("_was1"), F.lit(False)) != F.col("holds")
+        )
     )
     paired = neighbours(turned.drop("_was1"), series, ["ts"], "ts", 1, chunk_s, "_next", forward=False)
     return (

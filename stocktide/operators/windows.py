@@ -207,7 +207,9 @@ def late_data_split(orders: DataFrame, spec: WindowSpec, arrival: str) -> DataFr
     The watermark at a row is the greatest event time that arrived in an earlier short arrival window, less
     the delay. A row is late when its own window ended at or before that watermark.
     """
-    batches = orders.groupBy(F.window(arrival, spec.short).alias("_batch")).agg(F.max("event_time").alias("_max"))
+    batches = staged(
+        orders.groupBy(F.window(arrival, spec.short).alias("_batch")).agg(F.max("event_time").alias("_max"))
+    )
     # One row per arrival window: seen-so-far is exact through day-level maxima.
     by_day = batches.withColumn("_day", F.to_date("_batch.start"))
     day_max = by_day.groupBy("_day").agg(F.max("_max").alias("_max"))

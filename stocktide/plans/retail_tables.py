@@ -134,13 +134,13 @@ class Retail:
         return drift.drift_summary(self.split(), self.drift_metrics(), retail.DRIFT)
 
     def metric_log(self) -> DataFrame:
-        return retail.metric_log(self.spark, self.sf_dir)
+        return self.stored("metric_log", retail.metric_log(self.spark, self.sf_dir))
 
     def runs(self) -> DataFrame:
-        return retail.model_runs(self.spark, self.sf_dir)
+        return self.stored("model_runs", retail.model_runs(self.spark, self.sf_dir))
 
     def registry_events(self) -> DataFrame:
-        return retail.registry_events(self.spark, self.sf_dir)
+        return self.stored("registry_events", retail.registry_events(self.spark, self.sf_dir))
 
     def orders_clock(self) -> Column:
         """Ninety minutes after the newest order."""
