@@ -1,9 +1,9 @@
 """Stock ledger replay: sales against a level that is refilled when a sale does not fit.
 
-The level after an order depends on the level before it, so a key's orders cannot be summed. But levels
-lie between 0 and a small maximum, and a run of orders maps every entry level to one exit level. Runs
-(time chunks of a key) are mapped in parallel, the maps are chained per key, and each run is replayed from
-its own entry level. No task holds more than one Arrow batch of orders.
+The level after an order depends on the level before it, so a key's orders cannot be summed. A key with few
+orders is replayed in one run. A hot key is cut into time chunks: levels lie between 0 and a small maximum, so
+a run of orders maps every entry level to one exit level; the chunks are mapped in parallel, the maps are
+chained, and each chunk is replayed from its own entry level. No task holds more than one Arrow batch of orders.
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.operators.chunks import CHUNK, with_chunk
+from stocktide.operators.joins import lookup_join
 from stocktide.schemas import KEYS
+from stocktide.storage import staged
 
 
 def exit_levels(quantities: np.ndarray, levels: np.ndarray, restock_to: int) -> np.ndarray:
@@ -54,28 +56,39 @@ def replay(quantities: np.ndarray, entry: int, restock_to: int) -> tuple[np.ndar
     return after, sold
 
 
-def _runs(batch: pd.DataFrame) -> Iterator[tuple[tuple, pd.DataFrame]]:
-    """Consecutive rows of one (store, product, chunk)."""
-    if batch.empty:
-        return
-    keys = batch[["store_id", "sku_id", CHUNK]]
-    starts = np.flatnonzero((keys != keys.shift()).any(axis=1).to_numpy())
-    for a, b in zip(starts, [*starts[1:], len(batch)]):
-        yield tuple(keys.iloc[a]), batch.iloc[a:b]
+def _runs(batch: pd.DataFrame) -> Iterator[tuple[tuple, int, int]]:
+    """Key and row range of consecutive rows of one (store, product, chunk)."""
+    columns = [batch[c].to_numpy() for c in ("store_id", "sku_id", CHUNK)]
+    n = len(batch)
+    changes = np.zeros(max(n - 1, 0), dtype=bool)
+    for values in columns:
+        changes |= values[1:] != values[:-1]
+    starts = np.concatenate([[0], np.flatnonzero(changes) + 1]) if n else []
+    for a, b in zip(starts, [*starts[1:], n]):
+        yield tuple(values[a] for values in columns), int(a), int(b)
 
 
 def ledger_replay(
-    orders: DataFrame, initial: int = 100, restock_to: int = 90, chunk_s: int = 86400
+    orders: DataFrame, initial: int = 100, restock_to: int = 90, chunk_s: int = 86400, hot_rows: int = 1_000_000
 ) -> DataFrame:
     """Per order: ``level_after``, and ``sold`` false where the shelf was refilled instead.
 
-    ``orders`` needs store, product, event_time, event_id and quantity.
+    ``orders`` needs store, product, event_time, event_id and quantity. Keys with more than ``hot_rows`` orders
+    are chunked by ``chunk_s``.
     """
     top = max(initial, restock_to)
-    columns = [*KEYS, "event_time", "event_id", F.col("quantity").cast("int").alias("quantity")]
-    chunked = with_chunk(orders.select(*columns), "event_time", chunk_s)
-    sorted_orders = chunked.repartition(*KEYS, CHUNK).sortWithinPartitions(
-        *KEYS, CHUNK, "event_time", "event_id"
+    rows = orders.select(*KEYS, "event_time", "event_id", F.col("quantity").cast("int").alias("quantity"))
+    counts = rows.groupBy(*KEYS).agg(F.count("*").alias("_n"))
+    hot = staged(counts.filter(F.col("_n") > hot_rows).select(*KEYS, F.lit(True).alias("_hot")))
+    marked = with_chunk(lookup_join(rows, hot, KEYS, ["event_id"]), "event_time", chunk_s)
+    chunked = marked.withColumn(CHUNK, F.when(F.col("_hot"), F.col(CHUNK)).otherwise(0)).select(
+        *rows.columns, CHUNK, "_hot"
+    )
+    hot_runs = (
+        chunked.filter("_hot")
+        .drop("_hot")
+        .repartition(*KEYS, CHUNK)
+        .sortWithinPartitions(*KEYS, CHUNK, "event_time", "event_id")
     )
 
     def map_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,19 +96,20 @@ def ledger_replay(
         open_key, levels = None, every
         for batch in batches:
             closed = []
-            for key, rows in _runs(batch):
+            quantities = batch["quantity"].to_numpy()
+            for key, a, b in _runs(batch):
                 if key != open_key:
                     if open_key is not None:
                         closed.append((*open_key, levels.tolist()))
                     open_key, levels = key, every
-                levels = exit_levels(rows["quantity"].to_numpy(), levels, restock_to)
+                levels = exit_levels(quantities[a:b], levels, restock_to)
             yield pd.DataFrame(closed, columns=["store_id", "sku_id", CHUNK, "exits"])
         if open_key is not None:
             yield pd.DataFrame([(*open_key, levels.tolist())], columns=["store_id", "sku_id", CHUNK, "exits"])
 
-    maps = sorted_orders.mapInPandas(map_runs, f"store_id STRING, sku_id STRING, {CHUNK} LONG, exits ARRAY<INT>")
-    # Chain the maps: one small row per chunk of a key, streamed in order.
-    chained = maps.repartition(*KEYS).sortWithinPartitions(*KEYS, CHUNK)
+    maps = hot_runs.mapInPandas(map_runs, f"store_id STRING, sku_id STRING, {CHUNK} LONG, exits ARRAY<INT>")
+    # Chain the maps: one small row per chunk of a hot key, streamed in order.
+    ordered = maps.repartition(*KEYS).sortWithinPartitions(*KEYS, CHUNK)
 
     def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_key, level = None, initial
@@ -109,26 +123,29 @@ def ledger_replay(
             yield batch[["store_id", "sku_id", CHUNK]].assign(quantity=entry)
 
     # An entry level travels as the first row of its run: it has no event time, and NULL sorts first.
-    entries = chained.mapInPandas(chain, f"store_id STRING, sku_id STRING, {CHUNK} LONG, quantity INT")
+    entries = ordered.mapInPandas(chain, f"store_id STRING, sku_id STRING, {CHUNK} LONG, quantity INT")
     placed = (
-        chunked.unionByName(entries, allowMissingColumns=True)
+        chunked.drop("_hot")
+        .unionByName(entries, allowMissingColumns=True)
         .repartition(*KEYS, CHUNK)
         .sortWithinPartitions(*KEYS, CHUNK, "event_time", "event_id")
     )
 
     def replay_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        level = 0
+        open_key, level = None, initial
         for batch in batches:
-            out = []
-            for _, rows in _runs(batch):
-                if pd.isna(rows["event_time"].iloc[0]):
-                    level, rows = int(rows["quantity"].iloc[0]), rows.iloc[1:]
-                if len(rows):
-                    after, sold = replay(rows["quantity"].to_numpy(), level, restock_to)
-                    level = int(after[-1])
-                    out.append(rows.drop(columns=CHUNK).assign(level_after=after, sold=sold))
-            if out:
-                yield pd.concat(out)
+            quantities, is_entry = batch["quantity"].to_numpy(), batch["event_time"].isna().to_numpy()
+            after, sold = np.zeros(len(batch), dtype=np.int64), np.zeros(len(batch), dtype=bool)
+            for key, a, b in _runs(batch):
+                if key != open_key:
+                    open_key, level = key, initial
+                if is_entry[a]:
+                    level, a = int(quantities[a]), a + 1
+                if a < b:
+                    after[a:b], sold[a:b] = replay(quantities[a:b], level, restock_to)
+                    level = int(after[b - 1])
+            out = batch.drop(columns=CHUNK).assign(level_after=after, sold=sold)
+            yield out[~is_entry]
 
     return placed.mapInPandas(
         replay_runs,

@@ -184,6 +184,7 @@ def _line_drift_sql() -> str:
 @query("line_drift_ranges", _line_drift_sql())
 def line_drift_ranges(r: Retail) -> DataFrame:
     """Half a year of weekly line features against the two years before."""
-    values = drift.value_counts(drift.time_split(line_features(r), retail.LINE_DRIFT), retail.LINE_DRIFT)
+    stored = r.stored("line_windowed_features", line_features(r))
+    values = drift.value_counts(drift.time_split(stored, retail.LINE_DRIFT), retail.LINE_DRIFT)
     ranges = drift.value_ranges(values).filter(F.col("feature") == "order_rate")
     return ranges.select("n_current", "n_reference", "lo", "hi")

@@ -265,7 +265,7 @@ def interarrival_stats(r: Retail) -> DataFrame:
       SELECT * FROM steps)""",
 )
 def ledger_replay(r: Retail) -> DataFrame:
-    return ledger.ledger_replay(r.orders, initial=100, restock_to=90, chunk_s=5 * 86400)
+    return ledger.ledger_replay(r.orders, initial=100, restock_to=90, chunk_s=5 * 86400, hot_rows=40)
 
 
 _LINE_SQL = """SELECT store_id, sku_id, window_start, window_end, order_rate, depletion_vel, demand_momentum, on_hand_est
@@ -294,7 +294,8 @@ def line_feature_rows(r: Retail) -> DataFrame:
       FROM line_features WINDOW k AS (PARTITION BY store_id, sku_id))""",
 )
 def line_anomaly_features(r: Retail) -> DataFrame:
-    built = features.anomaly_features(line_features(r), retail.LINE_SPEC.chunk_s)
+    stored = r.stored("line_windowed_features", line_features(r))
+    built = features.anomaly_features(stored, retail.LINE_SPEC.chunk_s)
     return rounded(
         built.select(*KEYS, "window_start", "order_rate_zscore", "depletion_vel_zscore"),
         "order_rate_zscore",

@@ -213,7 +213,7 @@ def start_features(
 
 
 def start_dead_letters(dead: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Rejects to Parquet. For a topic use ``as_message`` and the Kafka format instead."""
+    """Rejects to Parquet."""
     return (
         dead.writeStream.outputMode("append")
         .format("parquet")
@@ -224,6 +224,19 @@ def start_dead_letters(dead: DataFrame, path: str, checkpoint: str, trigger: dic
     )
 
 
+def start_dead_letter_topic(dead: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
+    """Rejects to a Kafka topic as JSON, at least once. Needs the connector on the class path."""
+    return (
+        validation.as_message(dead)
+        .writeStream.outputMode("append")
+        .format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
 def console_tap(df: DataFrame) -> StreamingQuery:
     """Print rows, for local work."""
     return df.writeStream.outputMode("append").format("console").start()

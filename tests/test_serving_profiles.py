@@ -154,10 +154,12 @@ def simulate(rows, initial, restock_to):
     return out
 
 
-@pytest.mark.parametrize("chunk_s,initial,restock_to", [(600, 100, 90), (3600, 10, 25), (10**7, 3, 5)])
-def test_ledger_matches_simulation(events, chunk_s, initial, restock_to):
+@pytest.mark.parametrize("chunk_s,initial,restock_to,hot_rows", [
+    (600, 100, 90, 0), (3600, 10, 25, 100), (10**7, 3, 5, 0), (600, 20, 15, 10**6),
+])
+def test_ledger_matches_simulation(events, chunk_s, initial, restock_to, hot_rows):
     rows, df = events
-    got = ledger.ledger_replay(df, initial, restock_to, chunk_s).collect()
+    got = ledger.ledger_replay(df, initial, restock_to, chunk_s, hot_rows).collect()
     assert {r.event_id: (r.level_after, r.sold) for r in got} == simulate(rows, initial, restock_to)
     assert len(got) == len(rows)
 
