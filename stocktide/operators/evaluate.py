@@ -66,7 +66,7 @@ def near_in_time(
     t = _micros(left_ts)
     hit = F.col("_same") | (t - F.col("_before") <= width) | (F.col("_after") - t <= width)
     return (
-        salted_join(left.withColumn("_b", bucket(left_ts)), near, [*keys, "_b"], [left_ts], salts=8)
+        salted_join(left.withColumn("_b", bucket(left_ts)), near, [*keys, "_b"], [left_ts])
         .withColumn(out, F.coalesce(hit, F.lit(False)))
         .select(*left.columns, out)
     )

@@ -5,28 +5,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stocktide.storage import staged
+
 # Largest look-up table that is broadcast, in rows, counted before the join is planned.
 BROADCAST_ROWS = 200_000
-SALTS = 32
+# Rows of one key that a single task may get.
+HOT_ROWS = 1_000_000
+# Tasks per key where hot keys cannot be counted.
+STREAM_SALTS = 32
 _SALT = "_salt"
 
 
+def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and the number of tasks, ``_salts``, to spread each over.
+
+    There are at most rows / ``hot_rows`` of them; the limit is raised until they fit a broadcast.
+    """
+    counts = df.groupBy(*on).agg(F.count("*").alias("_n"))
+    hot = staged(counts.filter(F.col("_n") > hot_rows))
+    while hot.count() > BROADCAST_ROWS:
+        hot_rows *= 4
+        hot = hot.filter(F.col("_n") > hot_rows)
+    return hot.select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
+
+
 def salted_join(
-    df: DataFrame, table: DataFrame, on: list[str], salt_by: list[str], how: str = "left", salts: int = SALTS
+    df: DataFrame, table: DataFrame, on: list[str], salt_by: list[str], how: str = "left", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Equi-join with the rows of a key spread over ``salts`` tasks by a hash of ``salt_by``.
+    """Equi-join in which every hot key of ``df`` is spread over as many tasks as its rows need.
 
-    ``table`` is copied once per salt, so it should be the smaller side. The salt also keeps Spark from
-    reusing the join's partitioning for a later grouping on ``on``, which would gather a hot key again.
+    Rows of a hot key get a salt from a hash of ``salt_by``; ``table`` holds that key once per salt. Other keys
+    are joined as they are. The salt also keeps Spark from reusing the join's partitioning for a later
+    grouping on ``on``, which would gather a hot key again.
     """
-    copies = table.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = df.withColumn(_SALT, F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-    return spread.join(copies, [*on, _SALT], how).drop(_SALT)
+    if df.isStreaming:
+        return _evenly_salted(df, table, on, salt_by, how)
+    hot = hot_keys(df, on, hot_rows)
+    if hot.isEmpty():
+        return df.join(table, on, how)
+    spread = F.coalesce(F.col("_salts"), F.lit(1))
+    salted = df.join(F.broadcast(hot), on, "left").withColumn(
+        _SALT, F.pmod(F.xxhash64(*salt_by), spread).cast("int")
+    )
+    copies = table.join(F.broadcast(hot), on, "left").withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0), spread - 1))
+    )
+    return salted.drop("_salts").join(copies.drop("_salts"), [*on, _SALT], how).drop(_SALT)
+
+
+def _evenly_salted(df: DataFrame, table: DataFrame, on: list[str], salt_by: list[str], how: str) -> DataFrame:
+    """All keys salted alike, for streams, whose hot keys cannot be counted ahead."""
+    copies = table.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1))))
+    salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*salt_by), F.lit(STREAM_SALTS)).cast("int"))
+    return salted.join(copies, [*on, _SALT], how).drop(_SALT)
 
 
 def lookup_join(
     df: DataFrame, table: DataFrame, on: list[str], salt_by: list[str], how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join a dimension: broadcast when it is counted to have at most ``broadcast_rows`` rows, salted beyond.
 
@@ -34,4 +70,4 @@ def lookup_join(
     """
     if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return df.join(F.broadcast(table), on, how)
-    return salted_join(df, table, on, salt_by, how)
+    return salted_join(df, table, on, salt_by, how, hot_rows)

@@ -110,11 +110,19 @@ def test_salted_and_broadcast_lookups_agree(spark):
     facts = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"), "id")
     table = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     small = lookup_join(facts, table, ["k"], ["id"])
-    large = lookup_join(facts, table, ["k"], ["id"], broadcast_rows=5)
-    plan = large._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "broadcast" not in plan.lower()
     key = lambda r: (r.id, r.k, r.v)
-    assert sorted(map(key, small.collect())) == sorted(map(key, large.collect()))
+    want = sorted(map(key, small.collect()))
+    for hot_rows, salted in ((10**6, False), (100, True), (3, True)):
+        large = lookup_join(facts, table, ["k"], ["id"], broadcast_rows=5, hot_rows=hot_rows)
+        assert ("_salt" in large._jdf.queryExecution().optimizedPlan().toString()) == salted
+        assert sorted(map(key, large.collect())) == want
+
+
+def test_hot_keys_get_tasks_by_size(spark):
+    from stocktide.operators.joins import hot_keys
+
+    df = spark.range(1000).select(F.when(F.col("id") < 700, 1).otherwise(F.col("id")).alias("k"))
+    assert [tuple(r) for r in hot_keys(df, ["k"], 100).collect()] == [(1, 7)]
 
 
 def test_constraints_are_counted(spark):
@@ -133,3 +141,12 @@ def test_future_limit_is_exclusive(spark, dims):
     past = (NOW + timedelta(seconds=60, microseconds=1)).isoformat() + "Z"
     got = reasons(spark, dims, "orders", [order(event_time=edge), order(event_time=past)])
     assert got[0] is None and got[1].startswith("event_time too far in future")
+
+
+def test_streams_salt_all_keys_alike(spark):
+    from stocktide.operators.joins import salted_join
+
+    stream = spark.readStream.format("rate").load().select((F.col("value") % 3).alias("k"), "value")
+    table = spark.range(3).select(F.col("id").alias("k"), (F.col("id") + 10).alias("v"))
+    joined = salted_join(stream, table, ["k"], ["value"])
+    assert joined.isStreaming and joined.columns == ["k", "value", "v"]
