@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,12 +89,13 @@ def feature_rows(r: Retail) -> DataFrame:
 )
 def stream_features(r: Retail) -> DataFrame:
     """The whole stream over files of raw messages, run to the end; windows past the watermark stay open."""
+    run = f"stream-{uuid.uuid4().hex}"  # a run of its own: input, checkpoints and tables
     folders = {}
     for kind, raw in (("orders", r.raw_orders), ("inventory", r.raw_inventory)):
-        folders[kind] = r.path(f"stream_in_{kind}")
+        folders[kind] = r.path(f"{run}/in_{kind}")
         raw.select("value").write.mode("overwrite").text(folders[kind])
     now = F.lit(r.table("events").agg(F.max("ts").cast("timestamp")).first()[0])
-    out = r.path("stream_out")
+    out = r.path(f"{run}/out")
     queries = pipeline.start_pipeline(
         r.spark,
         streams.file_events(r.spark, folders["orders"]),
