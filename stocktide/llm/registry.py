@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stocktide.llm import byte_bpe, tokens
+from stocktide.llm import byte_bpe, chat, exact_dedup, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": tokens.op1_token_counts,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
+    "op9_chat_format": chat.op9_chat_format,
+    "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op9_chat_format": chat.OP9_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL}
