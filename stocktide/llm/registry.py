@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stocktide.llm import byte_bpe, chat, exact_dedup, tokens
+from stocktide.llm import byte_bpe, chat, exact_dedup, packing, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": tokens.op1_token_counts,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     "op9_chat_format": chat.op9_chat_format,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
