@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stocktide.llm import byte_bpe, chat, exact_dedup, packing, tokens
+from stocktide.llm import byte_bpe, chat, exact_dedup, language, packing, quality, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": tokens.op1_token_counts,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_language": language.op4_language,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
+    "op7_quality_rules": quality.op7_quality_rules,
     "op9_chat_format": chat.op9_chat_format,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
