@@ -12,13 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stocktide.llm.hot import MAX_BITS, bitmaps_of, bits_for, slots, spread_join, with_maybe
 from stocktide.llm.worker import renamed
 from stocktide.storage import staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-MAX_BITS = 1 << 30
-#: A group with more than this share of all rows is hot; there are fewer such groups than its inverse.
-HOT_SHARE = 1e-3
 
 
 def digest(text: Column) -> Column:
@@ -26,45 +24,18 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), 256))
 
 
-def _slots(sha: Column, bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(sha, F.lit(seed)), F.lit(bits)) for seed in (1, 2)]
-
-
 def shared_bits(keyed: DataFrame, bits: int) -> DataFrame:
     """The bits that more than one row sets, as bitmaps by bucket. Shuffles bit numbers, counted per task first."""
-    return (
-        keyed.select(F.explode(F.array_distinct(F.array(*_slots(F.col("sha"), bits)))).alias("slot"))
-        .groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bitmap"))
-    )
-
-
-def with_maybe_repeated(rows: DataFrame, bitmaps: DataFrame, bits: int) -> DataFrame:
-    """Add ``maybe``: whether both bits of the row's ``sha`` are shared. Map-side: the bitmaps are broadcast."""
-    tests = []
-    for i, slot in enumerate(_slots(F.col("sha"), bits)):
-        at = F.expr(f"bitmap_bit_position(slot{i})")
-        rows = rows.withColumn(f"slot{i}", slot).join(
-            F.broadcast(bitmaps.select(F.col("bucket").alias(f"bucket{i}"), F.col("bitmap").alias(f"bitmap{i}"))),
-            F.expr(f"bitmap_bucket_number(slot{i})") == F.col(f"bucket{i}"), "left",
-        )
-        byte = F.conv(F.hex(F.substring(F.col(f"bitmap{i}"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        tests.append(F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False)))
-    return rows.withColumn("maybe", tests[0] & tests[1]).drop(
-        *[f"{name}{i}" for name in ("slot", "bucket", "bitmap") for i in (0, 1)]
-    )
+    set_ = keyed.select(F.explode(F.array_distinct(F.array(*slots(F.col("sha"), bits)))).alias("slot"))
+    return bitmaps_of(set_.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
 
 
 class _Repeats:
     """Bitmaps and repeated digests of a table of (doc_id, sha)."""
 
     def __init__(self, keyed: DataFrame, max_bits: int):
-        rows = keyed.count()
-        self.bits = 1 << 15
-        while self.bits < min(16 * rows, max_bits):
-            self.bits *= 2
+        self.rows = keyed.count()
+        self.bits = bits_for(self.rows, max_bits)
         self.bitmaps = staged(shared_bits(keyed, self.bits))
         # Rows of one id and text are counted first, so that a winner that stands there twice is known.
         self.groups = staged(
@@ -74,21 +45,17 @@ class _Repeats:
             .filter("group_size > 1")
             .select("sha", F.col("last.doc_id").alias("keep_id"), F.col("last.same").alias("same"), "group_size")
         )
-        self.hot = max(1000, int(rows * HOT_SHARE))
 
     def marked(self, rows: DataFrame) -> DataFrame:
-        return with_maybe_repeated(rows, self.bitmaps, self.bits)
+        return with_maybe(rows, "sha", self.bitmaps, self.bits)
 
     def decided(self, rows: DataFrame) -> DataFrame:
         """Add keep_id, same, group_size to rows with ``sha``; NULL where the text is the only one of its kind."""
         marked, nothing = self.marked(rows), self.groups.drop("sha").schema
         single = marked.filter(~F.col("maybe")).withColumns({f.name: F.lit(None).cast(f.dataType) for f in nothing})
-        hot, cold = self.groups.filter(F.col("group_size") > self.hot), self.groups.filter(F.col("group_size") <= self.hot)
-        # Hot groups are few by their definition, so they are broadcast; no other digest has many rows.
-        seen = marked.filter("maybe").join(F.broadcast(hot), "sha", "left")
-        names = rows.columns + ["maybe"] + nothing.names
-        rest = seen.filter("group_size IS NULL").select(*rows.columns, "maybe").join(cold, "sha", "left")
-        return single.select(names).unionAll(seen.filter("group_size IS NOT NULL").select(names)).unionAll(rest.select(names))
+        names = rows.columns + nothing.names
+        compared = spread_join(marked.filter("maybe").drop("maybe"), self.groups, "sha", "group_size", self.rows)
+        return single.select(names).unionAll(compared.select(names))
 
 
 def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", max_bits: int = MAX_BITS) -> DataFrame:

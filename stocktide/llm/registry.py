@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stocktide.llm import byte_bpe, chat, exact_dedup, language, packing, quality, tokens, toxicity
+from stocktide.llm import byte_bpe, chat, exact_dedup, language, packing, quality, simhash, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": tokens.op1_token_counts,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": language.op4_language,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     "op7_quality_rules": quality.op7_quality_rules,
+    "op8_simhash": simhash.op8_simhash,
     "op9_chat_format": chat.op9_chat_format,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
