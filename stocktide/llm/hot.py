@@ -64,17 +64,25 @@ def with_maybe(rows: DataFrame, key: str, bitmaps: DataFrame, bits: int) -> Data
     )
 
 
-def apart(docs: DataFrame, id_column: str, listed: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Without the rows whose id is listed; ``listed`` (key, stays) is stored and has one row per id.
+def apart_by(rows: DataFrame, listed: DataFrame, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``key`` is listed, with the other columns of ``listed``, and rows whose key is not.
 
-    With ``stays``, one row of that id is left. Only rows that a Bloom filter over the listed ids lets through are
-    shuffled, with their texts; all others pass.
+    ``listed`` is stored and has one row per key. Only rows that a Bloom filter over the listed keys lets through are
+    shuffled, with all they carry; the others pass.
     """
     bits = bits_for(listed.count(), max_bits)
     bitmaps = staged(bitmaps_of(listed.select(F.explode(F.array(*slots(F.col("key"), bits))).alias("slot"))))
+    marked = with_maybe(rows, "key", bitmaps, bits)
+    added = [c for c in listed.columns if c != "key"]
+    known = listed.select(F.col("key").alias("listed_key"), *added)
+    checked = marked.filter("maybe").join(known, F.col("key").eqNullSafe(F.col("listed_key")), "left")
+    hit = checked.filter(F.col(added[0]).isNotNull()).select(*rows.columns, *added)
+    missed = checked.filter(F.col(added[0]).isNull()).select(*rows.columns)
+    return hit, marked.filter("NOT maybe").select(*rows.columns).unionAll(missed)
+
+
+def apart(docs: DataFrame, id_column: str, listed: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Without the rows whose id is listed (key, stays); where ``stays`` holds, one row of that id is left."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_column}`").alias("key"))
-    marked = with_maybe(whole, "key", bitmaps, bits)
-    known = listed.select(F.col("key").alias("listed_key"), "stays")
-    checked = marked.filter("maybe").join(known, F.col("key").eqNullSafe(F.col("listed_key")), "left").filter("stays IS NULL OR stays")
-    once = checked.filter("stays").dropDuplicates(["key"])
-    return marked.filter("NOT maybe").select("row.*").unionAll(checked.filter("stays IS NULL").select("row.*")).unionAll(once.select("row.*"))
+    hit, rest = apart_by(whole, listed, max_bits)
+    return rest.select("row.*").unionAll(hit.filter("stays").dropDuplicates(["key"]).select("row.*"))

@@ -49,6 +49,14 @@ class LanguageModel:
     temperature: float
     limit: float
 
+    def plain(self) -> tuple:
+        trained = self.trained
+        return self.names, trained and (trained.by_row, trained.bias, trained.sizes), self.temperature, self.limit
+
+    @staticmethod
+    def read(values: tuple) -> "LanguageModel":
+        return LanguageModel(values[0], values[1] and Trained(*values[1]), *values[2:])
+
     def namer(self):
         scores = WordScores(self.trained) if self.trained else None
 
@@ -110,10 +118,10 @@ def language(
     """
     table = renamed(docs, doc_id=id_column, text=text_column, lang=lang_column)
     out = F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False))
-    shared = docs.sparkSession.sparkContext.broadcast(fit_language(training_rows(table, ~out, per_language)))
+    shared = docs.sparkSession.sparkContext.broadcast(fit_language(training_rows(table, ~out, per_language)).plain())
 
     def start():
-        namer = shared.value.namer()
+        namer = LanguageModel.read(shared.value).namer()
 
         def name(ids, held, texts):
             found = [namer(t) for t in texts]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stocktide.llm import byte_bpe, chat, exact_dedup, language, packing, quality, simhash, tokens, toxicity
+from stocktide.llm import byte_bpe, chat, exact_dedup, language, packing, quality, simhash, suffix_dedup, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": tokens.op1_token_counts,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_language": language.op4_language,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_quality_rules": quality.op7_quality_rules,
     "op8_simhash": simhash.op8_simhash,
     "op9_chat_format": chat.op9_chat_format,

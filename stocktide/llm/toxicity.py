@@ -48,6 +48,14 @@ class ToxicityModel:
     offset: float
     span: int = SPAN
 
+    def plain(self) -> tuple:
+        trained = self.trained
+        return trained and (trained.by_row, trained.bias, trained.sizes), self.slope, self.offset, self.span
+
+    @staticmethod
+    def read(values: tuple) -> "ToxicityModel":
+        return ToxicityModel(values[0] and Trained(*values[0]), *values[1:])
+
     def scorer(self):
         scores = WordScores(self.trained) if self.trained else None
 
@@ -153,10 +161,11 @@ def toxicity(
     table = renamed(docs, doc_id=id_column, text=text_column)
     out = F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False))
     rows = training_rows(table, renamed(labels, doc_id=id_column, label=label_column), ~out, per_label)
-    shared = docs.sparkSession.sparkContext.broadcast(fit_toxicity(rows))  # a table of fixed size
+    # Plain values, a table of fixed size: workers need not know the classes to read them.
+    shared = docs.sparkSession.sparkContext.broadcast(fit_toxicity(rows).plain())
 
     def start():
-        scorer = shared.value.scorer()
+        scorer = ToxicityModel.read(shared.value).scorer()
         return lambda ids, held, texts: (ids, held, *zip(*[(s, int(s >= cut)) for s in map(scorer, texts)]))
 
     kind = docs.schema[id_column].dataType.simpleString()
