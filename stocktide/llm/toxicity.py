@@ -8,9 +8,11 @@ probability by logistic regression on the training texts.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,6 +176,24 @@ def toxicity(
     )
 
 
+def without_toxic(
+    docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, per_label: int = PER_LABEL, cut: float = CUT,
+    id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic",
+) -> DataFrame:
+    """The rows whose text scores below ``cut``, all columns; learning and definitions as in ``toxicity``."""
+    table = renamed(docs, doc_id=id_column, text=text_column)
+    out = F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False))
+    rows = training_rows(table, renamed(labels, doc_id=id_column, label=label_column), ~out, per_label)
+    shared = docs.sparkSession.sparkContext.broadcast(fit_toxicity(rows).plain())
+
+    def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = ToxicityModel.read(shared.value).scorer()
+        for texts in parts:
+            yield pd.Series([scorer(t) for t in texts], dtype="float64")
+
+    return docs.filter(F.pandas_udf(scores, "double")(F.col(f"`{text_column}`")) < cut)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return toxicity(read("documents"), read("labels"))
