@@ -1,7 +1,7 @@
 """Isolation forest fitted and applied as Spark jobs.
 
-Each tree sees a few hundred rows, so fitting samples the table down to a pool of bounded size, draws the
-tree samples from it, and grows one tree per group. The model is a table of nodes (at most
+Each tree sees a few hundred rows. Every tree draws them from all rows by hash inside the scan, so only a few times
+``max_samples`` rows per tree are shuffled, and grows in a group of its own. The model is a table of nodes (at most
 trees × (2 · max_samples − 1) rows, whatever the data size), which is what gets broadcast for scoring.
 """
 
@@ -20,6 +20,8 @@ from stocktide.schemas import ANOMALY_COLUMNS, FEATURE_KEY
 
 NODES = "tree INT, node INT, feature INT, split DOUBLE, left INT, right INT, size INT, depth INT"
 _EULER_GAMMA = 0.5772156649015329
+# Rows expected below a tree's limit, per sampled row: too few for a sample only with a chance of nothing.
+DRAWS_PER_SAMPLE = 4
 
 
 def average_path(n: np.ndarray | int) -> np.ndarray:
@@ -88,6 +90,22 @@ def _unit_hash(seed: Column | int, columns: list[str]) -> Column:
     return F.pmod(F.xxhash64(seed, *columns), F.lit(2**53)) / F.lit(float(2**53))
 
 
+def tree_draws(rows: DataFrame, spec: ForestSpec, key: list[str], limit: float) -> DataFrame:
+    """Each row once per tree in which its draw is below ``limit``, with ``tree`` and ``_draw``.
+
+    A row has one hash u in [0, 1); its draw in tree t is the fractional part of u + t / trees. That is uniform for
+    every tree, and the few trees below the limit follow from u, without a hash per tree.
+    """
+    at = _unit_hash(spec.seed, key) * spec.trees
+    inside = at - F.floor(at)
+    count = F.least(F.ceil(F.lit(min(limit, 1.0) * spec.trees) - inside), F.lit(spec.trees)).cast("int")
+    steps = F.when(count > 0, F.sequence(F.lit(0), count - 1))  # NULL, and so no row, where no tree draws it
+    return rows.withColumn("_step", F.explode(steps)).withColumns({
+        "tree": F.pmod(F.col("_step") - F.floor(at).cast("int"), F.lit(spec.trees)).cast("int"),
+        "_draw": (inside + F.col("_step")) / spec.trees,
+    }).drop("_step")
+
+
 def fit_forest(
     features: DataFrame,
     spec: ForestSpec = ForestSpec(),
@@ -96,21 +114,18 @@ def fit_forest(
 ) -> DataFrame:
     """Node table of a forest over ``columns``. Rows flagged ``is_injected_anomaly`` are not trained on.
 
-    ``key`` identifies a row; sampling hashes it, so the same table gives the same forest. Tables larger than
-    the pool are thinned by one hash threshold; each tree then takes its smallest ``max_samples`` hashes.
+    ``key`` identifies a row; sampling hashes it, so the same table gives the same forest. A tree takes the
+    ``max_samples`` rows with the smallest draws (``tree_draws``) of the whole table.
     """
     columns, key = columns or ANOMALY_COLUMNS, key or FEATURE_KEY
     rows = features
     if "is_injected_anomaly" in features.columns:
         rows = rows.filter(~F.coalesce(F.col("is_injected_anomaly"), F.lit(False)))
     rows = rows.select(*key, *[F.col(c).cast("double").alias(c) for c in columns])
-    pool_size = 4 * spec.trees * spec.max_samples
-    n = rows.agg(F.greatest(F.count("*"), F.lit(1))).scalar()
-    pool = rows.filter(_unit_hash(spec.seed, key) < F.lit(float(pool_size)) / n)
-    per_tree = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(spec.trees - 1))))
+    n = max(1, rows.count())
     draw = Window.partitionBy("tree").orderBy("_draw", *key)
     drawn = (
-        per_tree.withColumn("_draw", F.xxhash64(F.col("tree") + spec.seed + 1, *key))
+        tree_draws(rows, spec, key, DRAWS_PER_SAMPLE * spec.max_samples / n)
         .withColumn("_rank", F.row_number().over(draw))
         .filter(F.col("_rank") <= spec.max_samples)
         .select("tree", "_rank", *columns)
