@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.storage import staged
 
-# Largest look-up table that is broadcast, in rows, counted before the join is planned.
+# Largest look-up table that is broadcast, in rows and in bytes, measured before the join is planned.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+# Tasks over which rows without a key are spread; they match nothing wherever they are.
+NULL_SALTS = 1 << 16
 # Rows of one key that a single task may get.
 HOT_ROWS = 1_000_000
 # Tasks per key where hot keys cannot be counted.
@@ -17,16 +22,17 @@ _SALT = "_salt"
 
 
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and the number of tasks, ``_salts``, to spread each over.
+    """Keys with many rows and the number of tasks, ``_salts``, to spread each over.
 
-    There are at most rows / ``hot_rows`` of them; the limit is raised until they fit a broadcast.
+    A key is hot above ``hot_rows`` rows and above 1 / ``BROADCAST_ROWS`` of all rows, so fewer than ``BROADCAST_ROWS``
+    keys are hot, and any other holds too small a share to weigh. Rows with a NULL in the key are not counted.
     """
-    counts = df.groupBy(*on).agg(F.count("*").alias("_n"))
-    hot = staged(counts.filter(F.col("_n") > hot_rows))
-    while hot.count() > BROADCAST_ROWS:
-        hot_rows *= 4
-        hot = hot.filter(F.col("_n") > hot_rows)
-    return hot.select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
+    counts = staged(
+        df.dropna(subset=on).groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+    )
+    share = counts.agg(F.sum("_n")).first()[0] or 0
+    limit = max(hot_rows, share // BROADCAST_ROWS)
+    return counts.filter(F.col("_n") > limit).select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
 
 
 def salted_join(
@@ -34,18 +40,17 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join in which every hot key of ``df`` is spread over as many tasks as its rows need.
 
-    Rows of a hot key get a salt from a hash of ``salt_by``; ``table`` holds that key once per salt. Other keys
-    are joined as they are. The salt also keeps Spark from reusing the join's partitioning for a later
+    Rows of a hot key get a salt from a hash of ``salt_by``; ``table`` holds that key once per salt. Rows with a NULL in
+    the key are salted as well. Other keys are joined as they are. The salt also keeps Spark from reusing the join's partitioning for a later
     grouping on ``on``, which would gather a hot key again.
     """
     if df.isStreaming:
         return _evenly_salted(df, table, on, salt_by, how)
     hot = hot_keys(df, on, hot_rows)
-    if hot.isEmpty():
-        return df.join(table, on, how)
     spread = F.coalesce(F.col("_salts"), F.lit(1))
+    keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     salted = df.join(F.broadcast(hot), on, "left").withColumn(
-        _SALT, F.pmod(F.xxhash64(*salt_by), spread).cast("int")
+        _SALT, F.pmod(F.xxhash64(*salt_by), F.when(keyless, F.lit(NULL_SALTS)).otherwise(spread)).cast("int")
     )
     copies = table.join(F.broadcast(hot), on, "left").withColumn(
         _SALT, F.explode(F.sequence(F.lit(0), spread - 1))
@@ -60,14 +65,24 @@ def _evenly_salted(df: DataFrame, table: DataFrame, on: list[str], salt_by: list
     return salted.join(copies, [*on, _SALT], how).drop(_SALT)
 
 
+def _fits(table: DataFrame, rows: int) -> bool:
+    """Whether a table has at most so many rows, and ``BROADCAST_BYTES`` bytes counting texts at their length."""
+    wide = [f.name for f in table.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    text = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c in wide), F.lit(16 * len(table.columns)))
+    found = table.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(text), F.lit(0)).alias("bytes")).first()
+    return found["n"] <= rows and found["bytes"] <= BROADCAST_BYTES
+
+
 def lookup_join(
     df: DataFrame, table: DataFrame, on: list[str], salt_by: list[str], how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS, sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Join a dimension: broadcast when it is counted to have at most ``broadcast_rows`` rows, salted beyond.
+    """Join a dimension: broadcast when it is measured to have at most ``broadcast_rows`` rows and ``BROADCAST_BYTES``
+    bytes, salted beyond.
 
-    The count stops one row after the limit, so it is cheap however large the table is.
+    ``sized_by`` is measured in place of ``table`` where that is an aggregate or a distinct of it, which would
+    have to be computed to be measured; the measure of a scan stops one row after the limit.
     """
-    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if _fits(table if sized_by is None else sized_by, broadcast_rows):
         return df.join(F.broadcast(table), on, how)
     return salted_join(df, table, on, salt_by, how, hot_rows)

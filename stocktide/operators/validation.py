@@ -19,6 +19,9 @@ _KINDS = {
     "orders": (schemas.ORDER_EVENT, schemas.ORDER_REQUIRED, ["quantity", "unit_price"]),
     "inventory": (schemas.INVENTORY_EVENT, schemas.INVENTORY_REQUIRED, ["delta_units", "on_hand_after"]),
 }
+# Counted in whole units and stored as INT; fractions are cut off.
+_UNITS = ("quantity", "delta_units", "on_hand_after")
+# The texts of the reasons are fixed values.
 PARSE_ERROR = "json_parse_error"
 # Year first, then month and day; a time and an offset may follow.
 _ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}.*)?$"
@@ -28,17 +31,20 @@ def parse_events(raw: DataFrame, kind: str, value: str = "value") -> DataFrame:
     """Tolerant parse. Adds ``event`` (typed struct) and ``present`` (names of the fields the text has).
 
     ``event`` is NULL when the text is not exactly one JSON object. Wrapping the text in brackets makes
-    the parser reject trailing text, which it would otherwise ignore. The field names are read from the text
-    again only when a required field came out NULL; a complete event is parsed once.
+    the parser reject trailing text, which it would otherwise ignore. A text could close that bracket itself, so one
+    that holds a closing bracket must also parse as the value of an object, whose end it cannot close as well. The
+    field names are read from the text again only when a required field came out NULL.
     """
     event_type, required, _ = _KINDS[kind]
     boxed = F.concat(F.lit("["), F.col(value), F.lit("]"))
     items = F.from_json(boxed, f"array<struct<{_struct_fields(event_type)}>>")
     complete = reduce(lambda a, b: a & b, [F.col(f"event.{c}").isNotNull() for c in required])
     names = F.coalesce(F.json_object_keys(F.col(value)), F.array().cast("array<string>"))
+    inside = F.from_json(F.concat(F.lit('{"a":'), F.col(value), F.lit("}")), f"a struct<{_struct_fields(event_type)}>")
+    whole = F.when(F.contains(F.col(value), F.lit("]")), inside["a"].isNotNull()).otherwise(True)
     return (
         raw.withColumn("_items", items)
-        .withColumn("event", F.when(F.size("_items") == 1, F.get("_items", F.lit(0))))
+        .withColumn("event", F.when((F.size("_items") == 1) & whole, F.get("_items", F.lit(0))))
         .withColumn("present", F.when(complete, F.array(*[F.lit(c) for c in required])).otherwise(names))
         .drop("_items")
     )
@@ -64,7 +70,8 @@ def with_known_ids(df: DataFrame, stores: DataFrame, skus: DataFrame, value: str
     store_ids = stores.select(F.col("store_id").alias("_store")).distinct().withColumn("store_known", F.lit(True))
     sku_ids = skus.select(F.col("sku_id").alias("_sku")).distinct().withColumn("sku_known", F.lit(True))
     keyed = df.withColumns({"_store": F.col("event.store_id"), "_sku": F.col("event.sku_id")})
-    known = lookup_join(lookup_join(keyed, store_ids, ["_store"], [value]), sku_ids, ["_sku"], [value])
+    known = lookup_join(keyed, store_ids, ["_store"], [value], sized_by=stores.select("store_id"))
+    known = lookup_join(known, sku_ids, ["_sku"], [value], sized_by=skus.select("sku_id"))
     return known.select(
         *[F.col(c) for c in df.columns],
         F.coalesce("store_known", F.lit(False)).alias("store_known"),
@@ -77,9 +84,13 @@ def _number_text(field: str, value: str) -> Column:
 
 
 def _invalid_types(kind: str) -> Column:
-    """Fields that must be numbers and are not (NULL, text, nested)."""
-    bad = [F.when(F.col(f"event.{c}").isNull(), F.lit(c)) for c in _KINDS[kind][2]]
-    return F.array_compact(F.array(*bad))
+    """Fields that must be numbers and are not: NULL, text, nested, not finite, or units beyond an INT."""
+    def bad(field: str) -> Column:
+        number = F.col(f"event.{field}")
+        wrong = number.isNull() | F.isnan(number) | (F.abs(number) == float("inf"))
+        return wrong | (F.abs(number) > 2**31 - 1) if field in _UNITS else wrong
+
+    return F.array_compact(F.array(*[F.when(bad(c), F.lit(c)) for c in _KINDS[kind][2]]))
 
 
 def _range_rules(kind: str, value: str) -> list[Column]:
@@ -90,7 +101,7 @@ def _range_rules(kind: str, value: str) -> list[Column]:
 
     if kind == "orders":
         return [
-            failing("quantity", F.col("event.quantity") <= 0, "> 0"),
+            failing("quantity", F.col("event.quantity") < 1, "> 0"),  # less than one unit would be stored as none
             failing("unit_price", F.col("event.unit_price") < 0, ">= 0"),
         ]
     movement = F.col("event.movement_type")
@@ -182,7 +193,7 @@ def project_orders(valid: DataFrame) -> DataFrame:
         F.col("event.sku_id").alias("sku_id"),
         _event_time().alias("event_time"),
         F.unix_millis("event_ts").alias("event_ms"),
-        F.col("event.quantity").cast("int").alias("quantity"),
+        F.col("event.quantity").try_cast("int").alias("quantity"),
         F.col("event.unit_price").alias("unit_price"),
         F.coalesce(F.col("event.is_injected_anomaly"), F.lit(False)).alias("is_injected_anomaly"),
     )
@@ -196,8 +207,8 @@ def project_inventory(valid: DataFrame) -> DataFrame:
         _event_time().alias("event_time"),
         F.unix_millis("event_ts").alias("event_ms"),
         F.col("event.movement_type").alias("movement_type"),
-        F.col("event.delta_units").cast("int").alias("delta_units"),
-        F.col("event.on_hand_after").cast("int").alias("on_hand_after"),
+        F.col("event.delta_units").try_cast("int").alias("delta_units"),
+        F.col("event.on_hand_after").try_cast("int").alias("on_hand_after"),
     )
 
 

@@ -36,14 +36,17 @@ CTES: dict[str, str] = {
         WHERE event_type IN ('purchase', 'view', 'click')""",
     "order_full": """SELECT *, '{"event_id":"evt-' || event_id || '","event_time":"' || stamp || '","store_id":"' || store_id
         || '","sku_id":"' || sku_id || '","category":"' || event_type || '","quantity":'
-        || CASE WHEN event_id % 61 = 0 THEN '"' || quantity || '"' ELSE CAST(quantity AS VARCHAR) END
+        || CASE WHEN event_id % 61 = 0 THEN '"' || quantity || '"' WHEN event_id % 101 = 0 THEN '3000000000'
+          WHEN event_id % 103 = 0 THEN '0.4' WHEN event_id % 107 = 0 THEN '1e400' ELSE CAST(quantity AS VARCHAR) END
         || ',"unit_price":' || price
         || CASE WHEN event_id % 89 = 0 THEN '' ELSE ',"order_id":"ord-' || event_id || '"' END
         || CASE WHEN value > 200 THEN ',"is_injected_anomaly":true' ELSE '' END || '}' AS whole FROM order_text""",
-    "order_raw": """SELECT *, CASE WHEN event_id % 97 = 0 THEN left(whole, length(whole) - 1) ELSE whole END AS text,
-        CASE WHEN event_id % 97 = 0 THEN 'json_parse_error'
+    "order_raw": """SELECT *, CASE WHEN event_id % 97 = 0 THEN left(whole, length(whole) - 1)
+          WHEN event_id % 109 = 0 THEN whole || '] junk' ELSE whole END AS text,
+        CASE WHEN event_id % 97 = 0 OR event_id % 109 = 0 THEN 'json_parse_error'
           WHEN event_id % 89 = 0 THEN 'missing fields: order_id'
-          WHEN event_id % 61 = 0 THEN 'invalid type: quantity'
+          WHEN event_id % 61 = 0 OR event_id % 101 = 0 OR event_id % 107 = 0 THEN 'invalid type: quantity'
+          WHEN event_id % 103 = 0 THEN 'quantity must be > 0, got 0.4'
           WHEN quantity <= 0 THEN 'quantity must be > 0, got ' || quantity
           WHEN price < 0 THEN 'unit_price must be >= 0, got ' || CAST(price AS DOUBLE)
           WHEN store_id NOT IN (SELECT store_id FROM dim_store) THEN 'unknown store_id: ' || store_id
@@ -63,11 +66,13 @@ CTES: dict[str, str] = {
         WHERE event_type IN ('purchase', 'signup', 'error')""",
     "inv_full": """SELECT *, '{"event_id":"inv-' || event_id || '","event_time":"' || stamp || '","store_id":"' || store_id
         || '","sku_id":"' || sku_id || '","movement_type":"' || movement_type || '"'
-        || CASE WHEN event_id % 89 = 0 THEN '' ELSE ',"delta_units":' || delta_units END
+        || CASE WHEN event_id % 89 = 0 THEN '' ELSE ',"delta_units":' || CASE WHEN event_id % 101 = 0 THEN -3000000000 ELSE delta_units END END
         || ',"on_hand_after":' || on_hand_after || '}' AS whole FROM inv_text""",
-    "inv_raw": """SELECT *, CASE WHEN event_id % 97 = 0 THEN left(whole, length(whole) - 1) ELSE whole END AS text,
-        CASE WHEN event_id % 97 = 0 THEN 'json_parse_error'
+    "inv_raw": """SELECT *, CASE WHEN event_id % 97 = 0 THEN left(whole, length(whole) - 1)
+          WHEN event_id % 109 = 0 THEN whole || '] junk' ELSE whole END AS text,
+        CASE WHEN event_id % 97 = 0 OR event_id % 109 = 0 THEN 'json_parse_error'
           WHEN event_id % 89 = 0 THEN 'missing fields: delta_units'
+          WHEN event_id % 101 = 0 THEN 'invalid type: delta_units'
           WHEN on_hand_after < 0 THEN 'on_hand_after must be >= 0, got ' || on_hand_after
           WHEN movement_type = 'steal' THEN 'unknown movement_type: steal'
           WHEN store_id NOT IN (SELECT store_id FROM dim_store) THEN 'unknown store_id: ' || store_id

@@ -80,7 +80,8 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _message(fields: list[Column]) -> Column:
     text = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
-    return F.when(_every(97), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    cut, closed = F.substring(text, F.lit(1), F.length(text) - 1), F.concat(text, F.lit("] junk"))
+    return F.when(_every(97), cut).when(_every(109), closed).otherwise(text)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +89,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _base(spark, sf_dir).filter(F.col("event_type").isin("purchase", "view", "click"))
     ident = F.col("event_id").cast("string")
     quantity = (F.col("event_id") % 10).cast("string")
-    quantity = F.when(_every(61), F.concat(F.lit('"'), quantity, F.lit('"'))).otherwise(quantity)
+    bad = F.when(_every(61), F.concat(F.lit('"'), quantity, F.lit('"'))).when(_every(101), F.lit("3000000000"))
+    quantity = bad.when(_every(103), F.lit("0.4")).when(_every(107), F.lit("1e400")).otherwise(quantity)
     price = F.col("value").cast("decimal(18,2)") - F.lit("1.00").cast("decimal(18,2)")
     fields = [
         _field("event_id", F.concat(F.lit("evt-"), ident)),
@@ -111,6 +113,7 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     movement = F.when(kind == "purchase", "sale").when(kind == "signup", "restock").otherwise("adjustment")
     movement = F.when(_every(73), F.lit("steal")).otherwise(movement)
     delta = F.when((kind == "signup") | ((kind == "error") & (n % 2 == 0)), n).otherwise(-n)
+    delta = F.when(_every(101), F.lit("-3000000000")).otherwise(delta.cast("string"))
     level = F.when(_every(67), F.lit(-1)).otherwise(F.col("event_id") * 37 % 120)
     fields = [
         _field("event_id", F.concat(F.lit("inv-"), F.col("event_id").cast("string"))),
@@ -118,7 +121,7 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         _field("store_id", F.col("store_id")),
         _field("sku_id", F.col("sku_id")),
         _field("movement_type", movement),
-        F.when(~_every(89), _field("delta_units", delta.cast("string"), quoted=False)),
+        F.when(~_every(89), _field("delta_units", delta, quoted=False)),
         _field("on_hand_after", level.cast("string"), quoted=False),
     ]
     return base.select("arrived_at", _message(fields).alias("value"))

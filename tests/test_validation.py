@@ -11,16 +11,16 @@ NOW = datetime(2024, 5, 1, 12, 0, 0)
 
 def order(**changes):
     event = {
-        "event_id": "evt-001", "event_time": "2024-05-01T11:59:30Z", "store_id": "DS_001", "sku_id": "SKU_001",
-        "category": "dairy", "quantity": 2, "unit_price": 27.0, "order_id": "ord-001",
+        "event_id": "o#7f", "event_time": "2024-05-01T11:58:12Z", "store_id": "DS_001", "sku_id": "SKU_001",
+        "category": "garden hoses", "quantity": 5, "unit_price": 13.49, "order_id": "basket-88",
     } | changes
     return json.dumps({k: v for k, v in event.items() if v != "DROP"})
 
 
 def move(**changes):
     event = {
-        "event_id": "inv-001", "event_time": "2024-05-01T11:59:30Z", "store_id": "DS_001", "sku_id": "SKU_001",
-        "movement_type": "sale", "delta_units": -2, "on_hand_after": 48,
+        "event_id": "m#3c", "event_time": "2024-05-01T11:58:12Z", "store_id": "DS_001", "sku_id": "SKU_001",
+        "movement_type": "sale", "delta_units": -3, "on_hand_after": 91,
     } | changes
     return json.dumps({k: v for k, v in event.items() if v != "DROP"})
 
@@ -57,6 +57,12 @@ def test_order_rules(spark, dims):
         (order(quantity="2"), "invalid type: quantity"),
         (order(store_id=None), "unknown store_id: None"),
         (order(is_injected_anomaly=True), None),
+        (order(quantity=3_000_000_000), "invalid type: quantity"),
+        (order().replace('"quantity": 5', '"quantity": 1e400'), "invalid type: quantity"),
+        (order(quantity=float("nan")), "invalid type: quantity"),
+        (order(quantity="NaN"), "invalid type: quantity"),
+        (order(quantity=0.4), "quantity must be > 0, got 0.4"),
+        (order(unit_price=float("inf")), "invalid type: unit_price"),
     ]
     assert reasons(spark, dims, "orders", [c[0] for c in cases]) == [c[1] for c in cases]
 
@@ -70,13 +76,17 @@ def test_inventory_rules(spark, dims):
         (move(store_id="DS_999"), "unknown store_id: DS_999"),
         (move(delta_units="DROP"), "missing fields: delta_units"),
         (move(movement_type="restock", delta_units=40), None),
+        (move(delta_units=-3_000_000_000), "invalid type: delta_units"),
+        (move(on_hand_after=float("nan")), "invalid type: on_hand_after"),
     ]
     assert reasons(spark, dims, "inventory", [c[0] for c in cases]) == [c[1] for c in cases]
 
 
 def test_only_whole_objects_parse(spark, dims):
     broken = ['{"a": 1', "[1, 2]", "5", "null", "", order() + " trailing", order() + order(), order() + "," + order(), None]
+    broken += [order() + "] junk", order() + "],[1", order() + "],{}", order() + "} junk", order() + '],{"a":[1]}']
     assert reasons(spark, dims, "orders", broken) == [validation.PARSE_ERROR] * len(broken)
+    assert reasons(spark, dims, "orders", [order(category="a ] b"), " " + order(note=[1, {"x": "}]"}]) + " "]) == [None, None]
 
 
 def test_first_failing_rule_wins(spark, dims):
@@ -99,8 +109,8 @@ def test_projection_types(spark, dims):
     raw = spark.createDataFrame([(order(quantity=2.9),)], "value STRING")
     checked = validation.validate(validation.parse_events(raw, "orders"), "orders", *dims, now=F.lit(NOW))
     row = validation.project_orders(validation.valid_events(checked)).first()
-    stamp = datetime(2024, 5, 1, 11, 59, 30, tzinfo=timezone.utc)
-    assert (row.quantity, row.unit_price, row.is_injected_anomaly) == (2, 27.0, False)
+    stamp = datetime(2024, 5, 1, 11, 58, 12, tzinfo=timezone.utc)
+    assert (row.quantity, row.unit_price, row.is_injected_anomaly) == (2, 13.49, False)
     assert row.event_ms == int(stamp.timestamp() * 1000)
 
 
@@ -112,7 +122,7 @@ def test_salted_and_broadcast_lookups_agree(spark):
     small = lookup_join(facts, table, ["k"], ["id"])
     key = lambda r: (r.id, r.k, r.v)
     want = sorted(map(key, small.collect()))
-    for hot_rows, salted in ((10**6, False), (100, True), (3, True)):
+    for hot_rows, salted in ((10**6, True), (100, True), (3, True)):
         large = lookup_join(facts, table, ["k"], ["id"], broadcast_rows=5, hot_rows=hot_rows)
         assert ("_salt" in large._jdf.queryExecution().optimizedPlan().toString()) == salted
         assert sorted(map(key, large.collect())) == want
@@ -125,6 +135,32 @@ def test_hot_keys_get_tasks_by_size(spark):
     assert [tuple(r) for r in hot_keys(df, ["k"], 100).collect()] == [(1, 7)]
 
 
+def test_rows_without_a_key_are_spread(spark):
+    from stocktide.operators.joins import lookup_join
+
+    facts = spark.range(2000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 7).alias("k"), "id")
+    table = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(facts, table, ["k"], ["id"], broadcast_rows=5)
+        parts = [r["n"] for r in joined.filter("k IS NULL").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(parts) == 1000 and max(parts) < 500
+        assert joined.count() == 2000 and joined.filter("v <> 2 * k").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_wide_tables_are_not_broadcast(spark, monkeypatch):
+    from stocktide.operators import joins
+
+    table = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("v"))
+    assert joins._fits(table, 10) and not joins._fits(table, 9)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 5000)
+    assert not joins._fits(table, 10)
+
+
 def test_constraints_are_counted(spark):
     df = spark.createDataFrame(
         [("a", "surge", 1.0), ("a", "surge", None), ("b", "other", 2.0)], "k STRING, kind STRING, v DOUBLE"
