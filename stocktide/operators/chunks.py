@@ -116,6 +116,8 @@ def standardise(
             F.count(c).alias(f"_n_{c}"),
             F.avg(c).alias(f"_m_{c}"),
             F.var_pop(c).alias(f"_v_{c}"),
+            F.min(c).alias(f"_lo_{c}"),
+            F.max(c).alias(f"_hi_{c}"),
         )
     ]
     parts = base.groupBy(*keys, CHUNK).agg(*moments)
@@ -129,7 +131,10 @@ def standardise(
         })
         offset = m - F.col(f"_mean_{c}")
         spread = F.sum(n * (v + offset * offset)).over(whole)
-        total = total.withColumn(f"_std_{c}", F.sqrt(F.try_divide(spread, F.col(f"_rows_{c}") - 1)))
+        # Rounding differs from chunk to chunk, so a constant key is told by its ends, not by a deviation of 0.
+        constant = F.min(f"_lo_{c}").over(whole) == F.max(f"_hi_{c}").over(whole)
+        deviation = F.sqrt(F.try_divide(spread, F.col(f"_rows_{c}") - 1))
+        total = total.withColumn(f"_std_{c}", F.when(~constant, deviation).otherwise(0.0))
     total = total.select(*keys, CHUNK, *[f"_{p}_{c}" for c in columns for p in ("mean", "std")])
     joined = base.join(total, [*keys, CHUNK], "left")
     scores = [

@@ -23,8 +23,6 @@ from stocktide.storage import staged
 
 # Share given to an empty histogram bin, so that its logarithm exists. Nothing is renormalised.
 EMPTY_BIN_SHARE = 1e-4
-# Sample size up to which the exact two-sample distribution is used for the p-value.
-EXACT_LIMIT = 10_000
 
 
 def latest_window_end(df: DataFrame) -> Column:
@@ -226,26 +224,25 @@ def exact_ks_pvalue(ks: float, n1: int, n2: int) -> float:
 
 @F.pandas_udf(T.DoubleType())
 def _exact_ks_pvalues(ks: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    return pd.Series([
-        exact_ks_pvalue(d, int(a), int(b)) if max(a, b) <= EXACT_LIMIT else None for d, a, b in zip(ks, n1, n2)
-    ], dtype="float64")
+    return pd.Series([exact_ks_pvalue(d, int(a), int(b)) for d, a, b in zip(ks, n1, n2)], dtype="float64")
 
 
 def ks_test(
-    counts: DataFrame, spec: DriftSpec = DriftSpec(), method: str = "auto", ranges: DataFrame | None = None
+    counts: DataFrame, spec: DriftSpec = DriftSpec(), method: str = "asymptotic", ranges: DataFrame | None = None
 ) -> DataFrame:
-    """Statistic and p-value per feature. ``auto`` is exact for samples up to ``EXACT_LIMIT`` rows, one row
-    per feature reaching Python; ``asymptotic`` always uses the series."""
+    """Statistic and p-value per feature: the series by default, at any sample size. ``method="exact"`` asks for the exact
+    two-sample distribution instead, whose cost is the product of the sample sizes."""
     stat = ks_statistic(counts, spec, ranges)
-    pvalue = kolmogorov_pvalue(F.col("ks"), F.col("n_reference"), F.col("n_current"))
-    if method == "auto":
-        pvalue = F.coalesce(_exact_ks_pvalues("ks", "n_reference", "n_current"), pvalue)
+    if method == "exact":
+        pvalue = _exact_ks_pvalues("ks", "n_reference", "n_current")
+    else:
+        pvalue = kolmogorov_pvalue(F.col("ks"), F.col("n_reference"), F.col("n_current"))
     return stat.select(
         "feature", F.round("ks", 6).alias("ks_stat"), F.round(pvalue, 6).alias("ks_pval")
     )
 
 
-def drift_metrics(split: DataFrame, spec: DriftSpec = DriftSpec(), ks_method: str = "auto") -> DataFrame:
+def drift_metrics(split: DataFrame, spec: DriftSpec = DriftSpec(), ks_method: str = "asymptotic") -> DataFrame:
     """The drift table: psi, ks_stat, ks_pval, js_div and the drifted flag per feature.
 
     Features with too few values on a side have no row; a constant feature has psi and js 0.
@@ -306,6 +303,20 @@ def drift_summary(
     )
 
 
+def drift_run(df: DataFrame, spec: DriftSpec = DriftSpec(), as_of: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """One drift run: (metrics, summary).
+
+    The time split, or the row-share split where a side is thin; when a side is still too thin the run is skipped,
+    with its reason in the summary and no metrics.
+    """
+    as_of = latest_window_end(df) if as_of is None else as_of
+    split = drift_sides(df, spec, as_of)
+    found = side_counts(split).first()
+    enough = found["n_current"] >= spec.min_current and found["n_reference"] >= spec.min_reference
+    metrics = staged(drift_metrics(split if enough else split.limit(0), spec))
+    return metrics, drift_summary(split, metrics, spec, as_of)
+
+
 def metrics_long(metrics: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """``{feature}_{metric}`` and value, the flat form that a metric log stores."""
     names = ["psi", "ks_stat", "ks_pval", "js_div", "drifted"]

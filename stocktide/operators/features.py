@@ -152,6 +152,8 @@ def union_features(frames: list[DataFrame]) -> DataFrame:
 def holdout_split(df: DataFrame, holdout: float = 0.2, ts: str = "window_start") -> DataFrame:
     """Add ``is_train``: true for the oldest ``int(n · (1 − holdout))`` rows by ``ts``, ties by store and product.
 
+    Rows without a stamp count as the oldest and are always trained on.
+
     No global sort. Rows are counted per stamp; the running count tells which stamps lie wholly on one
     side. Only the stamp that straddles the cut is ordered, store by store. The counts are staged and the border
     is one row, so it reaches the scan as a literal filter.
@@ -191,4 +193,5 @@ def holdout_split(df: DataFrame, holdout: float = 0.2, ts: str = "window_start")
         .withColumn("is_train", F.col("_before") + F.col("_rank") <= border["owed"])
         .select(*df.columns, "is_train")
     )
-    return df.filter(F.col(ts) != cut).withColumn("is_train", F.col(ts) < cut).unionByName(placed)
+    others = df.filter(~F.col(ts).eqNullSafe(cut)).withColumn("is_train", F.coalesce(F.col(ts) < cut, F.lit(True)))
+    return others.unionByName(placed)

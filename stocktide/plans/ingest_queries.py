@@ -90,13 +90,8 @@ def scan_features_ordered(r: Retail) -> DataFrame:
     "SELECT count(DISTINCT CAST(window_start AS DATE)) AS n_files, count(*) AS n_rows FROM features",
 )
 def feature_availability(r: Retail) -> DataFrame:
-    # One file per day: count files through the day folder each lies in.
-    path = _exported(r)
-    scan = tables.feature_history(r.spark, path)
-    per_file = scan.select(F.regexp_extract(F.col("_metadata.file_path"), r"day=[0-9-]+", 0).alias("d")).groupBy("d").agg(
-        F.count("*").alias("n")
-    )
-    return per_file.agg(F.count("*").alias("n_files"), F.sum("n").alias("n_rows"))
+    # One file per day: the day folder stands for the file.
+    return tables.feature_availability(tables.feature_history(r.spark, _exported(r)), r"day=[0-9-]+")
 
 
 @query("feature_files")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,38 +165,41 @@ def batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: upsert features, levels and alerts; hand routed messages to ``send``.
 
-    ``clock`` gives the write time as a column; the current time when left out. If scoring by model fails,
-    the batch is scored by rule.
+    ``clock`` gives the write time as a column; the time at the start of the batch when left out. Alerts are computed
+    once, so the table and the messages carry the same rows and stamps. If scoring by model fails, the batch is
+    scored by rule.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = tables.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-        now = clock() if clock else None
+        now = clock() if clock else F.lit(datetime.now(timezone.utc))
         batch = batch.persist()
-        features = None
+        held = [batch]
         try:
             if batch.isEmpty():  # the batches that only move the watermark
                 return
             # A retried batch must see the levels that held before its first attempt.
             levels = tables.levels.read(without=(writer, batch_id))
             features = windows.feature_rows(assemble_batch(batch, levels, spec), now).persist()
+            held.append(features)
             tables.features.upsert(features.drop("on_hand_source"), batch_id, writer)
             try:
-                alerts = score_batch(features, dim_sku, scoring_spec, slot, now)
+                alerts = score_batch(features, dim_sku, scoring_spec, slot, now).persist()
+                held.append(alerts)
                 tables.alerts.upsert(alerts, batch_id, writer)
             except Exception as error:
                 if slot is None or slot.forest is None:
                     raise
                 slot.last_error = str(error)
-                alerts = scoring.score_rules(features, dim_sku, scoring_spec, now, scoring.stable_alert_id())
+                alerts = scoring.score_rules(features, dim_sku, scoring_spec, now, scoring.stable_alert_id()).persist()
+                held.append(alerts)
                 tables.alerts.upsert(alerts, batch_id, writer)
             if send:
                 send(scoring.route_alerts(alerts))
             tables.levels.upsert(batch.filter(F.col("on_hand_latest").isNotNull()), batch_id, writer)
         finally:
-            if features is not None:
-                features.unpersist()
-            batch.unpersist()
+            for frame in reversed(held):
+                frame.unpersist()
 
     return write
 

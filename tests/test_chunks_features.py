@@ -129,6 +129,24 @@ def test_constant_series_scores_zero(spark, hist):
     assert got.filter("order_rate_zscore <> 0").count() == 0 and got.count() == len(hist)
 
 
+@pytest.mark.parametrize("value", [1 / 3, 0.7])
+def test_constant_fractions_score_zero(spark, value):
+    flat = history(n=400).assign(order_rate=value)
+    got = features.anomaly_features(spark.createDataFrame(flat, schemas.WINDOWED_FEATURES), 600)
+    assert got.filter("order_rate_zscore <> 0").count() == 0 and got.count() == len(flat)
+
+
+@pytest.mark.parametrize("holdout", [0.2, 0.5, 0.37])
+def test_rows_without_a_stamp_are_kept(spark, holdout):
+    hist = spark.createDataFrame(history(n=10), schemas.WINDOWED_FEATURES)
+    bare = hist.limit(7).withColumn("window_start", F.lit(None).cast("timestamp"))
+    rows = hist.unionByName(bare)
+    got = features.holdout_split(rows, holdout)
+    total = rows.count()
+    assert got.count() == total and got.filter("is_train").count() == int(total * (1 - holdout))
+    assert got.filter("window_start IS NULL AND NOT is_train").count() == 0
+
+
 def test_online_builders(spark, df, hist):
     newest = features.online_forecast_features(df, 600).collect()
     assert len(newest) == 3 and {r.window_start for r in newest} == {hist["window_start"].max().to_pydatetime()}

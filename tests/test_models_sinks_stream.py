@@ -66,6 +66,28 @@ def test_forest_finds_outliers(spark, folder):
     assert loaded.cut == forest.cut and loaded.predict(df).filter("prediction = -1").count() == (got["prediction"] == -1).sum()
 
 
+def test_trees_draw_from_all_rows(spark):
+    spec = ForestSpec(trees=8, max_samples=16)
+    rows = spark.range(5000).withColumn("v", F.rand(1))
+    got = iforest.tree_draws(rows, spec, ["id"], 4 * 16 / 5000)
+    assert got.count() < 3 * 8 * 4 * 16
+    u = {r["id"]: r["u"] for r in rows.select("id", iforest._unit_hash(spec.seed, ["id"]).alias("u")).collect()}
+    for tree in range(spec.trees):
+        draws = sorted(((u[i] * 8 + tree) % 8 / 8, i) for i in u)[:16]
+        mine = sorted((r["_draw"], r["id"]) for r in got.filter(F.col("tree") == tree).collect())[:16]
+        assert [i for _, i in mine] == [i for _, i in draws]
+    every = iforest.tree_draws(rows.limit(40), spec, ["id"], 99.0)
+    assert every.groupBy("id").agg(F.countDistinct("tree").alias("n")).filter("n = 8").count() == 40
+
+
+def test_bad_dimension_files_fail_when_pruned(spark, folder):
+    spark.createDataFrame([("DS_1", "r", -5)], "store_id STRING, region STRING, capacity INT").write.option("header", True).csv(f"{folder}/bad_store")
+    stores = tables.dim_store(spark, f"{folder}/bad_store")
+    for action in (lambda: stores.select("store_id").collect(), stores.count):
+        with pytest.raises(Exception, match="capacity"):
+            action()
+
+
 def test_flagged_rows_are_not_trained_on(spark):
     pdf = feature_rows()
     pdf["is_injected_anomaly"] = pdf.index < 20
