@@ -21,14 +21,50 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{path.rstrip('/')}/stocktide-{app}"
 
 
+def _located(spark: SparkSession, path: str):
+    """The file system that the path names, and the path on it."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when the path exists on the file system that the path names."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = _located(spark, path)
     return fs.exists(hadoop_path)
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no folder."""
+    fs, hadoop_path = _located(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small text file as a whole."""
+    fs, hadoop_path = _located(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small ASCII file that is there as a whole or not at all: written beside its place, then renamed."""
+    fs, hadoop_path = _located(spark, path)
+    _, beside = _located(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(beside)
+    stream.writeBytes(text)
+    stream.close()
+    if not fs.rename(beside, hadoop_path):
+        raise FileExistsError(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _located(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write an intermediate result that a query reads more than once, and read it back.
 

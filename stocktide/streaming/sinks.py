@@ -2,60 +2,91 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stocktide.operators.chunks import latest_wins
-from stocktide.storage import path_exists
+from stocktide.storage import listed, read_file, remove_path, write_file
 
 
 class UpsertTable:
-    """A keyed table kept as Parquet batches: writing appends one batch, the last write per key wins on read.
+    """A keyed table kept as one current snapshot in parts, one row per key.
 
-    A batch goes to its own folder, named by the query and batch number, and overwrites only itself, so a
-    retry after a lost executor or driver changes nothing. The cost of a write follows the batch, not the
-    table. Batches are partitioned by ``day_of`` where given, which prunes reads by date.
+    Parts are days (of ``day_of``) or buckets of the key. A write merges its rows with the parts that they touch, puts the
+    result into a folder of its own and then commits a small version file, which names the folder of each part. So the
+    cost of a write follows the batch and the parts it touches, not the number of batches before it. A retry of the last
+    batch starts from the version before that batch, so it changes nothing. One writer at a time.
     """
 
     def __init__(
         self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: list[str],
-        day_of: str | None = None,
+        day_of: str | None = None, buckets: int = 16, kept_versions: int = 3,
     ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.keys, self.order, self.day_of = keys, order, day_of
+        self.buckets, self.kept_versions = buckets, max(2, kept_versions)
 
-    def upsert(self, rows: DataFrame, batch_id: int, writer: str = "batch") -> None:
-        """Write one row per key of ``rows`` as batch ``batch_id`` of ``writer``."""
-        one_each = latest_wins(rows.select(*self.schema.names), self.keys, self.order)
-        target = f"{self.path}/writer={writer}/batch={int(batch_id)}"
+    def _part(self) -> Column:
         if self.day_of:
-            dated = one_each.withColumn("day", F.to_date(self.day_of)).hint("rebalance", F.col("day"))
-            dated.write.mode("overwrite").partitionBy("day").parquet(target)
-        else:
-            one_each.write.mode("overwrite").parquet(target)
-
-    def log(self) -> DataFrame:
-        """All batches, with ``writer``, ``batch`` and, where dated, ``day``."""
-        schema = T.StructType([*self.schema.fields, T.StructField("writer", T.StringType()), T.StructField("batch", T.LongType())])
-        if self.day_of:
-            schema = schema.add("day", T.DateType())
-        if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", self.path).parquet(self.path)
+            return F.date_format(self.day_of, "yyyy-MM-dd")
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("string")
+
+    def _versions(self) -> list[int]:
+        return sorted(int(n) for n in listed(self.spark, f"{self.path}/_versions") if n.isdigit())
+
+    def _state(self, without: tuple[str, int] | None = None) -> dict:
+        """The newest committed version, or the newest that is not of ``without``."""
+        for version in reversed(self._versions()):
+            state = json.loads(read_file(self.spark, f"{self.path}/_versions/{version}"))
+            if without is None or (state["writer"], state["batch"]) != (without[0], int(without[1])):
+                return state
+        return {"writer": "", "batch": -1, "parts": {}}
+
+    def _rows(self, parts: dict[str, str]) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{folder}" for folder in parts.values()])
+
+    def upsert(self, rows: DataFrame, batch_id: int, writer: str = "batch") -> None:
+        """Merge one row per key of ``rows`` into the table as batch ``batch_id`` of ``writer``."""
+        base = self._state(without=(writer, batch_id))
+        versions = self._versions()
+        version = versions[-1] + 1 if versions else 0
+        new = rows.select(*self.schema.names).withColumn("_part", self._part()).persist()
+        try:
+            touched = [r["_part"] for r in new.select("_part").distinct().collect()]  # days or buckets of one batch
+            old = self._rows({p: base["parts"][p] for p in touched if p in base["parts"]})
+            both = old.withColumn("_new", F.lit(0)).unionByName(new.drop("_part").withColumn("_new", F.lit(1)))
+            merged = latest_wins(both, self.keys, [*self.order, "_new"]).drop("_new").withColumn("_part", self._part())
+            folder = f"data/{version}-{writer}-{int(batch_id)}"
+            merged.hint("rebalance", F.col("_part")).write.mode("overwrite").partitionBy("_part").parquet(f"{self.path}/{folder}")
+        finally:
+            new.unpersist()
+        parts = base["parts"] | {p: f"{folder}/_part={p}" for p in touched}
+        write_file(
+            self.spark, f"{self.path}/_versions/{version}",
+            json.dumps({"writer": writer, "batch": int(batch_id), "parts": parts, "folder": folder}),
+        )
+        self._clean(writer, int(batch_id), version)
+
+    def _clean(self, writer: str, batch_id: int, version: int) -> None:
+        """Drop versions beyond the last few and those that a retry replaced, then folders that no version names."""
+        names = {v: json.loads(read_file(self.spark, f"{self.path}/_versions/{v}")) for v in self._versions()}
+        kept = [v for v in names if v == version or (names[v]["writer"], names[v]["batch"]) != (writer, batch_id)]
+        kept = set(sorted(kept)[-self.kept_versions:])
+        for v in names.keys() - kept:
+            remove_path(self.spark, f"{self.path}/_versions/{v}")
+        used = {folder.split("/")[1] for v in kept for folder in names[v]["parts"].values()}
+        for folder in listed(self.spark, f"{self.path}/data"):
+            if folder not in used:
+                remove_path(self.spark, f"{self.path}/data/{folder}")
 
     def read(self, without: tuple[str, int] | None = None) -> DataFrame:
-        """Current rows; ``without`` leaves out one (writer, batch), which a retry of that batch needs."""
-        log = self.log()
-        if without:
-            log = log.filter(~((F.col("writer") == without[0]) & (F.col("batch") == without[1])))
-        return latest_wins(log, self.keys, [*self.order, "batch"]).select(*self.schema.names)
-
-    def compact(self, path: str) -> UpsertTable:
-        """Write the current rows as the only batch of a new table at ``path``."""
-        table = UpsertTable(self.spark, path, self.schema, self.keys, self.order, self.day_of)
-        table.upsert(self.read(), 0, writer="compacted")
-        return table
+        """Current rows; ``without`` leaves out one (writer, batch) if it was the last, which a retry of it needs."""
+        return self._rows(self._state(without)["parts"])
 
 
 class EmptyExportError(ValueError):

@@ -11,7 +11,7 @@ from stocktide import schemas
 from stocktide.config import BoostSpec, ForestSpec, WindowSpec
 from stocktide.operators import forecast, iforest, validation, windows
 from stocktide.sources import streams, tables
-from stocktide.storage import shared_dir
+from stocktide.storage import listed, shared_dir
 from stocktide.streaming import ledger as stream_ledger
 from stocktide.streaming import pipeline, sinks
 
@@ -129,8 +129,27 @@ def test_upsert_table(spark, folder):
     current = lambda t: {(r.sku_id, r.window_start, r.order_rate) for r in t.read().collect()}
     assert current(table) == want
     assert {r.order_rate for r in table.read(without=("q", 1)).collect()} == {2.0, 3.0}
-    small = table.compact(f"{folder}/compacted")
-    assert current(small) == want and small.log().count() == 3
+    assert table.read().count() == 3
+
+
+def test_upserts_read_as_much_after_many_batches(spark, folder):
+    """Fifty batches of two keys: no more files to read than before, one row per key, retries of the last batch included."""
+    table = pipeline.StreamTables(spark, f"{folder}/many").alerts
+    levels = pipeline.StreamTables(spark, f"{folder}/many").levels
+    rows = lambda i: spark.createDataFrame(
+        [("DS_1", s, NOW + timedelta(minutes=i), i) for s in "AB"], levels.schema
+    )
+    sizes, folders = [], []
+    for i in range(50):
+        levels.upsert(rows(i), i, "q")
+        if i % 10 == 9:
+            levels.upsert(rows(i), i, "q")
+            sizes.append(len(levels.read().inputFiles()))
+            folders.append(len(listed(spark, f"{levels.path}/data")))
+    assert len(set(sizes)) == 1 and max(folders) <= 4
+    assert {(r.sku_id, r.on_hand_latest) for r in levels.read().collect()} == {("A", 49), ("B", 49)}
+    assert {(r.sku_id, r.on_hand_latest) for r in levels.read(without=("q", 49)).collect()} == {("A", 48), ("B", 48)}
+    assert table.read().count() == 0
 
 
 def test_export_scan_and_errors(spark, folder):
