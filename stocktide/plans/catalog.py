@@ -44,15 +44,23 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+_generation = 0
 _opened: dict[tuple[str, str], Retail] = {}
 
 
 def retail_tables(spark: SparkSession, sf_dir: str) -> Retail:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _opened:
-        _opened[key] = Retail(spark, sf_dir)
+        _opened[key] = Retail(spark, sf_dir, _generation)
     return _opened[key]
 
 
+def forget_tables() -> None:
+    """Later queries store their shared tables anew, in another folder."""
+    global _generation
+    _opened.clear()
+    _generation += 1
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(QUERIES[name].run(retail_tables(spark, sf_dir)))

@@ -12,7 +12,7 @@ from stocktide.plans.retail_tables import Retail
 from stocktide.plans.window_queries import line_features
 from stocktide.schemas import FEATURE_KEY
 from stocktide.sources import retail
-from stocktide.streaming import sinks
+from stocktide.streaming import loop, sinks
 
 
 @query("drift_split", "SELECT store_id, sku_id, window_start, side FROM drift_split")
@@ -160,6 +160,26 @@ def retrain_requests(r: Retail) -> DataFrame:
     return retrain.run_requests(_decisions(r))
 
 
+_WANTED = "SELECT run_id FROM drift_runs WHERE NOT skipped AND any_drift"
+
+
+@query(
+    "retrain_passes",
+    f"""SELECT 'first' AS pass, job_name, count(*) AS started FROM ({_WANTED}),
+      (SELECT unnest(['detector_retrain', 'forecaster_retrain']) AS job_name) GROUP BY job_name""",
+)
+def retrain_passes(r: Retail) -> DataFrame:
+    """Two passes over the weekly drift runs, ten minutes apart: the cooldown that the first one writes refuses the second."""
+    runs, limits, at = retail.drift_runs(r.spark, r.sf_dir), r.cooldown_limits(), r.orders_clock()
+    state = loop.LoopState(r.spark, r.path("retrain_loop"))
+    later = at + F.expr("interval 10 minutes")
+    found = [
+        loop.retrain_pass(state, runs, limits, name, now, retail.DRIFT).select(F.lit(name).alias("pass"), "job_name")
+        for name, now in (("first", at), ("second", later))
+    ]
+    return found[0].unionAll(found[1]).groupBy("pass", "job_name").agg(F.count("*").alias("started"))
+
+
 @query(
     "drift_decision",
     """SELECT any_drift AS should_trigger, drifted_features, max_psi FROM drift_summary""",

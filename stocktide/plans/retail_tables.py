@@ -18,10 +18,10 @@ from stocktide.storage import shared_dir, written
 
 
 class Retail:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, generation: int = 0):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
         tag = hashlib.sha256(self.sf_dir.encode()).hexdigest()[:12]
-        self.root = f"{shared_dir(spark)}/{tag}"
+        self.root = f"{shared_dir(spark)}/{tag}-{generation}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
