@@ -231,6 +231,16 @@ def _split(down: DataFrame, levels: Levels, level: int) -> DataFrame:
     return map_rows(down, ["doc_id", "tag", "at", "low", "high", "bytes", "settled"], schema, lambda: parts)
 
 
+def _repeated(found: DataFrame, hashes: DataFrame, max_bits: int) -> DataFrame:
+    """Stored runs. A filter with room lets hardly any others through, which do no harm; one that is too full for the
+    hashes (h, n) is followed by a join with them."""
+    found = staged(found)
+    if 8 * hashes.count() <= max_bits:
+        return found
+    total = hashes.agg(F.sum("n")).first()[0]
+    return staged(spread_join(found, hashes, "h", "n", total).filter("n IS NOT NULL").drop("n"))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, reach: int = REACH, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, tag, start, stop): byte spans that together are all bytes of repeated strings; spans may overlap.
 
@@ -238,9 +248,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, reach: int = REACH, ma
     is never shuffled here.
     """
     spark = docs.sparkSession
-    hashes = _anchor_hashes(docs, length, reach).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = spark.sparkContext.broadcast(bloom(staged(hashes.select("h")), max_bits))
-    first = staged(_runs_of(docs, shared, length, reach, False))
+    hashes = staged(_anchor_hashes(docs, length, reach).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    shared = spark.sparkContext.broadcast(bloom(hashes, max_bits))
+    first = _repeated(_runs_of(docs, shared, length, reach, False), hashes, max_bits)
     covers = staged(first.groupBy("cover").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     judged = staged(spread_join(first, covers, "cover", "n", first.count()))
     span = [F.col("doc_id"), F.col("tag"), (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + length).alias("stop")]
@@ -248,16 +258,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, reach: int = REACH, ma
 
     # Anchors with a run whose cover is not repeated, but whose short string is.
     open_ = judged.groupBy("h").agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("n").isNull(), 1)).alias("open"))
-    open_ = staged(open_.filter("rows > 1 AND open > 0").select("h"))
+    open_ = staged(open_.filter("rows > 1 AND open > 0").select("h", F.col("rows").alias("n")))
     if open_.isEmpty():
         return found[0]
     shared = spark.sparkContext.broadcast(bloom(open_, max_bits))
     kept = ["doc_id", "tag", "at", "low", "high", "cover", "bytes", "settled"]
-    nodes = _runs_of(docs, shared, length, reach, True).withColumn("core", F.col("h").cast("string").cast("binary"))
+    nodes = _repeated(_runs_of(docs, shared, length, reach, True), open_, max_bits).withColumn("core", F.col("h").cast("string").cast("binary"))
     nodes = nodes.withColumn("settled", F.lit(False)).select("core", *kept)
     levels = Levels(length, reach)
     for level in range(len(levels.starts) + 1):
-        nodes = staged(nodes)
+        nodes = staged(nodes) if level else nodes
         if nodes.isEmpty():
             break
         rest = [c for c in kept if c not in ("cover", "settled")]

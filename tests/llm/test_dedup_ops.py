@@ -255,6 +255,15 @@ def test_repeated_strings(spark, length, reach):
     assert Counter(map(tuple, found)) == Counter((i, *w) for (i, _), w in zip(rows, want))
 
 
+def test_repeated_strings_with_a_full_filter(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "bits_for", lambda rows, max_bits: 1 << 15)
+    rows = passages(3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = suffix_dedup.repeated_bytes(docs, 20, 16, max_bits=64).collect()
+    want = brute_repeats([(t or "").encode() for _, t in rows], 20)
+    assert Counter(map(tuple, found)) == Counter((i, *w) for (i, _), w in zip(rows, want))
+
+
 def test_repeated_strings_across_parts(spark, monkeypatch):
     """Texts longer than a part: the same strings at other places of the parts."""
     r = random.Random(9)
