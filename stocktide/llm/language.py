@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm.subword import Spans, SubwordSoftmax, Trained, WordScores, softmax, words
@@ -28,18 +28,15 @@ UNKNOWN = "und"
 
 def training_rows(docs: DataFrame, use, per_language: int) -> list[tuple[str, str]]:
     """At most ``per_language`` whole texts of each language among the rows for which ``use`` holds."""
-    known = docs.filter(use).filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    names = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    known = docs.filter(use).filter("lang IS NOT NULL AND doc_id IS NOT NULL")
     ids = known.select("doc_id", "lang").distinct()
-    parts = [ids.filter(F.col("lang") == n).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_language) for n in names]
-    if not parts:
-        return []
-    chosen = parts[0]
-    for part in parts[1:]:
-        chosen = chosen.unionAll(part)
+    names = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+    # Each task keeps its first rows of a language before anything is shuffled by language.
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = ids.withColumn("at", first).filter(F.col("at") <= per_language).join(F.broadcast(names), "lang").select("doc_id", "lang")
     # At most LANGUAGES * per_language ids, so they are broadcast and the texts are not shuffled.
     found = known.join(F.broadcast(chosen), ["doc_id", "lang"]).select("text", "lang", "doc_id").dropDuplicates(["doc_id", "lang"])
-    return [(r["text"], r["lang"]) for r in sorted(found.toLocalIterator(), key=lambda r: (str(r["doc_id"]), r["lang"]))]
+    return [(r["text"] or "", r["lang"]) for r in sorted(found.toLocalIterator(), key=lambda r: (str(r["doc_id"]), r["lang"]))]
 
 
 @dataclass
