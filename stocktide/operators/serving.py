@@ -65,13 +65,13 @@ def stockout_risks(features: DataFrame, threshold: int = 40, limit: int = 50) ->
 
 
 def latest_features(features: DataFrame) -> DataFrame:
-    """The newest feature row per key."""
+    """The newest feature row per key.
+
+    Column by column, so that the buffers have a fixed width and rows are hashed, not sorted. A key has one row per
+    window, so all columns come from the same row.
+    """
     rest = [c for c in features.columns if c not in KEYS]
-    return (
-        features.groupBy(*KEYS)
-        .agg(F.max_by(F.struct(*rest), "window_end").alias("_row"))
-        .select(*KEYS, "_row.*")
-    )
+    return features.groupBy(*KEYS).agg(*[F.max_by(c, "window_end").alias(c) for c in rest])
 
 
 def surge_alerts(alerts: DataFrame, features: DataFrame, limit: int = 30) -> DataFrame:

@@ -174,3 +174,12 @@ def test_exit_levels_of_every_entry():
             for x in q:
                 level = level - x if level >= x else 20
             assert got[entry] == level
+
+
+def test_latest_features_hash_the_history(spark):
+    from stocktide import schemas
+    from stocktide.operators import serving
+
+    empty = spark.createDataFrame([], schemas.WINDOWED_FEATURES)
+    plan = serving.latest_features(empty.repartition(2))._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
