@@ -64,15 +64,18 @@ def sliding_orders(orders: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFr
 
 
 def merged_events(orders: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Orders and stock movements as one frame, so both can be aggregated in one shuffle."""
+    """Orders and stock movements as one frame, so both can be aggregated in one shuffle.
+
+    A row may be both at once (``is_order``, ``is_move``), where one source has both measures.
+    """
     left = orders.select(
-        *KEYS, "event_time", "event_id", F.lit(True).alias("is_order"), "quantity",
+        *KEYS, "event_time", "event_id", F.lit(True).alias("is_order"), F.lit(False).alias("is_move"), "quantity",
         F.lit(None).cast("int").alias("delta_units"),
         F.lit(None).cast("int").alias("on_hand_after"),
         F.lit(None).cast("string").alias("movement_type"),
     )
     right = inventory.select(
-        *KEYS, "event_time", "event_id", F.lit(False).alias("is_order"),
+        *KEYS, "event_time", "event_id", F.lit(False).alias("is_order"), F.lit(True).alias("is_move"),
         F.lit(None).cast("int").alias("quantity"), "delta_units", "on_hand_after", "movement_type",
     )
     return left.unionByName(right)
@@ -81,7 +84,7 @@ def merged_events(orders: DataFrame, inventory: DataFrame) -> DataFrame:
 def pane_measures(within: Column | None = None) -> list[Column]:
     """Aggregates of one short pane; ``within`` restricts them to a part of a longer window."""
     here = F.lit(True) if within is None else within
-    order, move = here & F.col("is_order"), here & ~F.col("is_order")
+    order, move = here & F.col("is_order"), here & F.col("is_move")
     delta = F.col("delta_units")
     return [
         F.count_if(order).alias("order_count"),
@@ -114,14 +117,18 @@ def feature_assembly(
             "short_rate",
             F.lit(1.0).alias("long_rate"),
         )
-    return assemble_panes(staged(panes(orders, inventory, spec)), spec)
+    return assemble_events(merged_events(orders, inventory), spec)
+
+
+def assemble_events(events: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFrame:
+    """The joined assembly of events in the form of ``merged_events``, which are read once."""
+    return assemble_panes(staged(panes(events, spec)), spec)
 
 
-def panes(orders: DataFrame, inventory: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFrame:
-    """Both inputs collapsed to one row per key and short window, in one aggregation."""
+def panes(events: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFrame:
+    """Events collapsed to one row per key and short window, in one aggregation."""
     return (
-        merged_events(orders, inventory)
-        .groupBy(*KEYS, F.window("event_time", spec.short).alias("pane"))
+        events.groupBy(*KEYS, F.window("event_time", spec.short).alias("pane"))
         .agg(*pane_measures())
         .select(*KEYS, F.col("pane.start").alias("window_start"), *_MEASURES, "on_hand_latest")
     )

@@ -9,7 +9,6 @@ from stocktide.functions.expr import psi_band
 from stocktide.operators import drift, registry, retrain
 from stocktide.plans.catalog import query, rounded
 from stocktide.plans.retail_tables import Retail
-from stocktide.plans.window_queries import line_features
 from stocktide.schemas import FEATURE_KEY
 from stocktide.sources import retail
 from stocktide.streaming import loop, sinks
@@ -69,9 +68,31 @@ def drift_ks_exact(r: Retail) -> DataFrame:
     return drift.ks_test(drift.value_counts(r.split(), retail.DRIFT), retail.DRIFT, "exact")
 
 
+@query(
+    "drift_run_outcomes",
+    """SELECT 'fallback' AS run, count(*) FILTER (NOT is_train) AS n_current, count(*) FILTER (is_train) AS n_reference,
+      FALSE AS skipped, CAST(NULL AS VARCHAR) AS skip_reason, 4 AS n_features FROM holdout
+    UNION ALL SELECT 'thin', count(*) FILTER (NOT is_train), count(*) FILTER (is_train), TRUE, 'insufficient_reference_data', 0
+    FROM holdout""",
+)
+def drift_run_outcomes(r: Retail) -> DataFrame:
+    """A run whose time split is thin falls back to row shares; one that asks for more rows than there are is skipped."""
+    specs = {
+        "fallback": drift.DriftSpec(current_s=0, reference_s=1),
+        "thin": drift.DriftSpec(current_s=0, reference_s=1, min_reference=1 << 60),
+    }
+    out = None
+    for name, spec in specs.items():
+        metrics, summary = drift.drift_run(r.features, spec)
+        row = summary.select(F.lit(name).alias("run"), "n_current", "n_reference", "skipped", F.col("reason").alias("skip_reason"))
+        row = row.withColumn("n_features", metrics.agg(F.count("*")).scalar())
+        out = row if out is None else out.unionAll(row)
+    return out
+
+
 @query("drift_metrics", "SELECT feature, psi, ks_stat, ks_pval, js_div, drifted FROM drift_metrics")
 def drift_metrics(r: Retail) -> DataFrame:
-    return drift.drift_metrics(r.split(), retail.DRIFT, "asymptotic")
+    return r.drift_metrics()
 
 
 @query("drift_report", "SELECT feature, psi, ks_stat, ks_pval, js_div, drifted FROM drift_metrics")
@@ -204,7 +225,6 @@ def _line_drift_sql() -> str:
 @query("line_drift_ranges", _line_drift_sql())
 def line_drift_ranges(r: Retail) -> DataFrame:
     """Half a year of weekly line features against the two years before."""
-    stored = r.stored("line_windowed_features", line_features(r))
-    values = drift.value_counts(drift.time_split(stored, retail.LINE_DRIFT), retail.LINE_DRIFT)
+    values = drift.value_counts(drift.time_split(r.line_features, retail.LINE_DRIFT), retail.LINE_DRIFT)
     ranges = drift.value_ranges(values).filter(F.col("feature") == "order_rate")
     return ranges.select("n_current", "n_reference", "lo", "hi")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide.operators import drift, evaluate, features, scoring, serving, validation, windows
+from stocktide.schemas import WINDOWED_FEATURES
 from stocktide.sources import retail
 from stocktide.storage import shared_dir, written
 
@@ -79,7 +80,7 @@ class Retail:
 
     @cached_property
     def panes(self) -> DataFrame:
-        return self.stored("panes", windows.panes(self.orders, self.inventory, retail.SPEC))
+        return self.stored("panes", windows.panes(windows.merged_events(self.orders, self.inventory), retail.SPEC))
 
     def assembled(self) -> DataFrame:
         return windows.assemble_panes(self.panes, retail.SPEC)
@@ -98,6 +99,13 @@ class Retail:
     def alert_state(self) -> DataFrame:
         return scoring.current_alerts(self.all_alerts())
 
+    @cached_property
+    def line_features(self) -> DataFrame:
+        """Weekly feature rows over all order lines: the input size of this one is the largest table."""
+        rows = windows.assemble_events(retail.line_events(self.spark, self.sf_dir), retail.LINE_SPEC)
+        built = windows.feature_rows(rows, F.col("window_end")).select(*WINDOWED_FEATURES.names)
+        return self.stored("line_windowed_features", built)
+
     @cached_property
     def alerts(self) -> DataFrame:
         resolved = scoring.auto_resolve(self.alert_state(), serving.latest_features(self.features), self.dim_sku)
@@ -127,11 +135,15 @@ class Retail:
     def split(self) -> DataFrame:
         return drift.time_split(self.features, retail.DRIFT)
 
+    @cached_property
+    def drift_run(self) -> tuple[DataFrame, DataFrame]:
+        return drift.drift_run(self.features, retail.DRIFT)
+
     def drift_metrics(self) -> DataFrame:
-        return self.stored("drift_metrics", drift.drift_metrics(self.split(), retail.DRIFT, "asymptotic"))
+        return self.drift_run[0]
 
     def drift_summary(self) -> DataFrame:
-        return drift.drift_summary(self.split(), self.drift_metrics(), retail.DRIFT)
+        return self.drift_run[1]
 
     def metric_log(self) -> DataFrame:
         return self.stored("metric_log", retail.metric_log(self.spark, self.sf_dir))

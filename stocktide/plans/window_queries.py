@@ -12,7 +12,7 @@ from stocktide.operators import features, ledger, profiles, scoring, validation,
 from stocktide.plans.catalog import query, rounded
 from stocktide.plans.oracle import W, start_of
 from stocktide.plans.retail_tables import Retail
-from stocktide.schemas import KEYS, WINDOWED_FEATURES
+from stocktide.schemas import KEYS
 from stocktide.sources import retail, streams
 from stocktide.streaming import pipeline
 
@@ -275,17 +275,9 @@ _LINE_SQL = """SELECT store_id, sku_id, window_start, window_end, order_rate, de
     FROM line_features"""
 
 
-def line_features(r: Retail) -> DataFrame:
-    """Weekly feature rows over all order lines: the input size of this one is the largest table."""
-    rows = windows.feature_assembly(
-        retail.line_orders(r.spark, r.sf_dir), retail.line_movements(r.spark, r.sf_dir), retail.LINE_SPEC
-    )
-    return windows.feature_rows(rows, F.col("window_end")).select(*WINDOWED_FEATURES.names)
-
-
 @query("line_feature_rows", _LINE_SQL)
 def line_feature_rows(r: Retail) -> DataFrame:
-    return line_features(r).drop("updated_at")
+    return r.line_features.drop("updated_at")
 
 
 @query(
@@ -297,8 +289,7 @@ def line_feature_rows(r: Retail) -> DataFrame:
       FROM line_features WINDOW k AS (PARTITION BY store_id, sku_id))""",
 )
 def line_anomaly_features(r: Retail) -> DataFrame:
-    stored = r.stored("line_windowed_features", line_features(r))
-    built = features.anomaly_features(stored, retail.LINE_SPEC.chunk_s)
+    built = features.anomaly_features(r.line_features, retail.LINE_SPEC.chunk_s)
     return rounded(
         built.select(*KEYS, "window_start", "order_rate_zscore", "depletion_vel_zscore"),
         "order_rate_zscore",

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide.config import DriftSpec, WindowSpec
+from stocktide.operators.joins import lookup_join
 
 SPEC = WindowSpec(short_s=21600, long_s=108000, rate_unit_s=21600, watermark_s=3600, chunk_s=7 * 86400)
 DRIFT = DriftSpec(current_s=5 * 86400, reference_s=25 * 86400)
@@ -269,43 +270,36 @@ def drift_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` as order events at scale: region of the supplier sells brand of the part on the ship date."""
-    lines = table(spark, sf_dir, "lineitem")
+def line_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as events at scale: region of the supplier sells brand of the part on the ship date.
+
+    A line is an order and the stock movement that follows from it (returned lines restock, the others sell), so the
+    lines are read and joined once.
+    """
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag"
+    )
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     suppliers = (
         table(spark, sf_dir, "supplier")
-        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", _store_id(F.col("n_regionkey")).alias("store_id"))
-    )
-    parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("sku_id"))
-    return (
-        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            "store_id",
-            "sku_id",
-            F.col("l_shipdate").cast("timestamp").alias("event_time"),
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("event_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("l_extendedprice").alias("unit_price"),
-            "l_returnflag",
-        )
+        .join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey"))  # the 25 nations
+        .select(F.col("s_suppkey").alias("l_suppkey"), _store_id(F.col("n_regionkey")).alias("store_id"))
     )
-
-
-def line_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stock movements of the same lines: returned lines restock, the others sell."""
-    returned = F.col("l_returnflag") == "R"
-    units = F.col("quantity")
-    return line_orders(spark, sf_dir).select(
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("sku_id"))
+    line = ["l_orderkey", "l_linenumber"]
+    placed = lookup_join(lookup_join(lines, suppliers, ["l_suppkey"], line, "inner"), parts, ["l_partkey"], line, "inner")
+    returned, units = F.col("l_returnflag") == "R", F.col("l_quantity").cast("int")
+    return placed.select(
         "store_id",
         "sku_id",
-        "event_time",
-        "event_id",
-        F.when(returned, "restock").otherwise("sale").alias("movement_type"),
+        F.col("l_shipdate").cast("timestamp").alias("event_time"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("event_id"),
+        F.lit(True).alias("is_order"),
+        F.lit(True).alias("is_move"),
+        units.alias("quantity"),
         F.when(returned, units).otherwise(-units).alias("delta_units"),
         units.alias("on_hand_after"),
+        F.when(returned, "restock").otherwise("sale").alias("movement_type"),
     )
 
 
