@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktide.functions.expr import col
+from stocktide.storage import staged
 
 CHUNK = "_chunk"
 
@@ -30,7 +31,7 @@ def neighbours(
     order: list[str],
     value: Column | str,
     depth: int,
-    chunk_s: int,
+    chunk_s: int | None,
     prefix: str,
     forward: bool = True,
 ) -> DataFrame:
@@ -38,9 +39,11 @@ def neighbours(
 
     Same as ``lag(value, i)`` over the whole key. ``order[0]`` must be the time column and
     ``order`` must be unique within the key. Neighbours across a chunk border come from the last
-    ``depth`` rows of the preceding chunks.
+    ``depth`` rows of the preceding chunks. Without ``chunk_s`` the chunks are of even size in rows, not in time,
+    for raw rows of which one key may have many at once.
     """
-    base = with_chunk(df, order[0], chunk_s).withColumn("_v", col(value))
+    chunked = ranged(df, [*keys, *order], CHUNK) if chunk_s is None else with_chunk(df, order[0], chunk_s)
+    base = chunked.withColumn("_v", col(value))
     in_chunk = Window.partitionBy(*keys, CHUNK).orderBy(*_ordering(order, forward))
     from_end = Window.partitionBy(*keys, CHUNK).orderBy(*_ordering(order, not forward))
     by_chunk = Window.partitionBy(*keys).orderBy(F.col(CHUNK).asc() if forward else F.col(CHUNK).desc())
@@ -146,36 +149,39 @@ def standardise(
     return joined.select(*[F.col(c) for c in df.columns], *scores)
 
 
-def running_totals(
-    df: DataFrame, groups: list[str], value: str, bucket: Column, sums: list[str]
-) -> DataFrame:
+def ranged(df: DataFrame, order: list[str], part: str) -> DataFrame:
+    """The rows with ``part``, a number that does not fall in the given order; parts hold about as many rows each.
+
+    The borders come from the data, so neither long common heads, outliers nor one busy hour fill a part. Stored, because
+    the borders are drawn anew whenever the plan runs.
+    """
+    return staged(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
+
+
+def running_totals(df: DataFrame, groups: list[str], value: str, sums: list[str]) -> DataFrame:
     """Collapse to distinct ``value`` per group and add inclusive running sums ``cum_*`` and totals ``all_*``.
 
-    ``bucket`` must be a non-decreasing function of ``value``. Buckets are summed first, the prefix over
-    bucket totals is taken per group, and rows are ordered only inside a bucket.
+    Distinct values are cut into parts of even size. Parts are summed first, the prefix over part totals is
+    taken per group, and rows are ordered only inside a part.
     """
-    distinct = (
-        df.groupBy(*groups, value)
-        .agg(*[F.sum(s).alias(s) for s in sums])
-        .withColumn("_bucket", bucket)
-    )
-    per_bucket = distinct.groupBy(*groups, "_bucket").agg(*[F.sum(s).alias(f"_b_{s}") for s in sums])
-    ordered = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    distinct = ranged(df.groupBy(*groups, value).agg(*[F.sum(s).alias(s) for s in sums]), [*groups, value], "_part")
+    per_part = distinct.groupBy(*groups, "_part").agg(*[F.sum(s).alias(f"_b_{s}") for s in sums])
+    ordered = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)
-    offsets = per_bucket.select(
+    offsets = per_part.select(
         *groups,
-        "_bucket",
+        "_part",
         *[F.coalesce(F.sum(f"_b_{s}").over(ordered), F.lit(0)).alias(f"_o_{s}") for s in sums],
         *[F.sum(f"_b_{s}").over(whole).alias(f"all_{s}") for s in sums],
     )
-    in_bucket = (
-        Window.partitionBy(*groups, "_bucket")
+    in_part = (
+        Window.partitionBy(*groups, "_part")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        distinct.withColumns({f"_c_{s}": F.sum(s).over(in_bucket) for s in sums})
-        .join(offsets, [*groups, "_bucket"])
+        distinct.withColumns({f"_c_{s}": F.sum(s).over(in_part) for s in sums})
+        .join(offsets, [*groups, "_part"])
         .select(
             *groups,
             value,

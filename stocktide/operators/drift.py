@@ -2,7 +2,7 @@
 
 All monitored features go through one long frame, collapsed to counts per distinct value with partial
 aggregation. Histograms and the Kolmogorov–Smirnov statistic are computed from those counts; the latter
-orders values bucket by bucket.
+orders values in parts of even size.
 """
 
 from __future__ import annotations
@@ -160,21 +160,11 @@ def js_divergence(bins: DataFrame) -> DataFrame:
     return bins.groupBy("feature").agg(F.round(F.least(F.abs(total), F.lit(1.0)), 6).alias("js_div"))
 
 
-def _order_bucket() -> Column:
-    """Non-decreasing in ``value``: a fine equal-width part plus a logarithmic part for heavy tails."""
-    width = F.when(F.col("hi") > F.col("lo"), (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")))
-    linear = F.floor(F.coalesce(width, F.lit(0.0)) * 4096)
-    magnitude = F.floor(F.signum("value") * F.log2(1 + F.abs("value") * 10_000) * 64)
-    return (linear + magnitude).cast("long")
-
-
 def ks_statistic(counts: DataFrame, spec: DriftSpec = DriftSpec(), ranges: DataFrame | None = None) -> DataFrame:
     """Largest gap between the two empirical distribution functions per feature, with the sample sizes."""
     ranges = value_ranges(counts) if ranges is None else ranges
-    placed = _with_ranges(counts, ranges, spec).select(
-        "feature", F.struct(_order_bucket().alias("place"), "value").alias("_key"), "reference", "current"
-    )
-    totals = running_totals(placed, ["feature"], "_key", F.col("_key.place"), ["reference", "current"])
+    wanted = _with_ranges(counts, ranges, spec).select("feature", "value", "reference", "current")
+    totals = running_totals(wanted, ["feature"], "value", ["reference", "current"])
     gap = F.abs(
         F.col("cum_reference") / F.col("all_reference") - F.col("cum_current") / F.col("all_current")
     )

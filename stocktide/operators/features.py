@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stocktide import schemas
 from stocktide.functions import expr
-from stocktide.operators.chunks import neighbours, standardise
+from stocktide.operators.chunks import neighbours, ranged, standardise
 from stocktide.operators.joins import lookup_join
 from stocktide.schemas import KEYS
 from stocktide.storage import staged
@@ -98,28 +98,17 @@ def online_forecast_features(df: DataFrame, chunk_s: int = DEFAULT_CHUNK_S) -> D
 def label_codes(df: DataFrame, column: str, code: str) -> DataFrame:
     """Dense codes 0.. of the distinct values in sorted order; one row per distinct value.
 
-    Ids are numbered level by level of their leading characters: within ids that share four characters, those
-    that share eight are counted and offset, and so on. No task orders all ids.
+    Distinct ids are cut into parts of even size in order, counted per part and numbered inside; no task orders all.
     """
-    levels = (4, 8, 12)
-    ids = (
-        df.select(F.col(column).cast("string").alias(column))
-        .distinct()
-        .withColumns({f"_p{n}": F.substring(column, 1, n) for n in levels})
+    ids = ranged(df.select(F.col(column).cast("string").alias(column)).dropna().distinct(), [column], "_part")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    starts = ids.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    )
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(column)) - 1
+    return ids.withColumn("_inside", inside).join(starts, "_part").select(
+        column, (F.col("_start") + F.col("_inside")).cast("int").alias(code)
     )
-    out = ids.withColumn("_offset", F.lit(0).cast("long"))
-    shared: list[str] = []
-    for n in levels:
-        head = f"_p{n}"
-        sizes = ids.groupBy(*shared, head).agg(F.count("*").alias("_n"))
-        before = Window.partitionBy(*shared).orderBy(head).rowsBetween(Window.unboundedPreceding, -1)
-        starts = sizes.select(*shared, head, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-        out = (
-            out.join(starts, [*shared, head]).withColumn("_offset", F.col("_offset") + F.col("_start")).drop("_start")
-        )
-        shared = [*shared, head]
-    inside = F.row_number().over(Window.partitionBy(*shared).orderBy(column)) - 1
-    return out.select(column, (F.col("_offset") + inside).cast("int").alias(code))
 
 
 def label_encode(df: DataFrame) -> DataFrame:

@@ -38,26 +38,17 @@ def demand_profile(orders: DataFrame) -> DataFrame:
 
 
 def _ranked(orders: DataFrame, by: str = "sku_id") -> DataFrame:
-    """Distinct ids with orders, dense position by count descending, then id; positions come bucket by bucket."""
-    counts = staged(orders.groupBy(by).agg(F.count("*").alias("orders")))
+    """Distinct ids with orders, dense position by count descending, then id; positions come part by part."""
+    counts = orders.groupBy(by).agg(F.count("*").alias("orders"))
     place = counts.select(
-        by, "orders", F.lit(1).alias("_one"), F.struct((-F.col("orders")).alias("n"), F.col(by).alias("id")).alias("_k")
+        F.lit(1).alias("_all"), F.struct((-F.col("orders")).alias("n"), F.col(by).alias("id")).alias("_k"), F.lit(1).alias("_one"), "orders"
     )
-    # A fine logarithm of the count; counts up to 256 each have a bucket of their own, cut by the head of the id.
-    count = -F.col("_k.n")
-    bucket = F.struct(
-        F.floor(-F.log2(count.cast("double")) * 256).alias("b"),
-        F.when(count <= 256, F.substring("_k.id", 1, 8)).otherwise("").alias("h"),
-    )
-    return (
-        running_totals(place.withColumn("_all", F.lit(1)), ["_all"], "_k", bucket, ["_one", "orders"])
-        .select(
-            F.col("_k.id").alias(by),
-            "orders",
-            F.col("cum__one").cast("long").alias("rank"),
-            (F.col("orders") / F.col("all_orders")).alias("share"),
-            (F.col("cum_orders") / F.col("all_orders")).alias("cum_share"),
-        )
+    return running_totals(place, ["_all"], "_k", ["_one", "orders"]).select(
+        F.col("_k.id").alias(by),
+        "orders",
+        F.col("cum__one").cast("long").alias("rank"),
+        (F.col("orders") / F.col("all_orders")).alias("share"),
+        (F.col("cum_orders") / F.col("all_orders")).alias("cum_share"),
     )
 
 
@@ -80,26 +71,25 @@ def basket_distribution(orders: DataFrame) -> DataFrame:
     return counts.withColumn("share", F.col("orders") / total)
 
 
-def interarrival_stats(orders: DataFrame, chunk_s: int = 3600) -> DataFrame:
+def interarrival_stats(orders: DataFrame) -> DataFrame:
     """Gaps between consecutive orders of a store: count, mean, deviation and 95th percentile in seconds.
 
-    The percentile is the smallest gap that at least 95 % of the gaps do not exceed, found from counts per distinct gap.
+    Orders are cut into parts of even size in order of store and time, so a busy store is spread over many. All figures
+    come from counts per distinct gap; the percentile is the smallest gap that at least 95 % of the gaps do not exceed.
     """
-    gaps = staged(
-        neighbours(orders.select("store_id", "event_time", "event_id"), ["store_id"], ["event_time", "event_id"],
-                   "event_time", 1, chunk_s, "_prev")
-        .filter(F.col("_prev1").isNotNull())
-        .select("store_id", seconds_between(F.col("event_time"), F.col("_prev1")).alias("gap_s"))
+    paired = neighbours(
+        orders.select("store_id", "event_time", "event_id"), ["store_id"], ["event_time", "event_id"], "event_time", 1, None, "_prev"
     )
-    moments = gaps.groupBy("store_id").agg(
-        F.count("*").alias("n_gaps"), F.avg("gap_s").alias("mean_gap_s"), F.stddev_samp("gap_s").alias("std_gap_s")
+    gap = seconds_between(F.col("event_time"), F.col("_prev1"))
+    gaps = staged(paired.filter(F.col("_prev1").isNotNull()).groupBy("store_id", gap.alias("gap_s")).agg(F.count("*").alias("n")))
+    means = gaps.groupBy("store_id").agg(
+        F.sum("n").alias("n_gaps"), (F.sum(F.col("n") * F.col("gap_s")) / F.sum("n")).alias("mean_gap_s")
     )
-    # A bucket per 1/256 octave: gaps of g seconds cannot occur more often than history / g.
-    bucket = F.floor(F.log2(1 + F.col("gap_s") * 1_000_000) * 256).cast("long")
-    totals = running_totals(gaps.withColumn("_one", F.lit(1)), ["store_id"], "gap_s", bucket, ["_one"])
-    p95 = (
-        totals.filter(F.col("cum__one") >= F.ceil(F.col("all__one") * 0.95))
-        .groupBy("store_id")
-        .agg(F.min("gap_s").alias("p95_gap_s"))
+    off = F.col("gap_s") - F.col("mean_gap_s")
+    spread = gaps.join(means, "store_id").groupBy("store_id", "n_gaps", "mean_gap_s").agg(F.sum(F.col("n") * off * off).alias("_square"))
+    moments = spread.select(
+        "store_id", "n_gaps", "mean_gap_s", F.sqrt(F.try_divide(F.col("_square"), F.col("n_gaps") - 1)).alias("std_gap_s")
     )
+    totals = running_totals(gaps, ["store_id"], "gap_s", ["n"])
+    p95 = totals.filter(F.col("cum_n") >= F.ceil(F.col("all_n") * 0.95)).groupBy("store_id").agg(F.min("gap_s").alias("p95_gap_s"))
     return moments.join(p95, "store_id", "left")

@@ -250,7 +250,7 @@ def basket_distribution(r: Retail) -> DataFrame:
         ORDER BY event_time, event_id))) / 1000000.0::DOUBLE AS gap FROM vorders) WHERE gap IS NOT NULL GROUP BY store_id""",
 )
 def interarrival_stats(r: Retail) -> DataFrame:
-    stats = profiles.interarrival_stats(r.orders, chunk_s=86400)
+    stats = profiles.interarrival_stats(r.orders)
     return rounded(stats, "mean_gap_s", "std_gap_s", "p95_gap_s")
 
 

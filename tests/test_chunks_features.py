@@ -75,7 +75,7 @@ def test_running_totals(spark):
     rng = np.random.default_rng(5)
     rows = [(("g1", "g2")[int(rng.random() < 0.3)], float(rng.integers(0, 60)), int(rng.integers(0, 5))) for _ in range(500)]
     df = spark.createDataFrame(rows, "g STRING, v DOUBLE, n INT")
-    got = chunks.running_totals(df, ["g"], "v", F.floor(F.col("v") / 7), ["n"]).toPandas()
+    got = chunks.running_totals(df, ["g"], "v", ["n"]).toPandas()
     pdf = pd.DataFrame(rows, columns=["g", "v", "n"]).groupby(["g", "v"], as_index=False)["n"].sum()
     pdf["cum"] = pdf.groupby("g")["n"].cumsum()
     merged = got.merge(pdf, on=["g", "v"])
@@ -157,6 +157,42 @@ def test_online_builders(spark, df, hist):
     assert tuple(row) == (0.0, 0.0, 1.0, 0, 0.0, 0.0)
 
 
+def largest_part(df, column):
+    sizes = [r["n"] for r in df.groupBy(column).agg(F.count("*").alias("n")).collect()]
+    return max(sizes) / sum(sizes)
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    """These rows are few enough for adaptive execution to put them into one part."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_parts_are_even_whatever_the_values(spark, uncoalesced):
+    """Ids that share twenty characters, an outlier, and one store with nine tenths of all events within an hour."""
+    ids = spark.range(4000).select(F.concat(F.lit("product-with-long-head-"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("id"))
+    assert largest_part(chunks.ranged(ids, ["id"], "p"), "p") < 0.5
+    values = spark.range(4000).select((1000 + F.col("id") / 1e4).alias("v")).unionAll(spark.sql("SELECT 1e9D AS v"))
+    assert largest_part(chunks.ranged(values, ["v"], "p"), "p") < 0.5
+    events = spark.range(4000).select(F.when(F.col("id") < 3600, "busy").otherwise("calm").alias("s"), F.col("id").alias("t"))
+    assert largest_part(chunks.ranged(events, ["s", "t"], "p"), "p") < 0.5
+
+
+@pytest.mark.parametrize("forward", [True, False])
+def test_neighbours_in_parts_of_even_size(spark, uncoalesced, forward):
+    rows = [("busy" if i % 10 else "calm", BASE, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k STRING, ts TIMESTAMP, i LONG")
+    got = chunks.neighbours(df, ["k"], ["ts", "i"], "i", 2, None, "n", forward=forward).collect()
+    for k in ("busy", "calm"):
+        ids = [i for s, _, i in rows if s == k]
+        at = {i: j for j, i in enumerate(ids)}
+        step = -1 if forward else 1
+        find = lambda j: ids[j] if 0 <= j < len(ids) else None
+        assert all((r.n1, r.n2) == (find(at[r.i] + step), find(at[r.i] + 2 * step)) for r in got if r.k == k)
+
+
 def test_label_codes_are_dense_and_sorted(spark):
     ids = sorted({f"SKU_{i * 37 % 4000:05d}" for i in range(700)} | {"A", "SKU_00001X", "sku", "SKU_"})
     df = spark.createDataFrame([(x,) for x in ids * 2], "sku_id STRING")

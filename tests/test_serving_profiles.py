@@ -124,10 +124,9 @@ def test_slope_of_an_exact_power_law(spark):
     assert profiles.popularity_slope(df).first().slope == pytest.approx(-1.2)
 
 
-@pytest.mark.parametrize("chunk_s", [300, 10**7])
-def test_gaps(events, chunk_s):
+def test_gaps(events):
     rows, df = events
-    for r in profiles.interarrival_stats(df, chunk_s).collect():
+    for r in profiles.interarrival_stats(df).collect():
         times = sorted((x[3], x[0]) for x in rows if x[1] == r.store_id)
         gaps = np.array([(b[0] - a[0]).total_seconds() for a, b in zip(times, times[1:])])
         assert r.n_gaps == len(gaps) and r.mean_gap_s == pytest.approx(gaps.mean())
