@@ -74,7 +74,17 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the tables behind staged frames that nothing reads any more; what was made from them must be stored."""
+    for frame in frames:
+        path = getattr(frame, "_staged_at", None)
+        if path:
+            remove_path(frame.sparkSession, path)
 
 
 def written(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
