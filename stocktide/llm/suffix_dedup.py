@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from stocktide.llm.hot import MAX_BITS, apart_by, bits_for, bitmaps_of, spread_join
 from stocktide.llm.worker import map_rows, per_worker
-from stocktide.storage import staged
+from stocktide.storage import discard, staged
 
 LENGTH = 200
 #: Positions that are searched for the smallest hash; the short string at an anchor has LENGTH - REACH + 1 bytes.
@@ -187,50 +187,41 @@ def _anchor_hashes(docs: DataFrame, length: int, reach: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "h long")
 
 
-def _runs_of(docs: DataFrame, shared, length: int, reach: int, context: bool) -> DataFrame:
-    """The runs whose anchor hash the shared filter has: with their cover's rank, and the cover itself if asked."""
+def _ident(cover: bytes, tag: int, at: int) -> int:
+    """A number for one run of one text; clashes only let more rows through a filter."""
+    return xxhash.xxh64_intdigest(b"%d,%d," % (tag, at) + cover) - (1 << 63)
+
+
+def _selected(texts: list[bytes], tags: list[int], bits: np.ndarray, length: int, reach: int) -> Iterator[tuple]:
+    """(text, anchor, low, high, hash, cover's rank, ident, cover) of the runs whose anchor hash the filter has."""
+    for r in runs(texts, length, reach):
+        some = np.flatnonzero(in_bloom(bits, r.h))
+        for text, at, first, last, h in zip(*(x[some].tolist() for x in (r.text, r.at, r.first, r.last, r.h.view(np.int64)))):
+            cover = texts[text][first:last + length]
+            rank = rank_of(cover, at - last, at - first)
+            yield text, at, at - last, at - first, h, rank, _ident(rank, tags[text], at), cover
+
+
+def _runs_of(docs: DataFrame, shared, length: int, reach: int) -> DataFrame:
+    """The runs whose anchor hash the shared filter has, with the rank of their cover."""
 
     def start():
         bits = shared.value
 
         def found(ids, tags, texts):
-            texts, out = _bytes(texts), [[] for _ in range(8)]
-            for r in runs(texts, length, reach):
-                some = np.flatnonzero(in_bloom(bits, r.h))
-                for text, at, first, last, h in zip(*(x[some].tolist() for x in (r.text, r.at, r.first, r.last, r.h.view(np.int64)))):
-                    cover = texts[text][first:last + length]
-                    row = (ids[text], tags[text], at, at - last, at - first, h, rank_of(cover, at - last, at - first), cover)
-                    for values, v in zip(out, row):
-                        values.append(v)
-            return out if context else out[:7]
+            out = [[] for _ in range(8)]
+            for text, *rest, _ in _selected(_bytes(texts), tags, bits, length, reach):
+                for values, v in zip(out, (ids[text], tags[text], *rest)):
+                    values.append(v)
+            return out
 
         return found
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, tag int, at long, low int, high int, h long, cover binary" + ", bytes binary" * context
+    schema = f"doc_id {kind}, tag int, at long, low int, high int, h long, cover binary, ident long"
     return map_rows(docs, ["doc_id", "tag", "text"], schema, start)
 
 
-def _split(down: DataFrame, levels: Levels, level: int) -> DataFrame:
-    """The parts of runs at the next level, each with its core's and its cover's rank and the bytes of the cover."""
-
-    def parts(ids, tags, ats, lows, highs, datas, settled):
-        out = [[] for _ in range(9)]
-        for doc_id, tag, at, low, high, data, done in zip(ids, tags, ats, lows, highs, datas, settled):
-            for a, b, lo, hi in levels.children(level, low, high):
-                # data starts at distance ``high``; the part's outermost positions are a and b - 1
-                core = data[high - a:high - (b - 1) + levels.length]
-                cover = data[high - hi:high - lo + levels.length]
-                row = (doc_id, tag, at, lo, hi, rank_of(core, a, b), rank_of(cover, lo, hi), cover, done)
-                for values, v in zip(out, row):
-                    values.append(v)
-        return out
-
-    kind = down.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, tag int, at long, low int, high int, core binary, cover binary, bytes binary, settled boolean"
-    return map_rows(down, ["doc_id", "tag", "at", "low", "high", "bytes", "settled"], schema, lambda: parts)
-
-
 def _repeated(found: DataFrame, hashes: DataFrame, max_bits: int) -> DataFrame:
     """Stored runs. A filter with room lets hardly any others through, which do no harm; one that is too full for the
     hashes (h, n) is followed by a join with them."""
@@ -238,56 +229,121 @@ def _repeated(found: DataFrame, hashes: DataFrame, max_bits: int) -> DataFrame:
     if 8 * hashes.count() <= max_bits:
         return found
     total = hashes.agg(F.sum("n")).first()[0]
-    return staged(spread_join(found, hashes, "h", "n", total).filter("n IS NOT NULL").drop("n"))
+    joined = staged(spread_join(found, hashes, "h", "n", total).filter("n IS NOT NULL").drop("n"))
+    discard(found)
+    return joined
+
+
+NODE = "doc_id {kind}, tag int, at long, low int, high int, core binary, cover binary, ident long, parent long, bytes binary"
+
+
+def _parts(row: tuple, ident: int, data: bytes, levels: Levels, level: int, out: list[list]) -> None:
+    """Add the parts of a run at the next level: core's and cover's rank, and the bytes of the cover."""
+    doc_id, tag, at, low, high = row
+    for a, b, lo, hi in levels.children(level, low, high):
+        # data starts at distance ``high``; the part's outermost positions are a and b - 1
+        core = data[high - a:high - (b - 1) + levels.length]
+        cover = data[high - hi:high - lo + levels.length]
+        rank = rank_of(cover, lo, hi)
+        made = (doc_id, tag, at, lo, hi, rank_of(core, a, b), rank, _ident(rank, tag, at), ident, cover)
+        for values, v in zip(out, made):
+            values.append(v)
+
+
+def _first_parts(docs: DataFrame, hashes, chosen, levels: Levels) -> DataFrame:
+    """The first parts of the runs whose anchor hash and whose ident the shared filters have."""
+
+    def start():
+        by_hash, by_ident = hashes.value, chosen.value
+
+        def split(ids, tags, texts):
+            out, found = [[] for _ in range(10)], list(_selected(_bytes(texts), tags, by_hash, levels.length, levels.reach))
+            keep = in_bloom(by_ident, np.array([f[6] for f in found], np.int64).view(np.uint64)) if found else []
+            for (text, at, low, high, _, _, ident, cover), wanted in zip(found, keep):
+                if wanted:
+                    _parts((ids[text], tags[text], at, low, high), ident, cover, levels, 0, out)
+            return out
+
+        return split
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_rows(docs, ["doc_id", "tag", "text"], NODE.format(kind=kind), start)
+
+
+def _next_parts(nodes: DataFrame, chosen, levels: Levels, level: int) -> DataFrame:
+    """The parts of the nodes whose ident the shared filter has. Their bytes are never shuffled."""
+
+    def start():
+        by_ident = chosen.value
+
+        def split(ids, tags, ats, lows, highs, idents, datas):
+            out = [[] for _ in range(10)]
+            keep = in_bloom(by_ident, np.array(idents, np.int64).view(np.uint64))
+            for doc_id, tag, at, low, high, ident, data, wanted in zip(ids, tags, ats, lows, highs, idents, datas, keep):
+                if wanted:
+                    _parts((doc_id, tag, at, low, high), ident, data, levels, level, out)
+            return out
+
+        return split
+
+    kind = nodes.schema["doc_id"].dataType.simpleString()
+    return map_rows(nodes, ["doc_id", "tag", "at", "low", "high", "ident", "bytes"], NODE.format(kind=kind), start)
+
+
+def _to_split(classes: DataFrame, core: str) -> DataFrame:
+    """(ident, settled) of one run per different cover, for all covers of a core that has several, one of them open."""
+    cores = classes.groupBy(core).agg(F.count(F.lit(1)).alias("ways"), F.count(F.when(~F.col("settled"), 1)).alias("open"))
+    cores = staged(cores.filter("ways > 1 AND open > 0").select(core, "ways"))
+    down = spread_join(classes.select(core, "ident", "settled"), cores, core, "ways", classes.count())
+    out = staged(down.filter("ways IS NOT NULL").groupBy("ident").agg(F.max("settled").alias("settled")))
+    discard(cores)
+    return out
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, reach: int = REACH, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, tag, start, stop): byte spans that together are all bytes of repeated strings; spans may overlap.
 
     ``docs`` has doc_id, tag and text; equal (doc_id, tag) must mean equal texts. It is read three times, and a text
-    is never shuffled here.
+    is never shuffled here. What a round has used up is removed from the shared folder.
     """
-    spark = docs.sparkSession
-    hashes = staged(_anchor_hashes(docs, length, reach).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    shared = spark.sparkContext.broadcast(bloom(hashes, max_bits))
-    first = _repeated(_runs_of(docs, shared, length, reach, False), hashes, max_bits)
-    covers = staged(first.groupBy("cover").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    judged = staged(spread_join(first, covers, "cover", "n", first.count()))
+    spark, levels = docs.sparkSession, Levels(length, reach)
+    share = lambda hashes: spark.sparkContext.broadcast(bloom(hashes, max_bits))
     span = [F.col("doc_id"), F.col("tag"), (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + length).alias("stop")]
-    found = [judged.filter("n > 1").select(span)]
-
-    # Anchors with a run whose cover is not repeated, but whose short string is.
-    open_ = judged.groupBy("h").agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("n").isNull(), 1)).alias("open"))
-    open_ = staged(open_.filter("rows > 1 AND open > 0").select("h", F.col("rows").alias("n")))
-    if open_.isEmpty():
-        return found[0]
-    shared = spark.sparkContext.broadcast(bloom(open_, max_bits))
-    kept = ["doc_id", "tag", "at", "low", "high", "cover", "bytes", "settled"]
-    nodes = _repeated(_runs_of(docs, shared, length, reach, True), open_, max_bits).withColumn("core", F.col("h").cast("string").cast("binary"))
-    nodes = nodes.withColumn("settled", F.lit(False)).select("core", *kept)
-    levels = Levels(length, reach)
-    for level in range(len(levels.starts) + 1):
-        nodes = staged(nodes) if level else nodes
-        if nodes.isEmpty():
+
+    # Runs whose anchor's short string is repeated, and their different covers.
+    hashes = staged(_anchor_hashes(docs, length, reach).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    by_hash = share(hashes)
+    runs_ = _repeated(_runs_of(docs, by_hash, length, reach), hashes, max_bits)
+    covers = staged(
+        runs_.groupBy("cover").agg(F.count(F.lit(1)).alias("n"), F.first("h").alias("h"), F.first("ident").alias("ident"))
+        .withColumn("settled", F.col("n") > 1)
+    )
+    # A run is repeated as a whole unless its cover is the only one of its kind.
+    single = staged(covers.filter("NOT settled").select(F.col("cover").alias("key"), F.lit(True).alias("single")))
+    _, whole = apart_by(runs_.select("doc_id", "tag", "at", "low", "high", F.col("cover").alias("key")), single, max_bits)
+    found = [staged(whole.select(span))]
+    down = _to_split(covers, "h")
+    discard(hashes, runs_, covers, single)
+
+    nodes = None
+    for level in range(len(levels.starts)):
+        if down.isEmpty():
             break
-        rest = [c for c in kept if c not in ("cover", "settled")]
+        chosen = share(down.select(F.col("ident").alias("h")))
+        before, above = nodes, down
+        nodes = staged(_first_parts(docs, by_hash, chosen, levels) if level == 0 else _next_parts(nodes, chosen, levels, level))
+        light = nodes.drop("bytes").join(above.select(F.col("ident").alias("parent"), "settled"), "parent")
+        light = staged(light.drop("parent"))
         classes = staged(
-            nodes.groupBy("core", "cover").agg(
-                F.count(F.lit(1)).alias("n"), F.max("settled").alias("done"), F.first(F.struct(*rest)).alias("one")
+            light.groupBy("core", "cover").agg(
+                F.count(F.lit(1)).alias("n"), F.max("settled").alias("done"), F.first("ident").alias("ident")
             ).withColumn("settled", F.col("done") | (F.col("n") > 1))
         )
-        if level:  # those of the first level are known from above
-            again = classes.filter("settled").select("cover", F.col("n").alias("size"))
-            new = nodes.filter("NOT settled").select("doc_id", "tag", "at", "low", "high", "cover")
-            found.append(staged(spread_join(new, again, "cover", "size", nodes.count()).filter("size IS NOT NULL").select(span)))
-        if level == len(levels.starts):
-            break
-        cores = staged(
-            classes.groupBy("core").agg(F.count(F.lit(1)).alias("ways"), F.count(F.when(~F.col("settled"), 1)).alias("open"))
-            .filter("ways > 1 AND open > 0").select("core", "ways")
-        )
-        down = spread_join(classes.select("core", "one", "settled"), cores, "core", "ways", classes.count())
-        nodes = _split(down.filter("ways IS NOT NULL").select("one.*", "settled"), levels, level).select("core", *kept)
+        again = classes.filter("settled").select("cover", F.col("n").alias("size"))
+        new = light.filter("NOT settled").select("doc_id", "tag", "at", "low", "high", "cover")
+        found.append(staged(spread_join(new, again, "cover", "size", light.count()).filter("size IS NOT NULL").select(span)))
+        down = _to_split(classes, "core")
+        discard(before, above, light, classes) if before is not None else discard(above, light, classes)
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)
