@@ -21,15 +21,16 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stocktide.llm.tokens import read_text
+from stocktide.llm.tokens import COMMON, byte_letters, read_text
 from stocktide.llm.worker import Bounded, map_rows, per_worker, renamed
 from stocktide.storage import staged
 
 #: Words a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 800_000
 #: Pieces that one task ranks within one length.
 RANKED = 100_000
 #: Characters that Python takes as blanks and the tokenizer's pattern does not.
@@ -41,32 +42,48 @@ Filling = list[tuple[int, int]]  # (length, how many) from the start of the sequ
 class WordIds:
     """Token ids as 32-bit little-endian bytes, by a tokenizer that drops white space.
 
-    Its normaliser and split never look across white space, so each word's ids can be found once and remembered.
-    New words of a text are encoded in one call, parted by a special token.
+    Its normaliser and split never look across white space, so each word's ids can be found once and remembered. In texts
+    of common characters, normalising is lower-casing, so new words go straight to the tokenizer's merges; words of
+    other texts take its whole way, all new ones of a text in one call, parted by a special token.
     """
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
+        spec = json.loads(tokenizer_json)
+        steps = [step["type"] for step in spec["normalizer"]["normalizers"]]
+        first, second = spec["pre_tokenizer"]["pretokenizers"]
+        if steps != ["NFC", "Replace", "Lowercase"] or first["type"] != "Split" or second["type"] != "ByteLevel" or second["use_regex"]:
+            raise ValueError("the tokenizer normalises or splits in another way")
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        special = [(t["content"], t["id"]) for t in json.loads(tokenizer_json)["added_tokens"]]
+        self.split, self.model = regex.compile(first["pattern"]["Regex"]).findall, self.tokenizer.model
+        self.letters = dict(enumerate(byte_letters()))
+        special = [(t["content"], t["id"]) for t in spec["added_tokens"]]
         self.special, (self.border, self.border_id) = [s for s, _ in special], special[0]
         self.known = Bounded(REMEMBERED)
 
     def library(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def merged(self, word: str) -> bytes:
+        """Ids of a word of common characters in lower case."""
+        tokens = [t.id for p in self.split(word) for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(tokens)}I", *tokens)
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if any(s in text for s in self.special) or UNSURE.search(text):
             return np.array(self.library(text), "<u4").tobytes()
-        words, known = text.split(), self.known
+        common = COMMON.fullmatch(text)
+        words, known = (text.lower() if common else text).split(), self.known
         known.room_for(len(words))
         new = [w for w in set(words) if w not in known]
-        if new:
+        if common:
+            known.update(zip(new, map(self.merged, new)))
+        elif new:
             ids = np.array(self.library(self.border.join(new)), "<u4")
             cuts = np.flatnonzero(ids == self.border_id)
             starts, stops = np.append(0, cuts + 1), np.append(cuts, len(ids))
