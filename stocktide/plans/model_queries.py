@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktide import schemas
+from stocktide.config import ForestSpec
 from stocktide.operators import evaluate, features, forecast, iforest, registry, scoring
 from stocktide.plans.catalog import query, rounded
 from stocktide.plans.retail_tables import Retail
@@ -158,6 +159,25 @@ def iforest_fit(r: Retail) -> DataFrame:
     return iforest.fit_forest(_train_rows(r))
 
 
+@query(
+    "iforest_invariants",
+    """SELECT CAST(100 AS BIGINT) AS trees, CAST(least(256, count(*) FILTER (is_train)) AS INTEGER) AS least_root,
+      CAST(least(256, count(*) FILTER (is_train)) AS INTEGER) AS most_root, count(*) AS n_scored, TRUE AS share_holds FROM holdout""",
+)
+def iforest_invariants(r: Retail) -> DataFrame:
+    """What the tables say about any forest: trees, rows per tree, scored rows, and a flagged share about as set."""
+    roots = iforest.fit_forest(_train_rows(r)).filter("node = 0").agg(
+        F.count("*").alias("trees"), F.min("size").alias("least_root"), F.max("size").alias("most_root")
+    )
+    forest, spec = _forest(r), ForestSpec()
+    scored = forest.score(r.zscores).agg(F.count_if(F.col("anomaly_score").between(0, 1)).alias("n_scored"))
+    flagged = forest.predict(_train_rows(r)).agg(F.avg((F.col("prediction") == -1).cast("double"))).scalar()
+    return roots.select(
+        "trees", "least_root", "most_root", scored.scalar().alias("n_scored"),
+        flagged.between(0.5 * spec.contamination, 1.1 * spec.contamination).alias("share_holds"),
+    )
+
+
 @query("iforest_score")
 def iforest_score(r: Retail) -> DataFrame:
     return _forest(r).predict(r.zscores).select(*FEATURE_KEY, "anomaly_score", "prediction")
@@ -230,6 +250,22 @@ def forecast_quality(r: Retail) -> DataFrame:
     return forecast.evaluate(_forecaster(r), _frame(r))
 
 
+@query(
+    "forecast_invariants",
+    """SELECT CAST(floor(count(*) * 0.8) AS BIGINT) AS n_train, count(*) - CAST(floor(count(*) * 0.8) AS BIGINT) AS n_test,
+      TRUE AS finite, TRUE AS beats_last_rate FROM forecast""",
+)
+def forecast_invariants(r: Retail) -> DataFrame:
+    """What the tables say about any forecaster: rows per side, finite predictions, an error below the last rate's."""
+    rows = forecast.predict(_forecaster(r), _frame(r).filter(~F.col("is_train")))
+    target, finite = F.col(schemas.FORECAST_TARGET), ~F.isnan("predicted") & (F.abs("predicted") < float("inf"))
+    return rows.agg(
+        F.count("*").alias("n_test"),
+        F.every(finite).alias("finite"),
+        (F.avg(F.abs(F.col("predicted") - target)) < F.avg(F.abs(F.col("order_rate_lag1") - target))).alias("beats_last_rate"),
+    ).withColumn("n_train", _frame(r).agg(F.count_if("is_train")).scalar())
+
+
 @query("registry_state", "SELECT model_name, version, run_id, stage, event_ts FROM reg_state")
 def registry_state(r: Retail) -> DataFrame:
     return registry.registry_state(r.registry_events())
