@@ -35,7 +35,7 @@ LENGTH = 200
 #: Positions that are searched for the smallest hash; the short string at an anchor has LENGTH - REACH + 1 bytes.
 REACH = 160
 #: Bytes that are handled at a time; longer texts are cut into overlapping parts.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 LOW = np.uint64((1 << 24) - 1)
 
 
