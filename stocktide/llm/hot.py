@@ -81,8 +81,11 @@ def apart_by(rows: DataFrame, listed: DataFrame, max_bits: int = MAX_BITS) -> tu
     return hit, marked.filter("NOT maybe").select(*rows.columns).unionAll(missed)
 
 
-def apart(docs: DataFrame, id_column: str, listed: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Without the rows whose id is listed (key, stays); where ``stays`` holds, one row of that id is left."""
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_column}`").alias("key"))
+def apart(docs: DataFrame, key: str | Column, listed: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Without the rows whose key (a column's name or an expression) is listed (key, stays); where ``stays`` holds, one row
+    of that key is left, that of the smallest hash of all columns."""
+    key = F.col(f"`{key}`") if isinstance(key, str) else key
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
     hit, rest = apart_by(whole, listed, max_bits)
-    return rest.select("row.*").unionAll(hit.filter("stays").dropDuplicates(["key"]).select("row.*"))
+    one = hit.filter("stays").groupBy("key").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return rest.select("row.*").unionAll(one.select("row.*"))

@@ -347,16 +347,33 @@ def hex_fingerprint(column: str = "fp"):
 
 
 def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row of each component, that of the smallest id, with all columns; other rows are never shuffled with their texts.
+    """One row of each component, with all columns; other rows are never shuffled with their texts.
 
-    Rows of one id count as one document: it stays if it is the smallest of a component, once.
+    Rows are told apart by id and a 128-bit digest of the text. The smallest id stays, NULL ids after all others; then the
+    smallest fingerprint and digest decide. Of rows with one id and text, one stays: that of the smallest hash of all columns.
     """
-    found = simhash_components(docs, id_column, text_column)
+    tag = F.unhex(F.md5(F.col(f"`{text_column}`"))).alias("tag")
+    table = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text"), tag)
+    kind = table.schema["doc_id"].dataType.simpleString()
+    rows = map_rows(
+        table, ["doc_id", "tag", "text"], f"doc_id {kind}, tag binary, fp long",
+        lambda: lambda ids, tags, texts: (ids, tags, [fingerprint(t) for t in texts]),
+    )
+    rows = staged(rows.groupBy("fp", "doc_id", "tag").agg(F.count(F.lit(1)).alias("rows")))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fp", "tag")
+    each = staged(rows.groupBy("fp").agg(F.min(order).alias("first")))
+    found = components(fingerprint_links(each.select("fp"))).withColumnRenamed("node", "fp")
+    tops = each.join(found, "fp", "left").groupBy(F.coalesce("component", "fp")).agg(F.min("first").alias("top"))
+    # A union instead of a join, as ids and digests may be NULL.
+    none = F.lit(0).cast("long").alias("rows")
+    marked = rows.select("doc_id", "tag", "rows", F.lit(False).alias("stays")).unionAll(
+        tops.select("top.doc_id", "top.tag", none, F.lit(True).alias("stays"))
+    )
     listed = staged(
-        found.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"), F.count(F.lit(1)).alias("rows"))
-        .filter("NOT stays OR rows > 1").select(F.col("doc_id").alias("key"), "stays")
+        marked.groupBy(F.struct("doc_id", "tag").alias("key")).agg(F.sum("rows").alias("rows"), F.max("stays").alias("stays"))
+        .filter("NOT stays OR rows > 1").select("key", "stays")
     )
-    return apart(docs, id_column, listed)
+    return apart(docs, F.struct(F.col(f"`{id_column}`").alias("doc_id"), tag), listed)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -206,6 +207,31 @@ def test_simhash_of_odd_rows(spark, odd):
     assert simhash.without_near_copies(docs.limit(0)).collect() == []
 
 
+def test_near_copies_of_rows_without_an_id_or_with_one_id_on_several_texts(spark):
+    """Whole rows: each component keeps its one winner, also where many rows share an id."""
+    r = random.Random(8)
+    make = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(30))
+    shared, twins, alone, same_id = make(), make(), [make() for _ in range(5)], [make() for _ in range(3)]
+    rows = [(1, shared, "a"), (None, shared.upper(), "b"), (7, shared, "c")]
+    rows += [(None, t, "d") for t in alone] + [(5, t, "e") for t in same_id] + [(None, twins, "f"), (None, twins.upper(), "f")]
+    rows += [(6, same_id[0].upper(), "g"), (8, alone[0].upper(), "h"), (None, None, "i"), (9, "", "j"), (None, "", "k")]
+    rows += [(4, alone[1].upper(), v) for v in "xyz"]
+    fp = {t: brute_fingerprint(t) for _, t, _ in rows}
+    comp, winners = brute_components(fp.values()), {}
+    for row in rows:
+        i, t, _ = row
+        digest = b"" if t is None else hashlib.md5(t.encode()).digest()
+        rank = (i is None, i or 0, fp[t] - (1 << 64) * (fp[t] >> 63), digest)
+        winners.setdefault(comp[fp[t]], {}).setdefault(rank, set()).add(row)
+    assert len(winners) == 11
+    docs = spark.createDataFrame(rows, "doc_id long, text string, v string")
+    found = [tuple(x) for x in simhash.without_near_copies(docs).collect()]
+    assert len(found) == len(winners)
+    assert all(len([x for x in found if x in ranked[min(ranked)]]) == 1 for ranked in winners.values())
+    again = simhash.without_near_copies(docs.orderBy(F.rand(3)).repartition(7)).collect()
+    assert sorted(map(str, found)) == sorted(str(tuple(x)) for x in again)
+
+
 def test_simhash_query(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     fp = {i: brute_fingerprint(t) for i, t in texts.items()}
