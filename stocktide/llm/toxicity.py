@@ -1,7 +1,7 @@
 """Toxicity by averaged subword embeddings and a linear softmax, so unseen misspellings share n-gram vectors.
 
-A text is scored span by span (all its different words, ``SPAN`` at a time) and its score is that of its worst span, as
-a few words make a text toxic however long it is; repeats of a word say nothing new. Only texts are labelled, not spans: training starts with all spans
+A text is scored over all spans of ``SPAN`` of its different words, wherever they start, and its score is that of its worst
+span, as a few words make a text toxic however long it is; repeats of a word say nothing new. Only texts are labelled, not spans: training starts with all spans
 of toxic texts as toxic and then follows the worst spans. The logit of the worst span is calibrated to a
 probability by logistic regression on the training texts.
 """
@@ -76,13 +76,18 @@ def distinct(text: str | None) -> list[str]:
     return list(dict.fromkeys(words(text)))
 
 
-def worst(shares: np.ndarray, span: int) -> float:
-    """Highest mean over spans of so many words; the last span reaches back, so that it is not shorter."""
+def worst_at(shares: np.ndarray, span: int) -> tuple[int, float]:
+    """Start and mean of the span of so many words with the highest mean, over all starts; the first of equal ones."""
     if len(shares) <= span:
-        return float(shares.sum()) / span
-    starts = np.append(np.arange(0, len(shares) - span, span), len(shares) - span)
+        return 0, float(shares.sum()) / span
     total = np.concatenate([[0.0], np.cumsum(shares, dtype=np.float64)])
-    return float((total[starts + span] - total[starts]).max() / span)
+    sums = total[span:] - total[:-span]
+    at = int(sums.argmax())
+    return at, float(sums[at]) / span
+
+
+def worst(shares: np.ndarray, span: int) -> float:
+    return worst_at(shares, span)[1]
 
 
 def fit_toxicity(rows: list[tuple[str, int]], span: int = SPAN, epochs: int = 8, seed: int = 7) -> ToxicityModel:
@@ -92,28 +97,28 @@ def fit_toxicity(rows: list[tuple[str, int]], span: int = SPAN, epochs: int = 8,
         share = float(labels.mean()) if len(labels) else 0.0
         return ToxicityModel(None, 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))), span)
     random, model = np.random.default_rng(seed), SubwordSoftmax(2, floor=span, seed=seed)
-    texts, of = [], []
+    texts, of, cuts = [], [], [0]
     for i, (text, _) in enumerate(rows):
         found = distinct(text)
+        cuts.append(cuts[-1] + len(found))
         for at in range(0, len(found), span):
             texts.append(found[at:at + span])
             of.append(i)
     data, of = Spans.of(texts, model.rows, model.sizes), np.array(of, np.int64)
     if not texts:
         return ToxicityModel(None, 0.0, float(np.log(labels.mean() / (1 - labels.mean()))), span)
-    size = np.array([len(s) for s in data.spans])
-    ends = np.concatenate([[0], np.cumsum(size)])
-    order = np.arange(len(of))
+    whole = np.concatenate(data.spans)
+    filled = np.flatnonzero(np.diff(cuts))
+    batches, target, order = data, labels[of], np.arange(len(of))
     for epoch in range(epochs):
         if epoch >= 2:  # of toxic texts the worst spans only, of others as many, the worst and any
-            shares = model.word_logits(data.rows, data.starts)
-            margin = shares[np.concatenate(data.spans)] @ np.array([-1.0, 1.0])
-            logit = np.add.reduceat(margin, ends[:-1]) / np.maximum(size, span)
-            top = np.full(len(rows), -np.inf)
-            np.maximum.at(top, of, logit)
-            positive = np.flatnonzero((labels[of] == 1) & (logit >= top[of]))
+            margin = (model.word_logits(data.rows, data.starts) @ np.array([-1.0, 1.0]))[whole]
+            firsts = [cuts[i] + worst_at(margin[cuts[i]:cuts[i + 1]], span)[0] for i in filled]
+            batches = Spans(data.rows, data.starts, [*data.spans, *(whole[a:min(a + span, cuts[i + 1])] for i, a in zip(filled, firsts))])
+            target = np.concatenate([labels[of], labels[filled]])
+            positive = len(of) + np.flatnonzero(labels[filled] == 1)
+            hard = len(of) + np.flatnonzero(labels[filled] == 0)
             negative = np.flatnonzero(labels[of] == 0)
-            hard = np.flatnonzero((labels[of] == 0) & (logit >= top[of]))
             order = np.concatenate([positive, positive, hard, random.choice(negative, min(len(negative), 2 * len(positive)), False)])
         else:
             many = 40 * len(rows) // 2
@@ -121,7 +126,7 @@ def fit_toxicity(rows: list[tuple[str, int]], span: int = SPAN, epochs: int = 8,
         random.shuffle(order)
         for at in range(0, len(order), 64):
             batch = order[at:at + 64]
-            model.step(data, batch, labels[of[batch]], 0.15)
+            model.step(batches, batch, target[batch], 0.15)
     trained = Trained.of(model)
     plainly = ToxicityModel(trained, 1.0, 0.0, span).scorer()
     p = np.array([plainly(t) for t, _ in rows])

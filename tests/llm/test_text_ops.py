@@ -178,6 +178,20 @@ def test_toxicity_held_out_and_misspelt(spark):
     assert len(none) == 5 and all(r["score"] < 1e-6 for r in none)
 
 
+def test_worst_span_may_start_at_any_word(spark):
+    shares = np.zeros(80)
+    shares[12:36] = 1  # on both sides of the border at 24
+    assert toxicity.worst_at(shares, 24) == (12, 1.0)
+    docs, labels = labelled(spark, 120)
+    marks = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    rows = [(r["text"], marks[r["doc_id"]]) for r in docs.orderBy("doc_id").collect()]
+    score = toxicity.fit_toxicity(rows).scorer()
+    for text, _ in rows:
+        found = toxicity.distinct(text)
+        starts = range(max(1, len(found) - toxicity.SPAN + 1))
+        assert score(text) == pytest.approx(max(score(" ".join(found[a:a + toxicity.SPAN])) for a in starts), abs=1e-6)
+
+
 def test_toxicity_never_learns_held_out_labels(spark):
     docs, labels = labelled(spark, 120)
     changed = labels.withColumn("toxic", F.when(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2, 1).otherwise(F.col("toxic")))
