@@ -63,19 +63,18 @@ def chat_format(messages: DataFrame, branches: int | None = None) -> DataFrame:
     as empty. Empty tables give an empty result; other columns are ignored.
     """
     pairs = paths(messages)
+    scored = pairs.join(messages.select("tree", "node", F.coalesce("score", F.lit(0)).alias("score")), ["tree", "node"])
+    best = scored.groupBy("tree", "leaf").agg(F.avg("score").alias("score")).select(
+        "tree", "leaf", F.expr("row_number() OVER (PARTITION BY tree ORDER BY score DESC, leaf)").alias("branch")
+    )
+    best = staged(best if branches is None else best.filter(F.col("branch") <= branches))
     if branches is not None:
-        scored = pairs.join(messages.select("tree", "node", F.coalesce("score", F.lit(0)).alias("score")), ["tree", "node"])
-        best = scored.groupBy("tree", "leaf").agg(F.avg("score").alias("score")).withColumn(
-            "branch", F.expr("row_number() OVER (PARTITION BY tree ORDER BY score DESC, leaf)")
-        ).filter(F.col("branch") <= branches)
-        pairs = pairs.join(best.select("tree", "leaf", "branch"), ["tree", "leaf"])
-    else:
-        pairs = pairs.withColumn("branch", F.lit(1))
+        pairs = pairs.join(best, ["tree", "leaf"], "left_semi")
     empty = F.lit("")
     turn = F.struct((-F.col("up")).alias("at"), F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
-    turns = pairs.join(messages.select("tree", "node", "role", "text"), ["tree", "node"]).groupBy("tree", "leaf", "branch").agg(
+    turns = pairs.join(messages.select("tree", "node", "role", "text"), ["tree", "node"]).groupBy("tree", "leaf").agg(
         F.sort_array(F.collect_list(turn)).alias("turns")
-    )
+    ).join(best, ["tree", "leaf"])
     parts = turns.select("tree", "leaf", "branch", F.transform("turns", lambda t: F.struct(
         (t["role"] == LEARNED).alias("learned"),
         F.concat(F.lit(OPEN), escaped(t["role"]), F.lit(MIDDLE)).alias("head"),
@@ -110,7 +109,10 @@ def loss_text(formatted: Column, spans: Column) -> Column:
 
 
 def chains(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """Rows of linear conversations as messages: each answers the one before. Ties in ``turn`` go by role, then text."""
+    """Rows of linear conversations as messages: each answers the one before. Ties in ``turn`` go by role, then text.
+
+    Rows without a ``conv`` belong to no known conversation and are left out, as the checking SQL has it.
+    """
     at = F.expr("row_number() OVER (PARTITION BY tree ORDER BY turn, role, text)").cast("long")
     return renamed(rows, tree=conv, turn=turn, role=role, text=text).filter("tree IS NOT NULL").select(
         "tree", at.alias("node"), (at - 1).alias("parent"), "role", "text", F.length("text").alias("score")

@@ -453,6 +453,15 @@ def test_reply_trees(spark):
     assert chat.chat_format(messages.limit(0)).collect() == []
 
 
+def test_branches_are_ranked_without_a_limit(spark):
+    rows = [("t", 1, None, 0.0), ("t", 2, 1, 1.0), ("t", 3, 1, 5.0), ("t", 4, 1, 1.0), ("t", 5, 1, None), ("u", 1, None, None)]
+    messages = spark.createDataFrame(rows, "tree string, node long, parent long, score double").selectExpr("*", "'user' AS role", "'x' AS text")
+    want = {("t", 3, 1), ("t", 2, 2), ("t", 4, 3), ("t", 5, 4), ("u", 1, 1)}
+    for branches in (None, 2):
+        found = chat.chat_format(messages, branches).select("tree", "leaf", "branch").collect()
+        assert {tuple(r) for r in found} == {w for w in want if w[2] <= (branches or 9)} and len(found) == (5 if branches is None else 3)
+
+
 def test_long_chains(spark):
     rows = [(1, t, "user" if t % 2 else "assistant", f"m{t}") for t in range(300)] + [(None, 1, "user", "x"), (2, None, None, None), (2, None, None, None)]
     made = chat.chat_format(chat.chains(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")))
