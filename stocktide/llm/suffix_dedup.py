@@ -187,12 +187,12 @@ def _anchor_hashes(docs: DataFrame, length: int, reach: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "h long")
 
 
-def _ident(cover: bytes, tag: int, at: int) -> int:
+def _ident(cover: bytes, tag: bytes | None, at: int) -> int:
     """A number for one run of one text; clashes only let more rows through a filter."""
-    return xxhash.xxh64_intdigest(b"%d,%d," % (tag, at) + cover) - (1 << 63)
+    return xxhash.xxh64_intdigest(b"%b,%d," % (tag or b"", at) + cover) - (1 << 63)
 
 
-def _selected(texts: list[bytes], tags: list[int], bits: np.ndarray, length: int, reach: int) -> Iterator[tuple]:
+def _selected(texts: list[bytes], tags: list[bytes], bits: np.ndarray, length: int, reach: int) -> Iterator[tuple]:
     """(text, anchor, low, high, hash, cover's rank, ident, cover) of the runs whose anchor hash the filter has."""
     for r in runs(texts, length, reach):
         some = np.flatnonzero(in_bloom(bits, r.h))
@@ -218,7 +218,7 @@ def _runs_of(docs: DataFrame, shared, length: int, reach: int) -> DataFrame:
         return found
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, tag int, at long, low int, high int, h long, cover binary, ident long"
+    schema = f"doc_id {kind}, tag binary, at long, low int, high int, h long, cover binary, ident long"
     return map_rows(docs, ["doc_id", "tag", "text"], schema, start)
 
 
@@ -234,7 +234,7 @@ def _repeated(found: DataFrame, hashes: DataFrame, max_bits: int) -> DataFrame:
     return joined
 
 
-NODE = "doc_id {kind}, tag int, at long, low int, high int, core binary, cover binary, ident long, parent long, bytes binary"
+NODE = "doc_id {kind}, tag binary, at long, low int, high int, core binary, cover binary, ident long, parent long, bytes binary"
 
 
 def _parts(row: tuple, ident: int, data: bytes, levels: Levels, level: int, out: list[list]) -> None:
@@ -382,8 +382,10 @@ def at_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int,
 
 
 def _with_spans(docs: DataFrame, id_column: str, text_column: str, length: int, reach: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (row, key, spans) with repeated strings, and rows (row, key) without; only the first are shuffled."""
-    key = F.struct(F.col(f"`{id_column}`").alias("doc_id"), F.hash(F.col(f"`{text_column}`")).alias("tag"))
+    """Rows (row, key, spans) with repeated strings, and rows (row, key) without; only the first are shuffled.
+
+    Texts that share an id are told apart by 128 bits of their digest."""
+    key = F.struct(F.col(f"`{id_column}`").alias("doc_id"), F.unhex(F.md5(F.col(f"`{text_column}`"))).alias("tag"))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
     texts = docs.select(key["doc_id"].alias("doc_id"), key["tag"].alias("tag"), F.col(f"`{text_column}`").alias("text"))
     spans = repeated_spans(texts, length, reach, max_bits)

@@ -322,6 +322,18 @@ def test_texts_without_repeated_strings(spark, odd):
     assert {tuple(r) for r in found} == {(1, "èx", 2), (2, "ay", 2), (3, "z", 1)}
 
 
+def test_texts_of_one_id_with_one_32_bit_hash(spark):
+    r = random.Random(6)
+    body = "".join(r.choice("abcdefgh ") for _ in range(600))
+    rows = [(None, f"{2437:08d}{body}"), (None, f"{152445:08d} stays"), (1, body[100:500])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert docs.filter("doc_id IS NULL").select(F.hash("text")).distinct().count() == 1
+    found = suffix_dedup.repeated_bytes(docs).collect()
+    assert Counter(map(tuple, found)) == Counter((i, *w) for (i, _), w in zip(rows, brute_repeats([t.encode() for _, t in rows], 200)))
+    left = {tuple(x) for x in suffix_dedup.without_repeated_strings(docs).collect()}
+    assert left == {(None, f"{2437:08d}{body[:100]}{body[500:]}"), (None, f"{152445:08d} stays"), (1, "")}
+
+
 def test_suffix_dedup_query(spark, sf_dir):
     rows = [(r["doc_id"], (r["text"] or "").encode()) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     found = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.op6_suffix_dedup(spark, sf_dir).collect()}
