@@ -12,7 +12,8 @@ are sorted (shuffled) and compared, and whatever is unique is out:
   longer than the one before; a part with a unique core has no repeated string and is out. The last parts are single
   positions, whose core is the string itself.
 
-One representative of each different cover goes on, so copies cost nothing further. Ranks are 128-bit digests.
+One representative of each different cover goes on, so copies cost nothing further; of rows that repeat an id and its text,
+at most one a task does. Ranks are 128-bit digests.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide.llm.hot import MAX_BITS, apart_by, bits_for, bitmaps_of, spread_join
-from stocktide.llm.worker import map_rows, per_worker
+from stocktide.llm.worker import Bounded, map_rows, per_worker
 from stocktide.storage import discard, staged
 
 LENGTH = 200
@@ -36,6 +37,8 @@ LENGTH = 200
 REACH = 160
 #: Bytes that are handled at a time; longer texts are cut into overlapping parts.
 BLOCK = 1 << 18
+#: Runs a task remembers as already split.
+REMEMBERED = 1 << 14
 LOW = np.uint64((1 << 24) - 1)
 
 
@@ -187,19 +190,35 @@ def _anchor_hashes(docs: DataFrame, length: int, reach: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "h long")
 
 
-def _ident(cover: bytes, tag: bytes | None, at: int) -> int:
-    """A number for one run of one text; clashes only let more rows through a filter."""
-    return xxhash.xxh64_intdigest(b"%b,%d," % (tag or b"", at) + cover) - (1 << 63)
+def _owner(doc_id: object, tag: bytes | None) -> bytes:
+    """What the rows of one id and text have in common."""
+    return repr(doc_id).encode() + (tag or b"")
 
 
-def _selected(texts: list[bytes], tags: list[bytes], bits: np.ndarray, length: int, reach: int) -> Iterator[tuple]:
+def _ident(cover: bytes, owner: bytes, at: int) -> int:
+    """A number for one run of one id and text; clashes only let more rows through a filter."""
+    return xxhash.xxh64_intdigest(b"%b,%d," % (owner, at) + cover) - (1 << 63)
+
+
+def _first_of(seen: Bounded, owner: bytes, at: int, low: int, high: int) -> bool:
+    """Whether a task meets a run for the first time, as far as it remembers: rows that repeat an id and its text have equal
+    runs, of which one goes on."""
+    run = xxhash.xxh3_128_digest(b"%b,%d,%d,%d" % (owner, at, low, high))
+    if run in seen:
+        return False
+    seen.room_for(1)
+    seen[run] = True
+    return True
+
+
+def _selected(texts: list[bytes], owners: list[bytes], bits: np.ndarray, length: int, reach: int) -> Iterator[tuple]:
     """(text, anchor, low, high, hash, cover's rank, ident, cover) of the runs whose anchor hash the filter has."""
     for r in runs(texts, length, reach):
         some = np.flatnonzero(in_bloom(bits, r.h))
         for text, at, first, last, h in zip(*(x[some].tolist() for x in (r.text, r.at, r.first, r.last, r.h.view(np.int64)))):
             cover = texts[text][first:last + length]
             rank = rank_of(cover, at - last, at - first)
-            yield text, at, at - last, at - first, h, rank, _ident(rank, tags[text], at), cover
+            yield text, at, at - last, at - first, h, rank, _ident(rank, owners[text], at), cover
 
 
 def _runs_of(docs: DataFrame, shared, length: int, reach: int) -> DataFrame:
@@ -210,7 +229,7 @@ def _runs_of(docs: DataFrame, shared, length: int, reach: int) -> DataFrame:
 
         def found(ids, tags, texts):
             out = [[] for _ in range(8)]
-            for text, *rest, _ in _selected(_bytes(texts), tags, bits, length, reach):
+            for text, *rest, _ in _selected(_bytes(texts), list(map(_owner, ids, tags)), bits, length, reach):
                 for values, v in zip(out, (ids[text], tags[text], *rest)):
                     values.append(v)
             return out
@@ -240,12 +259,13 @@ NODE = "doc_id {kind}, tag binary, at long, low int, high int, core binary, cove
 def _parts(row: tuple, ident: int, data: bytes, levels: Levels, level: int, out: list[list]) -> None:
     """Add the parts of a run at the next level: core's and cover's rank, and the bytes of the cover."""
     doc_id, tag, at, low, high = row
+    owner = _owner(doc_id, tag)
     for a, b, lo, hi in levels.children(level, low, high):
         # data starts at distance ``high``; the part's outermost positions are a and b - 1
         core = data[high - a:high - (b - 1) + levels.length]
         cover = data[high - hi:high - lo + levels.length]
         rank = rank_of(cover, lo, hi)
-        made = (doc_id, tag, at, lo, hi, rank_of(core, a, b), rank, _ident(rank, tag, at), ident, cover)
+        made = (doc_id, tag, at, lo, hi, rank_of(core, a, b), rank, _ident(rank, owner, at), ident, cover)
         for values, v in zip(out, made):
             values.append(v)
 
@@ -254,13 +274,14 @@ def _first_parts(docs: DataFrame, hashes, chosen, levels: Levels) -> DataFrame:
     """The first parts of the runs whose anchor hash and whose ident the shared filters have."""
 
     def start():
-        by_hash, by_ident = hashes.value, chosen.value
+        by_hash, by_ident, seen = hashes.value, chosen.value, Bounded(REMEMBERED)
 
         def split(ids, tags, texts):
-            out, found = [[] for _ in range(10)], list(_selected(_bytes(texts), tags, by_hash, levels.length, levels.reach))
+            owners = list(map(_owner, ids, tags))
+            out, found = [[] for _ in range(10)], list(_selected(_bytes(texts), owners, by_hash, levels.length, levels.reach))
             keep = in_bloom(by_ident, np.array([f[6] for f in found], np.int64).view(np.uint64)) if found else []
             for (text, at, low, high, _, _, ident, cover), wanted in zip(found, keep):
-                if wanted:
+                if wanted and _first_of(seen, owners[text], at, low, high):
                     _parts((ids[text], tags[text], at, low, high), ident, cover, levels, 0, out)
             return out
 
@@ -274,13 +295,13 @@ def _next_parts(nodes: DataFrame, chosen, levels: Levels, level: int) -> DataFra
     """The parts of the nodes whose ident the shared filter has. Their bytes are never shuffled."""
 
     def start():
-        by_ident = chosen.value
+        by_ident, seen = chosen.value, Bounded(REMEMBERED)
 
         def split(ids, tags, ats, lows, highs, idents, datas):
             out = [[] for _ in range(10)]
             keep = in_bloom(by_ident, np.array(idents, np.int64).view(np.uint64))
             for doc_id, tag, at, low, high, ident, data, wanted in zip(ids, tags, ats, lows, highs, idents, datas, keep):
-                if wanted:
+                if wanted and _first_of(seen, _owner(doc_id, tag), at, low, high):
                     _parts((doc_id, tag, at, low, high), ident, data, levels, level, out)
             return out
 
@@ -332,8 +353,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, reach: int = REACH, ma
         chosen = share(down.select(F.col("ident").alias("h")))
         before, above = nodes, down
         nodes = staged(_first_parts(docs, by_hash, chosen, levels) if level == 0 else _next_parts(nodes, chosen, levels, level))
-        light = nodes.drop("bytes").join(above.select(F.col("ident").alias("parent"), "settled"), "parent")
-        light = staged(light.drop("parent"))
+        sizes = nodes.groupBy("parent").agg(F.count(F.lit(1)).alias("size"))
+        parents = staged(sizes.join(above.select(F.col("ident").alias("parent"), "settled"), "parent"))
+        light = spread_join(nodes.drop("bytes"), parents, "parent", "size", nodes.count())
+        light = staged(light.filter("size IS NOT NULL").drop("parent", "size"))
         classes = staged(
             light.groupBy("core", "cover").agg(
                 F.count(F.lit(1)).alias("n"), F.max("settled").alias("done"), F.first("ident").alias("ident")
@@ -343,7 +366,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, reach: int = REACH, ma
         new = light.filter("NOT settled").select("doc_id", "tag", "at", "low", "high", "cover")
         found.append(staged(spread_join(new, again, "cover", "size", light.count()).filter("size IS NOT NULL").select(span)))
         down = _to_split(classes, "core")
-        discard(before, above, light, classes) if before is not None else discard(above, light, classes)
+        discard(above, parents, light, classes, *([] if before is None else [before]))
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)

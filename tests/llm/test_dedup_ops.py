@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from stocktide.llm import chat, components, exact_dedup, hot, packing, registry, simhash, suffix_dedup
+from stocktide.storage import staged
 
 DOCS = "doc_id long, text string, sha string, key long, row string, n_chars int"
 WORDS = P.path("word_bpe_49k.json")
@@ -334,6 +335,28 @@ def test_texts_of_one_id_with_one_32_bit_hash(spark):
     assert left == {(None, f"{2437:08d}{body[:100]}{body[500:]}"), (None, f"{152445:08d} stays"), (1, "")}
 
 
+@pytest.mark.parametrize("named", [True, False])
+def test_one_copy_of_a_repeated_text_goes_on(spark, monkeypatch, named):
+    r = random.Random(4)
+    make = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    shared, copied = make(205), make(150)
+    rows = [(i if named else None, t) for i, t in enumerate([copied + shared + "the end of the copies" * 9] * 200)]
+    rows += [(1000, make(100) + shared + make(90)), (1001, make(50) + copied[40:] + shared + make(20))]
+    most, plain = [], suffix_dedup._first_parts
+
+    def counted(*a):
+        out = staged(plain(*a))
+        most.append(out.groupBy("parent", "core", "cover", "low").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "_first_parts", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = suffix_dedup.repeated_bytes(docs).collect()
+    want = brute_repeats([t.encode() for _, t in rows], 200)
+    assert Counter(map(tuple, found)) == Counter((i, *w) for (i, _), w in zip(rows, want))
+    assert most and most[0] <= (1 if named else 4)
+
+
 def test_suffix_dedup_query(spark, sf_dir):
     rows = [(r["doc_id"], (r["text"] or "").encode()) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     found = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.op6_suffix_dedup(spark, sf_dir).collect()}
