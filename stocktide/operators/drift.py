@@ -190,26 +190,32 @@ def kolmogorov_pvalue(ks: Column, n1: Column, n2: Column, terms: int = 100) -> C
 def exact_ks_pvalue(ks: float, n1: int, n2: int) -> float:
     """Exact two-sided p-value: the chance that a random interleaving of the samples leaves the band.
 
-    Draw by draw, ``chance[j]`` is the probability of having taken j values of the smaller sample
-    without the two distribution functions ever having been ``ks`` or more apart.
+    Draw by draw, ``chance`` has the probability of having taken j values of the smaller sample without the two
+    distribution functions ever having been ``ks`` or more apart, for the j inside that band only. A statistic whose
+    p-value is below the resolution of 1 - chance (Massart's bound for each sample) needs no draws.
     """
     a, b = max(n1, n2), min(n1, n2)
     lcm = a * b // math.gcd(a, b)
     limit = round(ks * lcm)
     if limit == 0:
         return 1.0
+    if 4 * math.exp(-2 * a * b * (limit / lcm) ** 2 / (math.sqrt(a) + math.sqrt(b)) ** 2) < 1e-17:
+        return 0.0
     step_a, step_b = lcm // a, lcm // b
-    j = np.arange(b + 1)
-    chance = (j == 0).astype(float)
+    both = step_a + step_b
+    low, chance = 0, np.ones(1)
     for drawn in range(a + b):
         left = a + b - drawn
-        from_a = chance * np.clip(a - (drawn - j), 0, None) / left
-        from_b = chance * (b - j) / left
-        chance = from_a
-        chance[1:] += from_b[:-1]
-        i = drawn + 1 - j
-        chance[(i < 0) | (i > a) | (np.abs(i * step_a - j * step_b) >= limit)] = 0.0
-    return float(min(1.0, max(0.0, 1.0 - chance[b])))
+        j = np.arange(low, low + len(chance))
+        grown = np.append(chance * (a - drawn + j) / left, 0.0)
+        grown[1:] += chance * (b - j) / left
+        d = drawn + 1
+        first = max(0, d - a, (d * step_a - limit) // both + 1)
+        last = min(b, d, -((-d * step_a - limit) // both) - 1)
+        if first > last:
+            return 1.0
+        low, chance = first, grown[first - low:last - low + 1]
+    return float(min(1.0, max(0.0, 1.0 - chance[0])))
 
 
 @F.pandas_udf(T.DoubleType())

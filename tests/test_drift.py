@@ -101,6 +101,14 @@ def test_exact_pvalue_matches_enumeration(n1, n2):
             assert drift.exact_ks_pvalue(d, n1, n2) == pytest.approx(exact_by_enumeration(n1, n2, d), abs=1e-12)
 
 
+def test_exact_pvalue_stays_inside_the_band(monkeypatch):
+    cells, plain = [], np.arange
+    monkeypatch.setattr(drift.np, "arange", lambda *a: cells.append(len(plain(*a))) or plain(*a))
+    assert 0.1 < drift.exact_ks_pvalue(0.03, 3000, 3000) < 0.2
+    assert len(cells) == 6000 and max(cells) <= 92  # of 3001
+    assert drift.exact_ks_pvalue(0.5, 10**6, 10**6 - 1) == 0.0
+
+
 def test_exact_and_asymptotic_agree_for_large_samples(spark):
     for d in (0.02, 0.04, 0.06):
         df = spark.range(1).select(drift.kolmogorov_pvalue(F.lit(d), F.lit(3000), F.lit(3000)).alias("p"))
