@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stocktide.llm import byte_bpe, chat, exact_dedup, language, packing, quality, simhash, suffix_dedup, tokens, toxicity
+from stocktide.llm import (
+    align,
+    byte_bpe,
+    chat,
+    exact_dedup,
+    language,
+    negatives,
+    packing,
+    quality,
+    simhash,
+    suffix_dedup,
+    tokens,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": tokens.op1_token_counts,
@@ -19,5 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": simhash.op8_simhash,
     "op9_chat_format": chat.op9_chat_format,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_align": align.op11_align,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
 }
-SQL: dict[str, str] = {"op9_chat_format": chat.OP9_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL}
+SQL: dict[str, str] = {"op9_chat_format": chat.OP9_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL, "op12_hard_negatives": negatives.OP12_SQL}

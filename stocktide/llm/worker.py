@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +67,18 @@ def map_rows(df: DataFrame, columns: list, schema: str | T.StructType, start: Ca
     return df.select(*columns).mapInArrow(run, kind)
 
 
+def slices_by_bytes(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut into slices of about ``size`` bytes of a text column, one row at least and ``SLICE`` at most."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        at = 0
+        while at < batch.num_rows:
+            reach = lengths[at:at + SLICE].cumsum()
+            n = max(1, int((reach <= size).sum()))
+            yield batch.slice(at, n)
+            at += n
+
+
 def renamed(df: DataFrame, **columns: str):
     """Only the named columns, under fixed names, so other columns of the table cannot clash."""
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in columns.items()])
