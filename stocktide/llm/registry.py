@@ -12,6 +12,7 @@ from stocktide.llm import (
     chat,
     exact_dedup,
     language,
+    lattice,
     negatives,
     packing,
     quality,
@@ -34,5 +35,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op11_align": align.op11_align,
     "op12_hard_negatives": negatives.op12_hard_negatives,
+    "op13_lattice": lattice.op13_lattice,
 }
 SQL: dict[str, str] = {"op9_chat_format": chat.OP9_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL, "op12_hard_negatives": negatives.OP12_SQL}
