@@ -66,6 +66,9 @@ class BoostSpec:
     subsample: float = 0.8
     colsample: float = 0.8
     seed: int = 42
+    l2: float = 1.0  # penalty on leaf weights
+    least_weight: float = 1.0  # hessian on each side of a split
+    bins: int = 256  # at most; a bin number is one byte
 
 
 # Minutes between two promotions of a model, and between two retrains of a job.

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide import schemas
 from stocktide.config import HOLDOUT_FRACTION, BoostSpec
+from stocktide.operators import boosting
+from stocktide.operators.boosting import Boosted
 from stocktide.operators.evaluate import forecast_metrics
 from stocktide.operators.features import forecast_features, holdout_split, label_encode
 
@@ -21,32 +20,20 @@ def training_frame(features: DataFrame, chunk_s: int, holdout: float = HOLDOUT_F
     return holdout_split(label_encode(forecast_features(features, chunk_s)), holdout)
 
 
-def fit_forecaster(train: DataFrame, spec: BoostSpec = BoostSpec()) -> PipelineModel:
-    """Squared-error boosting; MLlib distributes the split statistics of every level."""
-    booster = GBTRegressor(
-        featuresCol="inputs",
-        labelCol=schemas.FORECAST_TARGET,
-        predictionCol="predicted",
-        maxIter=spec.rounds,
-        maxDepth=spec.depth,
-        stepSize=spec.learning_rate,
-        subsamplingRate=spec.subsample,
-        featureSubsetStrategy=str(spec.colsample),
-        seed=spec.seed,
-    )
-    return Pipeline(stages=[VectorAssembler(inputCols=INPUTS, outputCol="inputs"), booster]).fit(train)
+def fit_forecaster(train: DataFrame, spec: BoostSpec = BoostSpec()) -> Boosted:
+    """Squared-error boosting with an L2 penalty; one distributed aggregation of histograms a level."""
+    return boosting.fit(train, INPUTS, schemas.FORECAST_TARGET, spec)
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return model.transform(df).drop("inputs")
+def predict(model: Boosted, df: DataFrame) -> DataFrame:
+    return model.predict(df)
 
 
-def evaluate(model: PipelineModel, frame: DataFrame) -> DataFrame:
+def evaluate(model: Boosted, frame: DataFrame) -> DataFrame:
     """Quality on the holdout rows."""
     return forecast_metrics(predict(model, frame.filter(~F.col("is_train"))), schemas.FORECAST_TARGET, "predicted")
 
 
-def importances(model: PipelineModel, spark) -> DataFrame:
-    """Importance per input: as many rows as the model has inputs."""
-    values = model.stages[-1].featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(INPUTS, values)), "input STRING, importance DOUBLE")
+def importances(model: Boosted, spark: SparkSession) -> DataFrame:
+    """Importance per input, its share of the gain: as many rows as the model has inputs."""
+    return spark.createDataFrame(list(model.importances().items()), "input STRING, importance DOUBLE")

@@ -193,6 +193,20 @@ THRESHOLD_RULES = [
 ]
 
 
+def rule_samples(metric_log: DataFrame, rules: list[tuple], time_scale: float) -> DataFrame:
+    """(rule, ts, for_s, holds): every sample that a rule looks at, and whether its condition holds there."""
+    table = F.broadcast(  # as many rows as there are rules in the settings
+        metric_log.sparkSession.createDataFrame(
+            [(*r[:5], float(r[5]) * time_scale) for r in rules],
+            "rule STRING, metric STRING, label STRING, op STRING, threshold DOUBLE, for_s DOUBLE",
+        )
+    )
+    holds = F.when(F.col("op") == ">", F.col("value") > F.col("threshold")).otherwise(
+        F.col("value") == F.col("threshold")
+    )
+    return metric_log.join(table, ["metric", "label"]).select("rule", "ts", "for_s", holds.alias("holds"))
+
+
 def threshold_rules(
     metric_log: DataFrame, rules: list[tuple] | None = None, time_scale: float = 1.0, chunk_s: int = 7 * 86400
 ) -> DataFrame:
@@ -202,18 +216,8 @@ def threshold_rules(
     kept sample of its series. ``held_s`` runs to the end of the span, or to the last sample of a span that is
     still open. ``metric_log`` is (ts, metric, label, value), one sample per series and time.
     """
-    spark = metric_log.sparkSession
-    table = F.broadcast(  # as many rows as there are rules in the settings
-        spark.createDataFrame(
-            [(*r[:5], float(r[5]) * time_scale) for r in (rules or THRESHOLD_RULES)],
-            "rule STRING, metric STRING, label STRING, op STRING, threshold DOUBLE, for_s DOUBLE",
-        )
-    )
-    holds = F.when(F.col("op") == ">", F.col("value") > F.col("threshold")).otherwise(
-        F.col("value") == F.col("threshold")
-    )
     series = ["rule"]
-    samples = metric_log.join(table, ["metric", "label"]).select(*series, "ts", "for_s", holds.alias("holds"))
+    samples = rule_samples(metric_log, rules or THRESHOLD_RULES, time_scale)
     last = samples.groupBy(*series).agg(F.max("ts").alias("last_ts"))
     turned = staged(
         neighbours(samples, series, ["ts"], "holds", 1, chunk_s, "_was").filter(

@@ -194,11 +194,9 @@ def forecast_metrics(r: Retail) -> DataFrame:
 
 @query(
     "parse_events",
-    """SELECT ts AS arrived_at, event_id % 97 = 0 AS parse_error,
-      CASE WHEN event_id % 97 <> 0 THEN 'evt-' || event_id END AS event_id,
-      CASE WHEN event_id % 97 <> 0 AND event_id % 61 <> 0 THEN CAST(quantity AS DOUBLE) END AS quantity,
-      CASE WHEN event_id % 97 <> 0 THEN CAST(price AS DOUBLE) END AS unit_price,
-      CASE WHEN event_id % 97 <> 0 AND event_id % 89 <> 0 THEN 'ord-' || event_id END AS order_id FROM order_raw""",
+    """SELECT ts AS arrived_at, not_json AS parse_error, CASE WHEN NOT not_json THEN 'evt-' || event_id END AS event_id,
+      CASE WHEN NOT not_json THEN written END AS quantity, CASE WHEN NOT not_json THEN CAST(price AS DOUBLE) END AS unit_price,
+      CASE WHEN NOT not_json AND event_id % 89 <> 0 THEN 'ord-' || event_id END AS order_id FROM order_raw""",
 )
 def parse_events(r: Retail) -> DataFrame:
     parsed = validation.parse_events(r.raw_orders, "orders")
@@ -211,9 +209,9 @@ def parse_events(r: Retail) -> DataFrame:
 @query(
     "validate_required",
     """SELECT ts AS arrived_at, 'orders' AS kind, CASE WHEN event_id % 89 = 0 THEN 'order_id' ELSE '' END AS missing
-      FROM order_raw WHERE event_id % 97 <> 0
+      FROM order_raw WHERE NOT not_json
     UNION ALL SELECT ts, 'inventory', CASE WHEN event_id % 89 = 0 THEN 'delta_units' ELSE '' END
-      FROM inv_raw WHERE event_id % 97 <> 0""",
+      FROM inv_raw WHERE NOT not_json""",
 )
 def validate_required(r: Retail) -> DataFrame:
     def missing(raw: DataFrame, kind: str) -> DataFrame:
@@ -247,7 +245,7 @@ def validate_inventory(r: Retail) -> DataFrame:
 @query(
     "ref_integrity_anti",
     """SELECT ts AS arrived_at, store_id, sku_id, store_id IN (SELECT store_id FROM dim_store) AS store_known,
-      sku_id IN (SELECT sku_id FROM dim_sku) AS sku_known FROM order_raw WHERE event_id % 97 <> 0 AND NOT
+      sku_id IN (SELECT sku_id FROM dim_sku) AS sku_known FROM order_raw WHERE NOT not_json AND NOT
       (store_id IN (SELECT store_id FROM dim_store) AND sku_id IN (SELECT sku_id FROM dim_sku))""",
 )
 def ref_integrity_anti(r: Retail) -> DataFrame:
@@ -262,7 +260,7 @@ def ref_integrity_anti(r: Retail) -> DataFrame:
     "validate_time",
     """SELECT ts AS arrived_at, CASE WHEN event_id % 83 <> 0 THEN sent END AS event_ts,
       coalesce(event_id % 83 <> 0 AND sent > (SELECT now FROM clock) + INTERVAL 60 SECOND, FALSE) AS in_future
-      FROM order_raw WHERE event_id % 97 <> 0""",
+      FROM order_raw WHERE NOT not_json""",
 )
 def validate_time(r: Retail) -> DataFrame:
     parsed = validation.parse_events(r.raw_orders, "orders").filter(F.col("event").isNotNull())

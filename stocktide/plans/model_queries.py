@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktide import schemas
 from stocktide.config import ForestSpec
 from stocktide.operators import evaluate, features, forecast, iforest, registry, scoring
+from stocktide.operators.boosting import Boosted
 from stocktide.plans.catalog import query, rounded
 from stocktide.plans.retail_tables import Retail
 from stocktide.schemas import FEATURE_KEY, KEYS
@@ -226,11 +226,14 @@ def _frame(r: Retail) -> DataFrame:
     return r.stored("forecast_training", forecast.training_frame(r.features, retail.SPEC.chunk_s))
 
 
-def _forecaster(r: Retail) -> PipelineModel:
-    path = r.path("forecaster")
-    if not path_exists(r.spark, f"{path}/metadata/_SUCCESS"):
-        forecast.fit_forecaster(_frame(r).filter("is_train")).write().overwrite().save(path)
-    return PipelineModel.load(path)
+def _forecaster(r: Retail) -> Boosted:
+    """Fitted once per table set and stored; held while the session lasts."""
+    path = r.path("forecaster.json")
+    if "forecaster" not in r.models:
+        if not path_exists(r.spark, path):
+            forecast.fit_forecaster(_frame(r).filter("is_train")).save(r.spark, path)
+        r.models["forecaster"] = Boosted.load(r.spark, path)
+    return r.models["forecaster"]
 
 
 @query("forecast_fit")

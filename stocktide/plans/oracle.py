@@ -19,6 +19,11 @@ def start_of(ts: str, width: int = W) -> str:
 _ISO = "strftime(sent, '%Y-%m-%dT%H:%M:%S.%fZ')"
 _PRICE = "(CAST(value AS DECIMAL(18,2)) - CAST(1 AS DECIMAL(18,2)))"
 
+# Messages that are not exactly one JSON object, and what becomes of the quantity of an order message as it is written.
+_NOT_JSON = "event_id % 97 = 0 OR event_id % 109 = 0"
+_WRITTEN = """CASE WHEN event_id % 61 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 3e9 WHEN event_id % 103 = 0 THEN 0.4
+    WHEN event_id % 107 = 0 THEN CAST('inf' AS DOUBLE) ELSE CAST(quantity AS DOUBLE) END"""
+
 CTES: dict[str, str] = {
     "dim_sku": """SELECT p_brand AS sku_id, min(p_name) AS name, min(p_type) AS category,
         max(p_retailprice) AS unit_price, CAST(sum(p_size) % 60 + 10 AS INTEGER) AS reorder_point
@@ -41,9 +46,9 @@ CTES: dict[str, str] = {
         || ',"unit_price":' || price
         || CASE WHEN event_id % 89 = 0 THEN '' ELSE ',"order_id":"ord-' || event_id || '"' END
         || CASE WHEN value > 200 THEN ',"is_injected_anomaly":true' ELSE '' END || '}' AS whole FROM order_text""",
-    "order_raw": """SELECT *, CASE WHEN event_id % 97 = 0 THEN left(whole, length(whole) - 1)
+    "order_raw": f"""SELECT *, {_NOT_JSON} AS not_json, {_WRITTEN} AS written, CASE WHEN event_id % 97 = 0 THEN left(whole, length(whole) - 1)
           WHEN event_id % 109 = 0 THEN whole || '] junk' ELSE whole END AS text,
-        CASE WHEN event_id % 97 = 0 OR event_id % 109 = 0 THEN 'json_parse_error'
+        CASE WHEN {_NOT_JSON} THEN 'json_parse_error'
           WHEN event_id % 89 = 0 THEN 'missing fields: order_id'
           WHEN event_id % 61 = 0 OR event_id % 101 = 0 OR event_id % 107 = 0 THEN 'invalid type: quantity'
           WHEN event_id % 103 = 0 THEN 'quantity must be > 0, got 0.4'
@@ -68,9 +73,9 @@ CTES: dict[str, str] = {
         || '","sku_id":"' || sku_id || '","movement_type":"' || movement_type || '"'
         || CASE WHEN event_id % 89 = 0 THEN '' ELSE ',"delta_units":' || CASE WHEN event_id % 101 = 0 THEN -3000000000 ELSE delta_units END END
         || ',"on_hand_after":' || on_hand_after || '}' AS whole FROM inv_text""",
-    "inv_raw": """SELECT *, CASE WHEN event_id % 97 = 0 THEN left(whole, length(whole) - 1)
+    "inv_raw": f"""SELECT *, {_NOT_JSON} AS not_json, CASE WHEN event_id % 97 = 0 THEN left(whole, length(whole) - 1)
           WHEN event_id % 109 = 0 THEN whole || '] junk' ELSE whole END AS text,
-        CASE WHEN event_id % 97 = 0 OR event_id % 109 = 0 THEN 'json_parse_error'
+        CASE WHEN {_NOT_JSON} THEN 'json_parse_error'
           WHEN event_id % 89 = 0 THEN 'missing fields: delta_units'
           WHEN event_id % 101 = 0 THEN 'invalid type: delta_units'
           WHEN on_hand_after < 0 THEN 'on_hand_after must be >= 0, got ' || on_hand_after
@@ -260,6 +265,18 @@ CTES: dict[str, str] = {
           RANGE BETWEEN {4 * LW} PRECEDING AND CURRENT ROW) AS long_count FROM line_cells)""",
 }
 
+CTES["metric_log_closed"] = "SELECT * FROM metric_log WHERE ts <= (SELECT max(ts) FROM metric_log) - INTERVAL 1 DAY"
+# Orders of which every thirteenth is stamped forty hours back, in eight files of equal time.
+CTES["late_orders"] = """SELECT store_id, sku_id, (epoch_us(event_time) - low) // width AS b,
+    CASE WHEN CAST(substr(event_id, 5) AS BIGINT) % 13 = 0 THEN event_time - INTERVAL 40 HOUR ELSE event_time END AS event_time
+    FROM vorders, (SELECT epoch_us(min(event_time)) AS low, (epoch_us(max(event_time)) - epoch_us(min(event_time))) // 8 + 1 AS width FROM vorders)"""
+# The same from the windows that a stream has closed when its input ends, both inputs an hour behind their newest event.
+CTES["closed_features"] = """SELECT * FROM features WHERE window_end <= least((SELECT max(event_time) FROM vorders),
+    (SELECT max(event_time) FROM vinv)) - INTERVAL 1 HOUR"""
+_STATE = ("features", "alert_rows", "alerts_all", "alert_state", "latest_feat", "alerts")
+for _name in _STATE[1:]:
+    CTES[f"closed_{_name}"] = re.sub(rf"\b(FROM|JOIN) ({'|'.join(_STATE)})\b", r"\1 closed_\2", CTES[_name])
+
 _TABLE = re.compile(r"\b(?:FROM|JOIN)\s+([a-z_]+)")
 
 

@@ -7,6 +7,7 @@ session's shared folder, later ones scan it.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 
 from stocktide.operators import drift, evaluate, features, scoring, serving, validation, windows
 from stocktide.schemas import WINDOWED_FEATURES
-from stocktide.sources import retail
+from stocktide.sources import retail, streams
 from stocktide.storage import shared_dir, written
+from stocktide.streaming import pipeline
 
 
 class Retail:
@@ -23,6 +25,7 @@ class Retail:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
         tag = hashlib.sha256(self.sf_dir.encode()).hexdigest()[:12]
         self.root = f"{shared_dir(spark)}/{tag}-{generation}"
+        self.models: dict[str, object] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -91,6 +94,36 @@ class Retail:
             "windowed_features", windows.feature_rows(self.assembled(), updated_at=F.col("window_end"))
         )
 
+    @cached_property
+    def stream_run(self) -> tuple[pipeline.StreamTables, int, str]:
+        """The whole stream over files of raw messages, run to the end: its tables, the orders it counted, its checkpoint."""
+        run = f"stream-{uuid.uuid4().hex}"  # a run of its own: input, checkpoints and tables
+        folders = {}
+        for kind, raw in (("orders", self.raw_orders), ("inventory", self.raw_inventory)):
+            folders[kind] = self.path(f"{run}/in_{kind}")
+            raw.select("value").write.mode("overwrite").text(folders[kind])
+        now = F.lit(self.table("events").agg(F.max("ts").cast("timestamp")).first()[0])
+        out, totals = self.path(f"{run}/out"), pipeline.Totals()
+        self.spark.streams.addListener(totals)
+        try:
+            queries = pipeline.start_pipeline(
+                self.spark,
+                streams.file_events(self.spark, folders["orders"]),
+                streams.file_events(self.spark, folders["inventory"]),
+                self.dim_store,
+                self.dim_sku,
+                out,
+                retail.SPEC,
+                now=now,
+                clock=lambda: F.col("window_end"),
+                trigger={"availableNow": True},
+            )
+            for q in queries:
+                totals.finished(q)
+        finally:
+            self.spark.streams.removeListener(totals)
+        return pipeline.StreamTables(self.spark, out), totals.events("orders", str(queries[0].runId)), f"{out}/checkpoints/features"
+
     def all_alerts(self) -> DataFrame:
         return scoring.score_rules(
             self.features, self.dim_sku, triggered_at=F.col("window_end"), alert_id=scoring.stable_alert_id()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from stocktide.operators import serving
 from stocktide.plans.catalog import query, rounded
 from stocktide.plans.retail_tables import Retail
 from stocktide.sources import retail
+from stocktide.streaming import stateful, sustained
 
 _LAG = "(epoch_us((SELECT now FROM serving_now)) - epoch_us(max({c}))) / CAST(1000000 AS DOUBLE)"
 
@@ -151,26 +154,48 @@ def stock_bands(r: Retail) -> DataFrame:
 _DAY = 1440
 
 
-@query(
-    "threshold_rules",
-    f"""SELECT rule, since, until, held_s FROM (
+def _threshold_sql(log: str) -> str:
+    return f"""SELECT rule, since, until, held_s FROM (
       SELECT rule, for_s, min(ts) AS since, min(next_ts) FILTER (last_of) AS until,
         (epoch_us(coalesce(min(next_ts) FILTER (last_of), max(ts))) - epoch_us(min(ts))) / CAST(1000000 AS DOUBLE) AS held_s
       FROM (SELECT *, next_ts IS NULL OR NOT next_holds AS last_of, sum(CAST(prev_holds IS DISTINCT FROM TRUE AS INTEGER))
           OVER (PARTITION BY rule ORDER BY ts) AS island
         FROM (SELECT *, lag(holds) OVER k AS prev_holds, lead(holds) OVER k AS next_holds, lead(ts) OVER k AS next_ts
           FROM (SELECT rule, for_s, ts, CASE WHEN op = '>' THEN value > threshold ELSE value = threshold END AS holds
-            FROM metric_log JOIN (VALUES ('FeatureStaleness', 'feature_freshness_lag_seconds', '', '>', 300.0, {120 * _DAY}),
+            FROM {log} JOIN (VALUES ('FeatureStaleness', 'feature_freshness_lag_seconds', '', '>', 300.0, {120 * _DAY}),
               ('DataDriftDetected', 'drift_detected', '', '==', 1.0, 0),
               ('HighStockoutAlertVolume', 'active_alerts', 'stockout_risk', '>', 5.0, {300 * _DAY}),
               ('SurgeAlertSpike', 'active_alerts', 'surge', '>', 3.0, {120 * _DAY})) t(rule, metric, label, op, threshold, for_s)
             USING (metric, label)) WINDOW k AS (PARTITION BY rule ORDER BY ts))
-        WHERE holds) GROUP BY rule, for_s, island) WHERE held_s >= for_s""",
-)
+        WHERE holds) GROUP BY rule, for_s, island) WHERE held_s >= for_s"""
+
+
+@query("threshold_rules", _threshold_sql("metric_log"))
 def threshold_rules(r: Retail) -> DataFrame:
     return serving.threshold_rules(r.metric_log(), time_scale=_DAY, chunk_s=365 * 86400)
 
 
+@query("stream_threshold_rules", _threshold_sql("metric_log_closed"))
+def stream_threshold_rules(r: Retail) -> DataFrame:
+    """The same rules over a running metric stream; spans that are still open end at the last sample the stream has passed."""
+    stateful.use_rocksdb(r.spark)
+    log, path = r.metric_log(), r.path(f"metrics-{uuid.uuid4().hex}")
+    for year in [y[0] for y in log.select(F.year("ts")).distinct().orderBy(F.year("ts")).collect()]:
+        log.filter(F.year("ts") == year).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = r.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in").withWatermark("ts", "1 day")
+    alerts = sustained.threshold_stream(stream, time_scale=_DAY)
+    query = (
+        alerts.writeStream.format("parquet").outputMode("append").option("path", f"{path}/alerts")
+        .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    told = r.spark.read.schema(alerts.schema).parquet(f"{path}/alerts")
+    spans = told.groupBy("rule", "since").agg(F.max("until").alias("until"))
+    last = log.agg(F.max("ts")).scalar() - F.expr("interval 1 day")
+    held = F.unix_micros(F.coalesce("until", last)) - F.unix_micros("since")
+    return spans.withColumn("held_s", held / 1e6)
+
+
 @query("max_psi", "SELECT label, round(max(value), 9) AS max_psi FROM metric_log WHERE metric = 'psi' GROUP BY label")
 def max_psi(r: Retail) -> DataFrame:
     return rounded(serving.max_psi(r.metric_log()), "max_psi", digits=9)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.functions import expr
@@ -13,8 +13,9 @@ from stocktide.plans.catalog import query, rounded
 from stocktide.plans.oracle import W, start_of
 from stocktide.plans.retail_tables import Retail
 from stocktide.schemas import KEYS
-from stocktide.sources import retail, streams
-from stocktide.streaming import pipeline
+from stocktide.sources import retail
+from stocktide.streaming import ledger as ledger_streams
+from stocktide.streaming import pipeline, stateful
 
 
 @query(
@@ -82,35 +83,28 @@ def feature_rows(r: Retail) -> DataFrame:
     return windows.feature_rows(rows, F.col("window_end")).drop("on_hand_source")
 
 
+_CLOSED = """window_end <= least((SELECT max(event_time) FROM vorders), (SELECT max(event_time) FROM vinv)) - INTERVAL 1 HOUR"""
+
+
+@query("stream_features", f"{_FEATURE_SQL} WHERE {_CLOSED}")
+def stream_features(r: Retail) -> DataFrame:
+    """What the stream has stored when its input ends; windows past the watermark stay open."""
+    return r.stream_run[0].features.read()
+
+
 @query(
-    "stream_features",
-    _FEATURE_SQL + """ WHERE window_end <= least((SELECT max(event_time) FROM vorders), (SELECT max(event_time) FROM vinv))
-      - INTERVAL 1 HOUR""",
+    "stream_alerts",
+    "SELECT store_id, sku_id, alert_type, alert_id, triggered_at, metric_value, threshold, resolved FROM closed_alerts",
 )
-def stream_features(r: Retail) -> DataFrame:
-    """The whole stream over files of raw messages, run to the end; windows past the watermark stay open."""
-    run = f"stream-{uuid.uuid4().hex}"  # a run of its own: input, checkpoints and tables
-    folders = {}
-    for kind, raw in (("orders", r.raw_orders), ("inventory", r.raw_inventory)):
-        folders[kind] = r.path(f"{run}/in_{kind}")
-        raw.select("value").write.mode("overwrite").text(folders[kind])
-    now = F.lit(r.table("events").agg(F.max("ts").cast("timestamp")).first()[0])
-    out = r.path(f"{run}/out")
-    queries = pipeline.start_pipeline(
-        r.spark,
-        streams.file_events(r.spark, folders["orders"]),
-        streams.file_events(r.spark, folders["inventory"]),
-        r.dim_store,
-        r.dim_sku,
-        out,
-        retail.SPEC,
-        now=now,
-        clock=lambda: F.col("window_end"),
-        trigger={"availableNow": True},
-    )
-    for q in queries:
-        q.awaitTermination()
-    return pipeline.StreamTables(r.spark, out).features.read()
+def stream_alerts(r: Retail) -> DataFrame:
+    """The stream's alert state: the last alert per key and type, resolved once a later window of its key is safe."""
+    return r.stream_run[0].alerts.read()
+
+
+@query("stream_order_count", "SELECT count(*) AS order_events FROM vorders")
+def stream_order_count(r: Retail) -> DataFrame:
+    """The running total of valid orders as the stream reported it, batch by batch."""
+    return r.spark.createDataFrame([(r.stream_run[1],)], "order_events LONG")
 
 
 @query(
@@ -254,9 +248,7 @@ def interarrival_stats(r: Retail) -> DataFrame:
     return rounded(stats, "mean_gap_s", "std_gap_s", "p95_gap_s")
 
 
-@query(
-    "ledger_replay",
-    """SELECT store_id, sku_id, event_time, event_id, quantity, CAST(level_after AS INTEGER) AS level_after, sold FROM (
+_LEDGER_SQL = """SELECT store_id, sku_id, event_time, event_id, quantity, CAST(level_after AS INTEGER) AS level_after, sold FROM (
       WITH RECURSIVE numbered AS (SELECT *, row_number() OVER (PARTITION BY store_id, sku_id ORDER BY event_time, event_id) AS rn
           FROM vorders),
         steps AS (SELECT store_id, sku_id, event_time, event_id, quantity, rn,
@@ -265,8 +257,10 @@ def interarrival_stats(r: Retail) -> DataFrame:
           UNION ALL SELECT n.store_id, n.sku_id, n.event_time, n.event_id, n.quantity, n.rn,
             CASE WHEN s.level_after >= n.quantity THEN s.level_after - n.quantity ELSE 90 END, s.level_after >= n.quantity
           FROM steps s JOIN numbered n ON n.store_id = s.store_id AND n.sku_id = s.sku_id AND n.rn = s.rn + 1)
-      SELECT * FROM steps)""",
-)
+      SELECT * FROM steps)"""
+
+
+@query("ledger_replay", _LEDGER_SQL)
 def ledger_replay(r: Retail) -> DataFrame:
     return ledger.ledger_replay(r.orders, initial=100, restock_to=90, chunk_s=5 * 86400, hot_rows=40)
 
@@ -295,3 +289,97 @@ def line_anomaly_features(r: Retail) -> DataFrame:
         "order_rate_zscore",
         "depletion_vel_zscore",
     )
+
+
+def _in_parts(r: Retail, df: DataFrame, by: Column, parts: int) -> str:
+    """A folder of files to be read one a micro-batch: ``df`` cut into equal ranges of a time, file after file."""
+    path = r.path(f"parts-{uuid.uuid4().hex}")
+    timed = df.withColumn("_at", F.unix_micros(by)).persist()
+    low, high = timed.agg(F.min("_at"), F.max("_at")).first()
+    width = (high - low) // parts + 1
+    for i in range(parts):  # the file source reads files in the order of their times
+        inside = (F.col("_at") >= low + i * width) & (F.col("_at") < low + (i + 1) * width)
+        timed.filter(inside).drop("_at").coalesce(1).write.mode("append").parquet(path)
+    timed.unpersist()
+    return path
+
+
+def _stream(r: Retail, df: DataFrame, by: Column, parts: int, delay: str, time: str = "event_time") -> DataFrame:
+    """``df`` as a stream of as many micro-batches, under a watermark."""
+    path = _in_parts(r, df, by, parts)
+    return r.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path).withWatermark(time, delay)
+
+
+def _run_out(r: Retail, rows: DataFrame, name: str) -> DataFrame:
+    """Run a stream to the end of its input into a table of its own."""
+    out = r.path(f"{name}-{uuid.uuid4().hex}")
+    query = (
+        rows.writeStream.format("parquet").outputMode("append").option("path", f"{out}/rows")
+        .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return r.spark.read.schema(rows.schema).parquet(f"{out}/rows")
+
+
+def _jitter(ident: str, width: str) -> Column:
+    """A delay of arrival below ``width`` that a row's id decides."""
+    most = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00' + interval {width})")
+    return F.timestamp_micros(F.unix_micros("event_time") + F.pmod(F.xxhash64(ident), most))
+
+
+@query(
+    "stream_join_assembly",
+    f"""SELECT store_id, sku_id, window_start, window_end, order_count, total_units, depletion_units, restock_units,
+      on_hand, on_hand_source, CAST(short_rate AS DOUBLE) AS short_rate, CAST(long_rate AS DOUBLE) AS long_rate FROM assembled
+      WHERE {_CLOSED}""",
+)
+def stream_join_assembly(r: Retail) -> DataFrame:
+    """Feature assembly as a stream-stream join of the three windowed aggregates, run to the end of its input."""
+    delay = f"{retail.SPEC.watermark_s} seconds"
+    orders, moves = (_stream(r, df, F.col("event_time"), 3, delay) for df in (r.orders, r.inventory))
+    closed = _run_out(r, pipeline.joined_windows(orders, moves, retail.SPEC), "join_assembly")
+    nothing = r.spark.createDataFrame([], pipeline.LEVELS)
+    return pipeline.assemble_batch(closed, nothing, retail.SPEC).select(
+        *KEYS, "window_start", "window_end", "order_count", "total_units", "depletion_units", "restock_units",
+        "on_hand", "on_hand_source", "short_rate", "long_rate",
+    )
+
+
+@query("stream_ledger", f"{_LEDGER_SQL} WHERE event_time <= (SELECT max(event_time) FROM vorders) - INTERVAL 2 DAY")
+def stream_ledger(r: Retail) -> DataFrame:
+    """The ledger over a stream whose orders arrive up to two days late and mixed, replayed in event-time order."""
+    stateful.use_rocksdb(r.spark)
+    arrival = _jitter("event_id", "2 days")
+    orders = _stream(r, r.orders, arrival, 4, "2 days")
+    return _run_out(r, ledger_streams.ordered_ledger_stream(orders, 100, 90), "ledger")
+
+
+@query(
+    "stream_late_count",
+    f"""SELECT CAST(b AS INTEGER) AS batch, count(DISTINCT (store_id, sku_id, pane)) FILTER (pane + INTERVAL 6 HOUR <= seen - INTERVAL 1 HOUR) AS late_windows
+    FROM (SELECT *, {start_of('event_time')} AS pane FROM late_orders) LEFT JOIN
+      (SELECT b, max(top) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS seen
+        FROM (SELECT b, max(event_time) AS top FROM late_orders GROUP BY b)) USING (b) GROUP BY b""",
+)
+def stream_late_count(r: Retail) -> DataFrame:
+    """Windows with late orders per micro-batch, as the running stream reported them; every thirteenth order is stamped forty hours back.
+
+    A micro-batch drops what was behind the watermark that the one before it had used, that is, the newest time two batches back.
+    """
+    orders = r.orders.withColumn("arrived_at", F.col("event_time"))
+    number = F.substring("event_id", 5, 20).cast("long")
+    stamped = F.when(number % 13 == 0, F.col("event_time") - F.expr("interval 40 hours")).otherwise(F.col("event_time"))
+    orders = orders.withColumn("event_time", stamped)
+    stream = _stream(r, orders, F.col("arrived_at"), 8, f"{retail.SPEC.watermark_s} seconds")
+    totals = pipeline.Totals()
+    r.spark.streams.addListener(totals)
+    try:
+        query = (
+            windows.tumbling_orders(stream, retail.SPEC).writeStream.outputMode("append").format("noop")
+            .option("checkpointLocation", r.path(f"late-{uuid.uuid4().hex}")).trigger(availableNow=True).start()
+        )
+        totals.finished(query)
+    finally:
+        r.spark.streams.removeListener(totals)
+    late = totals.late(str(query.runId))
+    return r.spark.createDataFrame([(b, late.get(b, 0)) for b in range(8)], "batch INT, late_windows LONG")

@@ -1,15 +1,18 @@
-"""The stock ledger over a stream: one stored level per store and product."""
+"""The stock ledger over a stream: one stored level per store and product, by arrival or by event time."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stocktide.operators.ledger import replay
 from stocktide.schemas import KEYS
+from stocktide.streaming.stateful import InEventTimeOrder, from_micros
 
 _OUTPUT = (
     "store_id STRING, sku_id STRING, event_time TIMESTAMP, event_id STRING, quantity INT, level_after INT, sold BOOLEAN"
@@ -36,3 +39,38 @@ def ledger_stream(orders: DataFrame, initial: int = 100, restock_to: int = 90) -
     return wanted.groupBy(*KEYS).applyInPandasWithState(
         step, _OUTPUT, "level INT", "append", GroupStateTimeout.NoTimeout
     )
+
+
+class _Ledger(InEventTimeOrder):
+    def __init__(self, initial: int, restock_to: int):
+        super().__init__(T.StructType.fromDDL("event_time TIMESTAMP, event_id STRING, quantity INT"))
+        self.initial, self.restock_to = initial, restock_to
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.level = handle.getValueState("level", "level INT")
+
+    def step(self, key, due, mark):
+        if not due:
+            return None
+        at, ids, quantities = (list(c) for c in zip(*due))
+        level = self.level.get()[0] if self.level.exists() else self.initial
+        after, sold = replay(np.array(quantities), level, self.restock_to)
+        self.level.update((int(after[-1]),))
+        return pd.DataFrame({
+            "store_id": key[0], "sku_id": key[1], "event_time": from_micros(at), "event_id": ids, "quantity": quantities,
+            "level_after": after, "sold": sold,
+        })
+
+
+def ordered_ledger_stream(orders: DataFrame, initial: int = 100, restock_to: int = 90) -> DataFrame:
+    """Level after each order in event-time order, in whatever order the orders arrive within the watermark's delay.
+
+    ``orders`` carries a watermark on ``event_time``. Orders wait in their key's state until the watermark has passed them, so the result
+    is that of the batch replay of all orders up to the watermark; orders behind the watermark are dropped. State per key is
+    one level and the orders of one delay. Needs ``use_rocksdb``.
+    """
+    wanted = orders.select(*KEYS, "event_time", "event_id", "quantity")
+    return wanted.groupBy(*KEYS).transformWithStateInPandas(
+        _Ledger(initial, restock_to), _OUTPUT, "append", "eventTime"
+    )

@@ -7,6 +7,7 @@ row per key and open window; Spark aggregates partially before the shuffle, so a
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -15,11 +16,11 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from stocktide import schemas
 from stocktide.config import ScoringSpec, WindowSpec
-from stocktide.operators import scoring, validation, windows
+from stocktide.operators import scoring, serving, validation, windows
 from stocktide.operators.chunks import carry_forward
 from stocktide.operators.iforest import Forest
 from stocktide.schemas import KEYS
@@ -55,7 +56,7 @@ def window_stream(orders: DataFrame, inventory: DataFrame, spec: WindowSpec) ->
     are dropped.
     """
     delay = f"{spec.watermark_s} seconds"
-    valid_orders = validation.project_orders(validation.valid_events(orders)).withWatermark("event_time", delay)
+    valid_orders = counted(validation.project_orders(validation.valid_events(orders))).withWatermark("event_time", delay)
     valid_moves = validation.project_inventory(validation.valid_events(inventory)).withWatermark("event_time", delay)
     merged = windows.merged_events(valid_orders, valid_moves).withColumn(
         "w", F.window("event_time", spec.long, spec.short)
@@ -74,6 +75,43 @@ def window_stream(orders: DataFrame, inventory: DataFrame, spec: WindowSpec) ->
     )
 
 
+def window_join_stream(orders: DataFrame, inventory: DataFrame, spec: WindowSpec) -> DataFrame:
+    """The rows of ``window_stream`` as a stream-stream join of three windowed aggregates.
+
+    Short order windows meet the long windows that end with them (left outer) and the stock windows (full outer, since
+    a stock level without orders is carried on). All three are joined on the key and the window's time under the
+    watermark, so a row leaves the state when its window has closed. Costs two more state stores than the
+    single aggregation and is for aggregates that come from streams of their own.
+    """
+    delay = f"{spec.watermark_s} seconds"
+    valid_orders = validation.project_orders(validation.valid_events(orders)).withWatermark("event_time", delay)
+    valid_moves = validation.project_inventory(validation.valid_events(inventory)).withWatermark("event_time", delay)
+    return joined_windows(valid_orders, valid_moves, spec)
+
+
+def joined_windows(orders: DataFrame, moves: DataFrame, spec: WindowSpec) -> DataFrame:
+    """The join of ``window_join_stream`` for valid rows that carry their watermarks."""
+    delta = F.col("delta_units")
+    short = orders.groupBy(*KEYS, F.window("event_time", spec.short).alias("w")).agg(
+        F.count("*").alias("order_count"), F.sum("quantity").alias("total_units")
+    )
+    long = orders.groupBy(*KEYS, F.window("event_time", spec.long, spec.short).alias("w")).agg(F.count("*").alias("long_count"))
+    stock = moves.groupBy(*KEYS, F.window("event_time", spec.short).alias("w")).agg(
+        F.coalesce(F.sum(F.when(delta < 0, -delta)), F.lit(0)).alias("depletion_units"),
+        F.coalesce(F.sum(F.when(F.col("movement_type") == "restock", delta)), F.lit(0)).alias("restock_units"),
+        F.max_by("on_hand_after", F.struct("event_time", "event_id")).alias("on_hand_latest"),
+    )
+    # the last moment of a window keeps the watermark; it names short and long windows that end together
+    short, long, stock = (f.withColumn("at", F.window_time("w")).drop("w") for f in (short, long, stock))
+    joined = short.join(long, [*KEYS, "at"], "left_outer").join(stock, [*KEYS, "at"], "full_outer")
+    end = F.col("at") + F.expr("interval 1 microsecond")
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("order_count", "total_units", "depletion_units", "restock_units")]
+    return joined.select(
+        *KEYS, (end - F.expr(f"interval {spec.short}")).alias("window_start"), end.alias("window_end"), *zero,
+        "on_hand_latest", F.coalesce("long_count", F.lit(0)).alias("long_count"),
+    )
+
+
 def assemble_batch(batch: DataFrame, levels: DataFrame, spec: WindowSpec) -> DataFrame:
     """Emitted windows plus the stored stock levels to assembled rows, like the batch operator's."""
     known = levels.select(*KEYS, "window_start", "on_hand_latest", F.lit(True).alias("_stored"))
@@ -154,6 +192,16 @@ def score_batch(
     return scoring.score_with_model(forest.predict_online(features), dim_sku, spec, triggered_at, ident)
 
 
+def settle(
+    table: UpsertTable, alerts: DataFrame, features: DataFrame, dim_sku: DataFrame, spec: ScoringSpec, writer: str, batch_id: int
+) -> None:
+    """Upsert a batch's alerts, and resolve those of its keys, new or old, that its newest windows show to be over."""
+    newest = serving.latest_features(features)
+    known = table.read(without=(writer, batch_id)).join(newest.select(*KEYS), KEYS, "left_semi")
+    state = scoring.current_alerts(known.unionByName(alerts.select(*schemas.ALERTS.names)))
+    table.upsert(scoring.auto_resolve(state, newest, dim_sku, spec), batch_id, writer)
+
+
 def batch_writer(
     tables: StreamTables,
     dim_sku: DataFrame,
@@ -163,7 +211,7 @@ def batch_writer(
     send: Callable[[DataFrame], None] | None = None,
     clock: Callable[[], Column] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function: upsert features, levels and alerts; hand routed messages to ``send``.
+    """The ``foreachBatch`` function: upsert features, levels and alerts, resolve alerts that are over; hand routed messages to ``send``.
 
     ``clock`` gives the write time as a column; the time at the start of the batch when left out. Alerts are computed
     once, so the table and the messages carry the same rows and stamps. If scoring by model fails, the batch is
@@ -186,14 +234,14 @@ def batch_writer(
             try:
                 alerts = score_batch(features, dim_sku, scoring_spec, slot, now).persist()
                 held.append(alerts)
-                tables.alerts.upsert(alerts, batch_id, writer)
+                settle(tables.alerts, alerts, features, dim_sku, scoring_spec, writer, batch_id)
             except Exception as error:
                 if slot is None or slot.forest is None:
                     raise
                 slot.last_error = str(error)
                 alerts = scoring.score_rules(features, dim_sku, scoring_spec, now, scoring.stable_alert_id()).persist()
                 held.append(alerts)
-                tables.alerts.upsert(alerts, batch_id, writer)
+                settle(tables.alerts, alerts, features, dim_sku, scoring_spec, writer, batch_id)
             if send:
                 send(scoring.route_alerts(alerts))
             tables.levels.upsert(batch.filter(F.col("on_hand_latest").isNotNull()), batch_id, writer)
@@ -251,6 +299,54 @@ def counted(df: DataFrame, name: str = "orders") -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("events"))
 
 
+class Totals(StreamingQueryListener):
+    """Running totals read from the progress of running queries: observed rows, and groups that came behind the watermark.
+
+    ``spark.streams.addListener(Totals())`` starts it. A batch that is reported again counts once. Of late rows Spark reports those
+    that reach the state, which in an aggregation are the different (key, window) groups of a micro-batch.
+    """
+
+    def __init__(self):
+        self._events: dict[tuple[str, int], dict[str, int]] = {}
+        self._late: dict[tuple[str, int], int] = {}
+        self._ended: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+
+    def _end(self, run_id: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run_id, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self._end(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        batch = (str(progress.runId), progress.batchId)
+        found = {name: row["events"] for name, row in progress.observedMetrics.items() if "events" in row.asDict()}
+        if found:
+            self._events[batch] = found
+        self._late[batch] = max(self._late.get(batch, 0), sum(o.numRowsDroppedByWatermark for o in progress.stateOperators))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def finished(self, query: StreamingQuery, timeout: float = 60.0) -> None:
+        """Wait until a query has ended and everything it reported has been counted."""
+        query.awaitTermination()
+        if not self._end(str(query.runId)).wait(timeout):
+            raise TimeoutError("the query's progress did not arrive")
+
+    def events(self, name: str = "orders", run_id: str | None = None) -> int:
+        return sum(found.get(name, 0) for (run, _), found in list(self._events.items()) if run_id in (None, run))
+
+    def late(self, run_id: str) -> dict[int, int]:
+        """Late groups per micro-batch of one run."""
+        return {batch: n for (run, batch), n in list(self._late.items()) if run == run_id}
+
+
 def start_pipeline(
     spark: SparkSession,
     raw_orders: DataFrame,

@@ -2,91 +2,84 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktide.operators.chunks import latest_wins
-from stocktide.storage import listed, read_file, remove_path, write_file
+from stocktide.storage import path_exists, remove_path
 
 
 class UpsertTable:
-    """A keyed table kept as one current snapshot in parts, one row per key.
+    """A keyed Parquet table, one row per key, kept current by dynamic partition overwrite.
 
-    Parts are days (of ``day_of``) or buckets of the key. A write merges its rows with the parts that they touch, puts the
-    result into a folder of its own and then commits a small version file, which names the folder of each part. So the
-    cost of a write follows the batch and the parts it touches, not the number of batches before it. A retry of the last
-    batch starts from the version before that batch, so it changes nothing. One writer at a time.
+    Partitions are days (of ``day_of``) or buckets of the key. A write merges its rows with the partitions that they touch and
+    lets Spark replace just these, so its cost follows the batch and the partitions it touches. Every row carries the batch that wrote it
+    and the row it replaced, so a retry of the last batch starts from the rows before its first attempt and leaves the same
+    table. The merged rows are stored beside the table before they replace anything; a write that was cut off between is
+    finished from there by the next use. One writer at a time.
     """
 
     def __init__(
         self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: list[str],
-        day_of: str | None = None, buckets: int = 16, kept_versions: int = 3,
+        day_of: str | None = None, buckets: int = 16,
     ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.keys, self.order, self.day_of = keys, order, day_of
-        self.buckets, self.kept_versions = buckets, max(2, kept_versions)
+        self.keys, self.order, self.day_of, self.buckets = keys, order, day_of, buckets
+        self.stored = T.StructType([
+            *schema.fields, T.StructField("_writer", T.StringType()), T.StructField("_batch", T.LongType()),
+            T.StructField("_before", schema), T.StructField("_part", T.StringType()),
+        ])
 
     def _part(self) -> Column:
         if self.day_of:
-            return F.date_format(self.day_of, "yyyy-MM-dd")
+            return F.coalesce(F.date_format(self.day_of, "yyyy-MM-dd"), F.lit("none"))
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("string")
 
-    def _versions(self) -> list[int]:
-        return sorted(int(n) for n in listed(self.spark, f"{self.path}/_versions") if n.isdigit())
-
-    def _state(self, without: tuple[str, int] | None = None) -> dict:
-        """The newest committed version, or the newest that is not of ``without``."""
-        for version in reversed(self._versions()):
-            state = json.loads(read_file(self.spark, f"{self.path}/_versions/{version}"))
-            if without is None or (state["writer"], state["batch"]) != (without[0], int(without[1])):
-                return state
-        return {"writer": "", "batch": -1, "parts": {}}
-
-    def _rows(self, parts: dict[str, str]) -> DataFrame:
-        if not parts:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{folder}" for folder in parts.values()])
+    def _rows(self) -> DataFrame:
+        self._finish()
+        if not path_exists(self.spark, f"{self.path}/rows"):
+            return self.spark.createDataFrame([], self.stored)
+        return self.spark.read.schema(self.stored).parquet(f"{self.path}/rows")
+
+    def _without(self, rows: DataFrame, writer: str, batch_id: int) -> DataFrame:
+        """The rows as they were before a batch."""
+        undone = F.coalesce((F.col("_writer") == writer) & (F.col("_batch") == int(batch_id)), F.lit(False))
+        before = rows.withColumns({
+            "_row": F.when(undone, F.col("_before")).otherwise(F.struct(*self.schema.names)),
+            "_writer": F.when(~undone, F.col("_writer")), "_batch": F.when(~undone, F.col("_batch")),
+            "_before": F.when(~undone, F.col("_before")),
+        })
+        return before.filter("_row IS NOT NULL").select("_row.*", "_writer", "_batch", "_before", "_part")
 
     def upsert(self, rows: DataFrame, batch_id: int, writer: str = "batch") -> None:
         """Merge one row per key of ``rows`` into the table as batch ``batch_id`` of ``writer``."""
-        base = self._state(without=(writer, batch_id))
-        versions = self._versions()
-        version = versions[-1] + 1 if versions else 0
-        new = rows.select(*self.schema.names).withColumn("_part", self._part()).persist()
-        try:
-            touched = [r["_part"] for r in new.select("_part").distinct().collect()]  # days or buckets of one batch
-            old = self._rows({p: base["parts"][p] for p in touched if p in base["parts"]})
-            both = old.withColumn("_new", F.lit(0)).unionByName(new.drop("_part").withColumn("_new", F.lit(1)))
-            merged = latest_wins(both, self.keys, [*self.order, "_new"]).drop("_new").withColumn("_part", self._part())
-            folder = f"data/{version}-{writer}-{int(batch_id)}"
-            merged.hint("rebalance", F.col("_part")).write.mode("overwrite").partitionBy("_part").parquet(f"{self.path}/{folder}")
-        finally:
-            new.unpersist()
-        parts = base["parts"] | {p: f"{folder}/_part={p}" for p in touched}
-        write_file(
-            self.spark, f"{self.path}/_versions/{version}",
-            json.dumps({"writer": writer, "batch": int(batch_id), "parts": parts, "folder": folder}),
+        new = rows.select(*self.schema.names).withColumns({
+            "_writer": F.lit(writer), "_batch": F.lit(int(batch_id)).cast("long"), "_before": F.lit(None).cast(self.schema),
+            "_part": self._part(), "_new": F.lit(1),
+        })
+        touched = F.broadcast(new.select("_part").distinct())  # days or buckets of one batch; prunes the partitions read
+        old = self._without(self._rows().join(touched, "_part", "left_semi"), writer, batch_id).withColumn("_new", F.lit(0))
+        row = F.struct(*self.schema.names, "_writer", "_batch", "_before", "_part", "_new")
+        one = F.when(F.col("_new") == 0, F.struct(*self.schema.names))
+        merged = (
+            old.unionByName(new).groupBy(*[F.col(k).alias(f"_key_{k}") for k in self.keys])
+            .agg(F.max_by(row, F.struct(*self.order, "_new")).alias("_row"), F.first(one, ignorenulls=True).alias("_old"))
+            .select("_row.*", "_old").withColumn("_before", F.when(F.col("_new") == 1, F.col("_old")).otherwise(F.col("_before")))
         )
-        self._clean(writer, int(batch_id), version)
-
-    def _clean(self, writer: str, batch_id: int, version: int) -> None:
-        """Drop versions beyond the last few and those that a retry replaced, then folders that no version names."""
-        names = {v: json.loads(read_file(self.spark, f"{self.path}/_versions/{v}")) for v in self._versions()}
-        kept = [v for v in names if v == version or (names[v]["writer"], names[v]["batch"]) != (writer, batch_id)]
-        kept = set(sorted(kept)[-self.kept_versions:])
-        for v in names.keys() - kept:
-            remove_path(self.spark, f"{self.path}/_versions/{v}")
-        used = {folder.split("/")[1] for v in kept for folder in names[v]["parts"].values()}
-        for folder in listed(self.spark, f"{self.path}/data"):
-            if folder not in used:
-                remove_path(self.spark, f"{self.path}/data/{folder}")
+        merged.select(*self.stored.names).hint("rebalance", F.col("_part")).write.mode("overwrite").parquet(f"{self.path}/merged")
+        self._finish()
+
+    def _finish(self) -> None:
+        """Replace the partitions of merged rows that are whole, then drop them; doing so twice is the same."""
+        if path_exists(self.spark, f"{self.path}/merged/_SUCCESS"):
+            merged = self.spark.read.schema(self.stored).parquet(f"{self.path}/merged")
+            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(f"{self.path}/rows")
+            remove_path(self.spark, f"{self.path}/merged")
 
     def read(self, without: tuple[str, int] | None = None) -> DataFrame:
-        """Current rows; ``without`` leaves out one (writer, batch) if it was the last, which a retry of it needs."""
-        return self._rows(self._state(without)["parts"])
+        """Current rows; ``without`` gives those before one (writer, batch) if it was the last, which a retry of it needs."""
+        rows = self._rows()
+        return (self._without(rows, *without) if without else rows).select(*self.schema.names)
 
 
 class EmptyExportError(ValueError):
