@@ -24,16 +24,17 @@ from pyspark.sql import types as T
 from stocktide.config import BoostSpec
 from stocktide.storage import discard, read_file, staged, write_file
 
-#: Rows of one block, and rows that one task gets at least: a small table is one task a level.
-BLOCK_ROWS, TASK_ROWS = 1 << 16, 1 << 18
+#: Rows of one block.
+BLOCK_ROWS = 1 << 16
 #: Rank error of the quantiles that bound the bins, as a share of a bin.
 QUANTILE_ACCURACY = 20
 
 
 def bin_edges(train: DataFrame, inputs: list[str], bins: int) -> list[np.ndarray]:
     """Per input the different values among its quantiles; a row's bin is the number of edges below its value."""
-    shares = [i / bins for i in range(1, bins)]
-    found = train.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, bins * QUANTILE_ACCURACY).alias(c) for c in inputs]).first()
+    shares = ", ".join(f"{i / bins}D" for i in range(1, bins))
+    quantiles = [f"percentile_approx(cast(`{c}` AS double), array({shares}), {bins * QUANTILE_ACCURACY}) AS `{c}`" for c in inputs]
+    found = train.agg(*map(F.expr, quantiles)).first()
     return [np.unique(np.array(found[c] or [], float)) for c in inputs]
 
 
@@ -92,7 +93,9 @@ def best_splits(sums: np.ndarray, l2: float, least_weight: float):
         gain = score(left) + score(right) - score(total)
     gain[(left[1] < least_weight) | (right[1] < least_weight) | ~np.isfinite(gain)] = -np.inf
     flat = gain.reshape(len(gain), -1)
-    at = flat.argmax(axis=1)
+    # the first of equal gains, whatever the order of the additions did to their last digits
+    top = flat.max(axis=1, keepdims=True)
+    at = (flat >= top - 1e-9 * np.abs(np.where(np.isfinite(top), top, 0))).argmax(axis=1)
     return flat[np.arange(len(flat)), at], at // sums.shape[3], at % sums.shape[3], total[:, :, 0, 0]
 
 
@@ -151,7 +154,7 @@ class Boosted:
         return Boosted(**found)
 
 
-def _blocks(train: DataFrame, inputs: list[str], target: str, edges: list[np.ndarray]) -> DataFrame:
+def _blocks(train: DataFrame, inputs: list[str], target: str, edges: list[np.ndarray], block_rows: int) -> DataFrame:
     """Training rows as blocks: bin numbers, targets and row hashes."""
     rows = train.select(
         F.xxhash64(*[F.col(f"`{c}`") for c in train.columns]).alias("id"), F.col(target).cast("double").alias("y"),
@@ -161,8 +164,8 @@ def _blocks(train: DataFrame, inputs: list[str], target: str, edges: list[np.nda
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(at, BLOCK_ROWS)
+            for at in range(0, batch.num_rows, block_rows):
+                part = batch.slice(at, block_rows)
                 values = np.column_stack([part.column(f"x{i}").to_numpy(zero_copy_only=False) for i in range(n)])
                 arrays = (binned(values, edges), part.column("y").to_numpy(zero_copy_only=False), part.column("id").to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays(
@@ -172,81 +175,113 @@ def _blocks(train: DataFrame, inputs: list[str], target: str, edges: list[np.nda
     return rows.mapInArrow(run, "n long, bins binary, y binary, ids binary")
 
 
-def _held(key: tuple) -> dict:
-    """What a Python worker keeps of its rows between levels: their margins so far. A lost worker makes it again from the trees."""
+class _Rows:
+    """Blocks of one task with their margins under the trees so far; a lost task makes them again from the trees."""
+
+    def __init__(self, blocks: Iterator[tuple], n_inputs: int, base: float):
+        self.blocks = []
+        for size, bins, y, ids in blocks:
+            arrays = np.frombuffer(bins, np.uint8).reshape(size, n_inputs), np.frombuffer(y), np.frombuffer(ids, np.int64)
+            self.blocks.append([*arrays, np.full(size, base)])
+        self.trees = 0
+
+    def sums(self, model: "Boosted", tree: int, level: int, spec: BoostSpec) -> np.ndarray | None:
+        """Sums of a level of a tree under the trees before it and its splits so far; nothing without rows."""
+        columns, total = columns_of(tree, len(model.inputs), spec), None
+        for block in self.blocks:
+            bins, y, ids, margin = block
+            for t in range(self.trees, tree):
+                margin = margin + model.weight[t][place(bins, model.feature[t], model.cut[t], model.depth)]
+            block[3] = margin
+            use = drawn(ids, tree, spec.seed, spec.subsample) if spec.subsample < 1 else slice(None)
+            node = place(bins[use], model.feature[tree], model.cut[tree], level)
+            found = level_sums(node, bins[use], (margin - y)[use], level, columns, spec.bins)
+            total = found if total is None else total + found
+        self.trees = tree
+        return total
+
+
+def _kept(fit_id: str, part: int, make) -> _Rows:
+    """What a Python worker keeps between the levels of one fit."""
     kept = sys.modules.setdefault("_stocktide_boosting", types.ModuleType("_stocktide_boosting")).__dict__
-    if kept.get("fit") != key[0]:
+    if kept.get("fit") != fit_id:
         kept.clear()
-        kept["fit"] = key[0]
-    return kept.setdefault(key, {"trees": 0})
-
-
-def fit(train: DataFrame, inputs: list[str], target: str, spec: BoostSpec = BoostSpec()) -> Boosted:
+        kept["fit"] = fit_id
+    if part not in kept:
+        kept[part] = make()
+    return kept[part]
+
+
+def grow(model: Boosted, tree: int, spec: BoostSpec, sums_of) -> None:
+    """Add a tree, level by level; ``sums_of(tree, level)`` gives a level's sums over all rows."""
+    columns = columns_of(tree, len(model.inputs), spec)
+    for level in range(spec.depth):
+        sums = sums_of(tree, level)
+        gain, column, cut, total = best_splits(sums, spec.l2, spec.least_weight)
+        first = (1 << level) - 1
+        for i in range(1 << level):
+            node = first + i
+            if level and model.feature[tree, (node - 1) // 2] < 0:
+                continue
+            if gain[i] > 0:
+                model.feature[tree, node], model.cut[tree, node], model.gain[tree, node] = columns[column[i]], cut[i], gain[i]
+                left = sums[:, i, column[i], :cut[i] + 1].sum(axis=1)
+                for child, s in ((2 * node + 1, left), (2 * node + 2, total[:, i] - left)):
+                    model.weight[tree, child] = -spec.learning_rate * s[0] / (s[1] + spec.l2)
+            elif not level:
+                model.weight[tree, node] = -spec.learning_rate * total[0, i] / (total[1, i] + spec.l2)
+        if not (model.feature[tree, first:2 * first + 1] >= 0).any():
+            break
+
+
+def fit(
+    train: DataFrame, inputs: list[str], target: str, spec: BoostSpec = BoostSpec(), edges: list[np.ndarray] | None = None,
+    block_rows: int = BLOCK_ROWS,
+) -> Boosted:
     """Boost ``spec.rounds`` trees of ``spec.depth`` levels on the squared error of ``target``.
 
     Rows without a target take no part. Gain and leaf weights use ``spec.l2``; a split leaves at least ``spec.least_weight`` of hessian on each side.
-    An empty table gives a model that predicts 0.
+    An empty table gives a model that predicts 0. A table of at most ``block_rows`` rows is a single block, and the task that holds
+    it needs no sums of others, so it grows all trees; beyond that every level is an aggregation over all tasks. Both
+    give the same trees for the same ``edges`` of the bins, which are quantiles where left out.
     """
     spark = train.sparkSession
     n_inputs, n_nodes = len(inputs), 2 ** (spec.depth + 1) - 1
     n, mean = train.agg(F.count(target), F.avg(F.col(target).cast("double"))).first()
-    edges = bin_edges(train, inputs, spec.bins)
-    rounds = spec.rounds if n else 0
-    shape = (rounds, n_nodes)
+    edges = bin_edges(train, inputs, spec.bins) if edges is None else edges
+    shape = (spec.rounds if n else 0, n_nodes)
     model = Boosted(inputs, mean or 0.0, edges, np.full(shape, -1), np.zeros(shape, int), np.zeros(shape), np.zeros(shape), spec.depth)
     if not n:
         return model
-    stored = staged(_blocks(train.coalesce(max(1, -(-n // TASK_ROWS))) if n <= TASK_ROWS else train, inputs, target, edges))
-    blocks = stored.rdd.map(tuple).persist()
-    tag, base, share, seed = uuid.uuid4().hex, model.base, spec.subsample, spec.seed
-
-    def level_of(tree: int, level: int):
-        """One aggregation: the sums of a level of a tree under the trees and the splits so far."""
-        columns = columns_of(tree, n_inputs, spec)
-        shared = spark.sparkContext.broadcast((model.feature[:tree + 1], model.cut[:tree + 1], model.weight[:tree], columns))
-
-        def task(part: int, rows: Iterator[tuple]) -> Iterator[np.ndarray]:
-            feature, cut, weight, columns = shared.value
-            total = None
-            for i, (size, bins, y, ids) in enumerate(rows):
-                bins = np.frombuffer(bins, np.uint8).reshape(size, n_inputs)
-                y, ids = np.frombuffer(y), np.frombuffer(ids, np.int64)
-                held = _held((tag, part, i))
-                margin, done = (held["margin"], held["trees"]) if held["trees"] else (np.full(size, base), 0)
-                for t in range(done, tree):
-                    margin = margin + weight[t][place(bins, feature[t], cut[t], spec.depth)]
-                held["margin"], held["trees"] = margin, tree
-                use = drawn(ids, tree, seed, share) if share < 1 else slice(None)
-                node = place(bins[use], feature[tree], cut[tree], level)
-                found = level_sums(node, bins[use], (margin - y)[use], level, columns, spec.bins)
-                total = found if total is None else total + found
-            if total is not None:
-                yield total
-
-        found = blocks.mapPartitionsWithIndex(task)
-        sums = found.collect()[0] if blocks.getNumPartitions() == 1 else found.treeReduce(np.add)
+    one = n <= block_rows
+    stored = staged(_blocks(train.coalesce(1) if one else train, inputs, target, edges, block_rows))
+    base, empty = model.base, model
+    if one:
+        def whole(blocks: Iterator[tuple]) -> Iterator[tuple]:
+            rows, grown = _Rows(blocks, n_inputs, base), empty
+            if rows.blocks:
+                for tree in range(spec.rounds):
+                    grow(grown, tree, spec, lambda t, level: rows.sums(grown, t, level, spec))
+                yield grown.feature, grown.cut, grown.weight, grown.gain
+
+        model.feature, model.cut, model.weight, model.gain = stored.rdd.map(tuple).coalesce(1).mapPartitions(whole).first()
+        discard(stored)
+        return model
+    blocks, fit_id = stored.rdd.map(tuple).persist(), uuid.uuid4().hex
+
+    def sums_of(tree: int, level: int) -> np.ndarray:
+        shared = spark.sparkContext.broadcast(model)
+
+        def task(part: int, found: Iterator[tuple]) -> Iterator[np.ndarray]:
+            sums = _kept(fit_id, part, lambda: _Rows(found, n_inputs, base)).sums(shared.value, tree, level, spec)
+            return iter([] if sums is None else [sums])
+
+        total = blocks.mapPartitionsWithIndex(task).treeReduce(np.add)
         shared.unpersist()
-        return sums, columns
-
-    for tree in range(rounds):
-        for level in range(spec.depth):
-            sums, columns = level_of(tree, level)
-            gain, column, cut, total = best_splits(sums, spec.l2, spec.least_weight)
-            for i in range(1 << level):
-                node = (1 << level) - 1 + i
-                parent = (node - 1) // 2
-                if level and model.feature[tree, parent] < 0:
-                    continue
-                split = gain[i] > 0
-                if split:
-                    model.feature[tree, node], model.cut[tree, node], model.gain[tree, node] = columns[column[i]], cut[i], gain[i]
-                    left = sums[:, i, column[i], :cut[i] + 1].sum(axis=1)
-                    for child, s in ((2 * node + 1, left), (2 * node + 2, total[:, i] - left)):
-                        model.weight[tree, child] = -spec.learning_rate * s[0] / (s[1] + spec.l2)
-                elif not level:
-                    model.weight[tree, node] = -spec.learning_rate * total[0, i] / (total[1, i] + spec.l2)
-            if not (model.feature[tree, (1 << level) - 1:(2 << level) - 1] >= 0).any():
-                break
+        return total
+
+    for tree in range(spec.rounds):
+        grow(model, tree, spec, sums_of)
     blocks.unpersist()
     discard(stored)
     return model

@@ -47,13 +47,15 @@ class InEventTimeOrder(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         got = pd.concat(list(rows))
+        self.mark = timerValues.getCurrentWatermarkInMs()
         at = to_micros(got[self.fields.names[0]])
         self.waiting.appendList(list(zip(at, *(got[c].tolist() for c in self.fields.names[1:]))))
         self.wake(min(at))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        self.mark = timerValues.getCurrentWatermarkInMs()
+        mark = self.mark * 1000
         rows = sorted(self.waiting.get())
         due = [r for r in rows if r[0] <= mark]
         rest = rows[len(due):]
@@ -65,9 +67,9 @@ class InEventTimeOrder(StatefulProcessor):
         return iter([] if found is None else [found])
 
     def wake(self, at: int) -> None:
-        """Come back when the watermark passes a time, unless an earlier timer will."""
+        """Come back when the watermark passes a time, unless an earlier timer will that is still to come."""
         ms = -(-at // 1000)
-        if all(t > ms for t in self.handle.listTimers()):
+        if not any(self.mark < t <= ms for t in self.handle.listTimers()):
             self.handle.registerTimer(ms)
 
     def step(self, key, due: list[tuple], mark: int) -> pd.DataFrame | None:
