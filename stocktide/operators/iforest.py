@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from stocktide.config import ForestSpec
 from stocktide.operators.features import online_anomaly_features
+from stocktide.operators.selection import kth_smallest
 from stocktide.schemas import ANOMALY_COLUMNS, FEATURE_KEY
+from stocktide.storage import discard, staged
 
 NODES = "tree INT, node INT, feature INT, split DOUBLE, left INT, right INT, size INT, depth INT"
 _EULER_GAMMA = 0.5772156649015329
@@ -151,19 +153,17 @@ class Forest:
 
     @classmethod
     def fit(cls, features: DataFrame, spec: ForestSpec = ForestSpec(), columns: list[str] | None = None) -> Forest:
-        """Fit, then cut at the ``contamination`` share of the training rows' scores.
-
-        The cut is an approximate percentile with a rank error of at most 1 in 100,000.
-        """
+        """Fit, then cut at the ``contamination`` share of the training rows' scores: exactly the score of that rank."""
         columns = columns or ANOMALY_COLUMNS
         forest = cls(fit_forest(features, spec, columns).toPandas(), 1.0, columns)
         train = features
         if "is_injected_anomaly" in features.columns:
             train = features.filter(~F.coalesce(F.col("is_injected_anomaly"), F.lit(False)))
-        scored = forest.score(train.select(*columns))
-        forest.cut = scored.agg(
-            F.percentile_approx("anomaly_score", F.lit(1 - spec.contamination), F.lit(100_000))
-        ).first()[0]
+        scored = staged(forest.score(train.select(*columns)).select("anomaly_score"))
+        n = scored.count()
+        cut = kth_smallest(scored, "anomaly_score", max(1, math.ceil(round((1 - spec.contamination) * n, 6))))
+        forest.cut = 1.0 if cut is None else cut
+        discard(scored)
         return forest
 
     def score(self, df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from stocktide.functions.expr import psi_band
 from stocktide.operators import drift, registry, retrain
 from stocktide.plans.catalog import query, rounded
 from stocktide.plans.retail_tables import Retail
-from stocktide.schemas import FEATURE_KEY
+from stocktide.schemas import FEATURE_KEY, KEYS
 from stocktide.sources import retail
 from stocktide.streaming import loop, sinks
 
@@ -65,7 +67,27 @@ def drift_ks_pvalue(r: Retail) -> DataFrame:
 
 @query("drift_ks_exact")
 def drift_ks_exact(r: Retail) -> DataFrame:
-    return drift.ks_test(drift.value_counts(r.split(), retail.DRIFT), retail.DRIFT, "exact")
+    """Per store, product and feature, whose samples are short."""
+    return drift.exact_ks_by_key(r.split(), retail.DRIFT)
+
+
+_BY_KEY = """SELECT store_id, sku_id, feature, round(max(abs(r / n_reference - c / n_current)), 6) AS ks_stat, n_reference, n_current
+    FROM (SELECT store_id, sku_id, feature, sum(nr) OVER upto AS r, sum(nc) OVER upto AS c,
+        sum(nr) OVER k AS n_reference, sum(nc) OVER k AS n_current
+      FROM (SELECT store_id, sku_id, feature, value, count(*) FILTER (side = 'reference') AS nr, count(*) FILTER (side = 'current') AS nc
+        FROM (UNPIVOT (SELECT store_id, sku_id, side, CAST(order_rate AS DOUBLE) AS order_rate, CAST(depletion_vel AS DOUBLE) AS depletion_vel,
+            CAST(demand_momentum AS DOUBLE) AS demand_momentum, CAST(on_hand_est AS DOUBLE) AS on_hand_est FROM drift_split)
+          ON order_rate, depletion_vel, demand_momentum, on_hand_est INTO NAME feature VALUE value) GROUP BY ALL)
+      WINDOW k AS (PARTITION BY store_id, sku_id, feature),
+        upto AS (PARTITION BY store_id, sku_id, feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    WHERE n_reference > 0 AND n_current > 0 GROUP BY ALL"""
+
+
+@query("drift_ks_by_key", f"SELECT store_id, sku_id, feature, ks_stat, ks_stat = 0 AS certain FROM ({_BY_KEY})")
+def drift_ks_by_key(r: Retail) -> DataFrame:
+    """The statistics behind ``drift_ks_exact``; the p-value is 1 where, and only where, they are 0."""
+    found = drift.exact_ks_by_key(r.split(), retail.DRIFT)
+    return found.select(*KEYS, "feature", "ks_stat", (F.col("ks_pval") == 1).alias("certain"))
 
 
 @query(
@@ -201,6 +223,21 @@ def retrain_passes(r: Retail) -> DataFrame:
     return found[0].unionAll(found[1]).groupBy("pass", "job_name").agg(F.count("*").alias("started"))
 
 
+@query("stream_retrain_requests", """SELECT job_name || '_' || run_id AS run_key, job_name, run_id FROM
+    (SELECT *, 'detector_retrain' AS job_name FROM retrain WHERE trigger_detector
+      UNION ALL SELECT *, 'forecaster_retrain' FROM retrain WHERE trigger_forecaster)""")
+def stream_retrain_requests(r: Retail) -> DataFrame:
+    """Summaries arrive as a stream and all of them twice; each is decided on once, with the cooldowns that hold now."""
+    runs, path = retail.drift_runs(r.spark, r.sf_dir), r.path(f"drift-stream-{uuid.uuid4().hex}")
+    for _ in range(2):
+        runs.coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = r.spark.readStream.schema(runs.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    state = registry.cooldown_state(retail.trigger_log(r.spark, r.sf_dir), r.cooldown_limits(), r.orders_clock())
+    query = loop.start_decisions(stream, lambda: state, f"{path}/requests", f"{path}/checkpoint", "3650 days", retail.DRIFT, {"availableNow": True})
+    query.awaitTermination()
+    return loop.read_requests(r.spark, f"{path}/requests").select("run_key", "job_name", "run_id")
+
+
 @query(
     "drift_decision",
     """SELECT any_drift AS should_trigger, drifted_features, max_psi FROM drift_summary""",

@@ -17,7 +17,7 @@ from stocktide.operators import drift, evaluate, features, scoring, serving, val
 from stocktide.schemas import WINDOWED_FEATURES
 from stocktide.sources import retail, streams
 from stocktide.storage import shared_dir, written
-from stocktide.streaming import pipeline
+from stocktide.streaming import pipeline, stateful
 
 
 class Retail:
@@ -104,6 +104,7 @@ class Retail:
             raw.select("value").write.mode("overwrite").text(folders[kind])
         now = F.lit(self.table("events").agg(F.max("ts").cast("timestamp")).first()[0])
         out, totals = self.path(f"{run}/out"), pipeline.Totals()
+        stateful.use_rocksdb(self.spark)
         self.spark.streams.addListener(totals)
         try:
             queries = pipeline.start_pipeline(

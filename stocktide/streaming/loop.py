@@ -6,8 +6,11 @@ again leaves the same rows. Files under a log follow the number of retrains, not
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from stocktide.config import DriftSpec
 from stocktide.operators import registry, retrain
@@ -87,3 +90,34 @@ def retrain_pass(
     requests = retrain.run_requests(decided).withColumn("run_key", F.concat(F.lit(f"{name}:"), "run_key"))
     state.record_triggers(requests, name, at)
     return state.triggers().filter(F.col("run_key").startswith(f"{name}:"))
+
+
+REQUESTS = "run_key STRING, job_name STRING, run_id STRING, drifted_features STRING, max_psi STRING, batch LONG"
+
+
+def start_decisions(
+    summaries: DataFrame, cooldowns: Callable[[], DataFrame], path: str, checkpoint: str, within: str = "7 days",
+    spec: DriftSpec = DriftSpec(), trigger: dict | None = None,
+) -> StreamingQuery:
+    """Decide on a stream of drift summaries (run_id, run_ts, ...) and store the requests below ``path``, one folder a batch.
+
+    A summary that is sent again ``within`` that time of its first copy starts nothing: the ids seen are state under a watermark.
+    A batch that is run again writes its own folder again. ``cooldowns`` is asked once per batch.
+    """
+    once = summaries.withWatermark("run_ts", within).dropDuplicatesWithinWatermark(["run_id"])
+
+    def decide(batch: DataFrame, batch_id: int) -> None:
+        decided = retrain.retrain_decision(batch, cooldowns(), spec)
+        # a request's key is its job and its run
+        requests = retrain.run_requests(decided).withColumn("run_id", F.expr("substr(run_key, length(job_name) + 2)"))
+        fields = [c.split()[0] for c in REQUESTS.split(", ")][:-1]
+        requests.select(*fields).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        once.writeStream.outputMode("append").foreachBatch(decide).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 minute"})).start()
+    )
+
+
+def read_requests(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(REQUESTS).parquet(path)
