@@ -15,7 +15,7 @@ from stocktide.llm.packing import best_fit_packing
 from stocktide.llm.simhash import without_near_copies
 from stocktide.llm.suffix_dedup import without_repeated_strings
 from stocktide.llm.toxicity import without_toxic
-from stocktide.storage import staged
+from stocktide.storage import discard, staged
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,5 +53,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir))
+        before, docs = docs, staged(stage(spark, docs, sf_dir))
+        discard(before)  # the stage's result is stored; the first input is no staged table and stays
     return STAGES[-1][1](spark, docs, sf_dir)
