@@ -28,8 +28,7 @@ from stocktide.llm.worker import slices_by_bytes
 from stocktide.storage import staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = re.compile("[^\x20\x09-\x0d]+")
-TO_LOWER = str.maketrans(UPPER, LOWER)
+TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: How sentencepiece writes a space.
 SPACE = "▁"
 #: Rounds of expectation maximisation, and the weight of the vocabulary's own scores, in pieces.
@@ -83,32 +82,29 @@ class Lattice:
         return ends - values % 64, ends, values // 64, firsts
 
     @staticmethod
-    def _levels(depth: np.ndarray) -> Iterator[np.ndarray]:
-        """Edges by depth, one depth at a time."""
-        order = np.argsort(depth, kind="stable")
-        for cut in np.split(order, np.flatnonzero(np.diff(depth[order])) + 1):
-            yield cut
+    def _levels(depth: np.ndarray, order: np.ndarray | None = None) -> list[np.ndarray]:
+        """Edges by depth, one depth at a time, each in the given order."""
+        small = depth.astype(np.uint16) if depth.max(initial=0) < 1 << 16 else depth  # short numbers are sorted faster
+        order = np.argsort(small, kind="stable") if order is None else order[np.argsort(small[order], kind="stable")]
+        return np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
 
     @staticmethod
     def _pass(nodes: np.ndarray, source: np.ndarray, target: np.ndarray, weight: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
-        """Add up in log space along the edges, all words at once, a level of targets after the other."""
+        """Add up in log space along the edges, all words at once, a level of targets after the other; equal targets are neighbours."""
         for cut in levels:
             to = target[cut]
-            if len(to) > 1:
-                cut = cut[np.argsort(to, kind="stable")]
-                to = target[cut]
             heads = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
             nodes[to[heads]] = np.logaddexp.reduceat(nodes[source[cut]] + weight[cut], heads)
         return nodes
 
     def _forward(self, words):
         start, end, piece, firsts = self.edges(words)
-        base = firsts[np.searchsorted(firsts, start, "right") - 1]
+        of = np.repeat(np.arange(len(words)), np.diff(np.searchsorted(end, firsts)))  # edges come in the order of their ends
         weight = self.log[piece]
         ahead = np.full(firsts[-1], -np.inf)
         ahead[firsts[:-1]] = 0
-        self._pass(ahead, start, end, weight, list(self._levels(end - base)))
-        return ahead, start, end, piece, weight, base, firsts
+        self._pass(ahead, start, end, weight, self._levels(end - firsts[of]))
+        return ahead, start, end, piece, weight, of, firsts
 
     def log10(self, words: list[bytes]) -> np.ndarray:
         """The marginal log10 probability of each word."""
@@ -117,12 +113,11 @@ class Lattice:
 
     def expected(self, words: list[bytes], times: np.ndarray) -> np.ndarray:
         """How often each piece is expected in the words, over all segmentations, by the forward and backward sums."""
-        ahead, start, end, piece, weight, base, firsts = self._forward(words)
-        of = np.searchsorted(firsts, start, "right") - 1
+        ahead, start, end, piece, weight, of, firsts = self._forward(words)
         last = firsts[of + 1] - 1
         back = np.full(firsts[-1], -np.inf)
         back[firsts[1:] - 1] = 0
-        self._pass(back, end, start, weight, list(self._levels(last - start)))
+        self._pass(back, end, start, weight, self._levels(last - start, np.argsort(start, kind="stable")))
         share = np.exp(ahead[start] + weight + back[end] - ahead[last])
         return np.bincount(piece, share * times[of], len(self.log))
 
@@ -147,11 +142,23 @@ def words_of(text: Column) -> Column:
     return F.filter(found, lambda w: w != "")
 
 
-def key_of(word: str) -> str:
-    """The word itself, or a digest behind a space where it is long; no word holds a space."""
-    if len(word) <= KEY_BYTES // 4 or len(word.encode()) <= KEY_BYTES:
-        return word
-    return " " + hashlib.sha256(word.encode()).hexdigest()[:KEY_BYTES - 1]
+def split_words(text: str | None) -> list[bytes]:
+    """The words as UTF-8: bytes split at space and the five controls from tab on, which is what a word ends at."""
+    return text.encode().translate(TO_LOWER).split() if text else []
+
+
+def keys_of(words: list[bytes]) -> list[bytes]:
+    """Each word itself, or a digest behind a space where it is long; no word holds a space."""
+    if not words or max(map(len, words)) <= KEY_BYTES:
+        return words
+    return [w if len(w) <= KEY_BYTES else b" " + hashlib.sha256(w).hexdigest()[:KEY_BYTES - 1].encode() for w in words]
+
+
+class Places(dict):
+    """Places by key; a key that is not there has the place after the last."""
+
+    def __missing__(self, key: bytes) -> int:
+        return len(self)
 
 
 def key_column(word: Column) -> Column:
@@ -248,19 +255,22 @@ def lattice_scores(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, *values = shared.value
-        place = {k: i for i, k in enumerate(keys)}
+        place = Places((k.encode(), i) for i, k in enumerate(keys))
         values = [np.append(x.astype(np.float64), 0.0) for x in values]  # the last stands for a word of the rest
         schema = to_arrow_schema(kind)
         for part in slices_by_bytes(batches, "text"):
-            found = [list(map(key_of, WORD.findall(t.translate(TO_LOWER)))) if t else [] for t in part.column("text").to_pylist()]
+            found = [keys_of(split_words(t)) for t in part.column("text").to_pylist()]
             counts = np.fromiter(map(len, found), np.int64, len(found))
-            at = np.fromiter((place.get(k, len(keys)) for k in chain.from_iterable(found)), np.int64, counts.sum())
+            every = list(chain.from_iterable(found))
+            at = np.fromiter(map(place.__getitem__, every), np.int64, len(every))
             text = np.repeat(np.arange(len(found)), counts)
             known, based, summed = (np.bincount(text, x[at], len(found)) for x in values)
-            rest = [[k for k in words if k not in place] for words in found]
+            missing = np.flatnonzero(at == len(keys))
+            to = np.searchsorted(text[missing], np.arange(len(found) + 1)).astype(np.int32)
+            rest = pa.array([every[i].decode() for i in missing.tolist()], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("held_out"), pa.array(counts + 1), pa.array(known.astype(np.int64)),
-                 pa.array(based), pa.array(summed), pa.array(rest, schema.field("rest").type)], schema=schema)
+                 pa.array(based), pa.array(summed), pa.ListArray.from_arrays(pa.array(to), rest, type=schema.field("rest").type)], schema=schema)
 
     read = staged(rows.mapInArrow(run, kind).withColumn("row", F.monotonically_increasing_id()))
     rare = valued.filter(F.col("times") < least)
