@@ -250,7 +250,7 @@ def _chunk(spark, whole, anchors, bound, width, positives, negatives, share) ->
         "positive_id": best.column("id").combine_chunks(), "positive_score": score,
     })
     kind = "slot long, anchor_id long, positive_id long, positive_score long"
-    known = F.broadcast(spark.createDataFrame(names.to_pandas(types_mapper=None) if len(slot) else [], kind))  # bounded like the chunk
+    known = F.broadcast(spark.createDataFrame(names, kind))  # bounded like the chunk
     return kept.join(known, "slot").select(
         "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("negative_id"),
         "positive_score", F.col("score").alias("negative_score"),
