@@ -83,11 +83,10 @@ _BY_KEY = """SELECT store_id, sku_id, feature, round(max(abs(r / n_reference - c
     WHERE n_reference > 0 AND n_current > 0 GROUP BY ALL"""
 
 
-@query("drift_ks_by_key", f"SELECT store_id, sku_id, feature, ks_stat, ks_stat = 0 AS certain FROM ({_BY_KEY})")
+@query("drift_ks_by_key", f"SELECT store_id, sku_id, feature, ks_stat FROM ({_BY_KEY})")
 def drift_ks_by_key(r: Retail) -> DataFrame:
-    """The statistics behind ``drift_ks_exact``; the p-value is 1 where, and only where, they are 0."""
-    found = drift.exact_ks_by_key(r.split(), retail.DRIFT)
-    return found.select(*KEYS, "feature", "ks_stat", (F.col("ks_pval") == 1).alias("certain"))
+    """The statistics behind ``drift_ks_exact``."""
+    return drift.exact_ks_by_key(r.split(), retail.DRIFT).drop("ks_pval")
 
 
 @query(

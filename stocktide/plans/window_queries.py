@@ -101,6 +101,24 @@ def stream_alerts(r: Retail) -> DataFrame:
     return r.stream_run[0].alerts.read()
 
 
+@query(
+    "stream_open_windows",
+    f"""SELECT store_id, sku_id, window_end - INTERVAL 6 HOUR AS window_start, window_end, count(*) FILTER (is_order) AS long_count,
+      count(*) FILTER (is_order AND here) AS order_count, CAST(coalesce(sum(quantity) FILTER (here), 0) AS BIGINT) AS total_units,
+      CAST(coalesce(sum(-delta_units) FILTER (here AND delta_units < 0), 0) AS BIGINT) AS depletion_units,
+      CAST(coalesce(sum(delta_units) FILTER (here AND movement_type = 'restock'), 0) AS BIGINT) AS restock_units,
+      arg_max(on_hand_after, (event_time, event_id)) FILTER (here AND NOT is_order) AS on_hand_latest
+    FROM (SELECT *, i = 0 AS here, {start_of('event_time')} + (i + 1) * INTERVAL 6 HOUR AS window_end FROM
+        (SELECT store_id, sku_id, event_time, event_id, TRUE AS is_order, quantity, NULL AS delta_units, NULL AS movement_type, NULL AS on_hand_after FROM vorders
+          UNION ALL SELECT store_id, sku_id, event_time, event_id, FALSE, NULL, delta_units, movement_type, on_hand_after FROM vinv),
+        (SELECT unnest(range(5)) AS i))
+    WHERE NOT {_CLOSED} GROUP BY store_id, sku_id, window_end""",
+)
+def stream_open_windows(r: Retail) -> DataFrame:
+    """What the stream still holds when its input ends, read back from its RocksDB state."""
+    return pipeline.open_windows(r.spark, r.stream_run[2], retail.SPEC)
+
+
 @query("stream_order_count", "SELECT count(*) AS order_events FROM vorders")
 def stream_order_count(r: Retail) -> DataFrame:
     """The running total of valid orders as the stream reported it, batch by batch."""

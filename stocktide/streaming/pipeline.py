@@ -75,6 +75,20 @@ def window_stream(orders: DataFrame, inventory: DataFrame, spec: WindowSpec) ->
     )
 
 
+def open_windows(spark: SparkSession, checkpoint: str, spec: WindowSpec) -> DataFrame:
+    """The windows that a stopped or running query of ``window_stream`` has not closed yet, read from its stored state."""
+    measures = (
+        "long_count: bigint, order_count: bigint, total_units: bigint, depletion_units: bigint, restock_units: bigint, on_hand_latest: int, "
+        "at: struct<event_time: timestamp, event_id: string>"
+    )
+    state = spark.read.format("statestore").load(checkpoint).select("key", F.col("value").cast(f"struct<{measures}>").alias("v"))
+    sums = [F.coalesce(f"v.{c}", F.lit(0)).alias(c) for c in ("long_count", "order_count", "total_units", "depletion_units", "restock_units")]
+    return state.select(
+        "key.store_id", "key.sku_id", (F.col("key.w.end") - F.expr(f"interval {spec.short}")).alias("window_start"),
+        F.col("key.w.end").alias("window_end"), *sums, "v.on_hand_latest",
+    )
+
+
 def window_join_stream(orders: DataFrame, inventory: DataFrame, spec: WindowSpec) -> DataFrame:
     """The rows of ``window_stream`` as a stream-stream join of three windowed aggregates.
 
