@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide.llm.hot import MAX_BITS, apart_by, bits_for, bitmaps_of, spread_join
-from stocktide.llm.worker import Bounded, map_rows, per_worker
+from stocktide.llm.worker import Bounded, map_rows, per_worker, slices_by_bytes
 from stocktide.storage import discard, staged
 
 LENGTH = 200
@@ -182,10 +182,9 @@ def _bytes(texts: list) -> list[bytes]:
 
 def _anchor_hashes(docs: DataFrame, length: int, reach: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                for r in runs(_bytes(batch.column(0).slice(at, 256).to_pylist()), length, reach):
-                    yield pa.RecordBatch.from_arrays([pa.array(r.h.view(np.int64))], ["h"])
+        for part in slices_by_bytes(batches, "text"):
+            for r in runs(_bytes(part.column(0).to_pylist()), length, reach):
+                yield pa.RecordBatch.from_arrays([pa.array(r.h.view(np.int64))], ["h"])
 
     return docs.select("text").mapInArrow(run, "h long")
 
@@ -196,10 +195,20 @@ def _owner(doc_id: object, tag: bytes | None) -> bytes:
 
 
 def _ident(cover: bytes, owner: bytes, at: int) -> int:
-    """A number for one run of one id and text; clashes only let more rows through a filter."""
+    """A number for one part of a run of one id and text; clashes only let more rows through a filter."""
     return xxhash.xxh64_intdigest(b"%b,%d," % (owner, at) + cover) - (1 << 63)
 
 
+def _idents(r: Runs, owners: np.ndarray) -> np.ndarray:
+    """The numbers of whole runs, from their texts' owners (hashed) and their places alone: without their bytes."""
+    x = owners[r.text]
+    for values, factor in ((r.at, 0x9E3779B97F4A7C15), (r.first, 0xC2B2AE3D27D4EB4F), (r.last, 0x165667B19E3779F9)):
+        x = (x ^ values.astype(np.uint64)) * np.uint64(factor)
+        x ^= x >> np.uint64(31)
+    x = (x ^ r.h) * np.uint64(0xD6E8FEB86659FD93)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
+
+
 def _first_of(seen: Bounded, owner: bytes, at: int, low: int, high: int) -> bool:
     """Whether a task meets a run for the first time, as far as it remembers: rows that repeat an id and its text have equal
     runs, of which one goes on."""
@@ -211,14 +220,20 @@ def _first_of(seen: Bounded, owner: bytes, at: int, low: int, high: int) -> bool
     return True
 
 
-def _selected(texts: list[bytes], owners: list[bytes], bits: np.ndarray, length: int, reach: int) -> Iterator[tuple]:
-    """(text, anchor, low, high, hash, cover's rank, ident, cover) of the runs whose anchor hash the filter has."""
+def _selected(
+    texts: list[bytes], owners: list[bytes], bits: np.ndarray, length: int, reach: int, chosen: np.ndarray | None = None
+) -> Iterator[tuple]:
+    """(text, anchor, low, high, hash, ident, cover) of the runs whose anchor hash, and ident if asked, the filters have."""
+    hashed = np.fromiter(map(xxhash.xxh64_intdigest, owners), np.uint64, len(owners))
     for r in runs(texts, length, reach):
         some = np.flatnonzero(in_bloom(bits, r.h))
-        for text, at, first, last, h in zip(*(x[some].tolist() for x in (r.text, r.at, r.first, r.last, r.h.view(np.int64)))):
-            cover = texts[text][first:last + length]
-            rank = rank_of(cover, at - last, at - first)
-            yield text, at, at - last, at - first, h, rank, _ident(rank, owners[text], at), cover
+        r = Runs(*(x[some] for x in (r.text, r.at, r.first, r.last, r.h)))
+        ident = _idents(r, hashed)
+        if chosen is not None:
+            some = np.flatnonzero(in_bloom(chosen, ident.view(np.uint64)))
+            r, ident = Runs(*(x[some] for x in (r.text, r.at, r.first, r.last, r.h))), ident[some]
+        for text, at, first, last, h, number in zip(*(x.tolist() for x in (r.text, r.at, r.first, r.last, r.h.view(np.int64), ident))):
+            yield text, at, at - last, at - first, h, number, texts[text][first:last + length]
 
 
 def _runs_of(docs: DataFrame, shared, length: int, reach: int) -> DataFrame:
@@ -229,8 +244,8 @@ def _runs_of(docs: DataFrame, shared, length: int, reach: int) -> DataFrame:
 
         def found(ids, tags, texts):
             out = [[] for _ in range(8)]
-            for text, *rest, _ in _selected(_bytes(texts), list(map(_owner, ids, tags)), bits, length, reach):
-                for values, v in zip(out, (ids[text], tags[text], *rest)):
+            for text, at, low, high, h, ident, cover in _selected(_bytes(texts), list(map(_owner, ids, tags)), bits, length, reach):
+                for values, v in zip(out, (ids[text], tags[text], at, low, high, h, rank_of(cover, low, high), ident)):
                     values.append(v)
             return out
 
@@ -238,7 +253,7 @@ def _runs_of(docs: DataFrame, shared, length: int, reach: int) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, tag binary, at long, low int, high int, h long, cover binary, ident long"
-    return map_rows(docs, ["doc_id", "tag", "text"], schema, start)
+    return map_rows(docs, ["doc_id", "tag", "text"], schema, start, by="text")
 
 
 def _repeated(found: DataFrame, hashes: DataFrame, max_bits: int) -> DataFrame:
@@ -278,17 +293,16 @@ def _first_parts(docs: DataFrame, hashes, chosen, levels: Levels) -> DataFrame:
 
         def split(ids, tags, texts):
             owners = list(map(_owner, ids, tags))
-            out, found = [[] for _ in range(10)], list(_selected(_bytes(texts), owners, by_hash, levels.length, levels.reach))
-            keep = in_bloom(by_ident, np.array([f[6] for f in found], np.int64).view(np.uint64)) if found else []
-            for (text, at, low, high, _, _, ident, cover), wanted in zip(found, keep):
-                if wanted and _first_of(seen, owners[text], at, low, high):
+            out = [[] for _ in range(10)]
+            for text, at, low, high, _, ident, cover in _selected(_bytes(texts), owners, by_hash, levels.length, levels.reach, by_ident):
+                if _first_of(seen, owners[text], at, low, high):
                     _parts((ids[text], tags[text], at, low, high), ident, cover, levels, 0, out)
             return out
 
         return split
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs, ["doc_id", "tag", "text"], NODE.format(kind=kind), start)
+    return map_rows(docs, ["doc_id", "tag", "text"], NODE.format(kind=kind), start, by="text")
 
 
 def _next_parts(nodes: DataFrame, chosen, levels: Levels, level: int) -> DataFrame:
@@ -444,7 +458,7 @@ def repeated_bytes(
                 values.append(v)
         return out if kept else out[:5]
 
-    changed = map_rows(listed, [F.col("key.doc_id").alias("doc_id"), text.alias("text"), "spans"], schema + more * kept, lambda: cut)
+    changed = map_rows(listed, [F.col("key.doc_id").alias("doc_id"), text.alias("text"), "spans"], schema + more * kept, lambda: cut, by="text")
     none = [F.array().cast("array<struct<start:bigint,stop:bigint>>").alias("spans"), text.cast("binary").alias("kept")]
     same = rest.select(
         F.col("key.doc_id").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
@@ -478,8 +492,9 @@ def without_repeated_strings(
     from pyspark.sql import types as T
 
     out = T.StructType([schema[c] for c in keep] + [T.StructField(text_column, T.StringType())])
-    columns = [F.col(f"row.`{c}`") for c in keep] + [F.col(f"row.`{text_column}`").alias("text"), "spans"]
-    changed = map_rows(listed.select(*columns), [F.col(f"`{c}`") for c in [*keep]] + ["text", "spans"], out, start).select(
+    # by place, so that no column of the table can clash with an added one
+    columns = [F.col(f"row.`{c}`").alias(f"c{i}") for i, c in enumerate([*keep, text_column])] + [F.col("spans").alias("spans")]
+    changed = map_rows(listed.select(*columns), [f"c{i}" for i in range(len(keep) + 1)] + ["spans"], out, start, by=f"c{len(keep)}").select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )
     if size_column in docs.columns:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import pickle
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -34,6 +36,14 @@ def per_worker(key: object, make: Callable[[], object]) -> object:
     return held[key]
 
 
+def release() -> None:
+    """Give memory that a finished task has freed back to the system; the worker process lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class Bounded(dict):
     """A dictionary of derived values that is emptied when it reaches ``limit`` entries."""
 
@@ -46,27 +56,42 @@ class Bounded(dict):
             self.clear()
 
 
-def map_rows(df: DataFrame, columns: list, schema: str | T.StructType, start: Callable[[], Callable]) -> DataFrame:
+def map_rows(
+    df: DataFrame, columns: list, schema: str | T.StructType, start: Callable[[], Callable], by: str | None = None
+) -> DataFrame:
     """Apply a Python function to slices of rows, without a shuffle.
 
     ``start()`` runs once per task and returns a function that gets one list per column and returns one list per
-    field of ``schema``. The number of rows may change.
+    field of ``schema``. The number of rows may change. ``by`` names a text column whose bytes bound a slice as well.
     """
     kind = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply, arrow = start(), to_arrow_schema(kind)
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                found = apply(*(c.to_pylist() for c in part.columns))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, type=f.type) for values, f in zip(found, arrow)], schema=arrow
-                )
+        parts = slices_by_bytes(batches, by) if by else (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE))
+        for part in parts:
+            found = apply(*(c.to_pylist() for c in part.columns))
+            yield pa.RecordBatch.from_arrays([pa.array(values, type=f.type) for values, f in zip(found, arrow)], schema=arrow)
+        if by:
+            release()
 
     return df.select(*columns).mapInArrow(run, kind)
 
 
+def on_one_worker(sample: DataFrame, make: Callable[[list[tuple]], object]) -> object:
+    """What ``make`` makes of the rows of a sample of bounded size, in one task of an executor; it gets them in no order.
+
+    The driver only sees the result, which must be plain values.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(make(rows))], pa.binary())], ["made"])
+        release()
+
+    made = sample.repartition(1).mapInArrow(run, "made binary").first()
+    return pickle.loads(made["made"]) if made else make([])
+
+
 def slices_by_bytes(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut into slices of about ``size`` bytes of a text column, one row at least and ``SLICE`` at most."""
     for batch in batches:
