@@ -57,11 +57,12 @@ def paths(messages: DataFrame) -> DataFrame:
 def chat_format(messages: DataFrame, branches: int | None = None) -> DataFrame:
     """Format the ``branches`` best paths of every tree (NULL: all) of messages (tree, node, parent, role, text, score).
 
-    ``tree`` and ``node`` must not be NULL, and no message may answer itself over a circle. A branch scores the mean
+    ``node`` must not be NULL, and no message may answer itself over a circle; messages without a ``tree`` are one tree. A branch scores the mean
     of its messages (NULL scores count 0); ties go to the smaller leaf. Returns tree, leaf, branch (rank from 1), formatted,
     and loss_spans: code point positions [start, stop) of the assistant's texts in it. NULL roles and texts count
     as empty. Empty tables give an empty result; other columns are ignored.
     """
+    messages = messages.withColumn("tree", F.struct(F.col("tree").alias("id")))  # a key that joins where the id is NULL
     pairs = paths(messages)
     scored = pairs.join(messages.select("tree", "node", F.coalesce("score", F.lit(0)).alias("score")), ["tree", "node"])
     best = scored.groupBy("tree", "leaf").agg(F.avg("score").alias("score")).select(
@@ -91,7 +92,7 @@ def chat_format(messages: DataFrame, branches: int | None = None) -> DataFrame:
         ),
     )["spans"]
     lines = F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit(CLOSE)))
-    return parts.select("tree", "leaf", "branch", F.array_join(lines, "").alias("formatted"), spans.alias("loss_spans"))
+    return parts.select(F.col("tree.id").alias("tree"), "leaf", "branch", F.array_join(lines, "").alias("formatted"), spans.alias("loss_spans"))
 
 
 def parsed(formatted: Column) -> Column:
@@ -111,10 +112,10 @@ def loss_text(formatted: Column, spans: Column) -> Column:
 def chains(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """Rows of linear conversations as messages: each answers the one before. Ties in ``turn`` go by role, then text.
 
-    Rows without a ``conv`` belong to no known conversation and are left out, as the checking SQL has it.
+    Rows without a ``conv`` are one conversation.
     """
     at = F.expr("row_number() OVER (PARTITION BY tree ORDER BY turn, role, text)").cast("long")
-    return renamed(rows, tree=conv, turn=turn, role=role, text=text).filter("tree IS NOT NULL").select(
+    return renamed(rows, tree=conv, turn=turn, role=role, text=text).select(
         "tree", at.alias("node"), (at - 1).alias("parent"), "role", "text", F.length("text").alias("score")
     )
 
@@ -142,7 +143,7 @@ def _sql_escaped(column: str) -> str:
 
 OP9_SQL = f"""
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
 ), g AS (
