@@ -85,7 +85,8 @@ def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str
     decided = _Repeats(keyed, max_bits).decided(whole)
     stays = decided.filter(F.col("group_size").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id")))
     once = F.coalesce("same", F.lit(1)) == 1
-    repeated = stays.filter(~once).dropDuplicates(["sha"])
+    # of rows that repeat id and text the one with the smallest hash of all columns, whatever the order they come in
+    repeated = stays.filter(~once).groupBy("sha").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
     return stays.filter(once).select("row.*").unionAll(repeated.select("row.*"))
 
 
