@@ -74,7 +74,7 @@ def test_main_paths_without_python(spark, sf_dir):
 @pytest.mark.parametrize("query", sorted(registry.SQL))
 def test_queries_equal_their_sql(spark, sf_dir, query):
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     want = con.execute(registry.SQL[query])
     names = [d[0] for d in want.description]
@@ -501,7 +501,7 @@ def test_long_chains(spark):
     rows = [(1, t, "user" if t % 2 else "assistant", f"m{t}") for t in range(300)] + [(None, 1, "user", "x"), (2, None, None, None), (2, None, None, None)]
     made = chat.chat_format(chat.chains(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")))
     found = {r["tree"]: [t["text"] for t in r["turns"]] for r in made.select("tree", chat.parsed(made["formatted"]).alias("turns")).collect()}
-    assert found == {1: [f"m{t}" for t in range(300)], 2: ["", ""]}
+    assert found == {1: [f"m{t}" for t in range(300)], 2: ["", ""], None: ["x"]}
 
 
 # Pipeline
