@@ -12,8 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections import deque
-from collections.abc import Iterator
+import re
 from itertools import chain
 
 import ahocorasick
@@ -44,20 +43,50 @@ class PrefixBpe:
         self.ends.make_automaton()
         self.pairs = Bounded(REMEMBERED)
         self.alone = Bounded(REMEMBERED)
+        self.split_of = Bounded(REMEMBERED)
+        self.rank_of_text = {token.decode(): rank for token, rank in ranks.items() if token.isascii()}
 
-    def merged(self, data: bytes) -> list[int]:
-        """Encoding of a few bytes by merging the lowest rank first; the definition that compatibility rests on."""
+    def merged(self, data: bytes, below: int = 1 << 40) -> list[int]:
+        """Encoding of a few bytes by merging the lowest rank first, by ranks below a limit only; the definition that
+        compatibility rests on."""
         parts, ranks = [data[i:i + 1] for i in range(len(data))], self.ranks
         while len(parts) > 1:
             best = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], 1 << 40))
-            if parts[best] + parts[best + 1] not in ranks:
+            if ranks.get(parts[best] + parts[best + 1], below) >= below:
                 break
             parts[best:best + 2] = [parts[best] + parts[best + 1]]
         return [ranks[p] for p in parts]
 
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes a token; none for a single byte or a token that merging never makes."""
+        known = self.split_of.get(token, 0)
+        if known == 0:
+            self.split_of.room_for(1)
+            parts = self.merged(self.bytes_of[token], token)
+            known = self.split_of[token] = (parts[0], parts[1]) if len(parts) == 2 else None
+        return known
+
     def compatible(self, left: int, right: int) -> bool:
+        """Whether two tokens side by side stay apart: no merge across their border comes before the merges that make them.
+
+        Walks back in time: the later of both tokens is taken apart, which leaves its half at the border, until both sides are
+        single bytes. A merge of the two halves at the border with a rank below the one just undone would have come first.
+        """
+        fits, l, r, undone = True, left, right, 1 << 40
+        while True:
+            across = self.ranks.get(self.bytes_of[l] + self.bytes_of[r])
+            if across is not None and across < undone:
+                fits = False
+                break
+            inner_l, inner_r = self.halves(l), self.halves(r)
+            # of equal tokens the left one is made first
+            if inner_l and (not inner_r or l > r):
+                undone, l = l, inner_l[1]
+            elif inner_r:
+                undone, r = r + 1, inner_r[0]
+            else:
+                break
         self.pairs.room_for(1)
-        fits = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
         self.pairs[left << 32 | right] = fits
         return fits
 
@@ -71,39 +100,42 @@ class PrefixBpe:
     def table(self, data: bytes, last: list[int] | None = None) -> list[int]:
         """Last tokens of all prefixes; a table of the first bytes is extended in place (an exact append)."""
         last = [-1] if last is None else last
-        deque(self.extended(data, last), maxlen=0)
+        self.extend(data, last)
         return last
 
-    def extended(self, data: bytes, last: list[int]) -> Iterator[int]:
-        """Append the unique valid last token of each further prefix; yields the prefix's length when it is known."""
-        start, known = len(last) - 1, self.pairs.get
+    def extend(self, data: bytes, last: list[int], text: str | None = None, agree: list[int] | None = None, stop: int = 0) -> None:
+        """Append the unique valid last token of each further prefix.
+
+        With a table of the text before an edit that ended at ``stop`` there, work ends where both agree for a longest token.
+        """
+        start, known, compatible = len(last) - 1, self.pairs.get, self.compatible
         base = max(0, start - self.longest + 1)
-        last.extend([-1] * (len(data) - start))
-        for at, (n, token) in self.ends.iter(data[base:].decode("latin-1")):
+        size = len(data)
+        last.extend([-1] * (size - start))
+        shift, same = (size - (len(agree) - 1) if agree else 0), 0
+        for at, (n, token) in self.ends.iter(data[base:].decode("latin-1") if text is None else text):
             end = base + at + 1
-            if end <= start or last[end] >= 0:
+            if last[end] >= 0 or end <= start:
                 continue
             if n < end:
                 fits = known(last[end - n] << 32 | token)
                 if fits is None:
-                    fits = self.compatible(last[end - n], token)
+                    fits = last[end - n] >= 0 and compatible(last[end - n], token)
             else:
                 fits = self.stands_alone(token)
             if fits:
                 last[end] = token
-                yield end
+                if agree is not None:
+                    old = end - shift
+                    same = same + 1 if old > stop and agree[old] == token else 0
+                    if same >= self.longest:
+                        last[end:] = agree[old:]
+                        return
 
     def edited(self, data: bytes, last: list[int], start: int, stop: int, new: bytes) -> tuple[bytes, list[int]]:
         """Replace ``data[start:stop]`` and mend the table; work stops where old and new agree for a longest token."""
-        changed = data[:start] + new + data[stop:]
-        shift = len(changed) - len(data)
-        fresh, same = last[:start + 1], 0
-        for end in self.extended(changed, fresh):
-            old = end - shift
-            same = same + 1 if old > stop and last[old] == fresh[end] else 0
-            if same >= self.longest:
-                fresh[end:] = last[old:]
-                break
+        changed, fresh = data[:start] + new + data[stop:], last[:start + 1]
+        self.extend(changed, fresh, agree=last, stop=stop)
         return changed, fresh
 
     def read(self, data: bytes, last: list[int]) -> list[int]:
@@ -121,31 +153,76 @@ class PrefixBpe:
         whole = self.ranks.get(data)
         return [whole] if whole is not None else self.read(data, self.table(data))
 
+    def encode_text(self, text: str) -> list[int]:
+        if not text.isascii():
+            return self.encode(text.encode())
+        whole = self.rank_of_text.get(text)
+        if whole is not None:
+            return [whole]
+        last = [-1]
+        data = text.encode()
+        self.extend(data, last, text)
+        return self.read(data, last)
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
+#: Letters that all Unicode tables agree on, and marks that are a pre-token of their own behind letters, before a blank.
+COMMON = re.compile("[a-zA-ZÀ-ÖØ-öø-ɏ]+")
+MARKS = frozenset(".,;:!?")
+
+
 class TextEncoder:
-    """Whole texts: each match of the pattern on its own; pieces between single spaces are remembered."""
+    """Whole texts: each match of the pattern on its own; of pieces between single spaces the ids, their digits and bytes are remembered."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.bpe, self.split = PrefixBpe(ranks), regex.compile(pattern).findall
+        #: Pieces without a blank at either end, as they stand behind a space.
         self.known = Bounded(REMEMBERED)
 
-    def piece(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(self.bpe.encode(p.encode()) for p in self.split(text)))
-
-    def encode(self, text: str | None) -> list[int]:
+    def piece(self, text: str) -> tuple[tuple[int, ...], str, bytes]:
+        """Ids, their decimal digits, and the bytes that they decode to."""
+        if text[:1] == " ":  # pre-tokens that need no pattern: a word behind a space, and a mark at its end
+            word = text[1:-1] if text[-1] in MARKS else text[1:]
+            if COMMON.fullmatch(word):
+                return self._made(self.bpe.encode_text(" " + word) + (self.bpe.encode_text(text[-1]) if len(word) < len(text) - 1 else []))
+        return self._made(list(chain.from_iterable(map(self.bpe.encode_text, self.split(text)))))
+
+    def _made(self, ids: list[int]) -> tuple[tuple[int, ...], str, bytes]:
+        return tuple(ids), " ".join(map(str, ids)), self.bpe.decode(ids)
+
+    def pieces(self, text: str) -> list[str]:
+        """The text cut at single spaces between two non-blank characters; the pattern starts a new match at each.
+
+        Cutting at every space is right unless a piece is empty or has a blank at an end. No such piece is remembered, so only new ones
+        need to be looked at.
+        """
+        found, known = text.split(" "), self.known
+        blank = not found[0] or found[0][-1].isspace()
+        if len(found) > 1 and (blank or any(p not in known and (not p or p[0].isspace() or p[-1].isspace()) for p in set(found[1:]))):
+            return CUT.split(text)
+        return found
+
+    def parts(self, text: str | None) -> list[tuple[tuple[int, ...], str, bytes]]:
+        """What ``piece`` gives for the pieces of a text, one after the other."""
         if not text:
             return []
-        pieces = CUT.split(text)
-        ids, known = list(self.piece(pieces.pop(0))), self.known
-        known.room_for(len(pieces))
-        for piece in set(pieces):
-            if piece not in known:
-                known[piece] = self.piece(" " + piece)
-        ids.extend(chain.from_iterable(map(known.__getitem__, pieces)))
-        return ids
+        first, *pieces = self.pieces(text)
+        known, out = self.known, [self.piece(first)]
+        new = [p for p in set(pieces) if p not in known]
+        if len(known) + len(new) > known.limit:
+            known.clear()
+            new = set(pieces)
+        for piece in new:
+            known[piece] = self.piece(" " + piece)
+        out.extend(map(known.__getitem__, pieces))
+        if pieces and pieces[-1][-1].isspace():
+            del known[pieces[-1]]
+        return out
+
+    def encode(self, text: str | None) -> list[int]:
+        return list(chain.from_iterable(ids for ids, _, _ in self.parts(text)))
 
 
 def byte_bpe(
@@ -164,16 +241,16 @@ def byte_bpe(
 
     def start():
         encoder = per_worker(key, lambda: TextEncoder(shared.value, pattern))
-        name = [str(i) for i in range(max(encoder.bpe.bytes_of) + 1)]
 
         def encode(doc_ids, texts):
             out = [doc_ids, [], [], [], [], []]
             for text in texts:
-                found = encoder.encode(text)
-                decoded = encoder.bpe.decode(found)
-                digest = hashlib.sha256(" ".join(map(name.__getitem__, found)).encode()).hexdigest()
-                for values, v in zip(out[1:], (len(found), digest, hashlib.sha256(decoded).hexdigest(), found, decoded)):
-                    values.append(v)
+                numbers, digits, decoded = zip(*encoder.parts(text)) if text else ((), (), ())
+                found = b"".join(decoded)
+                digest = hashlib.sha256(" ".join(digits).encode()).hexdigest()
+                values = (sum(map(len, numbers)), digest, hashlib.sha256(found).hexdigest())
+                for held, v in zip(out[1:], (*values, *((list(chain.from_iterable(numbers)), found) if ids else ()))):
+                    held.append(v)
             return out if ids else out[:4]
 
         return encode
