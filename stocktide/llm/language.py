@@ -13,30 +13,54 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stocktide.llm.subword import Spans, SubwordSoftmax, Trained, WordScores, softmax, words
+from stocktide.llm.subword import Spans, SubwordSoftmax, Trained, WordScores, softmax, spread, words
 from stocktide.llm.toxicity import fold
-from stocktide.llm.worker import map_rows, renamed
+from stocktide.llm.worker import map_rows, on_one_worker, renamed
 
 #: Words in a training span, and spans taken of one text (evenly spread; scoring always uses the whole text).
 SPAN, SPANS = 16, 12
 #: Bound of the training sample: at most so many texts of each language, chosen by a hash of their id.
 PER_LANGUAGE = 800
+#: Spans of one text that are learned or calibrated from at most, and ids ranked per id wanted.
+KEPT, MARGIN = 48, 4.0
 #: More languages than this are not trained for; it bounds the sample.
 LANGUAGES = 400
+#: Texts of all languages together at most.
+SAMPLE = 64_000
 UNKNOWN = "und"
 
 
-def training_rows(docs: DataFrame, use, per_language: int) -> list[tuple[str, str]]:
-    """At most ``per_language`` whole texts of each language among the rows for which ``use`` holds."""
+def training_rows(docs: DataFrame, use, per_language: int) -> DataFrame:
+    """(doc_id, lang, text) of at most ``per_language`` rows of each language among those for which ``use`` holds; texts as their words.
+
+    With many languages a language gets fewer, ``SAMPLE`` rows in all. Ids are taken by the smallest hashes: a limit from the language's count leaves
+    few more than are wanted, and only these are ranked. Of a text with more than ``KEPT`` spans, so many are kept. Rows that
+    repeat an id and language count once, with the smallest of their texts' hashes.
+    """
     known = docs.filter(use).filter("lang IS NOT NULL AND doc_id IS NOT NULL")
     ids = known.select("doc_id", "lang").distinct()
-    names = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    # Each task keeps its first rows of a language before anything is shuffled by language.
+    names = ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).toArrow()
+    per_language = min(per_language, SAMPLE // max(1, names.num_rows))
+    names = docs.sparkSession.createDataFrame(names, "lang string, n long")
+    share = F.xxhash64("doc_id") / 2.0**64 + 0.5
+    few = ids.join(F.broadcast(names), "lang").filter(share < MARGIN * per_language / F.col("n"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = ids.withColumn("at", first).filter(F.col("at") <= per_language).join(F.broadcast(names), "lang").select("doc_id", "lang")
+    chosen = few.withColumn("at", first).filter(F.col("at") <= per_language).select("doc_id", "lang")
     # At most LANGUAGES * per_language ids, so they are broadcast and the texts are not shuffled.
-    found = known.join(F.broadcast(chosen), ["doc_id", "lang"]).select("text", "lang", "doc_id").dropDuplicates(["doc_id", "lang"])
-    return [(r["text"] or "", r["lang"]) for r in sorted(found.toLocalIterator(), key=lambda r: (str(r["doc_id"]), r["lang"]))]
+    found = known.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    cut = lambda ids, names, texts: (ids, names, [spread(words(t), SPAN, KEPT) for t in texts])
+    short = map_rows(found, ["doc_id", "lang", "text"], f"doc_id {kind}, lang string, text string", lambda: cut, by="text")
+    once = short.groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("row"))
+    return once.select("doc_id", "lang", "row.text")
+
+
+def trained_model(docs: DataFrame, use, per_language: int) -> LanguageModel:
+    """Trained on one executor over the bounded sample; only the model reaches the driver."""
+    def make(rows):
+        return fit_language([(text, lang) for _, lang, text in sorted(rows, key=lambda r: (str(r[0]), r[1]))]).plain()
+
+    return LanguageModel.read(on_one_worker(training_rows(docs, use, per_language), make))
 
 
 @dataclass
@@ -115,7 +139,7 @@ def language(
     """
     table = renamed(docs, doc_id=id_column, text=text_column, lang=lang_column)
     out = F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False))
-    shared = docs.sparkSession.sparkContext.broadcast(fit_language(training_rows(table, ~out, per_language)).plain())
+    shared = docs.sparkSession.sparkContext.broadcast(trained_model(table, ~out, per_language).plain())
 
     def start():
         namer = LanguageModel.read(shared.value).namer()

@@ -31,6 +31,14 @@ def words(text: str | None) -> list[str]:
     return [w.strip(PUNCTUATION) for w in found]
 
 
+def spread(found: list[str], span: int, most: int) -> str:
+    """Words as a text that has the same words: all of them, or of more than ``most`` spans so many, spread evenly."""
+    starts = range(0, len(found), span)
+    if len(starts) > most:
+        found = [w for j in np.linspace(0, len(starts) - 1, most).astype(int).tolist() for w in found[starts[j]:starts[j] + span]]
+    return " ".join(w or "." for w in found)
+
+
 def subwords(found: list[str], rows: int, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed rows of the n-grams of all words, their ends marked, and of the words themselves, and each row's word.
 

@@ -12,17 +12,19 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocktide.llm.subword import Spans, SubwordSoftmax, Trained, WordScores, words
-from stocktide.llm.worker import map_rows, per_worker, renamed
+from stocktide.llm.subword import Spans, SubwordSoftmax, Trained, WordScores, spread, words
+from stocktide.llm.worker import map_rows, on_one_worker, release, renamed, slices_by_bytes
 
 #: Words in a span.
 SPAN = 24
 #: Bound of the training sample: at most so many texts of each label, chosen by a hash of their id.
 PER_LABEL = 2000
+#: Spans of one text that are learned from at most.
+KEPT = 64
 CUT = 0.3
 
 
@@ -30,8 +32,12 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % folds
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, use: Column, per_label: int) -> list[tuple[str, int]]:
-    """At most ``per_label`` whole texts of each label among the labelled rows for which ``use`` holds."""
+def training_rows(docs: DataFrame, labels: DataFrame, use: Column, per_label: int) -> DataFrame:
+    """(doc_id, text, label) of at most ``per_label`` rows of each label among those for which ``use`` holds; texts as their different words.
+
+    Of a text with more than ``KEPT`` spans of different words, so many are kept. Rows that repeat an id
+    count once, with the smallest of their texts' hashes.
+    """
     marked = labels.filter("label IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
     known = docs.select("doc_id").filter(use).join(marked, "doc_id").distinct()
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -39,8 +45,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, use: Column, per_label: in
         known.filter("label = 1").orderBy(*order).limit(per_label)
     )
     # At most 2 * per_label ids, so they are broadcast and the texts are not shuffled.
-    found = docs.join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("int").alias("label"), "doc_id").dropDuplicates(["doc_id"])
-    return [(r["text"] or "", r["label"]) for r in sorted(found.toLocalIterator(), key=lambda r: str(r["doc_id"]))]
+    found = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", F.col("label").cast("int").alias("label"), "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    cut = lambda ids, given, texts: (ids, given, [spread(distinct(t), SPAN, KEPT) for t in texts])
+    short = map_rows(found, ["doc_id", "label", "text"], f"doc_id {kind}, label int, text string", lambda: cut, by="text")
+    once = short.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "label")).alias("row"))
+    return once.select("doc_id", "row.text", "row.label")
+
+
+def trained_model(docs: DataFrame, labels: DataFrame, use: Column, per_label: int) -> ToxicityModel:
+    """Trained on one executor over the bounded sample; only the model, of fixed size, reaches the driver."""
+    def make(rows):
+        return fit_toxicity([(text, label) for _, text, label in sorted(rows, key=lambda r: str(r[0]))]).plain()
+
+    return ToxicityModel.read(on_one_worker(training_rows(docs, labels, use, per_label), make))
 
 
 @dataclass
@@ -167,9 +185,9 @@ def toxicity(
     """
     table = renamed(docs, doc_id=id_column, text=text_column)
     out = F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False))
-    rows = training_rows(table, renamed(labels, doc_id=id_column, label=label_column), ~out, per_label)
+    model = trained_model(table, renamed(labels, doc_id=id_column, label=label_column), ~out, per_label)
     # Plain values, a table of fixed size: workers need not know the classes to read them.
-    shared = docs.sparkSession.sparkContext.broadcast(fit_toxicity(rows).plain())
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())
 
     def start():
         scorer = ToxicityModel.read(shared.value).scorer()
@@ -188,15 +206,19 @@ def without_toxic(
     """The rows whose text scores below ``cut``, all columns; learning and definitions as in ``toxicity``."""
     table = renamed(docs, doc_id=id_column, text=text_column)
     out = F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False))
-    rows = training_rows(table, renamed(labels, doc_id=id_column, label=label_column), ~out, per_label)
-    shared = docs.sparkSession.sparkContext.broadcast(fit_toxicity(rows).plain())
+    model = trained_model(table, renamed(labels, doc_id=id_column, label=label_column), ~out, per_label)
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())
+
+    names, at = docs.columns, docs.columns.index(text_column)
 
-    def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = ToxicityModel.read(shared.value).scorer()
-        for texts in parts:
-            yield pd.Series([scorer(t) for t in texts], dtype="float64")
+        for part in slices_by_bytes(batches, f"c{at}"):
+            yield part.filter(pa.array([scorer(t) < cut for t in part.column(at).to_pylist()], pa.bool_()))
+        release()
 
-    return docs.filter(F.pandas_udf(scores, "double")(F.col(f"`{text_column}`")) < cut)
+    by_place = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    return by_place.mapInArrow(keep, by_place.schema).toDF(*names)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
