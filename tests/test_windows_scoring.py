@@ -159,3 +159,21 @@ def test_late_rows_are_marked(spark):
     df = spark.createDataFrame(rows, "store_id STRING, sku_id STRING, event_time TIMESTAMP, arrived TIMESTAMP")
     got = {r.event_time: r.is_late for r in windows.late_data_split(df, spec, "arrived").collect()}
     assert got == {at(10): False, at(200): False, at(100): True, at(190): False}
+
+
+def test_panes_hash_the_events_and_take_the_last_movement(spark, orders, inventory, monkeypatch):
+    built = []
+
+    def keep(df):
+        built.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(windows, "staged", keep)
+    keyless = inventory.limit(1).select(F.lit(None).cast("string").alias("store_id"), *[c for c in inventory.columns if c != "store_id"])
+    moves = inventory.unionByName(keyless)
+    rows = {(r.store_id, r.window_start): r for r in windows.panes(windows.merged_events(orders, moves)).collect() if r.sku_id == "A"}
+    # the aggregation over all events must not sort them: its memory would grow with a task's rows
+    assert "HashAggregate" in built[0] and "SortAggregate" not in built[0]
+    # equal stamps are ordered by id; a pane without a movement has no level; NULL keys are a group like any other
+    assert rows["DS_1", T0].on_hand_latest == 47 and rows["DS_1", at(120)].on_hand_latest == 30
+    assert rows["DS_1", at(60)].on_hand_latest is None and rows[None, T0].on_hand_latest is not None
