@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm.tokens import COMMON, byte_letters, read_text
-from stocktide.llm.worker import Bounded, map_rows, per_worker, renamed
+from stocktide.llm.worker import Bounded, map_rows, per_worker, release, renamed
 from stocktide.storage import staged
 
-#: Words a worker remembers.
-REMEMBERED = 800_000
+#: Words a worker remembers, about 150 bytes each.
+REMEMBERED = 500_000
 #: Pieces that one task ranks within one length.
 RANKED = 100_000
 #: Characters that Python takes as blanks and the tokenizer's pattern does not.
@@ -105,6 +105,7 @@ def pieces(
     end = struct.pack("<I", end_id)
 
     def start():
+        release()  # what earlier tasks of this worker have freed
         words = per_worker(("pieces", hash(shared.value)), lambda: WordIds(shared.value))
 
         def cut(doc_ids, texts):
@@ -121,7 +122,7 @@ def pieces(
 
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids
-    return map_rows(renamed(docs, doc_id=id_column, text=text_column), ["doc_id", "text"], schema, start)
+    return map_rows(renamed(docs, doc_id=id_column, text=text_column), ["doc_id", "text"], schema, start, by="text")
 
 
 class _Lengths:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -535,3 +536,13 @@ def test_pipeline(spark, sf_dir):
     check_packing(list(left.items()), kept["packing"])
     total = Counter(r["doc_id"] for r in corpus_pipeline.run(spark, sf_dir).collect())
     assert total == Counter(r["doc_id"] for r in kept["packing"])
+
+
+def test_packing_remembers_a_bounded_amount_of_words():
+    words = packing.WordIds(open(WORDS, encoding="utf-8").read())
+    texts = [" ".join(f"w{i:06x}" for i in range(a, a + 10_000)) for a in range(0, 700_000, 10_000)]
+    found = [words.encode(t) for t in texts]
+    held = sys.getsizeof(words.known) + sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in words.known.items())
+    assert held < 100 << 20
+    # emptying the memory changes no ids
+    assert found[0] == words.encode(texts[0]) == np.array(words.library(texts[0]), "<u4").tobytes()
