@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm.tokens import COMMON, byte_letters, read_text
-from stocktide.llm.worker import Bounded, map_rows, per_worker, release, renamed
+from stocktide.llm.worker import Recent, map_rows, per_worker, release, renamed
 from stocktide.storage import staged
 
-#: Words a worker remembers, about 150 bytes each.
-REMEMBERED = 500_000
+#: Words a worker remembers, about 200 bytes each.
+REMEMBERED = 300_000
 #: Pieces that one task ranks within one length.
 RANKED = 100_000
 #: Characters that Python takes as blanks and the tokenizer's pattern does not.
@@ -62,7 +62,7 @@ class WordIds:
         self.letters = dict(enumerate(byte_letters()))
         special = [(t["content"], t["id"]) for t in spec["added_tokens"]]
         self.special, (self.border, self.border_id) = [s for s, _ in special], special[0]
-        self.known = Bounded(REMEMBERED)
+        self.known = Recent(REMEMBERED)
 
     def library(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -78,9 +78,8 @@ class WordIds:
         if any(s in text for s in self.special) or UNSURE.search(text):
             return np.array(self.library(text), "<u4").tobytes()
         common = COMMON.fullmatch(text)
-        words, known = (text.lower() if common else text).split(), self.known
-        known.room_for(len(words))
-        new = [w for w in set(words) if w not in known]
+        words = (text.lower() if common else text).split()
+        known, new = self.known.lacking(set(words))
         if common:
             known.update(zip(new, map(self.merged, new)))
         elif new:
@@ -105,8 +104,8 @@ def pieces(
     end = struct.pack("<I", end_id)
 
     def start():
-        release()  # what earlier tasks of this worker have freed
         words = per_worker(("pieces", hash(shared.value)), lambda: WordIds(shared.value))
+        release()  # what earlier tasks of this worker and the reading of the tokenizer have freed
 
         def cut(doc_ids, texts):
             out = [[], [], [], [], [], []]

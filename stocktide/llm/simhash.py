@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from stocktide.llm.components import components
 from stocktide.llm.hot import apart, spread_join
-from stocktide.llm.worker import map_rows, renamed
+from stocktide.llm.worker import map_rows, release, renamed
 from stocktide.storage import staged
 
 BITS, RADIUS, SHINGLE, SEED = 64, 3, 3, 42
@@ -77,6 +77,7 @@ def bit_counts(fps: DataFrame) -> np.ndarray:
             total[BITS, 0] += len(bits)
         place = np.arange(total.size, dtype=np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total.ravel())], ["place", "n"])
+        release()
 
     sums = fps.select("fp").mapInArrow(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
     out = np.zeros((BITS + 1) * BITS, np.int64)
@@ -197,6 +198,7 @@ def _keyed(fps: DataFrame, make) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part, pa.int32()), pa.array(value.view(np.int64)), pa.array(fp.view(np.int64))], ["part", "value", "fp"]
                 )
+        release()
 
     return fps.mapInArrow(run, "part int, value long, fp long")
 
@@ -274,6 +276,7 @@ def links_of(keyed: DataFrame, radius: int = RADIUS) -> DataFrame:
                 part, value, fp = part[to:], value[to:], fp[to:]
         if len(part):
             yield linked(len(part))
+        release()
 
     return keyed.repartition("part", "value").sortWithinPartitions("part", "value", "fp").mapInArrow(run, "a long, b long")
 

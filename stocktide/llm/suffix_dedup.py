@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide.llm.hot import MAX_BITS, apart_by, bits_for, bitmaps_of, spread_join
-from stocktide.llm.worker import Bounded, map_rows, per_worker, slices_by_bytes
+from stocktide.llm.worker import Bounded, map_rows, per_worker, release, slices_by_bytes
 from stocktide.storage import discard, staged
 
 LENGTH = 200
@@ -185,6 +185,7 @@ def _anchor_hashes(docs: DataFrame, length: int, reach: int) -> DataFrame:
         for part in slices_by_bytes(batches, "text"):
             for r in runs(_bytes(part.column(0).to_pylist()), length, reach):
                 yield pa.RecordBatch.from_arrays([pa.array(r.h.view(np.int64))], ["h"])
+        release()
 
     return docs.select("text").mapInArrow(run, "h long")
 

@@ -546,3 +546,15 @@ def test_packing_remembers_a_bounded_amount_of_words():
     assert held < 100 << 20
     # emptying the memory changes no ids
     assert found[0] == words.encode(texts[0]) == np.array(words.library(texts[0]), "<u4").tobytes()
+
+
+def test_packing_keeps_the_words_in_use_when_others_go(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 1_000)
+    words, looked_up = packing.WordIds(open(WORDS, encoding="utf-8").read()), Counter()
+    merged = words.merged
+    words.merged = lambda word: looked_up.update([word]) or merged(word)
+    texts = ["often " + " ".join(f"w{i:06x}" for i in range(a, a + 100)) for a in range(0, 5_000, 100)]
+    for text in texts:
+        assert words.encode(text) == np.array(words.library(text), "<u4").tobytes()
+    assert looked_up["often"] == 1
+    assert len(words.known) <= 1_000
