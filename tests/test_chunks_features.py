@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stocktide import schemas
-from stocktide.operators import chunks, features
+from stocktide.operators import chunks, features, joins
 
 BASE = datetime(2024, 5, 3, 22, 0, 0)  # a Friday evening
 
@@ -220,3 +220,22 @@ def test_window_start_forms(spark):
     a, b = (features.with_parsed_start(x).first().window_start for x in (ms, iso))
     assert b == BASE and a.replace(tzinfo=None) is not None
     assert features.with_parsed_start(ms).select(F.unix_millis("window_start")).first()[0] == int(BASE.timestamp() * 1000)
+
+
+def test_small_tables_are_broadcast_by_a_whole_number(spark):
+    rows = spark.createDataFrame([("a", "x", 1), ("a", None, 2), ("b", "x", 3), (None, None, 4)], "k STRING, l STRING, n INT")
+    table = spark.createDataFrame([("a", "x", 10), ("a", "x", 11), ("b", None, 12), (None, None, 13)], "k STRING, l STRING, m INT")
+    for how in ("left", "inner"):
+        got = joins.lookup_join(rows, table, ["k", "l"], ["n"], how)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        # by texts, the driver and every executor would set aside up to 64 MB for these four rows
+        assert "HashedRelationBroadcastMode(List(input[0, bigint, false])" in plan
+        want = rows.join(table, ["k", "l"], how)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_carried_levels_are_not_broadcast(spark):
+    rows = spark.createDataFrame([("s", 1, 5), ("s", 20, None)], "k STRING, t INT, v INT").withColumn("t", F.timestamp_seconds("t"))
+    plan = chunks.carry_forward(rows, ["k"], ["t"], "v", 10, "level")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan

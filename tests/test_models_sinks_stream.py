@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stocktide import schemas
 from stocktide.config import BoostSpec, ForestSpec, WindowSpec
@@ -361,3 +362,11 @@ def test_flat_walk_equals_the_tree(spark):
             lengths.append(n.depth + float(iforest.average_path(n.size)))
         want.append(2 ** (-np.mean(lengths) / float(iforest.average_path(32))))
     np.testing.assert_allclose(iforest.NodeArrays(nodes).scores(x), want)
+
+
+def test_touched_days_are_broadcast_by_a_whole_number(spark, folder):
+    table = pipeline.StreamTables(spark, str(folder)).features
+    rows = spark.createDataFrame([("s", "p", None)], "store_id STRING, sku_id STRING, window_start TIMESTAMP")
+    parts = rows.select(table._part().alias("_part"))
+    assert parts.schema["_part"].dataType == table.stored["_part"].dataType == T.LongType()
+    assert parts.first()[0] is not None  # rows without a day have a partition too
