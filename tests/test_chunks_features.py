@@ -239,3 +239,15 @@ def test_carried_levels_are_not_broadcast(spark):
     rows = spark.createDataFrame([("s", 1, 5), ("s", 20, None)], "k STRING, t INT, v INT").withColumn("t", F.timestamp_seconds("t"))
     plan = chunks.carry_forward(rows, ["k"], ["t"], "v", 10, "level")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in plan
+
+
+def test_messages_of_one_row_group_are_made_by_all_tasks(spark, sf_dir):
+    from stocktide.sources import retail
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        raw = retail.raw_orders(spark, sf_dir)
+        filled = raw.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert filled == int(spark.conf.get("spark.sql.shuffle.partitions"))
