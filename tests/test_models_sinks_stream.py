@@ -370,3 +370,20 @@ def test_touched_days_are_broadcast_by_a_whole_number(spark, folder):
     parts = rows.select(table._part().alias("_part"))
     assert parts.schema["_part"].dataType == table.stored["_part"].dataType == T.LongType()
     assert parts.first()[0] is not None  # rows without a day have a partition too
+
+
+def test_upsert_reads_only_the_touched_days(spark, folder, monkeypatch):
+    schema = T.StructType.fromDDL("k STRING, day TIMESTAMP, v INT, at INT")
+    table = sinks.UpsertTable(spark, str(folder), schema, ["k", "day"], ["at"], day_of="day")
+    days = [datetime(2024, 1, 1) + timedelta(days=i) for i in range(5)]
+    rows = lambda v, at, *days: spark.createDataFrame([("a", d, v, at) for d in days], schema)
+    table.upsert(rows(1, 1, *days, None), 0)
+    monkeypatch.setattr(sinks.UpsertTable, "_rows", lambda self: pytest.fail("the whole table is listed"))
+    table.upsert(rows(2, 2, days[1], None, datetime(2025, 1, 1)), 1)
+    table.upsert(rows(2, 2, days[1], None, datetime(2025, 1, 1)), 1)
+    monkeypatch.undo()
+    monkeypatch.setattr(sinks, "LISTED", 1)
+    table.upsert(rows(3, 3, days[2], days[3]), 2)  # more than are named one by one
+    want = {(None, 2), (datetime(2025, 1, 1), 2), *zip(days, (1, 2, 3, 3, 1))}
+    assert {(r["day"], r["v"]) for r in table.read().collect()} == want
+    assert table.read().count() == len(want)
