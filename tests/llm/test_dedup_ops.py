@@ -505,6 +505,21 @@ def test_long_chains(spark):
     assert found == {1: [f"m{t}" for t in range(300)], 2: ["", ""], None: ["x"]}
 
 
+def test_reply_trees_are_not_broadcast(spark, monkeypatch):
+    plans = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(chat, "staged", lambda df, staged=chat.staged: (plans.append(plan(df)), staged(df))[1])
+    rows = [("t", i, i - 1, 0.0, "user", "x") for i in range(9)]
+    messages = chat.staged(spark.createDataFrame(rows, "tree string, node long, parent long, score double, role string, text string"))
+    for branches in (None, 1):
+        made = chat.chat_format(messages, branches)
+        assert made.count() == 1
+        plans.append(plan(made))
+    # by (tree, node), each join would set aside up to 64 MB on the driver and every executor for these nine rows
+    assert plans and not any("Broadcast" in p for p in plans)
+    assert sum(p.count("SortMergeJoin") for p in plans) == 2 * (2 + 4 + 3) + 1  # one join a round
+
+
 # Pipeline
 
 
