@@ -309,23 +309,34 @@ def line_anomaly_features(r: Retail) -> DataFrame:
     )
 
 
-def _in_parts(r: Retail, df: DataFrame, by: Column, parts: int) -> str:
-    """A folder of files to be read one a micro-batch: ``df`` cut into equal ranges of a time, file after file."""
+#: Rows of one file of a micro-batch, as one task writes and reads it.
+FILE_ROWS = 250_000
+
+
+def _in_parts(r: Retail, df: DataFrame, by: Column, parts: int) -> tuple[str, int]:
+    """A folder of files to be read some a micro-batch, and how many: ``df`` cut into equal ranges of a time, range after range.
+
+    Every range has the same number of files, so that a micro-batch is a range; the one of the fewest rows decides.
+    """
     path = r.path(f"parts-{uuid.uuid4().hex}")
     timed = df.withColumn("_at", F.unix_micros(by)).persist()
     low, high = timed.agg(F.min("_at"), F.max("_at")).first()
     width = (high - low) // parts + 1
+    part = F.expr(f"(_at - {low}L) div {width}L")
+    sizes = {p["part"]: p["n"] for p in timed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    files = max(1, min(sizes.get(i, 0) for i in range(parts)) // FILE_ROWS)
     for i in range(parts):  # the file source reads files in the order of their times
         inside = (F.col("_at") >= low + i * width) & (F.col("_at") < low + (i + 1) * width)
-        timed.filter(inside).drop("_at").coalesce(1).write.mode("append").parquet(path)
+        rows = timed.filter(inside).drop("_at")
+        (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(path)
     timed.unpersist()
-    return path
+    return path, files
 
 
 def _stream(r: Retail, df: DataFrame, by: Column, parts: int, delay: str, time: str = "event_time") -> DataFrame:
     """``df`` as a stream of as many micro-batches, under a watermark."""
-    path = _in_parts(r, df, by, parts)
-    return r.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path).withWatermark(time, delay)
+    path, files = _in_parts(r, df, by, parts)
+    return r.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path).withWatermark(time, delay)
 
 
 def _run_out(r: Retail, rows: DataFrame, name: str) -> DataFrame:

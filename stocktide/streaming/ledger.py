@@ -51,14 +51,14 @@ class _Ledger(InEventTimeOrder):
         self.level = handle.getValueState("level", "level INT")
 
     def step(self, key, due, mark):
-        if not due:
+        if not due.num_rows:
             return None
-        at, ids, quantities = (list(c) for c in zip(*due))
+        quantities = due.column("quantity").to_numpy()
         level = self.level.get()[0] if self.level.exists() else self.initial
-        after, sold = replay(np.array(quantities), level, self.restock_to)
+        after, sold = replay(quantities, level, self.restock_to)
         self.level.update((int(after[-1]),))
         return pd.DataFrame({
-            "store_id": key[0], "sku_id": key[1], "event_time": from_micros(at), "event_id": ids, "quantity": quantities,
+            "store_id": key[0], "sku_id": key[1], "event_time": from_micros(due.column("at").to_numpy()), "event_id": due.column("event_id").to_pandas(), "quantity": quantities,
             "level_after": after, "sold": sold,
         })
 

@@ -33,7 +33,7 @@ class _Sustained(InEventTimeOrder):
                 return True
             return fired
 
-        for at, holds in due:
+        for at, holds in zip(*(c.to_pylist() for c in due.columns)):
             fired = look(at)
             if holds and since is None:
                 since, fired = at, False

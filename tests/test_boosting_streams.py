@@ -228,6 +228,89 @@ def test_ledger_in_event_time_order_for_shuffled_arrival_and_a_restart(spark, fo
     assert sorted((r.event_id, r.level_after, r.sold) for r in found.collect()) == sorted(want)
 
 
+class _Held:
+    """A key's state in a dictionary; ``sent`` counts the values that pass between Python and Spark."""
+
+    def __init__(self):
+        self.values, self.timers, self.level, self.sent = [], [], None, 0
+
+    getListState = getValueState = lambda self, name, schema: self if name == "waiting" else _Level()
+
+    def appendValue(self, value):
+        self.values.append(value)
+        self.sent += 1
+
+    def appendList(self, values):
+        for v in values:
+            self.appendValue(v)
+
+    def put(self, values):
+        self.clear()
+        self.appendList(values)
+
+    def clear(self):
+        self.values = []
+
+    def get(self):
+        self.sent += len(self.values)
+        return iter(self.values)
+
+    def listTimers(self):
+        return iter(self.timers)
+
+    def registerTimer(self, ms):
+        self.timers.append(ms)
+
+
+class _Level:
+    value = None
+    exists = lambda self: self.value is not None
+    get = lambda self: self.value
+
+    def update(self, value):
+        self.value = value
+
+
+class _Mark:
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = lambda: ms
+
+
+def test_waiting_rows_travel_in_blocks():
+    n, start = 25_000, 1_700_000_000
+    at = np.random.default_rng(5).permutation(n) // 2  # equal times go by id
+    pdf = pd.DataFrame({"event_time": pd.to_datetime(start + at, unit="s"), "event_id": [f"e{i}" for i in range(n)], "quantity": np.full(n, 3, "int32")})
+    held, key = _Held(), ("s", "p")
+    processor = ledger._Ledger(20, 18)
+    processor.init(held)
+    assert list(processor.handleInputRows(key, iter([pdf[:9_000], pdf[9_000:]]), _Mark(0))) == []
+    cut = start + 5_000
+    first = pd.concat(processor.handleExpiredTimer(key, _Mark(cut * 1000), None))
+    assert held.timers[-1] == (cut + 1) * 1000
+    rest = pd.concat(processor.handleExpiredTimer(key, _Mark((start + n) * 1000), None))
+    assert held.values == [] and held.sent <= 10  # one value a row before
+    want = pdf.assign(at=at).sort_values(["at", "event_id"])
+    got = pd.concat([first, rest])
+    assert len(first) == 10_002 and got["event_id"].tolist() == want["event_id"].tolist()
+    assert got["level_after"].tolist() == ledger.replay(np.full(n, 3), 20, 18)[0].tolist()
+
+
+def test_a_range_of_many_rows_is_several_files(spark, tmp_path, monkeypatch):
+    from stocktide.plans import window_queries
+
+    class Folder:
+        path = staticmethod(lambda name: f"{tmp_path}/{name}")
+
+    rows = spark.range(900).select(F.timestamp_micros(F.col("id") * 7).alias("t"), F.col("id"))
+    for size, files in ((100, 3), (1000, 1)):
+        monkeypatch.setattr(window_queries, "FILE_ROWS", size)
+        path, each = window_queries._in_parts(Folder, rows, F.col("t"), 3)
+        at = spark.read.parquet(path).groupBy("_metadata.file_modification_time", "_metadata.file_path").agg(F.min("id"), F.max("id"), F.count("*"))
+        found = sorted(map(tuple, at.collect()))
+        assert each == files and len(found) == 3 * files and sum(f[4] for f in found) == 900
+        assert [f[2] // 300 for f in found] == [f[3] // 300 for f in found] == [i // files for i in range(3 * files)]
+
+
 def test_threshold_alerts_fire_when_the_condition_has_held(spark, folder):
     stateful.use_rocksdb(spark)
     rules = [("Late", "lag", "", ">", 10.0, 120)]
