@@ -76,7 +76,8 @@ class Lattice:
     def edges(self, words: list[bytes]):
         """Of all words, one node a byte and one before the first: start, end and piece of every match, and the words' first nodes."""
         texts = [" " + w.decode("latin-1") for w in words]
-        ends, values = np.array(list(self.found.iter("Ā".join(texts))), np.int64).T  # the letter between words is in no piece
+        found = self.found.iter("Ā".join(texts))  # the letter between words is in no piece
+        ends, values = np.fromiter(chain.from_iterable(found), np.int64).reshape(-1, 2).T.copy()  # number by number, no list of all matches
         firsts = np.cumsum([0, *(len(t) + 1 for t in texts)])
         ends += 1  # a word's nodes are as many as its letters and the separator
         return ends - values % 64, ends, values // 64, firsts

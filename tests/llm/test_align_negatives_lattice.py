@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -246,6 +247,16 @@ def test_sums_are_those_of_all_segmentations(pieces):
     assert got == pytest.approx([expected[x] for x in names])
 
 
+def test_matches_are_read_as_numbers(pieces):
+    found = lattice.Lattice(*pieces)
+    words = [f"{i:x}thanticoil".encode() for i in range(20_000)]
+    tracemalloc.start()
+    start, *_ = found.edges(words)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 64 * len(start)  # a pair of Python numbers a match took over 100 bytes
+
+
 def test_long_words_and_batches_do_not_matter(pieces):
     found = lattice.Lattice(*pieces)
     words = [b"q" * 3000, b"the", b"x" * 20, b"the"]
