@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm.tokens import COMMON, byte_letters, read_text
-from stocktide.llm.worker import Recent, map_rows, per_worker, release, renamed
+from stocktide.llm.worker import Bounded, Recent, map_rows, per_worker, release, renamed
 from stocktide.storage import staged
 
 #: Words a worker remembers, about 200 bytes each.
 REMEMBERED = 300_000
 #: Pieces that one task ranks within one length.
 RANKED = 100_000
+#: Marks that end many words; a run of them behind letters is one piece of the split. The apostrophe is none, it may start a piece.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Characters that Python takes as blanks and the tokenizer's pattern does not.
 UNSURE = re.compile("[\x1c-\x1f]")
 
@@ -62,14 +64,26 @@ class WordIds:
         self.letters = dict(enumerate(byte_letters()))
         special = [(t["content"], t["id"]) for t in spec["added_tokens"]]
         self.special, (self.border, self.border_id) = [s for s, _ in special], special[0]
-        self.known = Recent(REMEMBERED)
+        self.known, self.marks = Recent(REMEMBERED), Bounded(10_000)
 
     def library(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def merged(self, word: str) -> bytes:
         """Ids of a word of common characters in lower case."""
-        tokens = [t.id for p in self.split(word) for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.letters))]
+        letters = word.rstrip(MARKS)
+        if not letters.isalpha():
+            return b"".join(map(self.piece, self.split(word)))
+        marks = word[len(letters):]
+        if marks not in self.marks:
+            self.marks.room_for(1)
+            self.marks[marks] = self.piece(marks) if marks else b""
+        return (marks and self.known.get(letters) or self.piece(letters)) + self.marks[marks]
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece of the split."""
+        shown = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters)
+        tokens = [t.id for t in self.model.tokenize(shown)]
         return struct.pack(f"<{len(tokens)}I", *tokens)
 
     def encode(self, text: str | None) -> bytes:

@@ -461,6 +461,24 @@ def test_word_ids_as_the_library(text):
     assert words.encode(text) == np.array(words.library(text), "<u4").tobytes()
 
 
+def test_word_ids_merge_letters_once():
+    words = packing.WordIds(open(WORDS, encoding="utf-8").read())
+
+    class Counted:
+        model, n = words.model, 0
+
+        def tokenize(self, piece):
+            self.n += 1
+            return self.model.tokenize(piece)
+
+    words.model = counted = Counted()
+    for text in ("thanticoil", "Thanticoil, hatior,", "thanticoil. reeuxré, hatior."):
+        assert words.encode(text) == np.array(words.library(text), "<u4").tobytes()
+    assert counted.n <= 6  # thanticoil, hatior twice, reeuxré and two marks; every piece of the different words before, 11
+    odd = "a\x00, b\x7f. c's, d'. e_. f1, g--h; rock'n'roll!! it's' x\x01\x02 'tis, ³. ª, ª! don't.), (y). [z] 12, é\x7f, ß..., İ. ŉ!"
+    assert words.encode(odd) == np.array(words.library(odd), "<u4").tobytes()
+
+
 def word_ids(made=[]):  # noqa: B006 one tokenizer for all examples
     if not made:
         made.append(packing.WordIds(open(WORDS, encoding="utf-8").read()))
