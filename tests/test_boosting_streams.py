@@ -276,7 +276,7 @@ class _Mark:
         self.getCurrentWatermarkInMs = lambda: ms
 
 
-def test_waiting_rows_travel_in_blocks():
+def test_waiting_rows_travel_in_blocks(spark):
     n, start = 25_000, 1_700_000_000
     at = np.random.default_rng(5).permutation(n) // 2  # equal times go by id
     pdf = pd.DataFrame({"event_time": pd.to_datetime(start + at, unit="s"), "event_id": [f"e{i}" for i in range(n)], "quantity": np.full(n, 3, "int32")})
