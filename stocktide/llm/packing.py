@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm.tokens import COMMON, byte_letters, read_text
-from stocktide.llm.worker import Bounded, Recent, map_rows, per_worker, release, renamed
+from stocktide.llm.worker import Bounded, Recent, map_rows, per_worker, renamed
 from stocktide.storage import staged
 
 #: Words a worker remembers, about 200 bytes each.
@@ -119,7 +119,6 @@ def pieces(
 
     def start():
         words = per_worker(("pieces", hash(shared.value)), lambda: WordIds(shared.value))
-        release()  # what earlier tasks of this worker and the reading of the tokenizer have freed
 
         def cut(doc_ids, texts):
             out = [[], [], [], [], [], []]

@@ -8,6 +8,7 @@ softmax is linear, a trained model gives every word its own share of the logits,
 from __future__ import annotations
 
 import string
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +19,8 @@ from stocktide.llm.worker import Bounded
 LONGEST = 40
 #: Words a worker remembers.
 REMEMBERED = 400_000
+#: Words whose subwords are worked on together in training: about 3 MB for each array that this takes.
+AT_ONCE = 1 << 14
 PUNCTUATION = string.punctuation + "¡¿«»“”„‘’‚–—…·"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 POWERS = np.cumprod(np.full(2 * LONGEST, 0xD6E8FEB86659FD93, np.uint64), dtype=np.uint64)
@@ -81,12 +84,16 @@ class Spans:
     spans: list[np.ndarray]
 
     @staticmethod
-    def of(texts: list[list[str]], rows: int, sizes: tuple[int, ...]) -> "Spans":
+    def of(texts: Iterable[list[str]], rows: int, sizes: tuple[int, ...]) -> "Spans":
         index: dict[str, int] = {}
-        spans = [np.array([index.setdefault(w, len(index)) for w in t], np.int64) for t in texts]
-        found, of = subwords(list(index), rows, sizes)
-        starts = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(index)))]).astype(np.int64)
-        return Spans(found[np.argsort(of, kind="stable")], starts, spans)
+        spans = [np.array([index.setdefault(w, len(index)) for w in t], np.int32) for t in texts]
+        words, parts, counts = list(index), [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for at in range(0, len(words), AT_ONCE):
+            some = words[at:at + AT_ONCE]
+            found, of = subwords(some, rows, sizes)
+            parts.append(found.astype(np.int32)[np.argsort(of, kind="stable")])
+            counts.append(np.bincount(of, minlength=len(some)))
+        return Spans(np.concatenate(parts), np.cumsum(np.concatenate(counts)), spans)
 
 
 def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -111,7 +118,11 @@ class SubwordSoftmax:
         share = np.zeros((len(n), self.classes))
         if len(rows):
             by_row = self.vectors @ self.weights
-            share[n > 0] = np.add.reduceat(by_row[rows], starts[:-1][n > 0], axis=0) / n[n > 0, None]
+            filled = np.flatnonzero(n)
+            for at in range(0, len(filled), AT_ONCE):
+                some = filled[at:at + AT_ONCE]
+                first, end = starts[some[0]], starts[some[-1] + 1]
+                share[some] = np.add.reduceat(by_row[rows[first:end]], starts[some] - first, axis=0) / n[some, None]
         return share
 
     def step(self, data: Spans, chosen: np.ndarray, labels: np.ndarray, rate: float) -> None:

@@ -115,15 +115,19 @@ def fit_toxicity(rows: list[tuple[str, int]], span: int = SPAN, epochs: int = 8,
         share = float(labels.mean()) if len(labels) else 0.0
         return ToxicityModel(None, 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))), span)
     random, model = np.random.default_rng(seed), SubwordSoftmax(2, floor=span, seed=seed)
-    texts, of, cuts = [], [], [0]
-    for i, (text, _) in enumerate(rows):
-        found = distinct(text)
-        cuts.append(cuts[-1] + len(found))
-        for at in range(0, len(found), span):
-            texts.append(found[at:at + span])
-            of.append(i)
-    data, of = Spans.of(texts, model.rows, model.sizes), np.array(of, np.int64)
-    if not texts:
+    of, cuts = [], [0]
+
+    def spans():  # one after the other: only the different words of all texts are held
+        for i, (text, _) in enumerate(rows):
+            found = distinct(text)
+            cuts.append(cuts[-1] + len(found))
+            for at in range(0, len(found), span):
+                of.append(i)
+                yield found[at:at + span]
+
+    data = Spans.of(spans(), model.rows, model.sizes)
+    of = np.array(of, np.int64)
+    if not data.spans:
         return ToxicityModel(None, 0.0, float(np.log(labels.mean() / (1 - labels.mean()))), span)
     whole = np.concatenate(data.spans)
     filled = np.flatnonzero(np.diff(cuts))
@@ -146,6 +150,7 @@ def fit_toxicity(rows: list[tuple[str, int]], span: int = SPAN, epochs: int = 8,
             batch = order[at:at + 64]
             model.step(batches, batch, target[batch], 0.15)
     trained = Trained.of(model)
+    del data, batches, whole, model
     plainly = ToxicityModel(trained, 1.0, 0.0, span).scorer()
     p = np.array([plainly(t) for t, _ in rows])
     slope, offset = calibrated(np.log(p / (1 - p)), labels)
@@ -212,6 +217,7 @@ def without_toxic(
     names, at = docs.columns, docs.columns.index(text_column)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         scorer = ToxicityModel.read(shared.value).scorer()
         for part in slices_by_bytes(batches, f"c{at}"):
             yield part.filter(pa.array([scorer(t) < cut for t in part.column(at).to_pylist()], pa.bool_()))

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -12,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stocktide.llm import byte_bpe, language, quality, subword, tokens, toxicity
+from stocktide.llm import byte_bpe, language, quality, subword, tokens, toxicity, worker
 
 ODD = [
     None, "", "  ", "a", "  a  b\n\n c <|endoftext|> d", "<|endoftext|>", " don't I'LL 12 3,4 ... é́ \U0001f600 漢字 \x1c b \x85c",
@@ -220,3 +221,30 @@ def test_subwords_by_hand():
     assert Counter(of.tolist()) == {0: 3 + 2 + 1 + 1, 2: 1 + 1}  # n-grams of <abc> and of <é>, and the words
     again, _ = subword.subwords(["abc"], 1 << 18, (3, 4, 5))
     assert sorted(rows[of == 0].tolist()) == sorted(again.tolist())
+
+
+def test_subwords_of_training_texts_take_little_more_than_their_rows():
+    texts = [[f"{i:x}{j * 7919:06x}" for j in range(300)] for i in range(200)]
+    tracemalloc.start()
+    try:
+        data = subword.Spans.of(iter(texts), 1 << 18, (3, 4, 5))
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert len(data.starts) == 200 * 300 + 1
+    assert peak < 8 * 4 * len(data.rows)  # all words at once took over 60 bytes a row
+    found, of = subword.subwords([w for t in texts[-2:] for w in t], 1 << 18, (3, 4, 5))
+    assert data.rows[data.starts[-601]:].tolist() == found[np.argsort(of, kind="stable")].tolist()
+
+
+def test_a_worker_lets_go_of_what_another_step_kept(monkeypatch):
+    task, made = [-1], []
+    monkeypatch.setattr(worker, "_task", lambda: task[0])
+    keep = lambda key: worker.per_worker(key, lambda: made.append(key) or key)
+    for task[0], key in [(-1, "a"), (-2, "a"), (-3, "b"), (-4, "a")]:
+        assert keep(key) == key
+        worker.release()
+    assert made == ["a", "b", "a"]  # kept from one task to the next, but not beside another step's
+    task[0] = -5
+    worker.release()
+    assert not worker._held()
