@@ -13,7 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from itertools import chain
+from itertools import chain, filterfalse
 
 import ahocorasick
 import regex
@@ -24,6 +24,10 @@ from stocktide.llm.worker import Bounded, map_rows, per_worker, renamed
 
 #: Pieces of text, and pairs of tokens, that a worker remembers.
 REMEMBERED = 600_000
+#: Stands for the token in front of the first one.
+START = -2
+#: A letter that stands for no byte.
+BORDER = "\u0100"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -36,12 +40,15 @@ class PrefixBpe:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
+        self.size_of = {rank: len(token) for token, rank in ranks.items()}
+        #: For each token what is known of which tokens it may follow; START is the start of the bytes.
+        self.follows: dict[int, dict[int, bool]] = {rank: {} for rank in self.bytes_of}
+        self.pairs = 0
         #: Finds all tokens that end at each byte, longest first.
         self.ends = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self.ends.add_word(token.decode("latin-1"), (len(token), rank))
+            self.ends.add_word(token.decode("latin-1"), (len(token), rank, self.follows[rank]))
         self.ends.make_automaton()
-        self.pairs = Bounded(REMEMBERED)
         self.alone = Bounded(REMEMBERED)
         self.split_of = Bounded(REMEMBERED)
         self.rank_of_text = {token.decode(): rank for token, rank in ranks.items() if token.isascii()}
@@ -86,8 +93,18 @@ class PrefixBpe:
                 undone, r = r + 1, inner_r[0]
             else:
                 break
-        self.pairs.room_for(1)
-        self.pairs[left << 32 | right] = fits
+        return fits
+
+    def may_follow(self, left: int, right: int) -> bool:
+        """Whether ``right`` may follow ``left``, or START; remembered. Nothing follows bytes that have no token."""
+        if left == -1:
+            return False
+        if self.pairs >= REMEMBERED:
+            for known in self.follows.values():
+                known.clear()
+            self.pairs = 0
+        self.pairs += 1
+        fits = self.follows[right][left] = self.stands_alone(right) if left == START else self.compatible(left, right)
         return fits
 
     def stands_alone(self, token: int) -> bool:
@@ -103,26 +120,24 @@ class PrefixBpe:
         self.extend(data, last)
         return last
 
-    def extend(self, data: bytes, last: list[int], text: str | None = None, agree: list[int] | None = None, stop: int = 0) -> None:
+    def extend(self, data: bytes, last: list[int], agree: list[int] | None = None, stop: int = 0) -> None:
         """Append the unique valid last token of each further prefix.
 
         With a table of the text before an edit that ended at ``stop`` there, work ends where both agree for a longest token.
         """
-        start, known, compatible = len(last) - 1, self.pairs.get, self.compatible
+        start, may_follow = len(last) - 1, self.may_follow
         base = max(0, start - self.longest + 1)
         size = len(data)
         last.extend([-1] * (size - start))
         shift, same = (size - (len(agree) - 1) if agree else 0), 0
-        for at, (n, token) in self.ends.iter(data[base:].decode("latin-1") if text is None else text):
+        for at, (n, token, known) in self.ends.iter(data[base:].decode("latin-1")):
             end = base + at + 1
             if last[end] >= 0 or end <= start:
                 continue
-            if n < end:
-                fits = known(last[end - n] << 32 | token)
-                if fits is None:
-                    fits = last[end - n] >= 0 and compatible(last[end - n], token)
-            else:
-                fits = self.stands_alone(token)
+            before = last[end - n] if n < end else START
+            fits = known.get(before)
+            if fits is None:
+                fits = may_follow(before, token)
             if fits:
                 last[end] = token
                 if agree is not None:
@@ -145,32 +160,61 @@ class PrefixBpe:
             if last[at] < 0:
                 raise ValueError("a byte is missing from the vocabulary")
             ids.append(last[at])
-            at -= len(self.bytes_of[last[at]])
+            at -= self.size_of[last[at]]
         return ids[::-1]
 
     def encode(self, data: bytes) -> list[int]:
         """Ids of one pre-token. One that is in the vocabulary is that token, as the library has it."""
         whole = self.ranks.get(data)
-        return [whole] if whole is not None else self.read(data, self.table(data))
+        return [whole] if whole is not None else self.encode_all([data.decode("latin-1")])[0]
 
     def encode_text(self, text: str) -> list[int]:
-        if not text.isascii():
-            return self.encode(text.encode())
-        whole = self.rank_of_text.get(text)
-        if whole is not None:
-            return [whole]
-        last = [-1]
-        data = text.encode()
-        self.extend(data, last, text)
-        return self.read(data, last)
+        return self.encode_texts([text])[0]
+
+    def encode_texts(self, texts: list[str]) -> list[list[int]]:
+        """Ids of pre-tokens. Those in the vocabulary are that token, the others' tables are made in one pass."""
+        whole = self.ranks.get
+        encoded = [t if t.isascii() else t.encode().decode("latin-1") for t in texts]
+        entries = [self.rank_of_text.get(t) if t.isascii() else whole(t.encode()) for t in texts]
+        found = iter(self.encode_all([t for t, entry in zip(encoded, entries) if entry is None]))
+        return [next(found) if entry is None else [entry] for entry in entries]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """``table`` and ``read`` of strings of bytes, each byte given as a letter, side by side with a letter between them that is no byte."""
+        letters, out, at = BORDER.join(texts), [], 0
+        last = [-1] * (len(letters) + 1)
+        for text in texts:
+            last[at] = START
+            at += len(text) + 1
+        for at, (n, token, known) in self.ends.iter(letters):
+            if last[at + 1] == -1:
+                before = last[at + 1 - n]
+                fits = known.get(before)
+                if fits is None:
+                    fits = self.may_follow(before, token)
+                if fits:
+                    last[at + 1] = token
+        end, size_of = -1, self.size_of
+        for text in texts:
+            end += len(text) + 1
+            ids, at = [], end
+            while (token := last[at]) != START:
+                if token < 0:
+                    raise ValueError("a byte is missing from the vocabulary")
+                ids.append(token)
+                at -= size_of[token]
+            out.append(ids[::-1])
+        return out
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-#: Letters that all Unicode tables agree on, and marks that are a pre-token of their own behind letters, before a blank.
+#: Letters that all Unicode tables agree on, and marks of which a run is one pre-token behind letters, before a blank.
 COMMON = re.compile("[a-zA-ZÀ-ÖØ-öø-ɏ]+")
-MARKS = frozenset(".,;:!?")
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+Piece = tuple[tuple[int, ...], str, bytes]
 
 
 class TextEncoder:
@@ -180,42 +224,71 @@ class TextEncoder:
         self.bpe, self.split = PrefixBpe(ranks), regex.compile(pattern).findall
         #: Pieces without a blank at either end, as they stand behind a space.
         self.known = Bounded(REMEMBERED)
+        self.marks = Bounded(10_000)
+        self.digits_of = {rank: str(rank) for rank in self.bpe.bytes_of}
 
-    def piece(self, text: str) -> tuple[tuple[int, ...], str, bytes]:
+    def piece(self, text: str) -> Piece:
         """Ids, their decimal digits, and the bytes that they decode to."""
-        if text[:1] == " ":  # pre-tokens that need no pattern: a word behind a space, and a mark at its end
-            word = text[1:-1] if text[-1] in MARKS else text[1:]
-            if COMMON.fullmatch(word):
-                return self._made(self.bpe.encode_text(" " + word) + (self.bpe.encode_text(text[-1]) if len(word) < len(text) - 1 else []))
-        return self._made(list(chain.from_iterable(map(self.bpe.encode_text, self.split(text)))))
+        known, ids = self.known.get, []
+        for match in self.split(text):
+            found = known(match[1:]) if match[0] == " " else None
+            ids += found[0] if found else self.bpe.encode_text(match)
+        return self._made(ids)
+
+    def remember(self, new: set[str]) -> None:
+        """Pieces that stand behind a space. A word needs no pattern, nor do marks at its end; it is remembered without them too."""
+        known, others, marked, words = self.known, [], [], []
+        for piece in new:
+            word = piece.rstrip(MARKS)
+            if not COMMON.fullmatch(word):
+                others.append(piece)
+                continue
+            if len(word) < len(piece):
+                marked.append((piece, word))
+            if word not in known:
+                words.append(word)
+        words = list(dict.fromkeys(words))
+        for word, ids in zip(words, self.bpe.encode_texts([" " + w for w in words])):
+            known[word] = self._made(ids)
+        for piece, word in marked:
+            (ids, digits, data), (more, more_digits, more_data) = known[word], self._marks(piece[len(word):])
+            known[piece] = ids + more, f"{digits} {more_digits}", data + more_data
+        for piece in others:
+            known[piece] = self.piece(" " + piece)
+
+    def _marks(self, text: str) -> Piece:
+        found = self.marks.get(text)
+        if found is None:
+            self.marks.room_for(1)
+            found = self.marks[text] = self._made(self.bpe.encode_text(text))
+        return found
 
-    def _made(self, ids: list[int]) -> tuple[tuple[int, ...], str, bytes]:
-        return tuple(ids), " ".join(map(str, ids)), self.bpe.decode(ids)
+    def _made(self, ids: list[int]) -> Piece:
+        return tuple(ids), " ".join(map(self.digits_of.__getitem__, ids)), self.bpe.decode(ids)
 
-    def pieces(self, text: str) -> list[str]:
-        """The text cut at single spaces between two non-blank characters; the pattern starts a new match at each.
+    def pieces(self, text: str) -> tuple[list[str], set[str]]:
+        """The text cut at single spaces between two non-blank characters, where the pattern starts a new match; and those not remembered.
 
         Cutting at every space is right unless a piece is empty or has a blank at an end. No such piece is remembered, so only new ones
         need to be looked at.
         """
-        found, known = text.split(" "), self.known
-        blank = not found[0] or found[0][-1].isspace()
-        if len(found) > 1 and (blank or any(p not in known and (not p or p[0].isspace() or p[-1].isspace()) for p in set(found[1:]))):
-            return CUT.split(text)
-        return found
-
-    def parts(self, text: str | None) -> list[tuple[tuple[int, ...], str, bytes]]:
+        found, known = text.split(" "), self.known.__contains__
+        new = set(filterfalse(known, found[1:]))
+        if len(found) > 1 and (not found[0] or found[0][-1].isspace() or any(not p or p[0].isspace() or p[-1].isspace() for p in new)):
+            found = CUT.split(text)
+            new = set(filterfalse(known, found[1:]))
+        return found, new
+
+    def parts(self, text: str | None) -> list[Piece]:
         """What ``piece`` gives for the pieces of a text, one after the other."""
         if not text:
             return []
-        first, *pieces = self.pieces(text)
+        (first, *pieces), new = self.pieces(text)
         known, out = self.known, [self.piece(first)]
-        new = [p for p in set(pieces) if p not in known]
-        if len(known) + len(new) > known.limit:
+        if len(known) + 2 * len(new) > known.limit:  # a new piece may bring its word without marks
             known.clear()
             new = set(pieces)
-        for piece in new:
-            known[piece] = self.piece(" " + piece)
+        self.remember(new)
         out.extend(map(known.__getitem__, pieces))
         if pieces and pieces[-1][-1].isspace():
             del known[pieces[-1]]

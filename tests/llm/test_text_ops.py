@@ -77,6 +77,30 @@ def test_encodes_and_decodes_as_the_library(encoder, library, text):
     assert ids == library.encode_ordinary(text) and encoder.bpe.decode(ids) == text.encode()
 
 
+def test_a_word_is_encoded_once_whatever_marks_follow_it(library):
+    class Counted:
+        def __init__(self, ends):
+            self.ends, self.letters = ends, 0
+
+        def iter(self, letters):
+            self.letters += len(letters)
+            return self.ends.iter(letters)
+
+    fresh = byte_bpe.TextEncoder(byte_bpe.read_ranks(P.path("byte_bpe_50k.tiktoken")), P.PATTERN)
+    fresh.bpe.ends = ends = Counted(fresh.bpe.ends)
+    words = [f"heshbl{a}{b}éwh" for a in "aeiou" for b in "bcdfg"]
+    text = " ".join(w + marks for w in words for marks in ("", ",", ".", "!!", "###", "...", "'s", ".\nOf", "'"))
+    assert fresh.encode(text) == library.encode_ordinary(text)
+    assert ends.letters < 3 * len(" ".join(words).encode())  # the first piece, the words and the marks; nine times the words before
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.binary(max_size=12), max_size=6))
+def test_strings_side_by_side_are_encoded_as_each_alone(encoder, strings):
+    bpe = encoder.bpe
+    assert bpe.encode_all([s.decode("latin-1") for s in strings]) == [bpe.merged(s) if s else [] for s in strings]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.binary(min_size=1, max_size=60), st.data())
 def test_prefix_tables_append_and_edit(encoder, data, draw):
